@@ -79,7 +79,10 @@ class Warehouse:
             layer, table = location.split("/")
             schema = self.schema(name)
             by = self.spec.effective
-            partition = f"PARTITIONED BY ({by})" if name in PARTITIONED else ""
+            split = [by] if name in PARTITIONED else []
+            empty = self.spark.createDataFrame([], schema)
+            empty.write.mode("ignore").partitionBy(*split).parquet(self.path(name))
+            partition = f"PARTITIONED BY ({by})" if split else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {layer}.{table} ({schema.toDDL()}) "
                 f"USING parquet {partition} LOCATION '{self.path(name)}'"

@@ -15,6 +15,7 @@ from ..sources.csv_snapshot import (
     inspect_files,
     number_records,
     scan_snapshots,
+    split_counts,
 )
 from ..sources.files import combined_checksums, file_checksums, readable
 from ..spec import SnapshotSpec, audit_schema, drift_schema
@@ -131,14 +132,12 @@ def load_snapshots(
     parts = profile_snapshots(wh, snapshots, ingested_at)
 
     parsed = materialize(scan_snapshots(spark, parts, spec), "parsed")
-    numbered = number_records(parsed)
+    splits = materialize(split_counts(parsed, parts, spec), "splits")
+    numbered = number_records(parsed, splits, spec)
     counted = {
         r[spec.effective]: r
-        for r in parsed.groupBy(spec.effective)
-        .agg(
-            F.count_if(F.col("reject_reason").isNull()).alias("accepted"),
-            F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
-        )
+        for r in splits.groupBy(spec.effective)
+        .agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
         .collect()
     }
     accepted = {d: counted[d].accepted if d in counted else 0 for d in snapshots}

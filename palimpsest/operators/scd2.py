@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -93,9 +94,13 @@ def latest_snapshot(staged: DataFrame, spec: SnapshotSpec) -> DataFrame:
 
 
 def impacted_keys(
-    old: DataFrame, new: DataFrame, dim: DataFrame, spec: SnapshotSpec
+    old: DataFrame,
+    new: DataFrame,
+    dim: DataFrame,
+    dates: Sequence[date],
+    spec: SnapshotSpec,
 ) -> DataFrame:
-    """Keys whose history changes when the replaced dates go from ``old`` to ``new``.
+    """Keys whose history changes when ``dates`` go from ``old`` to ``new`` contents.
 
     A row that vanishes or differs impacts its key. A row that is only added impacts it
     unless the version covering its date already has the same hash: such a repeat moves
@@ -121,12 +126,13 @@ def impacted_keys(
     added = changed.where(F.col("_old_key").isNull()).select(
         spec.key, spec.effective, F.col(spec.hash).alias("_new_hash")
     )
-    unsettled = as_of_join(
-        added,
-        dim.select(spec.key, spec.hash, "valid_from", "valid_to"),
-        spec.key,
-        F.col(spec.effective),
-    ).where(~F.col(spec.hash).eqNullSafe(F.col("_new_hash")))
+    reaching = dim.select(spec.key, spec.hash, "valid_from", "valid_to").where(
+        (F.col("valid_from") <= F.lit(max(dates)))
+        & (F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(min(dates))))
+    )
+    unsettled = as_of_join(added, reaching, spec.key, F.col(spec.effective)).where(
+        ~F.col(spec.hash).eqNullSafe(F.col("_new_hash"))
+    )
     return replaced.union(unsettled.select(spec.key)).distinct()
 
 

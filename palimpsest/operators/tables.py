@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -67,7 +68,10 @@ def upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return target.join(updates, key, "left_anti").unionByName(updates)
 
 
-PUBLISHED = "table_name string, version bigint, path string, published_at timestamp_ntz"
+PUBLISHED = (
+    "table_name string, version bigint, path string, schema string, "
+    "published_at timestamp_ntz"
+)
 
 
 class Published:
@@ -82,27 +86,25 @@ class Published:
         self.root = root
         self.log = f"{root}/_published"
 
-    def _versions(self) -> DataFrame:
-        schema = StructType.fromDDL(PUBLISHED)
-        return read_table(self.spark, self.log, schema)
+    def current(self, name: str) -> Row | None:
+        """TOP1: the newest entry of a table."""
+        log = read_table(self.spark, self.log, StructType.fromDDL(PUBLISHED))
+        entries = log.where(F.col("table_name") == name)
+        return entries.orderBy(F.desc("version")).limit(1).first()
 
-    def current(self, name: str) -> tuple[int, str | None]:
-        newest = (
-            self._versions()
-            .where(F.col("table_name") == name)
-            .agg(F.max("version").alias("version"), F.max_by("path", "version").alias("path"))
-            .first()
-        )
-        return (newest.version or 0, newest.path)
+    def _read(self, path: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path)
 
     def read(self, name: str) -> DataFrame | None:
-        _, path = self.current(name)
-        return self.spark.read.parquet(path) if path else None
+        entry = self.current(name)
+        return self._read(entry.path, entry.schema) if entry else None
 
-    def publish(self, df: DataFrame, name: str) -> DataFrame:
-        version = self.current(name)[0] + 1
+    def publish(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        entry = self.current(name)
+        version = entry.version + 1 if entry else 1
         path = f"{self.root}/{name}/version={version}"
-        df.write.mode("overwrite").parquet(path)
-        entry = [(name, version, path, utc_now())]
-        append(self.spark.createDataFrame(entry, PUBLISHED).coalesce(1), self.log)
-        return self.spark.read.parquet(path)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        schema = df.schema.json()
+        row = [(name, version, path, schema, utc_now())]
+        append(self.spark.createDataFrame(row, PUBLISHED).coalesce(1), self.log)
+        return self._read(path, schema)

@@ -440,8 +440,9 @@ FROM (SELECT max(ts) AS max_loaded_at,
     ),
     "source_row_numbers": _select(
         _REGISTRY,
-        f"SELECT {_text('load_date')}, count(*) AS records, CAST(2 AS BIGINT) AS first_number, "
-        "count(*) AS last_numbers, count(*) AS distinct_numbers FROM raw GROUP BY raw.load_date",
+        f"SELECT {_text('load_date')}, count(*) AS records, count(*) AS distinct_numbers, "
+        "CAST(2 AS BIGINT) AS first_number, 1 + count(*) AS last_number "
+        "FROM raw GROUP BY raw.load_date",
     ),
     "load_raw": _select(
         _REGISTRY,

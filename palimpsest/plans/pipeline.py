@@ -61,25 +61,28 @@ def record_metric(
 def refresh_dimension(wh: Warehouse, dates: list[date]) -> DataFrame:
     """Stage the given raw dates and bring the dimension up to date with them.
 
-    The first run builds everything; later ones repair impacted keys from the earliest
-    of the dates on. Staging is replaced last: if the run dies before, a retry finds the
-    old staging and repeats the same repair.
+    The first run builds everything raw holds; later ones repair impacted keys from the
+    earliest of the dates on. Staging is replaced last: if the run dies before, a retry
+    finds the old staging and repeats the same repair. Open and closed versions lie in
+    different folders, so reading the current state never scans the history.
     """
     spec = wh.spec
+    raw, dim = wh.read("raw"), wh.published.read(DIMENSION)
+    if dim is None:
+        loaded = raw.select(spec.effective).distinct().collect()
+        dates = sorted({*dates, *(r[0] for r in loaded)})
     of_dates = F.col(spec.effective).isin(dates)
-    held = wh.read("staged")
-    staged_now = materialize(wh.stage(wh.read("raw").where(of_dates)), "staged")
-    staged = held.where(~of_dates).unionByName(staged_now)
-
-    dim = wh.published.read(DIMENSION)
+    staged_now = materialize(wh.stage(raw.where(of_dates)), "staged")
     if dim is None:
-        dim = build_scd2(wh.stage(wh.read("raw")), spec)
+        dim = build_scd2(staged_now, spec)
     else:
+        held = wh.read("staged")
         impacted = materialize(
-            impacted_keys(held.where(of_dates), staged_now, dim, spec), "impacted"
+            impacted_keys(held.where(of_dates), staged_now, dim, dates, spec), "impacted"
         )
+        staged = held.where(~of_dates).unionByName(staged_now)
         dim = repair_scd2(dim, staged, impacted, min(dates), spec)
-    dim = wh.published.publish(dim, DIMENSION)
+    dim = wh.published.publish(dim, DIMENSION, ["is_current"])
 
     filled = {r[0] for r in staged_now.select(spec.effective).distinct().collect()}
     tables.replace_partitions(
@@ -100,16 +103,21 @@ def refresh_history(wh: Warehouse, run_ts: datetime) -> DataFrame:
     return wh.published.publish(merged, HISTORY)
 
 
-def refresh_marts(wh: Warehouse, dim: DataFrame, detected_at: datetime) -> None:
-    """SNK8: rebuild the marts and the late-arrival signal."""
+def refresh_marts(wh: Warehouse, dim: DataFrame) -> None:
+    """SNK8: rebuild the marts."""
     wh.published.publish(marts.address_changes(dim), "vw_address_changes")
     wh.published.publish(marts.status_history(dim), "vw_status_history")
     summary = marts.run_summary(wh.read("raw"), dim, wh.spec)
     wh.published.publish(summary, "quality_summary")
-    late = repair_keys(wh.read("staged"), wh.spec).withColumn(
-        "detected_at", F.lit(detected_at).cast("timestamp_ntz")
-    )
-    wh.published.publish(late, "scd2_repair_keys")
+
+
+def register_views(wh: Warehouse, detected_at: datetime | None = None) -> None:
+    """SNK7: staging models as views, evaluated when read."""
+    stamp = F.lit(detected_at or tables.utc_now()).cast("timestamp_ntz")
+    staged = wh.read("staged")
+    staged.createOrReplaceTempView("stg_businesses")
+    late = repair_keys(staged, wh.spec).withColumn("detected_at", stamp)
+    late.createOrReplaceTempView("scd2_repair_keys")
 
 
 def backfill(
@@ -145,8 +153,10 @@ def backfill(
     )
     dim = task("refresh_dimension", lambda: refresh_dimension(wh, dates))
     task("refresh_history", lambda: refresh_history(wh, run_ts))
-    task("refresh_marts", lambda: refresh_marts(wh, dim, run_ts))
-    raw, staged = wh.read("raw"), wh.read("staged")
+    task("refresh_marts", lambda: refresh_marts(wh, dim))
+    # Other dates were checked when they were loaded and have not changed since.
+    of_dates = F.col(wh.spec.effective).isin(dates)
+    raw, staged = (wh.read(name).where(of_dates) for name in ("raw", "staged"))
     checks = quality.registry_checks(raw, staged, dim, wh.spec)
     task("test_invariants", lambda: quality.enforce(checks))
     return RunResult(loads, wh.published.read("quality_summary"))

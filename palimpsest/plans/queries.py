@@ -18,7 +18,12 @@ from ..operators.snapshot import snapshot_merge
 from ..operators.warehouse import Warehouse
 from ..session import materialize, scratch_path
 from ..sources import files, paged
-from ..sources.csv_snapshot import inspect_files, number_records, scan_snapshots
+from ..sources.csv_snapshot import (
+    inspect_files,
+    number_records,
+    scan_snapshots,
+    split_counts,
+)
 from ..spec import REGISTRY, SnapshotSpec
 from ..streaming import catch_up
 from . import feeds, marts
@@ -200,7 +205,11 @@ def q_scd2_incremental(spark, sf):
     changed_days = day.isin(REPLACED_DAY, LATE_DAY)
     impacted = materialize(
         scd2.impacted_keys(
-            before.where(changed_days), staged.where(changed_days), dim, EVENTS
+            before.where(changed_days),
+            staged.where(changed_days),
+            dim,
+            [REPLACED_DAY, LATE_DAY],
+            EVENTS,
         ),
         "impacted",
     )
@@ -437,30 +446,30 @@ def _loaded(spark: SparkSession, sf: str) -> Warehouse:
     return wh
 
 
+def _scanned(spark: SparkSession, sf: str) -> DataFrame:
+    """The landed CSV files read back, every record with its date and number."""
+    parts = inspect_files(spark, _landed(spark, sf)[1])
+    rows = materialize(scan_snapshots(spark, parts, REGISTRY), "parsed")
+    return number_records(rows, split_counts(rows, parts, REGISTRY), REGISTRY)
+
+
 def q_csv_round_trip(spark, sf):
     """Landed CSV read back: every record, empty fields as ''."""
-    _, snapshots = _landed(spark, sf)
-    rows = scan_snapshots(spark, inspect_files(spark, snapshots), REGISTRY)
-    return as_text(rows.select(*REGISTRY.contract, "load_date"))
+    return as_text(_scanned(spark, sf).select(*REGISTRY.contract, "load_date"))
 
 
 def q_source_row_numbers(spark, sf):
-    """Per month: records and the numbers given out, gap-free from 2 in every file."""
-    _, snapshots = _landed(spark, sf)
-    parts = inspect_files(spark, snapshots)
-    rows = number_records(materialize(scan_snapshots(spark, parts, REGISTRY), "parsed"))
-    per_file = rows.groupBy("load_date", "file").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("source_row_number").alias("first"),
-        F.max("source_row_number").alias("last"),
-        F.count_distinct("source_row_number").alias("numbers"),
+    """Per month: records and the numbers given to them, gap-free from 2 on."""
+    number = F.col("source_row_number")
+    numbered = _scanned(spark, sf).groupBy("load_date", number).agg(
+        F.count(F.lit(1)).alias("n")
     )
     return as_text(
-        per_file.groupBy("load_date").agg(
+        numbered.groupBy("load_date").agg(
             F.sum("n").alias("records"),
-            F.min("first").alias("first_number"),
-            F.sum(F.col("last") - 1).alias("last_numbers"),
-            F.sum("numbers").alias("distinct_numbers"),
+            F.count(F.lit(1)).alias("distinct_numbers"),
+            F.min(number).alias("first_number"),
+            F.max(number).alias("last_number"),
         )
     )
 

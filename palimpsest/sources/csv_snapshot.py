@@ -19,8 +19,8 @@ from .files import canonical, readable
 RECORD = "_record"
 # The header is line 1, so the first record is number 2.
 FIRST_RECORD = 2
-# Up to this many file splits their offsets are broadcast (about 64 MB), else joined.
-BROADCAST_SPLITS = 1_000_000
+# Up to this many file splits their offsets are broadcast (about 40 MB), else joined.
+BROADCAST_SPLITS = 200_000
 
 
 @dataclass(frozen=True)
@@ -164,10 +164,6 @@ def scan_snapshots(
             for (header, multiline), members in groups.items()
         ],
     )
-    dates = spark.createDataFrame(
-        [(p.file, p.load_date, p.source_uri) for p in parts],
-        f"file string, {spec.effective} date, source_file_uri string",
-    )
     rejected = is_blank_key(spec.required[0])
     return (
         rows.withColumn(
@@ -175,29 +171,48 @@ def scan_snapshots(
         )
         .withColumn("raw_payload", F.when(rejected, F.col("_payload")))
         .drop("_payload")
+    )
+
+
+def split_counts(
+    rows: DataFrame, parts: Sequence[SnapshotFile], spec: SnapshotSpec
+) -> DataFrame:
+    """One row per file split of a written scan: its date, positions and counts."""
+    dates = rows.sparkSession.createDataFrame(
+        [(p.file, p.load_date, p.source_uri) for p in parts],
+        f"file string, {spec.effective} date, source_file_uri string",
+    )
+    return (
+        rows.groupBy("file", "block")
+        .agg(
+            F.min("pos").alias("first_pos"),
+            F.count_if(F.col("reject_reason").isNull()).alias("accepted"),
+            F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
+        )
         .join(dates, "file")
     )
 
 
-def number_records(rows: DataFrame) -> DataFrame:
-    """ING4: ``source_row_number``, the record's ordinal in its file from 2 on.
+def number_records(rows: DataFrame, splits: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """ING4: date, source and ``source_row_number`` of every record.
 
-    ``rows`` must be a written table (positions fixed). Within a split the position
-    counts records; the counts of a file's earlier splits are added on top, so no record
-    is shuffled to be numbered as long as the split offsets are small.
+    The number is the record's ordinal in its snapshot from 2 on, part files counted in
+    name order. ``rows`` must be a written table (positions fixed): within a split the
+    position counts records, and the counts of earlier splits are added on top, so no
+    record is shuffled to be numbered as long as the table of splits is small.
     """
-    splits = rows.groupBy("file", "block").agg(
-        F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
     earlier = (
-        Window.partitionBy("file")
-        .orderBy("block")
+        Window.partitionBy(spec.effective)
+        .orderBy("file", "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    before = F.coalesce(F.sum(F.col("accepted") + F.col("rejected")).over(earlier), F.lit(0))
     offsets = splits.select(
         "file",
         "block",
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        spec.effective,
+        "source_file_uri",
+        (before - F.col("first_pos")).alias("_shift"),
     )
     if splits.limit(BROADCAST_SPLITS + 1).count() <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
@@ -205,5 +220,5 @@ def number_records(rows: DataFrame) -> DataFrame:
     return (
         rows.join(offsets, ["file", "block"])
         .withColumn("source_row_number", number)
-        .drop("pos", "_shift")
+        .drop("pos", "block", "_shift")
     )

@@ -77,23 +77,29 @@ class ParquetPages(PagedSource):
     def name(cls) -> str:
         return "parquet_pages"
 
-    def fetch_page(self, offset: int, limit: int) -> list[dict]:
+    def _row_groups(self):
+        """(file, group, rows) in order; footers are read once per task."""
         import pyarrow.dataset as ds
-        import pyarrow.parquet as pq
 
+        if not hasattr(self, "_groups"):
+            dataset = ds.dataset(self.options["path"], format="parquet")
+            self._groups = [
+                (fragment, group.num_rows)
+                for file in sorted(dataset.get_fragments(), key=lambda f: f.path)
+                for fragment in file.split_by_row_group()
+                for group in fragment.row_groups
+            ]
+            self._held = (None, None)
+        return self._groups
+
+    def fetch_page(self, offset: int, limit: int) -> list[dict]:
         rows: list[dict] = []
-        dataset = ds.dataset(self.options["path"], format="parquet")
-        for name in sorted(dataset.files):
-            with dataset.filesystem.open_input_file(name) as handle:
-                parquet = pq.ParquetFile(handle)
-                for group in range(parquet.num_row_groups):
-                    size = parquet.metadata.row_group(group).num_rows
-                    if offset < size and len(rows) < limit:
-                        table = parquet.read_row_group(group, columns=self.columns())
-                        rows += table.slice(offset, limit - len(rows)).to_pylist()
-                    offset = max(0, offset - size)
-            if len(rows) >= limit:
-                break
+        for number, (fragment, size) in enumerate(self._row_groups()):
+            if offset < size and len(rows) < limit:
+                if self._held[0] != number:
+                    self._held = (number, fragment.to_table(columns=self.columns()))
+                rows += self._held[1].slice(offset, limit - len(rows)).to_pylist()
+            offset = max(0, offset - size)
         return rows
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -21,6 +22,7 @@ RECORD = "_record"
 FIRST_RECORD = 2
 # Up to this many file splits their offsets are broadcast (about 40 MB), else joined.
 BROADCAST_SPLITS = 200_000
+LISTING_THREADS = 16
 
 
 @dataclass(frozen=True)
@@ -64,10 +66,16 @@ def inspect_files(
     of quotes (a quoted field goes on) or nothing but blanks (the line-wise parser would
     drop that record). All other files are read in splits.
     """
+
+    def listed(uri: str) -> list[str]:
+        return [canonical(f) for f in spark.read.text(uri).inputFiles()]
+
+    with ThreadPoolExecutor(LISTING_THREADS) as pool:
+        listings = list(pool.map(listed, snapshots.values()))
     parts = {
-        canonical(file): (day, uri)
-        for day, uri in snapshots.items()
-        for file in spark.read.text(uri).inputFiles()
+        file: (day, uri)
+        for (day, uri), listing in zip(snapshots.items(), listings)
+        for file in listing
     }
     if not parts:
         return []

@@ -9,7 +9,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..functions import is_blank_key
+from ..session import local_rows, materialize
 from ..sources.csv_snapshot import (
     SnapshotFile,
     inspect_files,
@@ -71,8 +72,6 @@ def latest_drift(events: DataFrame, spec: SnapshotSpec) -> DataFrame:
 
 def split_rows(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """ING3: (accepted, rejected) by the blank-key rule."""
-    from ..functions import is_blank_key
-
     return rows.where(~is_blank_key(key)), rows.where(is_blank_key(key))
 
 
@@ -80,7 +79,8 @@ def _drift_events(
     wh: Warehouse, parts: Sequence[SnapshotFile], detected_at: datetime
 ) -> DataFrame:
     distinct = sorted({(p.load_date, p.source_uri, p.header) for p in parts})
-    headers = wh.spark.createDataFrame(
+    headers = local_rows(
+        wh.spark,
         [(day, uri, list(header), detected_at) for day, uri, header in distinct],
         f"{wh.spec.effective} date, source_file_uri string, "
         "observed_columns array<string>, detected_at timestamp_ntz",
@@ -98,7 +98,7 @@ def profile_snapshots(
     """
     parts = inspect_files(wh.spark, snapshots)
     events = _drift_events(wh, parts, detected_at or tables.utc_now())
-    tables.append(events.coalesce(1), wh.path("drift"))
+    tables.append(events, wh.path("drift"))
     missing = sorted({c for p in parts for c in set(wh.spec.required) - set(p.header)})
     if missing or not parts:
         raise ValueError(f"Required source columns are missing: {missing}")
@@ -107,7 +107,7 @@ def profile_snapshots(
 
 def _checksums(wh: Warehouse, parts: Sequence[SnapshotFile]) -> dict[date, str]:
     files = [(p.file, p.load_date) for p in parts]
-    dates = wh.spark.createDataFrame(files, "file string, load_date date")
+    dates = local_rows(wh.spark, files, "file string, load_date date")
     sums = file_checksums(wh.spark, [readable(p.file) for p in parts])
     per_date = combined_checksums(
         sums.withColumn("file", F.col("path")).join(dates, "file"), "load_date"
@@ -198,7 +198,7 @@ def _record_audit(
         )
         for day, uri in snapshots.items()
     ]
-    audit = wh.spark.createDataFrame(rows, audit_schema(wh.spec))
+    audit = local_rows(wh.spark, rows, audit_schema(wh.spec))
     tables.replace_partitions(audit, wh.path("audit"), wh.spec.effective)
 
 

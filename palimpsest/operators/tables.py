@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import local_rows
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -23,7 +25,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return local_rows(spark, [], schema)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str, emptied: Iterable = ()) -> int:
@@ -41,10 +43,8 @@ def replace_partitions(df: DataFrame, path: str, by: str, emptied: Iterable = ()
         .partitionBy(by)
         .parquet(path)
     )
-    columns = df.schema.fieldNames()
-    columns.remove(by)
+    nothing = local_rows(df.sparkSession, [], df.schema).drop(by)
     for value in emptied:
-        nothing = df.sparkSession.createDataFrame([], df.schema).select(*columns)
         nothing.write.mode("overwrite").parquet(f"{path}/{by}={value}")
     return written.get["rows"]
 
@@ -99,12 +99,18 @@ class Published:
         entry = self.current(name)
         return self._read(entry.path, entry.schema) if entry else None
 
-    def publish(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        entry = self.current(name)
-        version = entry.version + 1 if entry else 1
-        path = f"{self.root}/{name}/version={version}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        schema = df.schema.json()
-        row = [(name, version, path, schema, utc_now())]
-        append(self.spark.createDataFrame(row, PUBLISHED).coalesce(1), self.log)
-        return self._read(path, schema)
+    def publish(
+        self, frames: Mapping[str, DataFrame], partition_by: Sequence[str] = ()
+    ) -> dict[str, DataFrame]:
+        """Write all tables, then make them current together."""
+        entries, built = [], {}
+        for name, df in frames.items():
+            entry = self.current(name)
+            version = entry.version + 1 if entry else 1
+            path = f"{self.root}/{name}/version={version}"
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+            schema = df.schema.json()
+            entries.append((name, version, path, schema, utc_now()))
+            built[name] = self._read(path, schema)
+        append(local_rows(self.spark, entries, PUBLISHED), self.log)
+        return built

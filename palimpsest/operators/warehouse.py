@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import local_rows
 from ..spec import (
     METRICS_SCHEMA,
     REGISTRY,
@@ -46,9 +48,7 @@ class Warehouse:
 
     def schema(self, name: str) -> StructType:
         if name == "staged":
-            return self.stage(
-                self.spark.createDataFrame([], raw_schema(self.spec))
-            ).schema
+            return self._staged_schema
         if name == "metrics":
             return METRICS_SCHEMA
         schemas = {
@@ -59,6 +59,10 @@ class Warehouse:
         }
         return schemas[name](self.spec)
 
+    @cached_property
+    def _staged_schema(self) -> StructType:
+        return self.stage(local_rows(self.spark, [], raw_schema(self.spec))).schema
+
     def read(self, name: str) -> DataFrame:
         return tables.read_table(self.spark, self.path(name), self.schema(name))
 
@@ -80,7 +84,7 @@ class Warehouse:
             schema = self.schema(name)
             by = self.spec.effective
             split = [by] if name in PARTITIONED else []
-            empty = self.spark.createDataFrame([], schema)
+            empty = local_rows(self.spark, [], schema)
             empty.write.mode("ignore").partitionBy(*split).parquet(self.path(name))
             partition = f"PARTITIONED BY ({by})" if split else ""
             self.spark.sql(

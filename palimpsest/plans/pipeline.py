@@ -23,7 +23,7 @@ from ..operators.scd2 import (
 )
 from ..operators.snapshot import snapshot_merge
 from ..operators.warehouse import Warehouse
-from ..session import materialize
+from ..session import local_rows, materialize
 from ..spec import METRICS_SCHEMA
 from . import marts
 
@@ -39,23 +39,34 @@ class RunResult:
     summary: DataFrame
 
 
-def record_metric(
-    wh: Warehouse,
-    run: str,
-    logical_date: date,
-    task: str,
-    status: str,
-    started: float,
-    rows: int | None = None,
-    error: BaseException | None = None,
-    attempt: int = 1,
-) -> None:
-    """SNK6: one row per task of a run."""
-    seconds = Decimal(f"{time.monotonic() - started:.3f}")
-    kind = type(error).__name__ if error else None
-    row = (run, logical_date, task, attempt, status, kind, rows, seconds, tables.utc_now())
-    metric = wh.spark.createDataFrame([row], METRICS_SCHEMA)
-    tables.append(metric.coalesce(1), wh.path("metrics"))
+class TaskLog:
+    """SNK6: one metrics row per task of a run, written when the run ends."""
+
+    def __init__(self, wh: Warehouse, run: str, logical_date: date, attempt: int = 1):
+        self.wh = wh
+        self.key = (run, logical_date)
+        self.attempt = attempt
+        self.rows: list[tuple] = []
+
+    def run(self, task: str, work: Callable[[], T], count: Callable[[T], int] | None = None) -> T:
+        started, rows, error = time.monotonic(), None, None
+        try:
+            result = work()
+            rows = count(result) if count else None
+            return result
+        except Exception as failure:
+            error = type(failure).__name__
+            raise
+        finally:
+            seconds = Decimal(f"{time.monotonic() - started:.3f}")
+            status = "failed" if error else "success"
+            self.rows.append(
+                (*self.key, task, self.attempt, status, error, rows, seconds, tables.utc_now())
+            )
+
+    def write(self) -> None:
+        metrics = local_rows(self.wh.spark, self.rows, METRICS_SCHEMA)
+        tables.append(metrics, self.wh.path("metrics"))
 
 
 def refresh_dimension(wh: Warehouse, dates: list[date]) -> DataFrame:
@@ -82,7 +93,7 @@ def refresh_dimension(wh: Warehouse, dates: list[date]) -> DataFrame:
         )
         staged = held.where(~of_dates).unionByName(staged_now)
         dim = repair_scd2(dim, staged, impacted, min(dates), spec)
-    dim = wh.published.publish(dim, DIMENSION, ["is_current"])
+    dim = wh.published.publish({DIMENSION: dim}, ["is_current"])[DIMENSION]
 
     filled = {r[0] for r in staged_now.select(spec.effective).distinct().collect()}
     tables.replace_partitions(
@@ -100,15 +111,18 @@ def refresh_history(wh: Warehouse, run_ts: datetime) -> DataFrame:
     batch = latest_snapshot(wh.read("staged"), spec).drop(*spec.recency)
     target = wh.published.read(HISTORY)
     merged = snapshot_merge(target, batch, spec.key, [spec.hash], run_ts)
-    return wh.published.publish(merged, HISTORY)
+    return wh.published.publish({HISTORY: merged})[HISTORY]
 
 
 def refresh_marts(wh: Warehouse, dim: DataFrame) -> None:
     """SNK8: rebuild the marts."""
-    wh.published.publish(marts.address_changes(dim), "vw_address_changes")
-    wh.published.publish(marts.status_history(dim), "vw_status_history")
-    summary = marts.run_summary(wh.read("raw"), dim, wh.spec)
-    wh.published.publish(summary, "quality_summary")
+    wh.published.publish(
+        {
+            "vw_address_changes": marts.address_changes(dim),
+            "vw_status_history": marts.status_history(dim),
+            "quality_summary": marts.run_summary(wh.read("raw"), dim, wh.spec),
+        }
+    )
 
 
 def register_views(wh: Warehouse, detected_at: datetime | None = None) -> None:
@@ -125,6 +139,7 @@ def backfill(
     snapshots: Mapping[date, str],
     run_ts: datetime | None = None,
     run: str = "business_registry_scd2_daily",
+    attempt: int = 1,
 ) -> RunResult:
     """ING10: load any number of dates in one go, then refresh everything once.
 
@@ -133,32 +148,23 @@ def backfill(
     """
     run_ts = run_ts or tables.utc_now()
     dates = sorted(snapshots)
-    logical_date = dates[-1]
-
-    def task(name: str, work: Callable[[], T], rows: Callable[[T], int] | None = None) -> T:
-        started = time.monotonic()
-        try:
-            result = work()
-        except Exception as error:
-            record_metric(wh, run, logical_date, name, "failed", started, error=error)
-            raise
-        count = rows(result) if rows else None
-        record_metric(wh, run, logical_date, name, "success", started, rows=count)
-        return result
-
-    loads = task(
-        "load_raw_replace_partition",
-        lambda: load_snapshots(wh, snapshots, run_ts),
-        lambda reports: sum(r.row_count for r in reports),
-    )
-    dim = task("refresh_dimension", lambda: refresh_dimension(wh, dates))
-    task("refresh_history", lambda: refresh_history(wh, run_ts))
-    task("refresh_marts", lambda: refresh_marts(wh, dim))
-    # Other dates were checked when they were loaded and have not changed since.
-    of_dates = F.col(wh.spec.effective).isin(dates)
-    raw, staged = (wh.read(name).where(of_dates) for name in ("raw", "staged"))
-    checks = quality.registry_checks(raw, staged, dim, wh.spec)
-    task("test_invariants", lambda: quality.enforce(checks))
+    log = TaskLog(wh, run, dates[-1], attempt)
+    try:
+        loads = log.run(
+            "load_raw_replace_partition",
+            lambda: load_snapshots(wh, snapshots, run_ts),
+            lambda reports: sum(r.row_count for r in reports),
+        )
+        dim = log.run("refresh_dimension", lambda: refresh_dimension(wh, dates))
+        log.run("refresh_history", lambda: refresh_history(wh, run_ts))
+        log.run("refresh_marts", lambda: refresh_marts(wh, dim))
+        # Other dates were checked when they were loaded and have not changed since.
+        of_dates = F.col(wh.spec.effective).isin(dates)
+        raw, staged = (wh.read(name).where(of_dates) for name in ("raw", "staged"))
+        checks = quality.registry_checks(raw, staged, dim, wh.spec)
+        log.run("test_invariants", lambda: quality.enforce(checks))
+    finally:
+        log.write()
     return RunResult(loads, wh.published.read("quality_summary"))
 
 

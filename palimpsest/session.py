@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -33,3 +36,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_rows(
+    spark: SparkSession, rows: Sequence[tuple], schema: StructType | str
+) -> DataFrame:
+    """A few driver-side rows as a local relation, whose size the optimizer knows."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else ([] for _ in schema.names)
+    table = pa.table({n: list(c) for n, c in zip(schema.names, columns)})
+    return spark.createDataFrame(table, schema)

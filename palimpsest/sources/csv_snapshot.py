@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import is_blank_key
+from ..session import local_rows
 from ..spec import REJECT_PREFIX, SnapshotSpec
 from .files import canonical, readable
 
@@ -186,7 +187,8 @@ def split_counts(
     rows: DataFrame, parts: Sequence[SnapshotFile], spec: SnapshotSpec
 ) -> DataFrame:
     """One row per file split of a written scan: its date, positions and counts."""
-    dates = rows.sparkSession.createDataFrame(
+    dates = local_rows(
+        rows.sparkSession,
         [(p.file, p.load_date, p.source_uri) for p in parts],
         f"file string, {spec.effective} date, source_file_uri string",
     )

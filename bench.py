@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -52,8 +51,6 @@ def session() -> SparkSession:
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
     return spark
 
 

@@ -72,12 +72,14 @@ def as_of_join(facts: DataFrame, dim: DataFrame, key: str, day: Column) -> DataF
 def repair_keys(staged: DataFrame, spec: SnapshotSpec) -> DataFrame:
     """REP1: dates of a key that are older than its newest one.
 
-    The per-key maximum is a pre-aggregated groupBy joined back on the key.
+    After ``distinct`` a key's window holds one row per date; taking the maximum there
+    shuffles once where a grouped maximum joined back would shuffle twice.
     """
-    seen = staged.select(spec.key, spec.effective).distinct()
-    newest = seen.groupBy(spec.key).agg(F.max(spec.effective).alias("max_load_date"))
+    newest = F.max(spec.effective).over(Window.partitionBy(spec.key))
     return (
-        seen.join(newest, spec.key)
+        staged.select(spec.key, spec.effective)
+        .distinct()
+        .withColumn("max_load_date", newest)
         .where(F.col(spec.effective) < F.col("max_load_date"))
         .select(
             spec.key,

@@ -96,8 +96,9 @@ def refresh_dimension(wh: Warehouse, dates: list[date]) -> DataFrame:
     dim = wh.published.publish({DIMENSION: dim}, ["is_current"])[DIMENSION]
 
     filled = {r[0] for r in staged_now.select(spec.effective).distinct().collect()}
+    several = len(filled) > 1
     tables.replace_partitions(
-        tables.gathered(staged_now, spec.effective),
+        tables.gathered(staged_now, spec.effective) if several else staged_now,
         wh.path("staged"),
         spec.effective,
         [d for d in dates if d not in filled],

@@ -15,14 +15,14 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a local one only in local mode."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="palimpsest-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context = spark.sparkContext
+    shared = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if not shared:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="palimpsest-"))
+        shared = context.getCheckpointDir()
+    return shared.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

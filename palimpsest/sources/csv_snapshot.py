@@ -28,19 +28,25 @@ LISTING_THREADS = 16
 
 @dataclass(frozen=True)
 class SnapshotFile:
-    """One part file of a date's snapshot, as found by :func:`inspect_files`."""
+    """One part file of a date's snapshot, as found by :func:`inspect_files`.
+
+    ``separator`` is the line end of a file that needs the multi-line parser, else None.
+    """
 
     load_date: date
     source_uri: str
     file: str
     header: tuple[str, ...]
-    multiline: bool
+    separator: str | None
 
 
-def csv_reader(spark: SparkSession, multiline: bool = False):
-    return spark.read.options(
-        header=True, quote='"', escape='"', multiLine=multiline, encoding="UTF-8"
-    )
+def csv_reader(spark: SparkSession, separator: str | None = None):
+    """Header CSV with doubled quotes; a given line end turns on the multi-line parser.
+
+    Stating the line end keeps those inside quoted fields as they are.
+    """
+    reader = spark.read.options(header=True, quote='"', escape='"', encoding="UTF-8")
+    return reader.options(multiLine=True, lineSep=separator) if separator else reader
 
 
 def read_headers(spark: SparkSession, path: str) -> list[str]:
@@ -50,7 +56,7 @@ def read_headers(spark: SparkSession, path: str) -> list[str]:
 
 
 def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
-    return spark.read.text(files).select(
+    return spark.read.text(files, lineSep="\n").select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -82,8 +88,9 @@ def inspect_files(
         return []
     value = F.col("value")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    blank = (value != "") & (F.trim(value) == "")
-    top = F.when((F.col("block") == 0) & (value != ""), F.col("pos"))
+    content = F.rtrim(value, F.lit("\r"))
+    blank = (content != "") & (F.trim(content) == "")
+    top = F.when((F.col("block") == 0) & (content != ""), F.col("pos"))
     shapes = (
         _lines(spark, [readable(f) for f in parts])
         .groupBy("file")
@@ -97,11 +104,11 @@ def inspect_files(
     result = []
     for file, (day, uri) in sorted(parts.items()):
         shape = found.get(file)
-        line = shape.header if shape else None
-        header = tuple(next(csv.reader([line]))) if line else ()
-        result.append(
-            SnapshotFile(day, uri, file, header, bool(shape and shape.multiline))
-        )
+        line = (shape.header if shape else None) or ""
+        header = tuple(next(csv.reader([line.split("\r")[0]]), ()))
+        end = "\r\n" if line.endswith("\r") else "\n"
+        separator = end if shape and shape.multiline else None
+        result.append(SnapshotFile(day, uri, file, header, separator))
     return result
 
 
@@ -126,14 +133,14 @@ def _scan(
     spark: SparkSession,
     files: list[str],
     header: tuple[str, ...],
-    multiline: bool,
+    separator: str | None,
     spec: SnapshotSpec,
 ) -> DataFrame:
     positions = [f"c{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in positions + [RECORD]])
     # Without pruning off, selecting fewer columns would lose the wrong-length mark.
     rows = (
-        csv_reader(spark, multiline)
+        csv_reader(spark, separator)
         .options(columnNameOfCorruptRecord=RECORD, columnPruning=False, mode="PERMISSIVE")
         .schema(schema)
         .csv([readable(f) for f in files])
@@ -165,12 +172,12 @@ def scan_snapshots(
     """
     groups: dict[tuple, list[SnapshotFile]] = {}
     for part in parts:
-        groups.setdefault((part.header, part.multiline), []).append(part)
+        groups.setdefault((part.header, part.separator), []).append(part)
     rows = reduce(
         DataFrame.unionByName,
         [
-            _scan(spark, [p.file for p in members], header, multiline, spec)
-            for (header, multiline), members in groups.items()
+            _scan(spark, [p.file for p in members], header, separator, spec)
+            for (header, separator), members in groups.items()
         ],
     )
     rejected = is_blank_key(spec.required[0])

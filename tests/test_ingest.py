@@ -126,15 +126,16 @@ AWKWARD = (
 )
 
 
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
 @pytest.mark.parametrize("multiline", [False, True])
-def test_records_are_read_like_a_csv_reader_does(wh, tmp_path, multiline):
+def test_records_are_read_like_a_csv_reader_does(wh, tmp_path, multiline, newline):
     text = AWKWARD
     if multiline:
         text = text.replace("5\" pipe", "plain") + 'A-7,"two\nlines",x,"a\n\nb",c,d\n   \nA-8,,,,,\n'
     else:
         text = text.replace("5\" pipe", 'a""b')
-    path = tmp_path / "awkward.csv"
-    path.write_text(text)
+    path = tmp_path / "awk ward.csv"
+    path.write_bytes(text.replace("\n", newline).encode())
     with open(path, newline="") as f:
         records = list(enumerate(csv.DictReader(f), start=2))
     expected = {

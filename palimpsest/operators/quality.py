@@ -8,11 +8,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Fixed value: the day that stands for "no end".
 OPEN_END = "9999-12-31"
 
-# Width of the time slices that overlap candidates are joined on.
-SLICE_DAYS = 32
+# Overlap candidates are joined on slices of 2 ** SLICE_BITS days.
+SLICE_BITS = 5
 
 
 class QualityError(Exception):
@@ -90,7 +92,8 @@ def overlapping_pairs(dim: DataFrame, key: str, surrogate: str) -> DataFrame:
     Only versions that touch another one at all are paired (none in a sound dimension),
     and only within time slices: of two overlapping versions the later start lies inside
     the earlier range, so the earlier one is spread over the slices it covers and meets
-    the other in the slice of its start, once.
+    the other in the slice of its start, once. The versions to pair are written out
+    first, as both sides of the join read them.
     """
     rows = dim.select(
         key, F.col(surrogate).alias("sk"), "valid_from", "valid_to", _end().alias("end")
@@ -100,12 +103,13 @@ def overlapping_pairs(dim: DataFrame, key: str, surrogate: str) -> DataFrame:
         | (F.col("previous_end") > F.col("valid_from"))
         | (F.col("next_start") < F.col("longest_end"))
     )
-    suspects = rows.join(
-        touching.select(key, "valid_from", "last_start"), [key, "valid_from"]
+    suspects = materialize(
+        rows.join(touching.select(key, "valid_from", "last_start"), [key, "valid_from"]),
+        "suspects",
     )
 
     def slice_of(day: Column) -> Column:
-        return F.floor(F.unix_date(day) / SLICE_DAYS)
+        return F.shiftright(F.unix_date(day), SLICE_BITS)
 
     last_day = F.least(F.date_sub("end", 1), F.col("last_start"))
     spread = suspects.where(last_day >= F.col("valid_from")).select(

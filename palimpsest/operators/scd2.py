@@ -62,7 +62,9 @@ def as_of_join(facts: DataFrame, dim: DataFrame, key: str, day: Column) -> DataF
 
     An equi join with a range residual: Spark broadcasts the dimension when its size
     allows, else sort-merges, where AQE splits the facts of a hot key over many tasks
-    (a key has at most one version per date to compare with).
+    (a key has at most one version per date to compare with). AQE can do so when both
+    sides are shuffled for the join, so pass a stored dimension rather than one whose
+    build ends partitioned by the key. Columns of both sides need distinct names.
     """
     versions = dim.withColumnRenamed(key, "_dim_key")
     matches = (F.col(key) == F.col("_dim_key")) & covers(day)
@@ -154,7 +156,7 @@ def repair_scd2(
     partitions from ``from_date`` on. Loading the newest date thus reads one partition.
     """
     start = F.lit(from_date)
-    frozen = dim.where(F.col("valid_to") < start)
+    frozen = dim.where(~F.col("is_current") & (F.col("valid_to") < start))
     live = dim.where(F.col("valid_to").isNull() | (F.col("valid_to") >= start))
     kept = live.join(impacted, spec.key, "left_anti")
 

@@ -242,6 +242,7 @@ def q_as_of_join(spark, sf):
     versions = _events_dim(spark, sf).select(
         "user_id", F.col("event_type").alias("state"), "valid_from", "valid_to"
     )
+    versions = materialize(versions, "dim")
     facts = feeds.table(spark, sf, "events").select("event_id", "user_id", "ts")
     joined = scd2.as_of_join(facts, versions, "user_id", F.to_date("ts"))
     return as_text(joined.select("event_id", "user_id", "state", "valid_from"))

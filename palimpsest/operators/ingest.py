@@ -133,13 +133,18 @@ def load_snapshots(
 
     parsed = materialize(scan_snapshots(spark, parts, spec), "parsed")
     splits = materialize(split_counts(parsed, parts, spec), "splits")
-    numbered = number_records(parsed, splits, spec)
     counted = {
         r[spec.effective]: r
         for r in splits.groupBy(spec.effective)
-        .agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+        .agg(
+            F.sum("accepted").alias("accepted"),
+            F.sum("rejected").alias("rejected"),
+            F.count(F.lit(1)).alias("splits"),
+        )
         .collect()
     }
+    n_splits = sum(r.splits for r in counted.values())
+    numbered = number_records(parsed, splits, n_splits, spec)
     accepted = {d: counted[d].accepted if d in counted else 0 for d in snapshots}
     rejected = {d: counted[d].rejected if d in counted else 0 for d in snapshots}
     checksums = _checksums(wh, parts)

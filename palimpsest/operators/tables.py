@@ -86,17 +86,21 @@ class Published:
         self.root = root
         self.log = f"{root}/_published"
 
-    def current(self, name: str) -> Row | None:
-        """TOP1: the newest entry of a table."""
+    def current(self, names: Sequence[str]) -> dict[str, Row]:
+        """TOP1: the newest entry of each of these tables."""
         log = read_table(self.spark, self.log, StructType.fromDDL(PUBLISHED))
-        entries = log.where(F.col("table_name") == name)
-        return entries.orderBy(F.desc("version")).limit(1).first()
+        newest = (
+            log.where(F.col("table_name").isin(list(names)))
+            .groupBy("table_name")
+            .agg(F.max_by(F.struct("version", "path", "schema"), "version").alias("entry"))
+        )
+        return {r.table_name: r.entry for r in newest.collect()}
 
     def _read(self, path: str, schema: str) -> DataFrame:
         return self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path)
 
     def read(self, name: str) -> DataFrame | None:
-        entry = self.current(name)
+        entry = self.current([name]).get(name)
         return self._read(entry.path, entry.schema) if entry else None
 
     def publish(
@@ -104,9 +108,9 @@ class Published:
     ) -> dict[str, DataFrame]:
         """Write all tables, then make them current together."""
         entries, built = [], {}
+        held = self.current(list(frames))
         for name, df in frames.items():
-            entry = self.current(name)
-            version = entry.version + 1 if entry else 1
+            version = held[name].version + 1 if name in held else 1
             path = f"{self.root}/{name}/version={version}"
             df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
             schema = df.schema.json()

@@ -90,6 +90,7 @@ def format_summary(summary: DataFrame) -> str:
     row = summary.limit(1).first()
     if row is None or row.snapshot_date is None:
         return "No summary data found. Has the pipeline run yet?"
+    # The labels of the report.
     lines = [
         ("Snapshot date", str(row.snapshot_date)),
         ("Raw rows ingested", f"{row.raw_rows_ingested:,}"),

@@ -139,7 +139,7 @@ def backfill(
     wh: Warehouse,
     snapshots: Mapping[date, str],
     run_ts: datetime | None = None,
-    run: str = "business_registry_scd2_daily",
+    run: str = "daily_snapshot",
     attempt: int = 1,
 ) -> RunResult:
     """ING10: load any number of dates in one go, then refresh everything once.

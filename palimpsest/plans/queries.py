@@ -451,7 +451,8 @@ def _scanned(spark: SparkSession, sf: str) -> DataFrame:
     """The landed CSV files read back, every record with its date and number."""
     parts = inspect_files(spark, _landed(spark, sf)[1])
     rows = materialize(scan_snapshots(spark, parts, REGISTRY), "parsed")
-    return number_records(rows, split_counts(rows, parts, REGISTRY), REGISTRY)
+    splits = materialize(split_counts(rows, parts, REGISTRY), "splits")
+    return number_records(rows, splits, splits.count(), REGISTRY)
 
 
 def q_csv_round_trip(spark, sf):

@@ -210,7 +210,9 @@ def split_counts(
     )
 
 
-def number_records(rows: DataFrame, splits: DataFrame, spec: SnapshotSpec) -> DataFrame:
+def number_records(
+    rows: DataFrame, splits: DataFrame, n_splits: int, spec: SnapshotSpec
+) -> DataFrame:
     """ING4: date, source and ``source_row_number`` of every record.
 
     The number is the record's ordinal in its snapshot from 2 on, part files counted in
@@ -231,7 +233,7 @@ def number_records(rows: DataFrame, splits: DataFrame, spec: SnapshotSpec) -> Da
         "source_file_uri",
         (before - F.col("first_pos")).alias("_shift"),
     )
-    if splits.limit(BROADCAST_SPLITS + 1).count() <= BROADCAST_SPLITS:
+    if n_splits <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     number = F.col("pos") + F.col("_shift") + FIRST_RECORD
     return (

@@ -87,6 +87,8 @@ def file_checksums(spark: SparkSession, paths: list[str], glob: str = "*") -> Da
         "path", F.sha2("content", 256).alias("checksum")
     )
     large = files.where(F.col("length") > IN_MEMORY_BYTES).select("path")
+    if large.isEmpty():
+        return small
     return small.unionByName(
         large.mapInPandas(_stream_digests, "path string, checksum string")
     )

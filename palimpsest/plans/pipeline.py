@@ -31,6 +31,7 @@ T = TypeVar("T")
 
 DIMENSION = "dim_business"
 HISTORY = "businesses_snapshot"
+MARTS = ("vw_address_changes", "vw_status_history", "quality_summary")
 
 
 @dataclass(frozen=True)
@@ -117,22 +118,25 @@ def refresh_history(wh: Warehouse, run_ts: datetime) -> DataFrame:
 
 def refresh_marts(wh: Warehouse, dim: DataFrame) -> None:
     """SNK8: rebuild the marts."""
-    wh.published.publish(
-        {
-            "vw_address_changes": marts.address_changes(dim),
-            "vw_status_history": marts.status_history(dim),
-            "quality_summary": marts.run_summary(wh.read("raw"), dim, wh.spec),
-        }
+    built = (
+        marts.address_changes(dim),
+        marts.status_history(dim),
+        marts.run_summary(wh.read("raw"), dim, wh.spec),
     )
+    wh.published.publish(dict(zip(MARTS, built)))
 
 
 def register_views(wh: Warehouse, detected_at: datetime | None = None) -> None:
-    """SNK7: staging models as views, evaluated when read."""
+    """SNK7: staging models as views, evaluated when read, and the rebuilt tables."""
     stamp = F.lit(detected_at or tables.utc_now()).cast("timestamp_ntz")
     staged = wh.read("staged")
     staged.createOrReplaceTempView("stg_businesses")
     late = repair_keys(staged, wh.spec).withColumn("detected_at", stamp)
     late.createOrReplaceTempView("scd2_repair_keys")
+    for name in (DIMENSION, HISTORY, *MARTS):
+        built = wh.published.read(name)
+        if built is not None:
+            built.createOrReplaceTempView(name)
 
 
 def backfill(

@@ -534,9 +534,13 @@ def q_catch_up(spark, sf):
 
 def q_paged_source(spark, sf):
     columns = ["c_custkey", "c_name", "c_mktsegment"]
-    path = f"{sf}/customer.parquet"
     return paged.read_paged(
-        spark, paged.ParquetPages, columns, path=path, pageSize=1000, stripes=4
+        spark,
+        paged.ParquetPages,
+        columns,
+        path=f"{sf}/customer.parquet",
+        pageSize=10_000,
+        stripes=spark.sparkContext.defaultParallelism,
     )
 
 

@@ -48,13 +48,18 @@ def latest_file(spark: SparkSession, path: str, glob: str = "snapshot_*.csv") ->
     )
 
 
-def _open_stream(uri: str):
+def arrow_location(uri: str):
+    """(filesystem, path) for a URI in Spark's spelling, for use inside tasks."""
     from pyarrow import fs
 
-    path = readable(uri)
-    if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
-    filesystem, location = fs.FileSystem.from_uri(path)
+    path = re.sub("^s3[an]:", "s3:", readable(uri))
+    if "://" not in path:
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def _open_stream(uri: str):
+    filesystem, location = arrow_location(uri)
     return filesystem.open_input_stream(location)
 
 

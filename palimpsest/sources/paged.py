@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructField, StructType, StringType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from .files import arrow_location
 
 # Fixed value: rows asked for per page.
 PAGE_SIZE = 50_000
@@ -77,29 +81,32 @@ class ParquetPages(PagedSource):
     def name(cls) -> str:
         return "parquet_pages"
 
-    def _row_groups(self):
-        """(file, group, rows) in order; footers are read once per task."""
+    def _open(self) -> None:
+        """Row groups in file order with their offsets; footers are read once per task."""
         import pyarrow.dataset as ds
 
-        if not hasattr(self, "_groups"):
-            dataset = ds.dataset(self.options["path"], format="parquet")
-            self._groups = [
-                (fragment, group.num_rows)
-                for file in sorted(dataset.get_fragments(), key=lambda f: f.path)
-                for fragment in file.split_by_row_group()
-                for group in fragment.row_groups
-            ]
-            self._held = (None, None)
-        return self._groups
+        filesystem, location = arrow_location(self.options["path"])
+        dataset = ds.dataset(location, format="parquet", filesystem=filesystem)
+        self._groups = [
+            (fragment, fragment.row_groups[0].num_rows)
+            for file in sorted(dataset.get_fragments(), key=lambda f: f.path)
+            for fragment in file.split_by_row_group()
+        ]
+        self._ends = list(accumulate(size for _, size in self._groups))
+        self._held = (None, None)
 
     def fetch_page(self, offset: int, limit: int) -> list[dict]:
+        if not hasattr(self, "_groups"):
+            self._open()
         rows: list[dict] = []
-        for number, (fragment, size) in enumerate(self._row_groups()):
-            if offset < size and len(rows) < limit:
-                if self._held[0] != number:
-                    self._held = (number, fragment.to_table(columns=self.columns()))
-                rows += self._held[1].slice(offset, limit - len(rows)).to_pylist()
-            offset = max(0, offset - size)
+        for number in range(bisect_right(self._ends, offset), len(self._groups)):
+            if len(rows) == limit:
+                break
+            fragment, size = self._groups[number]
+            if self._held[0] != number:
+                self._held = (number, fragment.to_table(columns=self.columns()))
+            start = max(0, offset - (self._ends[number] - size))
+            rows += self._held[1].slice(start, limit - len(rows)).to_pylist()
         return rows
 
 

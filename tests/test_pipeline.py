@@ -110,6 +110,16 @@ def test_views(spark, wh, write_csv):
     rows = spark.sql("SELECT * FROM scd2_repair_keys").collect()
     assert [tuple(r) for r in rows] == [("CHAOS-001", EARLY, LATE, datetime(2099, 3, 1))]
     assert spark.table("stg_businesses").count() == 2
+    assert spark.sql("SELECT count(*) FROM dim_business WHERE is_current").first()[0] == 1
+    assert spark.table("quality_summary").first().raw_rows_ingested == 1
+
+
+@pytest.mark.parametrize("size", [1, 7, 10, 100])
+def test_pages_of_parquet_files(spark, tmp_path, size):
+    path = str(tmp_path / "rows")
+    spark.range(0, 60, 1, 3).write.option("parquet.block.row.count.limit", 8).parquet(path)
+    df = paged.read_paged(spark, paged.ParquetPages, ["id"], path=path, pageSize=size, stripes=2)
+    assert sorted(int(r.id) for r in df.collect()) == list(range(60))
 
 
 def test_catch_up_runs_only_new_files(spark, wh, write_csv, tmp_path):

@@ -219,7 +219,7 @@ def q_scd2_incremental(spark, sf):
 
 
 def q_snapshot_merge(spark, sf):
-    staged = _events_staged(spark, sf)
+    staged = materialize(_events_staged(spark, sf), "staged")
     history = None
     for day in MERGED_DAYS:
         seen = staged.where(F.col("load_date") <= F.lit(day))
@@ -278,7 +278,8 @@ def q_quality_summary(spark, sf):
 
 def q_run_summary(spark, sf):
     raw = feeds.registry_feed(spark, sf).where(~is_blank_key("license_nbr"))
-    return as_text(marts.run_summary(raw, _registry_dim(spark, sf), REGISTRY))
+    dim = materialize(_registry_dim(spark, sf), "dim")
+    return as_text(marts.run_summary(raw, dim, REGISTRY))
 
 
 # --- data quality ----------------------------------------------------------------
@@ -290,8 +291,8 @@ def q_dq_not_null(spark, sf):
 
 
 def q_dq_unique(spark, sf):
-    dim = _twice_appended(_events_dim(spark, sf))
-    return quality.duplicates(dim, ["business_sk"])
+    dim = materialize(_events_dim(spark, sf), "dim")
+    return quality.duplicates(_twice_appended(dim), ["business_sk"])
 
 
 def q_dq_one_current(spark, sf):
@@ -299,7 +300,7 @@ def q_dq_one_current(spark, sf):
 
 
 def q_dq_overlaps(spark, sf):
-    dim = _collided_dim(spark, sf)
+    dim = materialize(_collided_dim(spark, sf), "dim")
     return as_text(quality.overlapping_pairs(dim, ORDERS.key, ORDERS.surrogate))
 
 
@@ -309,8 +310,8 @@ def q_dq_overlaps_linear(spark, sf):
 
 def q_dq_suite(spark, sf):
     raw = feeds.registry_feed(spark, sf).where(~is_blank_key("license_nbr"))
-    staged = staging.stage_registry(raw, REGISTRY)
-    dim = scd2.build_scd2(staged, REGISTRY)
+    staged = materialize(staging.stage_registry(raw, REGISTRY), "staged")
+    dim = materialize(scd2.build_scd2(staged, REGISTRY), "dim")
     return quality.check_counts(quality.registry_checks(raw, staged, dim, REGISTRY))
 
 

@@ -222,8 +222,8 @@ ORACLE: dict[str, str] = {
     ),
     "reject_counts": _select(
         _REGISTRY,
-        f"SELECT {_text('load_date')}, count(*) FILTER (NOT {_BLANK}) AS row_count, "
-        f"count(*) FILTER ({_BLANK}) AS rejected_count FROM raw GROUP BY raw.load_date",
+        f"SELECT {_text('load_date')}, count(*) FILTER (WHERE NOT {_BLANK}) AS row_count, "
+        f"count(*) FILTER (WHERE {_BLANK}) AS rejected_count FROM raw GROUP BY raw.load_date",
     ),
     "stage_events": _select(
         _EVENTS,
@@ -341,7 +341,7 @@ opened AS (
         _REGISTRY,
         "SELECT * FROM ("
         + " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_rows FROM raw"
+            f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM raw"
             for c in [*_CONTRACT, "load_date", "ingested_at"]
         )
         + ") WHERE null_rows > 0",
@@ -429,7 +429,7 @@ FROM (SELECT max(ts) AS max_loaded_at,
     ),
     "drift_latest": _select(
         _PROFILES,
-        "SELECT CAST(date_trunc('month', load_date) AS DATE)::VARCHAR AS load_date, "
+        "SELECT CAST(CAST(date_trunc('month', load_date) AS DATE) AS VARCHAR) AS load_date, "
         "missing_columns, added_columns, status FROM (SELECT *, row_number() OVER "
         "(PARTITION BY date_trunc('month', load_date) ORDER BY load_date DESC) AS rn "
         "FROM profiles) WHERE rn = 1",
@@ -456,8 +456,8 @@ FROM (SELECT max(ts) AS max_loaded_at,
     ),
     "load_audit": _select(
         _REGISTRY,
-        f"SELECT {_text('load_date')}, count(*) FILTER (NOT {_BLANK}) AS row_count, "
-        f"count(*) FILTER ({_BLANK}) AS rejected_count, 'loaded' AS status, "
+        f"SELECT {_text('load_date')}, count(*) FILTER (WHERE NOT {_BLANK}) AS row_count, "
+        f"count(*) FILTER (WHERE {_BLANK}) AS rejected_count, 'loaded' AS status, "
         "'2024-02-01 06:00:00' AS loaded_at FROM raw GROUP BY raw.load_date "
         "ORDER BY load_date DESC",
     ),

@@ -22,6 +22,7 @@ from ..operators.scd2 import (
     repair_scd2,
 )
 from ..operators.snapshot import snapshot_merge
+from ..operators.staging import keyed
 from ..operators.warehouse import Warehouse
 from ..session import local_rows, materialize
 from ..spec import METRICS_SCHEMA
@@ -70,6 +71,29 @@ class TaskLog:
         tables.append(metrics, self.wh.path("metrics"))
 
 
+def _replace_staged(
+    wh: Warehouse, staged: DataFrame, dates: list[date], filled: DataFrame
+) -> None:
+    """Replace these dates of the staged table; ``filled`` names those that have rows."""
+    effective = wh.spec.effective
+    held = {r[0] for r in filled.select(effective).distinct().collect()}
+    tables.replace_partitions(
+        tables.gathered(staged, effective) if len(held) > 1 else staged,
+        wh.path("staged"),
+        effective,
+        [d for d in dates if d not in held],
+    )
+
+
+def _build_dimension(wh: Warehouse) -> DataFrame:
+    """First run: stage everything raw holds, then build from the staged table."""
+    raw = keyed(wh.read("raw"), wh.spec)
+    left_over = wh.read("staged").select(wh.spec.effective).distinct().collect()
+    _replace_staged(wh, wh.stage(raw), [r[0] for r in left_over], raw)
+    dim = build_scd2(wh.read("staged"), wh.spec)
+    return wh.published.publish({DIMENSION: dim}, ["is_current"])[DIMENSION]
+
+
 def refresh_dimension(wh: Warehouse, dates: list[date]) -> DataFrame:
     """Stage the given raw dates and bring the dimension up to date with them.
 
@@ -79,31 +103,19 @@ def refresh_dimension(wh: Warehouse, dates: list[date]) -> DataFrame:
     different folders, so reading the current state never scans the history.
     """
     spec = wh.spec
-    raw, dim = wh.read("raw"), wh.published.read(DIMENSION)
+    dim = wh.published.read(DIMENSION)
     if dim is None:
-        loaded = raw.select(spec.effective).distinct().collect()
-        dates = sorted({*dates, *(r[0] for r in loaded)})
+        return _build_dimension(wh)
     of_dates = F.col(spec.effective).isin(dates)
-    staged_now = materialize(wh.stage(raw.where(of_dates)), "staged")
-    if dim is None:
-        dim = build_scd2(staged_now, spec)
-    else:
-        held = wh.read("staged")
-        impacted = materialize(
-            impacted_keys(held.where(of_dates), staged_now, dim, dates, spec), "impacted"
-        )
-        staged = held.where(~of_dates).unionByName(staged_now)
-        dim = repair_scd2(dim, staged, impacted, min(dates), spec)
-    dim = wh.published.publish({DIMENSION: dim}, ["is_current"])[DIMENSION]
-
-    filled = {r[0] for r in staged_now.select(spec.effective).distinct().collect()}
-    several = len(filled) > 1
-    tables.replace_partitions(
-        tables.gathered(staged_now, spec.effective) if several else staged_now,
-        wh.path("staged"),
-        spec.effective,
-        [d for d in dates if d not in filled],
+    held = wh.read("staged")
+    staged_now = materialize(wh.stage(wh.read("raw").where(of_dates)), "staged")
+    impacted = materialize(
+        impacted_keys(held.where(of_dates), staged_now, dim, dates, spec), "impacted"
     )
+    staged = held.where(~of_dates).unionByName(staged_now)
+    repaired = repair_scd2(dim, staged, impacted, min(dates), spec)
+    dim = wh.published.publish({DIMENSION: repaired}, ["is_current"])[DIMENSION]
+    _replace_staged(wh, staged_now, dates, staged_now)
     return dim
 
 

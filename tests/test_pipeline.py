@@ -93,6 +93,21 @@ def test_a_run_that_dies_before_staging_is_replaced_heals_on_retry(wh, write_csv
     assert [(r.task_id, r.error_class) for r in failed] == [("refresh_dimension", "OSError")]
 
 
+def test_a_first_run_that_dies_after_staging_heals_on_retry(wh, write_csv, monkeypatch):
+    def dies(*_):
+        raise OSError("lost")
+
+    good = {LATE: write_csv("late.csv", [chaos("Broadway")])}
+    both = {EARLY: write_csv("early.csv", [chaos("Wrong")]), **good}
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline, "build_scd2", dies)
+        with pytest.raises(OSError):
+            backfill(wh, both)
+    backfill(wh, {EARLY: write_csv("none.csv", [licence("")]), **good})
+    assert ranges(wh) == [("10 BROADWAY", LATE, None, True)]
+    assert wh.read("staged").count() == 1
+
+
 def test_failed_checks_stop_the_run(wh, write_csv, monkeypatch):
     monkeypatch.setattr(
         pipeline.quality,

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import bpe, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_byte_bpe": bpe.query,
+    "op2_secret_scan": secrets.query,
     "op8_quality_classifier": quality.query,
 }
 

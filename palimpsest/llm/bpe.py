@@ -83,7 +83,7 @@ def merge_table(vocab: Vocabulary) -> tuple[list[int], int, int]:
             left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
             if left is not None and right is not None:
                 pairs[left * _SHIFT + right] = rank
-    size = 3 * len(pairs) | 1
+    size = 9 * len(pairs) // 4 | 1
     while True:
         primes = []
         while len(primes) < 2:
@@ -121,6 +121,8 @@ def fold(word: Column, vocab: Vocabulary) -> Column:
     table_ = _literal([str(p) for p in packed], "bigint")
     ranks = vocab.ranks()
     byte_ids = _literal([str(ranks[bytes([b])]) for b in range(256)], "int")
+    two = (bytes([a, b]) for a in range(256) for b in range(256))
+    byte_pairs = _literal([str(ranks.get(pair, _NO_RANK)) for pair in two], "int")
 
     def rank(left: Column, right: Column) -> Column:
         key = left.cast("bigint") * _SHIFT + right
@@ -156,18 +158,22 @@ def fold(word: Column, vocab: Vocabulary) -> Column:
         return F.when(F.array_min(state["ranks"]) == _NO_RANK, state).otherwise(merged)
 
     chars = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
-    border = F.array(F.lit(_BORDER))
-    ids = F.concat(border, F.transform(chars, lambda c: F.get(byte_ids, F.ascii(c))), border)
+    border, none = F.array(F.lit(_BORDER)), F.array(F.lit(_NO_RANK))
 
-    def start(ids: Column) -> Column:
-        pairs = F.arrays_zip(
-            F.slice(ids, F.lit(1), F.size(ids) - 1).alias("l"),
-            F.slice(ids, F.lit(2), F.size(ids) - 1).alias("r"),
+    def start(codes: Column) -> Column:
+        neighbours = F.arrays_zip(
+            F.slice(codes, F.lit(1), F.size(codes) - 1).alias("l"),
+            F.slice(codes, F.lit(2), F.size(codes) - 1).alias("r"),
+        )
+        ranks = F.transform(neighbours, lambda p: F.get(byte_pairs, p["l"] * 256 + p["r"]))
+        ids = F.transform(codes, lambda c: F.get(byte_ids, c))
+        return F.struct(
+            F.concat(border, ids, border).alias("ids"),
+            F.concat(none, ranks, none).alias("ranks"),
         )
-        ranks = F.transform(pairs, lambda p: rank(p["l"], p["r"]))
-        return F.struct(ids.alias("ids"), ranks.alias("ranks"))
 
-    started = F.get(F.transform(F.array(ids), start), F.lit(0))
+    codes = F.array(F.transform(chars, F.ascii))
+    started = F.get(F.transform(codes, start), F.lit(0))
     steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
     return F.aggregate(
         steps, started, step, lambda s: F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2)
@@ -191,7 +197,7 @@ def frequent_words(docs: DataFrame, text: str, vocab: Vocabulary, most: int) ->
     # How many words occur n times: a few rows, however large the corpus.
     sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
     taken, least = 0, None
-    for row in sizes.filter("n > 1").orderBy(F.desc("n")).limit(most).toLocalIterator():
+    for row in sizes.filter("n > 1").orderBy(F.desc("n")).limit(most).collect():
         if taken + row.words > most:
             break
         taken, least = taken + row.words, row.n
@@ -206,7 +212,8 @@ def dictionary(docs: DataFrame, text: str, vocab: Vocabulary, most: int) -> Colu
         word = piece.decode("utf-8", "ignore")
         if word.encode() == piece and not any(c in word for c in (_WORD, _IDS, _NEXT)):
             entries[word] = str(i)
-    for row in frequent_words(docs, text, vocab, most).toLocalIterator():
+    # At most ``most`` rows of bounded length.
+    for row in frequent_words(docs, text, vocab, most).collect():
         entries.setdefault(row.word, row.ids)
     buckets = [""] * BUCKETS
     for word, ids in entries.items():

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, neardup, quality, secrets
+from . import bpe, decontaminate, licenses, neardup, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": bpe.query,
     "op2_secret_scan": secrets.query,
+    "op3_license_scan": licenses.query,
     "op4_minhash_near_dedup": neardup.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op8_quality_classifier": quality.query,

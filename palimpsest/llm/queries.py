@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, neardup, quality, secrets
+from . import bpe, chat, decontaminate, licenses, neardup, quality, secrets, tokenfile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +16,9 @@ QUERIES: dict[str, Query] = {
     "op3_license_scan": licenses.query,
     "op4_minhash_near_dedup": neardup.query,
     "op5_benchmark_decontamination": decontaminate.query,
+    "op7_chat_formatting": chat.query,
     "op8_quality_classifier": quality.query,
+    "op9_token_files": tokenfile.query,
 }
 
 ORACLE: dict[str, str] = {}

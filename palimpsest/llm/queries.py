@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, licenses, neardup, quality, secrets, tokenfile
+from . import (
+    bpe,
+    chat,
+    decontaminate,
+    licenses,
+    neardup,
+    passages,
+    quality,
+    secrets,
+    tokenfile,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +26,7 @@ QUERIES: dict[str, Query] = {
     "op3_license_scan": licenses.query,
     "op4_minhash_near_dedup": neardup.query,
     "op5_benchmark_decontamination": decontaminate.query,
+    "op6_substring_dedup": passages.query,
     "op7_chat_formatting": chat.query,
     "op8_quality_classifier": quality.query,
     "op9_token_files": tokenfile.query,

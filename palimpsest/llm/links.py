@@ -1,13 +1,11 @@
-"""Linking through shared buckets, without ever building all pairs of a bucket.
+"""Linking what shares buckets, without ever emitting all pairs of a bucket.
 
-``link_buckets`` takes (bucket, node) rows and a test for pairs of nodes, and returns the
-components of the links. In the first round every bucket has one leader that is paired
-with all other members. Later rounds look only at buckets whose untested members still lie
-in more than one component: some more leaders, from the smallest components first, are
-paired with the members of other components. A bucket is done when its remaining members
-are all in one component, because then no pair in it can join anything that is apart. So
-a large group of copies costs one pair a member, a bucket of strangers is compared
-completely, and no link between components is lost.
+``stars`` pairs each bucket's leader, the node that meets the most others, with its other
+members: one pair a member, which joins most of a group of copies. ``apart`` finds the
+buckets whose members then still lie in more than one component. Their members are
+compared completely, but in ``block_pairs``: a group is dealt into blocks of bounded size,
+and each pair of blocks is one unit of work that returns a spanning forest of what it
+finds, never more rows than it has nodes.
 
 ``components`` finds connected components by alternating large-star and small-star steps.
 Each step is a pre-aggregated minimum and a join, which Spark splits for hubs.
@@ -15,15 +13,16 @@ Each step is a pre-aggregated minimum and a join, which Spark splits for hubs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_shuffles, staged
+from .common import staged
 
-FIRST_LEADERS = 4
-MORE_LEADERS = 4
+BLOCK = 512
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -61,73 +60,130 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if mark == before:
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return staged(stars.unionByName(roots), "components")
+    stars_ = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return staged(stars_.unionByName(roots), "components")
 
 
-def link_buckets(
-    members: DataFrame, test: Callable[[DataFrame], DataFrame]
+def shared(members: DataFrame) -> DataFrame:
+    """(bucket, node, n) of the buckets with n > 1 nodes; ``members`` are distinct."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return staged(members.join(sizes, "bucket"), "shared")
+
+
+def with_roots(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the root of their node's component, the node itself without one."""
+    if labels is None:
+        return rows.withColumn("root", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def stars(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Distinct (a, b) pairs of each bucket's leader a with members of other components."""
+    weights = members.groupBy("node").agg(F.sum(F.col("n") - 1).alias("weight"))
+    rows = with_roots(members.join(weights, "node"), labels)
+    leaders = rows.groupBy("bucket").agg(F.max(F.struct("weight", "node", "root")).alias("l"))
+    pairs = rows.join(leaders, "bucket").filter(F.col("root") != F.col("l.root"))
+    return staged(
+        pairs.select(F.col("l.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs"
+    )
+
+
+def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, root) of buckets of three or more that lie in several components.
+
+    A bucket of two was compared by its star.
+    """
+    rows = with_roots(members.filter("n > 2").select("bucket", "node"), labels)
+    roots = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    several = roots.filter(F.col("x") != F.col("y")).select("bucket")
+    return staged(rows.join(several, "bucket"), "apart")
+
+
+def block_pairs(
+    rows: DataFrame,
+    group: str,
+    payload: list[str],
+    links: Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray],
 ) -> DataFrame:
-    """(node, root) of the components that the tested links form.
+    """(a, b) links between the nodes of each group, found block against block.
 
-    ``members`` has distinct (bucket, node) rows; ``test`` takes (a, b) rows and returns
-    those that are links.
+    ``rows`` has (group, node, root, payload...). ``links(columns, left, right)`` gets the
+    columns of one unit and the positions of its two sides, and returns a boolean matrix
+    left x right. Pairs of one root are left out.
     """
-    spark = members.sparkSession
-    members = staged(members, "buckets")
-    leaders = (
-        members.groupBy("bucket")
-        .agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
+    blocks = F.ceil(F.col("__n") / BLOCK).cast("int")
+    dealt = (
+        rows.join(sizes, group)
+        .withColumn("__blocks", blocks)
+        .withColumn("__own", F.pmod(F.xxhash64("node"), F.col("__blocks")).cast("int"))
+        .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+        .withColumn("__i", F.least("__own", "__other"))
+        .withColumn("__j", F.greatest("__own", "__other"))
+        .drop("__n", "__blocks", "__other")
     )
-    others = members.join(leaders, "bucket").filter(F.col("node") != F.col("leader"))
-    pairs = others.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = staged(test(staged(pairs, "pairs")), "links")
-    labels = components(links)
-    rest = staged(others.filter("n > 2").select("bucket", "node"), "untested")
-    count = FIRST_LEADERS
-    while True:
-        drop_shuffles(spark)
-        labelled = rest.join(labels, "node", "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("root")
-        )
-        parts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
-        apart = (
-            parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-        )
-        rest = staged(
-            labelled.join(parts, ["bucket", "root"]).join(apart.select("bucket"), "bucket"),
-            "apart",
-        )
-        if rest.isEmpty():
-            return labels
-        order = Window.partitionBy("bucket").orderBy("size", "root", "node")
-        ranked = rest.select("bucket", "node", "root", "size").withColumn(
-            "place", F.row_number().over(order)
-        )
-        chosen = staged(
-            ranked.filter(F.col("place") <= count).select(
-                "bucket",
-                F.col("node").alias("leader"),
-                F.col("root").alias("leader_root"),
-            ),
-            "leaders",
-        )
-        pairs = (
-            rest.join(chosen, "bucket")
-            .filter(F.col("root") != F.col("leader_root"))
-            .select(
-                F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
-            )
-            .distinct()
-        )
-        new = staged(test(staged(pairs, "pairs")), "links")
-        links = links.unionByName(new)
-        done = chosen.select("bucket", F.col("leader").alias("node"))
-        rest = staged(
-            rest.select("bucket", "node").join(done, ["bucket", "node"], "left_anti"),
-            "untested",
-        )
-        if not new.isEmpty():
-            labels = components(links)
-        count *= MORE_LEADERS
+    keys = [group, "__i", "__j"]
+
+    def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for unit in _units(frames, keys):
+            # Rows of one root and one block alone have nothing to compare.
+            if unit["root"].nunique() < 2:
+                continue
+            own = unit["__own"].to_numpy()
+            left = np.flatnonzero(own == unit["__i"].iloc[0])
+            right = np.flatnonzero(own == unit["__j"].iloc[0])
+            if not len(left) or not len(right):
+                continue
+            columns = {c: unit[c].to_numpy() for c in payload}
+            roots = pd.factorize(unit["root"])[0]
+            found = links(columns, left, right)
+            found &= roots[left][:, None] != roots[right][None, :]
+            edges = _forest(found, left, right, len(unit))
+            if edges:
+                nodes = unit["node"].to_numpy()
+                a, b = np.array(edges).T
+                yield pd.DataFrame({"a": nodes[a], "b": nodes[b]})
+
+    kind = rows.schema["node"].dataType.simpleString()
+    ordered = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    return ordered.mapInPandas(compared, f"a {kind}, b {kind}")
+
+
+def _units(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The frames' rows by key; rows of a key stand together."""
+    held: list[pd.DataFrame] = []
+    last = None
+    for frame in frames:
+        if not len(frame):
+            continue
+        codes = frame.groupby(keys, sort=False).ngroup().to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1, [len(frame)]])
+        for start, end in zip(cuts, cuts[1:]):
+            key = tuple(frame[k].iloc[start] for k in keys)
+            if held and key != last:
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            held.append(frame.iloc[start:end])
+            last = key
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]
+
+
+def _forest(found: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> list[tuple]:
+    """Edges of a spanning forest of the links between positions below n."""
+    linked = np.zeros((n, n), bool)
+    linked[np.ix_(left, right)] = found
+    linked |= linked.T
+    edges, new = [], linked.any(axis=1)
+    for start in range(n):
+        if not new[start]:
+            continue
+        new[start] = False
+        front = [start]
+        while front:
+            at = front.pop()
+            for other in np.flatnonzero(linked[at] & new).tolist():
+                new[other] = False
+                edges.append((at, other))
+                front.append(other)
+    return edges

@@ -8,11 +8,14 @@ Jaccard similarity.
 
 1. ``sketch`` adds registers, set size and a 128-bit key of the whole set to each row.
    Equal sets are one node from then on, so thousands of exact copies are one row.
-2. Bands of register values are buckets; ``link_buckets`` pairs nodes that share one.
+2. Bands of register values are buckets, first wide bands, then narrow ones. Each bucket's
+   leader is paired with its members (``links.stars``).
 3. A pair whose sizes rule the threshold out goes. The counts of registers that are
    greater, less and equal give the joint likelihood of the similarity; pairs for which
-   the threshold is hopeless against the best estimate go (error below 1e-8).
+   the threshold is hopeless against the best estimate go (error below 1e-5).
 4. The sets of the remaining pairs are built from the whole texts and compared exactly.
+5. Buckets whose members still lie apart are compared completely: registers block against
+   block leave families of plausible pairs, whose sets are compared block against block.
 
 With 28 bands of 4 registers a pair of similarity 0.8 shares no band with probability
 4e-7, and less above.
@@ -29,19 +32,19 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop_shuffles, staged, table, whole
-from .links import link_buckets
+from .links import apart, block_pairs, components, shared, stars, with_roots
 
 WORDS = 5
 PERCENT = 80
 
 REGISTERS = 112
-BAND = 4
+BANDS = (8, 4)  # registers a band, wide bands first
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
-HOPELESS = 16.0  # log-likelihood that the threshold may lie below the best estimate
+HOPELESS = 10.0  # log-likelihood that the threshold may lie below the best estimate
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -169,6 +172,74 @@ def _exact(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
     return both.filter(similar("a", "t_a", "t_b")).select("a", "b")
 
 
+def _bands(nodes: DataFrame, width: int) -> DataFrame:
+    """(bucket, node) of every band of ``width`` registers."""
+
+    def band(i: int) -> Column:
+        values = F.substring(F.col("registers"), 1 + i * 2 * width, 2 * width)
+        return F.xxhash64(F.lit(width), F.lit(i), values)
+
+    buckets = F.array(*[band(i) for i in range(REGISTERS // width)])
+    return nodes.select(F.explode(buckets).alias("bucket"), "node")
+
+
+def _plausible(percent: int):
+    """Of one block against another, the pairs that sizes and registers allow."""
+
+    def plausible(columns: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        regs = _stacked(columns["registers"])
+        n = columns["n"].astype(float)
+        a, b = n[left][:, None], n[right][None, :]
+        found = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+        for row, i in enumerate(left):
+            at = np.flatnonzero(found[row])
+            if len(at):
+                j = right[at]
+                mine = np.broadcast_to(regs[i], (len(at), REGISTERS))
+                found[row, at] = ~hopeless(
+                    mine, regs[j], np.full(len(at), n[i]), n[j], percent / 100
+                )
+        return found
+
+    return plausible
+
+
+def _similar(words: int, percent: int):
+    """Of one block against another, the pairs whose whole sets meet the threshold."""
+
+    def similar(columns: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        sets = [shingles(t, words) for t in columns["text"]]
+        n = np.array([len(s) for s in sets])
+        common = common_counts([sets[i] for i in left], [sets[i] for i in right])
+        return 100 * common >= percent * (n[left][:, None] + n[right][None, :] - common)
+
+    return similar
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sets, as a product of 0/1 matrices in slices."""
+    kept = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float32)
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        values = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(kept, values), max(len(kept) - 1, 0))
+        there = kept[at] == values if len(kept) else np.zeros(len(values), bool)
+        return owner[there], at[there]
+
+    (l_owner, l_at), (r_owner, r_at) = places(left), places(right)
+    for start in range(0, len(kept), 4096):
+        x = np.zeros((len(left), 4096), np.float32)
+        y = np.zeros((len(right), 4096), np.float32)
+        l_in = (l_at >= start) & (l_at < start + 4096)
+        r_in = (r_at >= start) & (r_at < start + 4096)
+        x[l_owner[l_in], l_at[l_in] - start] = 1
+        y[r_owner[r_in], r_at[r_in] - start] = 1
+        out += x @ y.T
+    return out.astype(np.int64)
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -199,24 +270,32 @@ def near_duplicates(
         .select("node", "s.*"),
         "nodes",
     )
-    band = lambda i: F.xxhash64(
-        F.lit(i), F.substring(F.col("registers"), 1 + i * 2 * BAND, 2 * BAND)
-    )
-    bands = F.explode(F.array(*[band(i) for i in range(REGISTERS // BAND)]))
-    members = nodes.select(bands.alias("bucket"), "node")
 
-    def test(pairs: DataFrame) -> DataFrame:
-        likely = staged(_likely(pairs, nodes, percent), "likely")
-        asked = likely.select(F.col("a").alias("node")).unionByName(
-            likely.select(F.col("b").alias("node"))
-        )
-        wanted = nodes.select("node", "row").join(asked.distinct(), "node", "left_semi")
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """(node, text) of some nodes."""
+        places = nodes.select("node", "row").join(wanted.distinct(), "node", "left_semi")
         texts = rows.select(F.col("__nd_row").alias("row"), F.col(text).alias("text"))
-        texts = staged(texts.join(wanted, "row").select("node", "text"), "texts")
+        found = staged(texts.join(places, "row").select("node", "text"), "texts")
         drop_shuffles(spark)
-        return _exact(likely, texts, words, percent)
+        return found
 
-    labels = link_buckets(members, test)
+    links = labels = None
+    for width in BANDS:
+        members = shared(_bands(nodes, width))
+        likely = staged(_likely(stars(members, labels), nodes, percent), "likely")
+        asked = likely.select(F.col("a").alias("node")).unionByName(
+            likely.select(F.col("b").alias("node"))
+        )
+        new = staged(_exact(likely, texts_of(asked), words, percent), "links")
+        links = new if links is None else links.unionByName(new)
+        labels = components(links)
+    rest = apart(members, labels).join(nodes.select("node", "n", "registers"), "node")
+    plausible = block_pairs(rest, "bucket", ["n", "registers"], _plausible(percent))
+    families = components(staged(plausible, "plausible")).withColumnRenamed("root", "family")
+    drop_shuffles(spark)
+    compared = with_roots(families.join(texts_of(families.select("node")), "node"), labels)
+    new = block_pairs(compared, "family", ["text"], _similar(words, percent))
+    labels = components(links.unionByName(staged(new, "links")))
     rooted = flat.join(labels, "node", "left").select(
         "id", "row", F.coalesce("root", "node").alias("root")
     )

@@ -1,7 +1,8 @@
 """Operator 9: token ids in binary files, small numbers for frequent ids.
 
-1. ``encode`` gives each document its ids. Texts are cut at spaces and line feeds, which
-   the tokenizer drops and never crosses, so equal chunks are encoded once per worker.
+1. ``encode`` gives each document its ids. Texts of Latin letters, digits and ASCII signs
+   are lower-cased and cut into words as the tokenizer's own rules do, so that each
+   distinct word of a worker's texts is encoded once; other texts are encoded whole.
 2. Ids are counted over all documents; the most frequent one gets rank 0.
 3. Documents are range-partitioned and sorted by id, and cut into shards of bounded size.
    A shard is one file: a header, per document its id and number of tokens, one control
@@ -22,7 +23,9 @@ are not looked at.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -33,81 +36,125 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from ..session import scratch_path
 from .common import drop_shuffles, staged, table, whole
 
 END = 1
-SHARD_TOKENS = 1 << 22
-SLICE_CHARS = 2_000_000
-CACHED_CHUNKS = 500_000
+SHARD_TOKENS = 1 << 20
+SLICE_CHARS = 4_000_000
+CACHED_WORDS = 600_000
 _MAGIC = b"PTOK1"
 _HEAD = struct.Struct("<5sqqq")  # magic, documents, tokens, bytes of ranks
-_STOP = "\x00"  # stands between chunks that are encoded together
+_STOP = "\x00"  # stands between words that are encoded together
+_TOGETHER = 50
+
+# The tokenizer file's rules for texts of these characters alone. Such texts
+# are in normal form C, and lower() changes each of their letters by itself.
+_PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 # How many bytes each of the four numbers behind a control byte has.
-_LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)])
+_LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
+
+
+class Words:
+    """A worker's tokenizer and the ids of words it has seen."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        kinds = [n.get("type") for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        cuts = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        same = kinds == ["NFC", "Replace", "Lowercase"] and cuts[0].get("pattern") == {"Regex": _SPLIT}
+        self.special = [t["content"] for t in rules["added_tokens"]]
+        # The same model without the rules that were already applied to a word.
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        stop = self.words.encode(_STOP, add_special_tokens=False).ids
+        self.stop = stop[0] if same and len(stop) == 1 else None
+        self.known: dict[str, bytes] = {}
+
+    def plain(self, text: str) -> bool:
+        """Whether the text may be cut into words here."""
+        if self.stop is None or not _PLAIN.fullmatch(text):
+            return False
+        return not any(token in text for token in self.special)
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, as bytes."""
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        texts = [f" {_STOP} ".join(new[i : i + _TOGETHER]) for i in range(0, len(new), _TOGETHER)]
+        found = self.words.encode_batch_fast(texts, add_special_tokens=False)
+        for i, encoding in enumerate(found):
+            ids = np.array(encoding.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.stop)
+            raw, starts = ids.tobytes(), [0, *(4 * cuts + 4).tolist()]
+            ends = [*(4 * cuts).tolist(), len(raw)]
+            at = i * _TOGETHER
+            for word, a, b in zip(new[at : at + _TOGETHER], starts, ends, strict=True):
+                self.known[word] = raw[a:b]
+        return [self.known[w] for w in words]
+
+    def encode_plain(self, texts: list[str], end: int) -> list[np.ndarray]:
+        """Ids of plain texts, each with the end id."""
+        pieces = [_PIECE.findall(t.lower()) for t in texts]
+        ends = np.cumsum([len(p) for p in pieces])
+        codes, distinct = pd.factorize(np.array([w for p in pieces for w in p], dtype=object))
+        ids = [*self.ids(distinct.tolist()), np.array([end], "<u4").tobytes()]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        codes = np.insert(codes, ends, len(ids) - 1)  # the end id after each text
+        n = sizes[codes]
+        stops = np.cumsum(n)
+        places = np.repeat(starts[codes] - (stops - n), n) + np.arange(stops[-1])
+        return np.split(flat[places], stops[ends + np.arange(len(ends))][:-1])
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[Tokenizer, int, dict[str, bytes]]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    stop = tokenizer.encode(_STOP, add_special_tokens=False).ids
-    return tokenizer, stop[0] if len(stop) == 1 else -1, {"": b""}
-
-
-def _learn(chunks: set[str], path: str) -> None:
-    """Adds the ids of new chunks to the worker's cache."""
-    tokenizer, stop, cache = _tokenizer(path)
-    if len(cache) > CACHED_CHUNKS:
-        cache.clear()
-        cache[""] = b""
-    new = [c for c in chunks if c not in cache]
-    together = [c for c in new if _STOP not in c] if stop >= 0 else []
-    if together:
-        joined = f" {_STOP} ".join(together)
-        ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(ids == stop)
-        starts = np.concatenate([[0], cuts + 1]).tolist()
-        ends = np.concatenate([cuts, [len(ids)]]).tolist()
-        for chunk, a, b in zip(together, starts, ends, strict=True):
-            cache[chunk] = ids[a:b].tobytes()
-    for chunk in new:
-        if chunk not in cache:
-            ids = tokenizer.encode(chunk, add_special_tokens=False).ids
-            cache[chunk] = np.array(ids, "<u4").tobytes()
-
-
-def token_bytes(texts: list[str], path: str, end: int = END) -> list[bytes]:
-    """The ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-    cache = _tokenizer(path)[2]
-    last = np.array([end], "<u4").tobytes()
-    out: list[bytes] = []
-    start = 0
-    while start < len(texts):
-        cut: list[list[str]] = []
-        chars = 0
-        while start + len(cut) < len(texts) and chars < SLICE_CHARS:
-            text = texts[start + len(cut)]
+def _words(path: str) -> Words:
+    return Words(path)
+
+
+def token_ids(texts: list[str], path: str, end: int = END) -> list[np.ndarray]:
+    """The ids of each text and the end id."""
+    tokenizer = _words(path)
+    out: list[np.ndarray | None] = [None] * len(texts)
+    held: list[int] = []
+    chars = 0
+    for at, text in enumerate(texts):
+        if tokenizer.plain(text):
+            held.append(at)
             chars += len(text)
-            cut.append(text.replace("\n", " ").split(" "))
-        _learn({c for chunks in cut for c in chunks}, path)
-        for chunks in cut:
-            out.append(b"".join(map(cache.__getitem__, chunks)) + last)
-        start += len(cut)
+        else:
+            ids = tokenizer.whole.encode(text, add_special_tokens=False).ids
+            out[at] = np.array([*ids, end], "<u4")
+        if held and (chars >= SLICE_CHARS or at == len(texts) - 1):
+            for i, ids in zip(held, tokenizer.encode_plain([texts[i] for i in held], end)):
+                out[i] = ids
+            held, chars = [], 0
     return out
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, row, ids): ids compact, two bytes each where the vocabulary allows."""
-    kind = "<u2" if _tokenizer(path)[0].get_vocab_size() <= 1 << 16 else "<u4"
+    kind = "<u2" if _words(path).whole.get_vocab_size() <= 1 << 16 else "<u4"
 
     @F.pandas_udf("binary")
     def encoded(texts: pd.Series) -> pd.Series:
-        all_ = token_bytes(texts.tolist(), path)
-        return pd.Series([np.frombuffer(b, "<u4").astype(kind).tobytes() for b in all_])
+        return pd.Series([ids.astype(kind).tobytes() for ids in token_ids(texts.tolist(), path)])
 
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
@@ -142,21 +189,22 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     padded = np.zeros(-(-len(ranks) // 4) * 4, "<u4")
     padded[: len(ranks)] = ranks
     sizes = 1 + (padded >= 1 << 8).astype(np.uint8) + (padded >= 1 << 16) + (padded >= 1 << 24)
-    codes = (sizes - 1).reshape(-1, 4) << np.array([0, 2, 4, 6])
-    kept = np.arange(4)[None, :] < sizes[:, None]
-    return codes.sum(axis=1).astype(np.uint8).tobytes(), padded.view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    codes = (sizes - 1).reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)
+    widest = int(sizes.max(initial=1))
+    kept = np.arange(widest, dtype=np.uint8)[None, :] < sizes[:, None]
+    data = padded.view(np.uint8).reshape(-1, 4)[:, :widest][kept]
+    return np.bitwise_or.reduce(codes, axis=1).astype(np.uint8).tobytes(), data.tobytes()
 
 
 def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     """The n numbers behind the control bytes."""
-    sizes = _LENGTHS[control].ravel()
-    starts = np.cumsum(sizes) - sizes
-    data = np.concatenate([data, np.zeros(4, np.uint8)])
-    out = np.zeros(len(sizes), np.uint32)
-    for i in range(4):
-        there = sizes > i
+    sizes = _LENGTHS[control].ravel()[:n]
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
+    out = data[starts].astype(np.uint32) if n else np.zeros(0, np.uint32)
+    for i in range(1, int(sizes.max(initial=1))):
+        there = np.flatnonzero(sizes > i)
         out[there] |= data[starts[there] + i].astype(np.uint32) << np.uint32(8 * i)
-    return out[:n]
+    return out
 
 
 def _shard(rows: list[tuple[int, bool, np.ndarray]], rank_of: np.ndarray) -> bytes:

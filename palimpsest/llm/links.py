@@ -99,17 +99,16 @@ def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(rows.join(several, "bucket"), "apart")
 
 
-def block_pairs(
+def in_blocks(
     rows: DataFrame,
     group: str,
-    payload: list[str],
-    links: Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray],
+    work: Callable[[pd.DataFrame, np.ndarray, np.ndarray], pd.DataFrame | None],
+    schema: str,
 ) -> DataFrame:
-    """(a, b) links between the nodes of each group, found block against block.
+    """What ``work`` returns for each pair of blocks of each group.
 
-    ``rows`` has (group, node, root, payload...). ``links(columns, left, right)`` gets the
-    columns of one unit and the positions of its two sides, and returns a boolean matrix
-    left x right. Pairs of one root are left out.
+    ``work(rows, left, right)`` gets the rows of both blocks and the positions of each;
+    they are the same positions where a block meets itself.
     """
     sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
     blocks = F.ceil(F.col("__n") / BLOCK).cast("int")
@@ -124,29 +123,43 @@ def block_pairs(
     )
     keys = [group, "__i", "__j"]
 
-    def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def worked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for unit in _units(frames, keys):
-            # Rows of one root and one block alone have nothing to compare.
-            if unit["root"].nunique() < 2:
-                continue
             own = unit["__own"].to_numpy()
             left = np.flatnonzero(own == unit["__i"].iloc[0])
             right = np.flatnonzero(own == unit["__j"].iloc[0])
-            if not len(left) or not len(right):
-                continue
-            columns = {c: unit[c].to_numpy() for c in payload}
-            roots = pd.factorize(unit["root"])[0]
-            found = links(columns, left, right)
-            found &= roots[left][:, None] != roots[right][None, :]
-            edges = _forest(found, left, right, len(unit))
-            if edges:
-                nodes = unit["node"].to_numpy()
-                a, b = np.array(edges).T
-                yield pd.DataFrame({"a": nodes[a], "b": nodes[b]})
+            if len(unit) > 1 and len(left) and len(right):
+                out = work(unit, left, right)
+                if out is not None:
+                    yield out
 
-    kind = rows.schema["node"].dataType.simpleString()
     ordered = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    return ordered.mapInPandas(compared, f"a {kind}, b {kind}")
+    return ordered.mapInPandas(worked, schema)
+
+
+def block_pairs(
+    rows: DataFrame,
+    group: str,
+    payload: list[str],
+    links: Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray],
+) -> DataFrame:
+    """(a, b) links between the nodes of each group, found block against block.
+
+    ``rows`` has (group, node, root, payload...). ``links(columns, left, right)`` gets the
+    columns of one unit and the positions of its two sides, and returns a boolean matrix
+    left x right. Pairs of one root are left out.
+    """
+
+    def compared(unit: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> pd.DataFrame | None:
+        roots = pd.factorize(unit["root"])[0]
+        if not roots.any():
+            return None
+        found = links({c: unit[c].to_numpy() for c in payload}, left, right)
+        found &= roots[left][:, None] != roots[right][None, :]
+        return forest(found, left, right, unit["node"].to_numpy())
+
+    kind = rows.schema["node"].dataType.simpleString()
+    return in_blocks(rows, group, compared, f"a {kind}, b {kind}")
 
 
 def _units(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -169,8 +182,11 @@ def _units(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataF
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
-def _forest(found: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> list[tuple]:
-    """Edges of a spanning forest of the links between positions below n."""
+def forest(
+    found: np.ndarray, left: np.ndarray, right: np.ndarray, nodes: np.ndarray
+) -> pd.DataFrame | None:
+    """Edges (a, b) of a spanning forest of the links found between two sides."""
+    n = len(nodes)
     linked = np.zeros((n, n), bool)
     linked[np.ix_(left, right)] = found
     linked |= linked.T
@@ -186,4 +202,7 @@ def _forest(found: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> l
                 new[other] = False
                 edges.append((at, other))
                 front.append(other)
-    return edges
+    if not edges:
+        return None
+    a, b = np.array(edges).T
+    return pd.DataFrame({"a": nodes[a], "b": nodes[b]})

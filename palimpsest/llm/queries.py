@@ -16,6 +16,7 @@ from . import (
     quality,
     secrets,
     tokenfile,
+    vectors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {
     "op7_chat_formatting": chat.query,
     "op8_quality_classifier": quality.query,
     "op9_token_files": tokenfile.query,
+    "op10_embedding_near_dedup": vectors.query,
 }
 
 ORACLE: dict[str, str] = {}

@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -25,17 +25,18 @@ from .common import staged
 BLOCK = 512
 
 
-def _mark(edges: DataFrame) -> tuple:
-    seal = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")))
-    return tuple(seal.first())
+def _sealed(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """Distinct (u, v) rows, written, and a seal that equal sets of rows share."""
+    seen = Observation()
+    rows = F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("u", "v")).alias("bits")
+    written = staged(edges.distinct().observe(seen, *rows), name)
+    return written, (seen.get["rows"], seen.get["bits"])
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every node that has a link; root is the least node it reaches."""
-    u, v = F.greatest(a, b), F.least(a, b)
-    edges = links.filter(F.col(a) != F.col(b)).select(u.alias("u"), v.alias("v")).distinct()
-    edges = staged(edges, "edges")
-    mark = _mark(edges)
+    u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
+    edges, seal = _sealed(links.filter(F.col(a) != F.col(b)).select(u, v), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -44,24 +45,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             both.join(least, "u")
             .filter(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct()
         )
-        large = staged(large, "large-star")
+        large, after = _sealed(large, "large-star")
+        if after == seal:  # stars already
+            break
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(least, "u")
             .filter(F.col("v") != F.col("m"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
-        edges = staged(
-            small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "small-star"
-        )
-        before, mark = mark, _mark(edges)
-        if mark == before:
-            break
+        small = small.unionByName(least.withColumnRenamed("m", "v"))
+        edges, seal = _sealed(small, "small-star")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    stars_ = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return staged(stars_.unionByName(roots), "components")
+    leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return staged(leaves.unionByName(roots), "components")
 
 
 def shared(members: DataFrame) -> DataFrame:
@@ -70,19 +68,17 @@ def shared(members: DataFrame) -> DataFrame:
     return staged(members.join(sizes, "bucket"), "shared")
 
 
-def with_roots(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+def with_roots(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``rows`` with the root of their node's component, the node itself without one."""
-    if labels is None:
-        return rows.withColumn("root", F.col("node"))
     return rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def stars(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Distinct (a, b) pairs of each bucket's leader a with members of other components."""
+def stars(members: DataFrame) -> DataFrame:
+    """Distinct (a, b) pairs of each bucket's leader a with the other members."""
     weights = members.groupBy("node").agg(F.sum(F.col("n") - 1).alias("weight"))
-    rows = with_roots(members.join(weights, "node"), labels)
-    leaders = rows.groupBy("bucket").agg(F.max(F.struct("weight", "node", "root")).alias("l"))
-    pairs = rows.join(leaders, "bucket").filter(F.col("root") != F.col("l.root"))
+    rows = members.join(weights, "node").select("bucket", "node", "weight")
+    leaders = rows.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("l"))
+    pairs = rows.join(leaders, "bucket").filter(F.col("node") != F.col("l.node"))
     return staged(
         pairs.select(F.col("l.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs"
     )

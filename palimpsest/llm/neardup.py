@@ -8,7 +8,7 @@ Jaccard similarity.
 
 1. ``sketch`` adds registers, set size and a 128-bit key of the whole set to each row.
    Equal sets are one node from then on, so thousands of exact copies are one row.
-2. Bands of register values are buckets, first wide bands, then narrow ones. Each bucket's
+2. Bands of register values are buckets, wide bands as well as narrow ones. Each bucket's
    leader is paired with its members (``links.stars``).
 3. A pair whose sizes rule the threshold out goes. The counts of registers that are
    greater, less and equal give the joint likelihood of the similarity; pairs for which
@@ -42,7 +42,7 @@ WORDS = 5
 PERCENT = 80
 
 REGISTERS = 112
-BANDS = (8, 4)  # registers a band, wide bands first
+BANDS = ((8, 14), (4, 28))  # registers a band, bands
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 HOPELESS = 10.0  # log-likelihood that the threshold may lie below the best estimate
 
@@ -72,11 +72,11 @@ def shingles(text: str, words: int) -> np.ndarray:
     return np.unique(mixed)
 
 
-def registers(hashes: np.ndarray) -> np.ndarray:
+def registers(hashes: np.ndarray, size: int = REGISTERS) -> np.ndarray:
     """SetSketch registers of a set; the greatest uniform draw has the least exponential."""
-    greatest = np.zeros(REGISTERS, np.uint64)
+    greatest = np.zeros(size, np.uint64)
     for start in range(0, len(hashes), 1024):
-        draws = hashes[start : start + 1024, None] * _FACTORS
+        draws = hashes[start : start + 1024, None] * _FACTORS[:size]
         draws ^= draws >> np.uint64(32)
         draws *= _MIX
         np.maximum(greatest, draws.max(axis=0), out=greatest)
@@ -110,7 +110,7 @@ def hopeless(
     return (estimate < threshold) & (values.max(axis=1) - needed > HOPELESS)
 
 
-def sketch(docs: DataFrame, text: str, words: int, into: str) -> DataFrame:
+def sketch(docs: DataFrame, text: str, words: int, size: int, into: str) -> DataFrame:
     """``docs`` with the struct of n_shingles, node and registers of ``text``."""
 
     @F.pandas_udf(SKETCH)
@@ -119,7 +119,7 @@ def sketch(docs: DataFrame, text: str, words: int, into: str) -> DataFrame:
         for value in texts:
             found = shingles(value, words)
             key = xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
-            regs = registers(found).tobytes() if len(found) else None
+            regs = registers(found, size).tobytes() if len(found) else None
             rows.append((len(found), key, regs))
         return pd.DataFrame(rows, columns=["n_shingles", "node", "registers"])
 
@@ -128,7 +128,7 @@ def sketch(docs: DataFrame, text: str, words: int, into: str) -> DataFrame:
 
 def _stacked(values: pd.Series) -> np.ndarray:
     raw = np.frombuffer(b"".join(values), np.uint16)
-    return raw.reshape(len(values), REGISTERS)
+    return raw.reshape(len(values), -1)
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -172,15 +172,15 @@ def _exact(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
     return both.filter(similar("a", "t_a", "t_b")).select("a", "b")
 
 
-def _bands(nodes: DataFrame, width: int) -> DataFrame:
-    """(bucket, node) of every band of ``width`` registers."""
+def _bands(nodes: DataFrame, bands: tuple[tuple[int, int], ...]) -> DataFrame:
+    """(bucket, node) of every band of each width."""
 
-    def band(i: int) -> Column:
+    def band(width: int, i: int) -> Column:
         values = F.substring(F.col("registers"), 1 + i * 2 * width, 2 * width)
         return F.xxhash64(F.lit(width), F.lit(i), values)
 
-    buckets = F.array(*[band(i) for i in range(REGISTERS // width)])
-    return nodes.select(F.explode(buckets).alias("bucket"), "node")
+    buckets = [band(width, i) for width, count in bands for i in range(count)]
+    return nodes.select(F.explode(F.array(*buckets)).alias("bucket"), "node")
 
 
 def _plausible(percent: int):
@@ -195,7 +195,7 @@ def _plausible(percent: int):
             at = np.flatnonzero(found[row])
             if len(at):
                 j = right[at]
-                mine = np.broadcast_to(regs[i], (len(at), REGISTERS))
+                mine = np.broadcast_to(regs[i], (len(at), regs.shape[1]))
                 found[row, at] = ~hopeless(
                     mine, regs[j], np.full(len(at), n[i]), n[j], percent / 100
                 )
@@ -246,6 +246,8 @@ def near_duplicates(
     text: str = "text",
     words: int = WORDS,
     percent: int = PERCENT,
+    size: int = REGISTERS,
+    bands: tuple[tuple[int, int], ...] = BANDS,
 ) -> DataFrame:
     """``docs`` with n_shingles, component_id, kept and first.
 
@@ -254,7 +256,7 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     rows = staged(
-        sketch(docs, text, words, "__nd").withColumn(
+        sketch(docs, text, words, size, "__nd").withColumn(
             "__nd_row", F.monotonically_increasing_id()
         ),
         "sketches",
@@ -279,16 +281,13 @@ def near_duplicates(
         drop_shuffles(spark)
         return found
 
-    links = labels = None
-    for width in BANDS:
-        members = shared(_bands(nodes, width))
-        likely = staged(_likely(stars(members, labels), nodes, percent), "likely")
-        asked = likely.select(F.col("a").alias("node")).unionByName(
-            likely.select(F.col("b").alias("node"))
-        )
-        new = staged(_exact(likely, texts_of(asked), words, percent), "links")
-        links = new if links is None else links.unionByName(new)
-        labels = components(links)
+    members = shared(_bands(nodes, bands))
+    likely = staged(_likely(stars(members), nodes, percent), "likely")
+    asked = likely.select(F.col("a").alias("node")).unionByName(
+        likely.select(F.col("b").alias("node"))
+    )
+    links = staged(_exact(likely, texts_of(asked), words, percent), "links")
+    labels = components(links)
     rest = apart(members, labels).join(nodes.select("node", "n", "registers"), "node")
     plausible = block_pairs(rest, "bucket", ["n", "registers"], _plausible(percent))
     families = components(staged(plausible, "plausible")).withColumnRenamed("root", "family")
@@ -311,7 +310,7 @@ def near_duplicates(
     )
     added = ("n_shingles", "component_id", "kept", "first")
     out = rows.join(verdict, "__nd_row")
-    kept = F.coalesce(rows[doc_id] == verdict["component_id"], F.lit(True))
+    kept = rows[doc_id].eqNullSafe(verdict["component_id"])
     return out.select(
         *[rows[c] for c in docs.columns if c not in added],
         rows["__nd"]["n_shingles"].alias("n_shingles"),

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import sha_hex, staged, table, whole
 
-BUCKETS = 1 << 17
-DICTIONARY = 1 << 17
+BUCKETS = 1 << 16
+DICTIONARY = 1 << 16
 LONGEST_ENTRY = 64  # bytes of a word in the dictionary, which bounds its size
 _WORD, _IDS, _NEXT = "\x00", "\x01", "\x02"  # separators inside the literal
 _SHIFT = 1 << 20  # ids and ranks are below it
@@ -212,12 +212,15 @@ def dictionary(docs: DataFrame, text: str, vocab: Vocabulary, most: int) -> Colu
         word = piece.decode("utf-8", "ignore")
         if word.encode() == piece and not any(c in word for c in (_WORD, _IDS, _NEXT)):
             entries[word] = str(i)
-    # At most ``most`` rows of bounded length.
-    for row in frequent_words(docs, text, vocab, most).collect():
-        entries.setdefault(row.word, row.ids)
+    # At most ``most`` rows of bounded length, as columns.
+    found = frequent_words(docs, text, vocab, most).toArrow()
+    for word, ids in zip(found["word"].to_pylist(), found["ids"].to_pylist()):
+        entries.setdefault(word, ids)
+    del found
     buckets = [""] * BUCKETS
     for word, ids in entries.items():
         buckets[crc32(word.encode()) % BUCKETS] += f"{_WORD}{word}{_IDS}{ids}{_WORD}"
+    del entries
     return _literal(buckets, "string")
 
 

@@ -39,8 +39,8 @@ THRESHOLD = 0.7
 class Training:
     """Bounds of the sample and the settings of the descent."""
 
-    train_docs: int = 4000
-    train_chars: int = 16_000_000
+    train_docs: int = 2500
+    train_chars: int = 8_000_000
     dim: int = 16
     epochs: int = 8
     rate: float = 0.5
@@ -151,13 +151,14 @@ def count_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     weights = np.concatenate([w for _, w in buckets]).astype(float)
     distinct, inverse = np.unique(ids, return_inverse=True)
     share = np.bincount(inverse, weights)
-    return distinct, share / share.sum()
+    return distinct.astype(np.int32), (share / share.sum()).astype(np.float32)
 
 
 def descend(rows: list[tuple[np.ndarray, np.ndarray, int]], how: Training) -> Model:
     """Stochastic gradient descent over (features, shares, label) rows."""
     random = np.random.default_rng(how.seed)
     vectors = random.uniform(-1 / how.dim, 1 / how.dim, (3 * BUCKETS, how.dim))
+    vectors = vectors.astype(np.float32)
     layer, bias = np.zeros((how.dim, 2)), np.zeros(2)
     steps, done = max(1, how.epochs * len(rows)), 0
     for _ in range(how.epochs):
@@ -175,7 +176,8 @@ def descend(rows: list[tuple[np.ndarray, np.ndarray, int]], how: Training) -> Mo
             bias -= 0.1 * rate * error
             # A feature's share of a mean is tiny; without the scale it would not learn.
             vectors[ids] -= (rate * np.minimum(share * 100, 1.0))[:, None] * back
-    return Model(vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0]))
+    weight = vectors.astype(float) @ (layer[:, 1] - layer[:, 0])
+    return Model(weight, float(bias[1] - bias[0]))
 
 
 def is_held_out(doc_id: Column | str) -> Column:

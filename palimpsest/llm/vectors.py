@@ -158,7 +158,7 @@ def near_vectors(
         "vec_id",
         (F.coalesce("n", F.lit(0)) + F.coalesce(F.col("weight") - 1, F.lit(0))).alias("n_links"),
         component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+        F.col("vec_id").eqNullSafe(component).alias("kept"),
     )
 
 

@@ -41,12 +41,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and a digest of what they decode to."""
     vocab = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(docs.select("doc_id", "text"), vocab)
-    return encoded.select(
+    encoded = bpe.encode(docs.select("doc_id", "text"), vocab).select("doc_id", "ids")
+    return bpe.decode(encoded, vocab).select(
         "doc_id",
         bpe.n_ids(F.col("ids")).alias("n_tokens"),
         "ids",
-        sha_hex(bpe.decode(F.col("ids"), vocab)).alias("decoded_sha256"),
+        sha_hex(F.col("decoded")).alias("decoded_sha256"),
     )
 
 

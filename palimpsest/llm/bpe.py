@@ -2,13 +2,15 @@
 
 A text is cut by the vocabulary's pattern; each piece ("word") is encoded by itself. A
 word becomes the array of its bytes' ids, and one fold merges the neighbours of the lowest
-rank, leftmost first, until none is left. The ranks lie in a literal table; an id is a
-rank, so a merge gives the merged piece's id.
+rank, leftmost first, until none is left. An id is a rank, so a merge gives the merged
+piece's id. The rank map and the other tables are one literal value for Spark: the result
+of a scalar subquery over one row, which unlike a written literal is not spelled out in
+every description of the plan.
 
 Words are encoded once each where that pays: all words are counted over the whole corpus,
 and the ``dictionary`` most frequent ones (a bound on rows, so on memory) are folded as
-distinct words. Their ids, and those of words that are tokens themselves, become a literal
-dictionary. A word outside it is folded where it occurs. No rows are shuffled but the
+distinct words. Their ids, and those of words that are tokens themselves, become a
+dictionary beside the rank map. A word outside it is folded where it occurs. No rows are shuffled but the
 partial counts of words.
 
 Decoding looks up the bytes of each id, joins them as hex and turns the whole into binary,
@@ -23,6 +25,7 @@ through untouched, except one that has the result's name. An empty table stays e
 from __future__ import annotations
 
 import base64
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 from zlib import crc32
@@ -31,12 +34,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import local_rows
 from .common import sha_hex, staged, table, whole
 
-BUCKETS = 1 << 16
-DICTIONARY = 1 << 16
+BUCKETS = 1 << 17
+DICTIONARY = 1 << 17
 LONGEST_ENTRY = 64  # bytes of a word in the dictionary, which bounds its size
-_WORD, _IDS, _NEXT = "\x00", "\x01", "\x02"  # separators inside the literal
+_WORD, _IDS = "\x00", "\x01"  # separators inside a bucket
 _SHIFT = 1 << 20  # ids and ranks are below it
 _NO_RANK = _SHIFT - 1
 _BORDER = _SHIFT - 2
@@ -61,11 +65,6 @@ def vocabulary(path: str, pattern: str = public_tokenizers.PATTERN) -> Vocabular
     return Vocabulary(tuple(ranks[i] for i in range(len(ranks))), pattern)
 
 
-def _literal(values: list[str], kind: str) -> Column:
-    """An array literal; Spark folds the split once, on the driver."""
-    return F.split(F.lit(_NEXT.join(values)), _NEXT).cast(f"array<{kind}>")
-
-
 def _is_prime(n: int) -> bool:
     return all(n % d for d in range(2, int(n**0.5) + 1))
 
@@ -115,19 +114,46 @@ def words(text: Column, vocab: Vocabulary) -> Column:
     return F.regexp_extract_all(whole(text), F.lit(f"(?U){vocab.pattern}"), F.lit(0))
 
 
-def fold(word: Column, vocab: Vocabulary) -> Column:
-    """Ids of a word by ranked merges over its bytes."""
+def _tables(spark: SparkSession, vocab: Vocabulary, buckets: list[str]) -> Column:
+    """What folding, looking up and decoding need, as one value."""
     packed, first, second = merge_table(vocab)
-    table_ = _literal([str(p) for p in packed], "bigint")
     ranks = vocab.ranks()
-    byte_ids = _literal([str(ranks[bytes([b])]) for b in range(256)], "int")
     two = (bytes([a, b]) for a in range(256) for b in range(256))
-    byte_pairs = _literal([str(ranks.get(pair, _NO_RANK)) for pair in two], "int")
+    row = (
+        packed,
+        first,
+        second,
+        [ranks[bytes([b])] for b in range(256)],
+        [ranks.get(pair, _NO_RANK) for pair in two],
+        [piece.hex() for piece in vocab.pieces],
+        buckets,
+    )
+    schema = (
+        "packed array<bigint>, first bigint, second bigint, bytes array<int>,"
+        " pairs array<int>, hexes array<string>, buckets array<string>"
+    )
+    rows = local_rows(spark, [row], schema)
+    return rows.select(F.struct(*rows.columns)).scalar()
+
+
+def _using(df: DataFrame, tables: Column, into: str, value: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with the column ``into``, which ``value`` makes of the tables.
+
+    The optimizer moves the subquery to the one place that refers to it.
+    """
+    kept = [c for c in df.columns if c != into]
+    held = df.withColumn("__tables", tables)
+    made = F.get(F.transform(F.array("__tables"), value), F.lit(0))
+    return held.select(*kept, made.alias(into))
+
+
+def fold(word: Column, tables: Column) -> Column:
+    """Ids of a word by ranked merges over its bytes."""
 
     def rank(left: Column, right: Column) -> Column:
         key = left.cast("bigint") * _SHIFT + right
-        places = F.array(F.pmod(key, F.lit(first)), F.pmod(key, F.lit(second)))
-        slots = F.transform(places, lambda at: F.get(table_, at.cast("int")))
+        places = F.array(F.pmod(key, tables["first"]), F.pmod(key, tables["second"]))
+        slots = F.transform(places, lambda at: F.get(tables["packed"], at.cast("int")))
         mine = F.filter(slots, lambda slot: F.shiftright(slot, 20) == key)
         return F.coalesce(
             F.get(mine, F.lit(0)).bitwiseAND(F.lit(_SHIFT - 1)).cast("int"),
@@ -165,8 +191,8 @@ def fold(word: Column, vocab: Vocabulary) -> Column:
             F.slice(codes, F.lit(1), F.size(codes) - 1).alias("l"),
             F.slice(codes, F.lit(2), F.size(codes) - 1).alias("r"),
         )
-        ranks = F.transform(neighbours, lambda p: F.get(byte_pairs, p["l"] * 256 + p["r"]))
-        ids = F.transform(codes, lambda c: F.get(byte_ids, c))
+        ranks = F.transform(neighbours, lambda p: F.get(tables["pairs"], p["l"] * 256 + p["r"]))
+        ids = F.transform(codes, lambda c: F.get(tables["bytes"], c))
         return F.struct(
             F.concat(border, ids, border).alias("ids"),
             F.concat(none, ranks, none).alias("ranks"),
@@ -192,7 +218,7 @@ def frequent_words(docs: DataFrame, text: str, vocab: Vocabulary, most: int) ->
         .agg(F.count(F.lit(1)).alias("n")),
         "word-counts",
     ).filter(
-        (F.octet_length("word") <= LONGEST_ENTRY) & ~F.col("word").rlike("[\x00-\x02]")
+        (F.octet_length("word") <= LONGEST_ENTRY) & ~F.col("word").rlike("[\x00-\x01]")
     )
     # How many words occur n times: a few rows, however large the corpus.
     sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
@@ -202,15 +228,18 @@ def frequent_words(docs: DataFrame, text: str, vocab: Vocabulary, most: int) ->
             break
         taken, least = taken + row.words, row.n
     chosen = counts.filter(F.col("n") >= least) if least else counts.limit(0)
-    return chosen.select("word", _joined(fold(F.col("word"), vocab)).alias("ids"))
+    tables = _tables(docs.sparkSession, vocab, [])
+    return _using(
+        chosen.select("word"), tables, "ids", lambda t: _joined(fold(F.col("word"), t))
+    )
 
 
-def dictionary(docs: DataFrame, text: str, vocab: Vocabulary, most: int) -> Column:
-    """Literal buckets of words and their ids: all whole tokens and the frequent words."""
+def dictionary(docs: DataFrame, text: str, vocab: Vocabulary, most: int) -> list[str]:
+    """Buckets of words and their ids: all whole tokens and the frequent words."""
     entries = {}
     for i, piece in enumerate(vocab.pieces):
         word = piece.decode("utf-8", "ignore")
-        if word.encode() == piece and not any(c in word for c in (_WORD, _IDS, _NEXT)):
+        if word.encode() == piece and not any(c in word for c in (_WORD, _IDS)):
             entries[word] = str(i)
     # At most ``most`` rows of bounded length, as columns.
     found = frequent_words(docs, text, vocab, most).toArrow()
@@ -220,24 +249,29 @@ def dictionary(docs: DataFrame, text: str, vocab: Vocabulary, most: int) -> Colu
     buckets = [""] * BUCKETS
     for word, ids in entries.items():
         buckets[crc32(word.encode()) % BUCKETS] += f"{_WORD}{word}{_IDS}{ids}{_WORD}"
-    del entries
-    return _literal(buckets, "string")
+    return buckets
 
 
 def encode(
     docs: DataFrame, vocab: Vocabulary, text: str = "text", into: str = "ids", most: int = DICTIONARY
 ) -> DataFrame:
     """``docs`` with the decimal ids of ``text``, joined by one space, in ``into``."""
-    known = dictionary(docs, text, vocab, most)
+    buckets = dictionary(docs, text, vocab, most)
+    tables = _tables(docs.sparkSession, vocab, buckets)
 
-    def ids_of(word: Column) -> Column:
-        bucket = F.get(known, F.pmod(F.crc32(word.cast("binary")), F.lit(BUCKETS)).cast("int"))
+    def ids_of(word: Column, t: Column) -> Column:
+        at = F.pmod(F.crc32(word.cast("binary")), F.lit(BUCKETS)).cast("int")
         entry = F.concat(F.lit(_WORD), word, F.lit(_IDS))
-        found = F.nullif(_after(bucket, entry), F.lit(""))
-        return F.coalesce(found, _joined(fold(word, vocab)))
-
-    ids = F.array_join(F.transform(words(docs[text], vocab), ids_of), " ")
-    return docs.withColumn(into, ids)
+        found = F.nullif(_after(F.get(t["buckets"], at), entry), F.lit(""))
+        return F.coalesce(found, _joined(fold(word, t)))
+
+    pieces = words(F.col(text), vocab)
+    return _using(
+        docs,
+        tables,
+        into,
+        lambda t: F.array_join(F.transform(pieces, lambda word: ids_of(word, t)), " "),
+    )
 
 
 def _after(bucket: Column, entry: Column) -> Column:
@@ -246,11 +280,18 @@ def _after(bucket: Column, entry: Column) -> Column:
     return F.substring_index(behind, _WORD, 1)
 
 
-def decode(ids: Column, vocab: Vocabulary) -> Column:
-    """Bytes of the ids that ``encode`` made."""
-    pieces = _literal([p.hex() for p in vocab.pieces], "string")
-    hexes = F.transform(F.split(ids, " "), lambda i: F.get(pieces, i.cast("int")))
-    return F.when(ids == "", F.lit(b"")).otherwise(F.unhex(F.array_join(hexes, "")))
+def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """``df`` with the bytes of the ids that ``encode`` made."""
+
+    def spelled(t: Column) -> Column:
+        hexes = F.transform(F.split(F.col(ids), " "), lambda i: F.get(t["hexes"], i.cast("int")))
+        return F.unhex(F.array_join(hexes, ""))
+
+    tables = _tables(df.sparkSession, vocab, [])
+    empty = F.lit(b"")
+    return _using(
+        df, tables, into, lambda t: F.when(F.col(ids) == "", empty).otherwise(spelled(t))
+    )
 
 
 def n_ids(ids: Column) -> Column:
@@ -262,9 +303,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = encode(docs, vocab).select("doc_id", "ids")
-    return encoded.select(
+    return decode(encoded, vocab).select(
         "doc_id",
         n_ids(F.col("ids")).alias("n_tokens"),
         sha_hex(F.col("ids")).alias("ids_sha256"),
-        sha_hex(decode(F.col("ids"), vocab)).alias("decoded_sha256"),
+        sha_hex(F.col("decoded")).alias("decoded_sha256"),
     )

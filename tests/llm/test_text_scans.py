@@ -47,7 +47,7 @@ def test_bpe_equals_the_library(spark, vocab, most):
     mixed = "".join(chr(random.randrange(32, 0x3000)) for _ in range(300))
     docs = frame(spark, [*ODD, mixed, mixed])
     encoded = bpe.encode(docs, vocab, most=most)
-    decoded = encoded.withColumn("back", bpe.decode(F.col("ids"), vocab))
+    decoded = bpe.decode(encoded, vocab, "ids", "back")
     rows = decoded.withColumn("n", bpe.n_ids(F.col("ids"))).collect()
     assert len(rows) == len(ODD) + 2
     for row in rows:

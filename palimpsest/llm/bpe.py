@@ -28,7 +28,6 @@ import base64
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
-from zlib import crc32
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,9 +36,10 @@ from pyspark.sql import functions as F
 from ..session import local_rows
 from .common import sha_hex, staged, table, whole
 
-BUCKETS = 1 << 17
-DICTIONARY = 1 << 17
-LONGEST_ENTRY = 64  # bytes of a word in the dictionary, which bounds its size
+BUCKETS = 1 << 19
+DICTIONARY = 1 << 20
+LONGEST_ENTRY = 32  # bytes of a word in the dictionary
+ENTRY_BYTES = 16  # bytes of a word on average, which bounds the dictionary's size
 _WORD, _IDS = "\x00", "\x01"  # separators inside a bucket
 _SHIFT = 1 << 20  # ids and ranks are below it
 _NO_RANK = _SHIFT - 1
@@ -114,8 +114,8 @@ def words(text: Column, vocab: Vocabulary) -> Column:
     return F.regexp_extract_all(whole(text), F.lit(f"(?U){vocab.pattern}"), F.lit(0))
 
 
-def _tables(spark: SparkSession, vocab: Vocabulary, buckets: list[str]) -> Column:
-    """What folding, looking up and decoding need, as one value."""
+def _tables(spark: SparkSession, vocab: Vocabulary) -> Column:
+    """What folding and decoding need, as one value."""
     packed, first, second = merge_table(vocab)
     ranks = vocab.ranks()
     two = (bytes([a, b]) for a in range(256) for b in range(256))
@@ -126,11 +126,10 @@ def _tables(spark: SparkSession, vocab: Vocabulary, buckets: list[str]) -> Colum
         [ranks[bytes([b])] for b in range(256)],
         [ranks.get(pair, _NO_RANK) for pair in two],
         [piece.hex() for piece in vocab.pieces],
-        buckets,
     )
     schema = (
         "packed array<bigint>, first bigint, second bigint, bytes array<int>,"
-        " pairs array<int>, hexes array<string>, buckets array<string>"
+        " pairs array<int>, hexes array<string>"
     )
     rows = local_rows(spark, [row], schema)
     return rows.select(F.struct(*rows.columns)).scalar()
@@ -152,12 +151,13 @@ def fold(word: Column, tables: Column) -> Column:
 
     def rank(left: Column, right: Column) -> Column:
         key = left.cast("bigint") * _SHIFT + right
-        places = F.array(F.pmod(key, tables["first"]), F.pmod(key, tables["second"]))
-        slots = F.transform(places, lambda at: F.get(tables["packed"], at.cast("int")))
-        mine = F.filter(slots, lambda slot: F.shiftright(slot, 20) == key)
-        return F.coalesce(
-            F.get(mine, F.lit(0)).bitwiseAND(F.lit(_SHIFT - 1)).cast("int"),
-            F.lit(_NO_RANK),
+        one = F.get(tables["packed"], (key % tables["first"]).cast("int"))
+        two = F.get(tables["packed"], (key % tables["second"]).cast("int"))
+        low = F.lit(_SHIFT - 1)
+        return (
+            F.when(F.shiftright(one, 20) == key, one.bitwiseAND(low).cast("int"))
+            .when(F.shiftright(two, 20) == key, two.bitwiseAND(low).cast("int"))
+            .otherwise(F.lit(_NO_RANK))
         )
 
     def merge(state: Column, low: Column) -> Column:
@@ -221,49 +221,68 @@ def frequent_words(docs: DataFrame, text: str, vocab: Vocabulary, most: int) ->
         (F.octet_length("word") <= LONGEST_ENTRY) & ~F.col("word").rlike("[\x00-\x01]")
     )
     # How many words occur n times: a few rows, however large the corpus.
-    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
-    taken, least = 0, None
+    sizes = counts.groupBy("n").agg(
+        F.count(F.lit(1)).alias("words"), F.sum(F.octet_length("word")).alias("bytes")
+    )
+    taken, held, least = 0, 0, None
     for row in sizes.filter("n > 1").orderBy(F.desc("n")).limit(most).collect():
-        if taken + row.words > most:
+        taken, held = taken + row.words, held + row.bytes
+        if taken > most or held > ENTRY_BYTES * most:
             break
-        taken, least = taken + row.words, row.n
+        least = row.n
     chosen = counts.filter(F.col("n") >= least) if least else counts.limit(0)
-    tables = _tables(docs.sparkSession, vocab, [])
+    tables = _tables(docs.sparkSession, vocab)
     return _using(
         chosen.select("word"), tables, "ids", lambda t: _joined(fold(F.col("word"), t))
     )
 
 
-def dictionary(docs: DataFrame, text: str, vocab: Vocabulary, most: int) -> list[str]:
-    """Buckets of words and their ids: all whole tokens and the frequent words."""
-    entries = {}
+def dictionary(docs: DataFrame, text: str, vocab: Vocabulary, most: int) -> Column:
+    """An array of buckets of words and their ids, as one value.
+
+    It holds all whole tokens and the frequent words, so it is bounded.
+    """
+    spark = docs.sparkSession
+    tokens = []
     for i, piece in enumerate(vocab.pieces):
         word = piece.decode("utf-8", "ignore")
         if word.encode() == piece and not any(c in word for c in (_WORD, _IDS)):
-            entries[word] = str(i)
-    # At most ``most`` rows of bounded length, as columns.
-    found = frequent_words(docs, text, vocab, most).toArrow()
-    for word, ids in zip(found["word"].to_pylist(), found["ids"].to_pylist()):
-        entries.setdefault(word, ids)
-    del found
-    buckets = [""] * BUCKETS
-    for word, ids in entries.items():
-        buckets[crc32(word.encode()) % BUCKETS] += f"{_WORD}{word}{_IDS}{ids}{_WORD}"
-    return buckets
+            tokens.append((word, str(i)))
+    whole_tokens = local_rows(spark, tokens, "word string, ids string")
+    frequent = frequent_words(docs, text, vocab, most)
+    entries = (
+        whole_tokens.withColumn("order", F.lit(0))
+        .unionByName(frequent.withColumn("order", F.lit(1)))
+        .groupBy("word")
+        .agg(F.min_by("ids", "order").alias("ids"))
+    )
+    entry = F.concat(F.lit(_WORD), "word", F.lit(_IDS), "ids", F.lit(_WORD))
+    texts = entries.groupBy(_bucket(F.col("word")).cast("long").alias("id")).agg(
+        F.array_join(F.collect_list(entry), "").alias("entries")
+    )
+    every = spark.range(BUCKETS).join(texts, "id", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("entries", F.lit("")).alias("e"))))
+    row = every.agg(F.transform(ordered, lambda b: b["e"]).alias("buckets"))
+    return staged(row, "dictionary").scalar()
+
+
+def _bucket(word: Column) -> Column:
+    return F.pmod(F.crc32(word.cast("binary")), F.lit(BUCKETS)).cast("int")
 
 
 def encode(
     docs: DataFrame, vocab: Vocabulary, text: str = "text", into: str = "ids", most: int = DICTIONARY
 ) -> DataFrame:
     """``docs`` with the decimal ids of ``text``, joined by one space, in ``into``."""
-    buckets = dictionary(docs, text, vocab, most)
-    tables = _tables(docs.sparkSession, vocab, buckets)
+    tables = F.struct(
+        _tables(docs.sparkSession, vocab).alias("merges"),
+        dictionary(docs, text, vocab, most).alias("buckets"),
+    )
 
     def ids_of(word: Column, t: Column) -> Column:
-        at = F.pmod(F.crc32(word.cast("binary")), F.lit(BUCKETS)).cast("int")
         entry = F.concat(F.lit(_WORD), word, F.lit(_IDS))
-        found = F.nullif(_after(F.get(t["buckets"], at), entry), F.lit(""))
-        return F.coalesce(found, _joined(fold(word, t)))
+        found = F.nullif(_after(F.get(t["buckets"], _bucket(word)), entry), F.lit(""))
+        return F.coalesce(found, _joined(fold(word, t["merges"])))
 
     pieces = words(F.col(text), vocab)
     return _using(
@@ -287,7 +306,7 @@ def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", into: str = "deco
         hexes = F.transform(F.split(F.col(ids), " "), lambda i: F.get(t["hexes"], i.cast("int")))
         return F.unhex(F.array_join(hexes, ""))
 
-    tables = _tables(df.sparkSession, vocab, [])
+    tables = _tables(df.sparkSession, vocab)
     empty = F.lit(b"")
     return _using(
         df, tables, into, lambda t: F.when(F.col(ids) == "", empty).otherwise(spelled(t))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -13,7 +13,9 @@ from ..functions import is_blank_key
 from ..session import local_rows, materialize
 from ..sources.csv_snapshot import (
     SnapshotFile,
+    Source,
     inspect_files,
+    label,
     number_records,
     scan_snapshots,
     split_counts,
@@ -76,12 +78,11 @@ def split_rows(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _drift_events(
-    wh: Warehouse, parts: Sequence[SnapshotFile], detected_at: datetime
+    wh: Warehouse, found: Iterable[tuple[date, str, tuple]], detected_at: datetime
 ) -> DataFrame:
-    distinct = sorted({(p.load_date, p.source_uri, p.header) for p in parts})
     headers = local_rows(
         wh.spark,
-        [(day, uri, list(header), detected_at) for day, uri, header in distinct],
+        [(day, uri, list(header), detected_at) for day, uri, header in sorted(found)],
         f"{wh.spec.effective} date, source_file_uri string, "
         "observed_columns array<string>, detected_at timestamp_ntz",
     )
@@ -90,17 +91,21 @@ def _drift_events(
 
 
 def profile_snapshots(
-    wh: Warehouse, snapshots: Mapping[date, str], detected_at: datetime | None = None
+    wh: Warehouse, snapshots: Mapping[date, Source], detected_at: datetime | None = None
 ) -> list[SnapshotFile]:
     """ING2: log a drift event per date, then refuse files without required columns.
 
-    The event is stored before the error is raised, and nothing else is touched.
+    A date without any file has no columns, so it is refused too. The event is stored
+    before the error is raised, and nothing else is touched.
     """
     parts = inspect_files(wh.spark, snapshots)
-    events = _drift_events(wh, parts, detected_at or tables.utc_now())
+    headers = {(p.load_date, p.source_uri, p.header) for p in parts}
+    held = {p.load_date for p in parts}
+    headers |= {(d, label(s), ()) for d, s in snapshots.items() if d not in held}
+    events = _drift_events(wh, headers, detected_at or tables.utc_now())
     tables.append(events, wh.path("drift"))
-    missing = sorted({c for p in parts for c in set(wh.spec.required) - set(p.header)})
-    if missing or not parts:
+    missing = sorted({c for _, _, h in headers for c in set(wh.spec.required) - set(h)})
+    if missing or not headers:
         raise ValueError(f"Required source columns are missing: {missing}")
     return parts
 
@@ -117,14 +122,15 @@ def _checksums(wh: Warehouse, parts: Sequence[SnapshotFile]) -> dict[date, str]:
 
 def load_snapshots(
     wh: Warehouse,
-    snapshots: Mapping[date, str],
+    snapshots: Mapping[date, Source],
     ingested_at: datetime | None = None,
 ) -> list[LoadReport]:
     """ING1-10: load the snapshots of one or many dates, replacing those dates.
 
-    Everything that can fail for the input's sake (profile, parsing, checksum, counts)
-    happens before the first table is overwritten; the audit rows are written last and
-    mark the load as complete. Repeating a load gives the same tables.
+    A date's source is a file, a folder of part files or several of either. Everything
+    that can fail for the input's sake (profile, parsing, checksum, counts) happens before
+    the first table is overwritten; the audit rows are written last and mark the load as
+    complete. Repeating a load gives the same tables.
     """
     spec, spark = wh.spec, wh.spark
     ingested_at = ingested_at or tables.utc_now()
@@ -145,6 +151,7 @@ def load_snapshots(
     }
     n_splits = sum(r.splits for r in counted.values())
     numbered = number_records(parsed, splits, n_splits, spec)
+    _expect_rows(numbered, sum(r.accepted + r.rejected for r in counted.values()))
     accepted = {d: counted[d].accepted if d in counted else 0 for d in snapshots}
     rejected = {d: counted[d].rejected if d in counted else 0 for d in snapshots}
     checksums = _checksums(wh, parts)
@@ -156,13 +163,9 @@ def load_snapshots(
         "source_row_number",
         spec.effective,
     )
-    written = tables.replace_partitions(
+    tables.replace_partitions(
         raw_rows, wh.path("raw"), spec.effective, [d for d, n in accepted.items() if not n]
     )
-    if written != sum(accepted.values()):
-        raise RuntimeError(
-            f"Staged row count mismatch: expected {sum(accepted.values())}, got {written}"
-        )
     dead = numbered.where("reject_reason IS NOT NULL").select(
         "source_file_uri",
         "source_row_number",
@@ -181,9 +184,19 @@ def load_snapshots(
     ]
 
 
+def _expect_rows(numbered: DataFrame, expected: int) -> None:
+    """ING7: the records to be written are those parsed, or no table is touched.
+
+    Only the columns of the join are read, and nothing is shuffled.
+    """
+    found = numbered.select("source_row_number").count()
+    if found != expected:
+        raise RuntimeError(f"{expected} records were parsed, but {found} would be written")
+
+
 def _record_audit(
     wh: Warehouse,
-    snapshots: Mapping[date, str],
+    snapshots: Mapping[date, Source],
     accepted: Mapping[date, int],
     rejected: Mapping[date, int],
     checksums: Mapping[date, str],
@@ -192,7 +205,7 @@ def _record_audit(
     """SNK4: one row per date, keyed by its partition."""
     rows = [
         (
-            uri,
+            label(source),
             accepted[day],
             rejected[day],
             checksums[day],
@@ -201,7 +214,7 @@ def _record_audit(
             tables.utc_now(),
             day,
         )
-        for day, uri in snapshots.items()
+        for day, source in snapshots.items()
     ]
     audit = local_rows(wh.spark, rows, audit_schema(wh.spec))
     tables.replace_partitions(audit, wh.path("audit"), wh.spec.effective)
@@ -209,7 +222,7 @@ def _record_audit(
 
 def load_snapshot(
     wh: Warehouse,
-    path: str,
+    path: Source,
     load_date: date | None = None,
     ingested_at: datetime | None = None,
 ) -> LoadReport:
@@ -217,19 +230,29 @@ def load_snapshot(
     return load_snapshots(wh, {load_date or date.today(): path}, ingested_at)[0]
 
 
-def land_snapshots(rows: DataFrame, path: str, spec: SnapshotSpec) -> None:
+def land_snapshots(
+    rows: DataFrame, path: str, spec: SnapshotSpec, order: str | None = None
+) -> None:
     """SNK1: rows as CSV, one folder per date, contract columns only.
 
-    Missing values become empty fields, surplus columns are dropped.
+    Missing values become empty fields, surplus columns are dropped. Only the dates of
+    ``rows`` are replaced. With ``order`` the records of a date stand in that order, part
+    files in the order of their names; each range of dates and orders is one task's.
     """
     held = set(rows.columns)
     fields = [
         (F.coalesce(F.col(c), F.lit("")) if c in held else F.lit("")).alias(c)
         for c in spec.contract
     ]
+    if order is None:
+        dealt = tables.gathered(rows.select(*fields, spec.effective), spec.effective)
+    else:
+        by = (spec.effective, "_order")
+        ordered = rows.select(*fields, spec.effective, F.col(order).alias("_order"))
+        dealt = ordered.repartitionByRange(*by).sortWithinPartitions(*by).drop("_order")
     (
-        tables.gathered(rows.select(*fields, spec.effective), spec.effective)
-        .write.mode("overwrite")
+        dealt.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(spec.effective)
         .options(
             header=True,
@@ -245,6 +268,11 @@ def land_snapshots(rows: DataFrame, path: str, spec: SnapshotSpec) -> None:
 
 def land_snapshot(rows: DataFrame, folder: str, load_date: date, spec: SnapshotSpec) -> str:
     """SNK1 for one date; returns the path of its snapshot."""
+    path = f"{folder}/{spec.effective}={load_date}"
     dated = rows.withColumn(spec.effective, F.lit(load_date))
     land_snapshots(dated, folder, spec)
-    return f"{folder}/{spec.effective}={load_date}"
+    if rows.isEmpty():  # a dynamic overwrite leaves a date without rows as it was
+        none = ", ".join(f"`{c}` string" for c in spec.contract)
+        empty = local_rows(rows.sparkSession, [], none)
+        empty.write.mode("overwrite").option("header", True).csv(path)
+    return path

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -74,6 +75,14 @@ PUBLISHED = (
 )
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Tables that are written but not current yet, and their log entries."""
+
+    tables: dict[str, DataFrame]
+    entries: list[tuple]
+
+
 class Published:
     """SNK8: rebuilt tables. Each build is written to a new folder, then named current.
 
@@ -103,10 +112,10 @@ class Published:
         entry = self.current([name]).get(name)
         return self._read(entry.path, entry.schema) if entry else None
 
-    def publish(
+    def prepare(
         self, frames: Mapping[str, DataFrame], partition_by: Sequence[str] = ()
-    ) -> dict[str, DataFrame]:
-        """Write all tables, then make them current together."""
+    ) -> Prepared:
+        """Write all tables; nobody reads them before ``commit``."""
         entries, built = [], {}
         held = self.current(list(frames))
         for name, df in frames.items():
@@ -116,5 +125,16 @@ class Published:
             schema = df.schema.json()
             entries.append((name, version, path, schema, utc_now()))
             built[name] = self._read(path, schema)
-        append(local_rows(self.spark, entries, PUBLISHED), self.log)
-        return built
+        return Prepared(built, entries)
+
+    def commit(self, prepared: Prepared) -> None:
+        """Make prepared tables current together."""
+        append(local_rows(self.spark, prepared.entries, PUBLISHED), self.log)
+
+    def publish(
+        self, frames: Mapping[str, DataFrame], partition_by: Sequence[str] = ()
+    ) -> dict[str, DataFrame]:
+        """Write all tables, then make them current together."""
+        prepared = self.prepare(frames, partition_by)
+        self.commit(prepared)
+        return prepared.tables

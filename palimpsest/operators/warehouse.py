@@ -18,6 +18,7 @@ from ..spec import (
     dlq_schema,
     drift_schema,
     raw_schema,
+    refresh_schema,
 )
 from . import tables
 from .staging import stage_registry
@@ -29,6 +30,7 @@ LOCATIONS = {
     "audit": "raw/businesses_snapshot_load_audit",
     "drift": "staging/schema_drift_events",
     "staged": "staging/stg_businesses",
+    "refreshes": "staging/refresh_log",
     "metrics": "marts/pipeline_run_metrics",
 }
 PARTITIONED = ("raw", "dlq", "audit", "staged")
@@ -56,6 +58,7 @@ class Warehouse:
             "dlq": dlq_schema,
             "audit": audit_schema,
             "drift": drift_schema,
+            "refreshes": refresh_schema,
         }
         return schemas[name](self.spec)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -14,11 +15,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one only in local mode."""
+    """The shared folder of ``spark.checkpoint.dir``; a local one only in one process."""
     context = spark.sparkContext
     shared = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not shared:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="palimpsest-"))
         shared = context.getCheckpointDir()

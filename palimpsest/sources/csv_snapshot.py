@@ -16,15 +16,27 @@ from pyspark.sql import types as T
 from ..functions import is_blank_key
 from ..session import local_rows
 from ..spec import REJECT_PREFIX, SnapshotSpec
-from .files import canonical, readable
+from .files import canonical, literal, readable
 
 RECORD = "_record"
 # The header is line 1, so the first record is number 2.
 FIRST_RECORD = 2
-# Up to this many file splits their offsets are broadcast (about 40 MB), else joined.
-BROADCAST_SPLITS = 200_000
+# Up to this many file splits their offsets are broadcast (32 bytes each), else joined.
+BROADCAST_SPLITS = 8_000_000
 LISTING_THREADS = 16
 
+# The snapshot of a date: a file, a folder of part files, or several of either.
+Source = str | Sequence[str]
+
+
+def places(source: Source) -> list[str]:
+    return [source] if isinstance(source, str) else list(source)
+
+
+def label(source: Source) -> str:
+    """How a source is named in the audit."""
+    return ",".join(places(source))
+
 
 @dataclass(frozen=True)
 class SnapshotFile:
@@ -65,7 +77,7 @@ def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
 
 
 def inspect_files(
-    spark: SparkSession, snapshots: Mapping[date, str]
+    spark: SparkSession, snapshots: Mapping[date, Source]
 ) -> list[SnapshotFile]:
     """Header and record shape of every part file, in one job for all dates.
 
@@ -74,14 +86,15 @@ def inspect_files(
     drop that record). All other files are read in splits.
     """
 
-    def listed(uri: str) -> list[str]:
-        return [canonical(f) for f in spark.read.text(uri).inputFiles()]
+    def listed(source: Source) -> list[str]:
+        paths = [literal(p) for p in places(source)]
+        return [canonical(f) for f in spark.read.text(paths).inputFiles()]
 
     with ThreadPoolExecutor(LISTING_THREADS) as pool:
         listings = list(pool.map(listed, snapshots.values()))
     parts = {
-        file: (day, uri)
-        for (day, uri), listing in zip(snapshots.items(), listings)
+        file: (day, label(source))
+        for (day, source), listing in zip(snapshots.items(), listings)
         for file in listing
     }
     if not parts:
@@ -117,9 +130,10 @@ def _fields(header: Sequence[str]) -> dict[str, Column]:
 
     An empty field is '' and a field beyond the end of a short record is NULL. The
     parser gives NULL for both and keeps the text of records of the wrong length, so
-    there the separators outside quotes tell how many fields were present.
+    there the separators outside quotes tell how many fields were present. A quote opens
+    a field only where the field begins.
     """
-    unquoted = F.regexp_replace(RECORD, '"[^"]*"', "")
+    unquoted = F.regexp_replace(RECORD, '(^|,)"([^"]|"")*"', "$1")
     present = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
     return {
         name: F.when(
@@ -226,18 +240,21 @@ def number_records(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum(F.col("accepted") + F.col("rejected")).over(earlier), F.lit(0))
+    # Numbers in place of names keep the broadcast at 32 bytes a split.
     offsets = splits.select(
-        "file",
+        F.xxhash64("file").alias("_file"),
         "block",
         spec.effective,
-        "source_file_uri",
         (before - F.col("first_pos")).alias("_shift"),
     )
+    sources = splits.select(spec.effective, "source_file_uri").distinct()
     if n_splits <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     number = F.col("pos") + F.col("_shift") + FIRST_RECORD
     return (
-        rows.join(offsets, ["file", "block"])
+        rows.withColumn("_file", F.xxhash64("file"))
+        .join(offsets, ["_file", "block"])
         .withColumn("source_row_number", number)
-        .drop("pos", "block", "_shift")
+        .join(F.broadcast(sources), spec.effective)
+        .drop("pos", "block", "_shift", "_file")
     )

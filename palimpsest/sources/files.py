@@ -11,8 +11,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Files up to this size are hashed from memory in the JVM, larger ones as a stream.
-IN_MEMORY_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 1024 * 1024
 
 
@@ -23,7 +21,12 @@ def canonical(uri: str) -> str:
 
 def readable(uri: str) -> str:
     """A file URI as Spark reports it, in the form its readers accept."""
-    return unquote(uri)
+    return literal(unquote(uri))
+
+
+def literal(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def list_files(spark: SparkSession, paths: list[str], glob: str = "*") -> DataFrame:
@@ -52,7 +55,7 @@ def arrow_location(uri: str):
     """(filesystem, path) for a URI in Spark's spelling, for use inside tasks."""
     from pyarrow import fs
 
-    path = re.sub("^s3[an]:", "s3:", readable(uri))
+    path = re.sub("^s3[an]:", "s3:", unquote(uri))
     if "://" not in path:
         path = "/" + path.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(path)
@@ -76,27 +79,18 @@ def _stream_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_checksums(spark: SparkSession, paths: list[str], glob: str = "*") -> DataFrame:
-    """SRC7: (path, sha256 of the file's bytes), one task per large file at most.
+    """SRC7: (path, sha256 of the file's bytes).
 
-    The size filter is pushed into the listing, so a large file's bytes never enter a
-    row; it is hashed chunk by chunk instead.
+    Only the listing makes rows; the bytes are hashed as streams, chunk by chunk.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .load(paths)
-        .select("length", "content", F.col("_metadata.file_path").alias("path"))
-    )
-    small = files.where(F.col("length") <= IN_MEMORY_BYTES).select(
-        "path", F.sha2("content", 256).alias("checksum")
-    )
-    large = files.where(F.col("length") > IN_MEMORY_BYTES).select("path")
-    if large.isEmpty():
-        return small
-    return small.unionByName(
-        large.mapInPandas(_stream_digests, "path string, checksum string")
+        .select(F.col("_metadata.file_path").alias("path"))
     )
+    return files.mapInPandas(_stream_digests, "path string, checksum string")
 
 
 def combined_checksums(checksums: DataFrame, by: str) -> DataFrame:

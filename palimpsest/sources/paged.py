@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .files import arrow_location
-
 # Fixed value: rows asked for per page.
 PAGE_SIZE = 50_000
+# Pages asked for at the same time, unless the option says otherwise.
+STRIPES = 4
 
 
 class PageStripe(InputPartition):
@@ -29,20 +28,20 @@ class PagedReader(DataSourceReader):
     def __init__(self, source: PagedSource):
         self.source = source
         self.page_size = int(source.options.get("pageSize", PAGE_SIZE))
-        self.stripes = int(source.options.get("stripes", 1))
+        self.stripes = int(source.options.get("stripes", STRIPES))
 
     def partitions(self) -> list[PageStripe]:
         return [PageStripe(i, self.stripes) for i in range(self.stripes)]
 
-    def read(self, partition: PageStripe) -> Iterator[tuple]:
+    def read(self, partition: PageStripe) -> Iterator[pa.RecordBatch]:
+        """One batch a page."""
         names = self.source.columns()
+        schema = pa.schema([(n, pa.string()) for n in names])
         page = partition.first
         while True:
             rows = self.source.fetch_page(page * self.page_size, self.page_size)
-            for row in rows:
-                yield tuple(
-                    None if row.get(n) is None else str(row[n]) for n in names
-                )
+            text = [[None if r.get(n) is None else str(r[n]) for r in rows] for n in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in text], schema=schema)
             if len(rows) < self.page_size:
                 return
             page += partition.step
@@ -74,42 +73,6 @@ class PagedSource(DataSource):
         raise NotImplementedError
 
 
-class ParquetPages(PagedSource):
-    """Pages over parquet files in file order; option ``path``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "parquet_pages"
-
-    def _open(self) -> None:
-        """Row groups in file order with their offsets; footers are read once per task."""
-        import pyarrow.dataset as ds
-
-        filesystem, location = arrow_location(self.options["path"])
-        dataset = ds.dataset(location, format="parquet", filesystem=filesystem)
-        self._groups = [
-            (fragment, fragment.row_groups[0].num_rows)
-            for file in sorted(dataset.get_fragments(), key=lambda f: f.path)
-            for fragment in file.split_by_row_group()
-        ]
-        self._ends = list(accumulate(size for _, size in self._groups))
-        self._held = (None, None)
-
-    def fetch_page(self, offset: int, limit: int) -> list[dict]:
-        if not hasattr(self, "_groups"):
-            self._open()
-        rows: list[dict] = []
-        for number in range(bisect_right(self._ends, offset), len(self._groups)):
-            if len(rows) == limit:
-                break
-            fragment, size = self._groups[number]
-            if self._held[0] != number:
-                self._held = (number, fragment.to_table(columns=self.columns()))
-            start = max(0, offset - (self._ends[number] - size))
-            rows += self._held[1].slice(start, limit - len(rows)).to_pylist()
-        return rows
-
-
 def read_paged(
     spark: SparkSession, source: type[PagedSource], columns: list[str], **options
 ) -> DataFrame:
@@ -122,7 +85,12 @@ def read_paged(
     )
 
 
-def read_landed_pages(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Pages already landed as JSON files (one array of records or a record per line)."""
+def read_landed_pages(
+    spark: SparkSession, path: str, columns: list[str], pretty: bool = False
+) -> DataFrame:
+    """Pages landed as JSON files: an array of records or one record on each line.
+
+    ``pretty`` reads files whose single array or record goes over several lines.
+    """
     schema = StructType([StructField(c, StringType()) for c in columns])
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return spark.read.schema(schema).option("multiLine", pretty).json(path)

@@ -126,6 +126,19 @@ def drift_schema(spec: SnapshotSpec) -> T.StructType:
     )
 
 
+def refresh_schema(spec: SnapshotSpec) -> T.StructType:
+    """One row per date, when a refresh starts on it and when it is done with it."""
+    return T.StructType(
+        [
+            T.StructField("run", T.StringType(), False),
+            T.StructField(spec.effective, T.DateType(), False),
+            T.StructField("loaded_at", _TS, False),
+            T.StructField("state", T.StringType(), False),
+            T.StructField("logged_at", _TS, False),
+        ]
+    )
+
+
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("dag_id", T.StringType(), False),

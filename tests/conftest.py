@@ -33,19 +33,19 @@ def wh(spark, tmp_path):
     return Warehouse(spark, str(tmp_path / "warehouse"))
 
 
-def licence(key="TEST-001", **changes):
+def licence(key="LX-17", **changes):
     row = dict.fromkeys(REGISTRY.contract, "")
     row.update(
         license_nbr=key,
-        business_name="Test Biz A",
-        address_building="10",
-        address_street="Main St",
-        address_city="New York",
-        address_state="NY",
-        address_zip="10001",
-        license_status="Active",
-        license_category="Food",
-        license_creation_date="2020-01-01T00:00:00",
+        business_name="Harbour Kites",
+        address_building="4b",
+        address_street="Quay Row",
+        address_city="Port Ellis",
+        address_state="QC",
+        address_zip="H2X",
+        license_status="granted",
+        license_category="Toys",
+        license_creation_date="2011-05-09T08:30:00",
     )
     row.update(changes)
     return row

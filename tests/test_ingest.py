@@ -12,7 +12,7 @@ from palimpsest.operators.ingest import load_snapshot, load_snapshots
 from palimpsest.sources import csv_snapshot, files
 from palimpsest.spec import REGISTRY
 
-BASE = [licence(), licence("TEST-002", business_name="Test Biz B", address_building="20")]
+BASE = [licence(), licence("LX-18", business_name="Lamp Works", address_building="9")]
 
 
 def keys(wh, day=DAY):
@@ -25,7 +25,7 @@ def test_first_load_and_reload(wh, write_csv):
     assert load_snapshot(wh, path, DAY).row_count == 2
     report = load_snapshot(wh, path, DAY)
     assert (report.row_count, report.replaced_rows) == (2, 2)
-    assert keys(wh) == ["TEST-001", "TEST-002"]
+    assert keys(wh) == ["LX-17", "LX-18"]
     audit = wh.read("audit").collect()
     assert len(audit) == 1
     assert (audit[0].row_count, audit[0].rejected_count, audit[0].status) == (2, 0, "loaded")
@@ -42,12 +42,12 @@ def test_blank_keys_go_to_dead_letters_and_a_clean_retry_clears_them(wh, write_c
     assert [r.source_row_number for r in dead] == [3, 4, 5, 6]
     assert {r.reject_reason for r in dead} == {"missing_license_nbr"}
     payload = json.loads(dead[1].raw_payload)
-    assert payload["license_nbr"] == "\t" and payload["business_name"] == "Test Biz A"
+    assert payload["license_nbr"] == "\t" and payload["business_name"] == "Harbour Kites"
     assert payload["business_name2"] == ""
 
     load_snapshot(wh, write_csv("good.csv", BASE), DAY)
     assert wh.read("dlq").count() == 0
-    assert keys(wh) == ["TEST-001", "TEST-002"]
+    assert keys(wh) == ["LX-17", "LX-18"]
 
 
 def test_reload_with_only_rejects_empties_the_date(wh, write_csv):
@@ -57,7 +57,7 @@ def test_reload_with_only_rejects_empties_the_date(wh, write_csv):
     report = load_snapshot(wh, write_csv("c.csv", [licence("")]), DAY)
     assert (report.row_count, report.rejected_count, report.replaced_rows) == (0, 1, 2)
     assert keys(wh) == []
-    assert keys(wh, date(2099, 1, 2)) == ["TEST-001", "TEST-002"]
+    assert keys(wh, date(2099, 1, 2)) == ["LX-17", "LX-18"]
     assert wh.read("dlq").count() == 1
 
 
@@ -67,15 +67,15 @@ def test_added_column_is_a_warning(wh, write_csv):
     assert event.status == "warning"
     assert event.added_columns == ["inspection_grade"]
     assert event.missing_columns == []
-    assert keys(wh) == ["TEST-001", "TEST-002"]
+    assert keys(wh) == ["LX-17", "LX-18"]
 
 
 def test_missing_required_column_fails_before_raw_changes(wh, write_csv):
     load_snapshot(wh, write_csv("ok.csv", BASE), DAY)
-    path = write_csv("drift.csv", [{"business_name": "No Key", "address_street": "X"}])
+    path = write_csv("drift.csv", [{"business_name": "Nameless", "address_street": "Elm"}])
     with pytest.raises(ValueError, match="Required source columns are missing"):
         load_snapshot(wh, path, DAY)
-    assert keys(wh) == ["TEST-001", "TEST-002"]
+    assert keys(wh) == ["LX-17", "LX-18"]
     event = ingest.latest_drift(wh.read("drift"), REGISTRY).first()
     assert event.status == "failed"
     assert event.missing_columns[0] == "address_building"
@@ -89,28 +89,28 @@ def test_empty_file_fails(wh, tmp_path):
 
 
 def test_failing_checksum_keeps_the_previous_partition(wh, write_csv, monkeypatch):
-    load_snapshot(wh, write_csv("a.csv", [licence("ROLLBACK-001")]), DAY)
+    load_snapshot(wh, write_csv("a.csv", [licence("KEPT-1")]), DAY)
 
     def broken(*_):
         raise RuntimeError("forced checksum failure")
 
     monkeypatch.setattr(ingest, "_checksums", broken)
     with pytest.raises(RuntimeError, match="forced checksum failure"):
-        load_snapshot(wh, write_csv("b.csv", [licence("ROLLBACK-002")]), DAY)
-    assert keys(wh) == ["ROLLBACK-001"]
+        load_snapshot(wh, write_csv("b.csv", [licence("LOST-2")]), DAY)
+    assert keys(wh) == ["KEPT-1"]
 
 
 def test_column_order_and_missing_optional_columns(wh, write_csv):
     columns = list(reversed(REGISTRY.contract))
     load_snapshot(wh, write_csv("r.csv", BASE, columns), DAY)
     assert wh.read("drift").first().status == "passed"
-    assert keys(wh) == ["TEST-001", "TEST-002"]
+    assert keys(wh) == ["LX-17", "LX-18"]
 
     fewer = [{k: v for k, v in r.items() if k != "address_building"} for r in BASE]
     load_snapshot(wh, write_csv("f.csv", fewer), DAY)
     row = wh.read("raw").first()
-    assert row.address_building is None and row.address_street == "Main St"
-    assert wh.stage(wh.read("raw")).first().address_full == "NEW YORK, NY, 10001"
+    assert row.address_building is None and row.address_street == "Quay Row"
+    assert wh.stage(wh.read("raw")).first().address_full == "PORT ELLIS, QC, H2X"
 
 
 AWKWARD = (
@@ -122,7 +122,8 @@ AWKWARD = (
     "A-5,long,z,n2,c1,,surplus\n"
     "\n"
     ",no key,q,,,\n"
-    " A-6 ,5\" pipe,,,,\n"
+    ' A-6 ,5" pipe,,,,\n'
+    'A-9,5" a,6" b\n'
 )
 
 
@@ -131,9 +132,7 @@ AWKWARD = (
 def test_records_are_read_like_a_csv_reader_does(wh, tmp_path, multiline, newline):
     text = AWKWARD
     if multiline:
-        text = text.replace("5\" pipe", "plain") + 'A-7,"two\nlines",x,"a\n\nb",c,d\n   \nA-8,,,,,\n'
-    else:
-        text = text.replace("5\" pipe", 'a""b')
+        text += 'A-7,"two\nlines",x,"a\n\nb",c,d\n   \nA-8,,,,,\n'
     path = tmp_path / "awk ward.csv"
     path.write_bytes(text.replace("\n", newline).encode())
     with open(path, newline="") as f:
@@ -202,15 +201,59 @@ def test_land_and_load_round_trip(spark, wh, tmp_path):
     assert got["L-1"].business_name2 == "" and got["L-1"].license_status == ""
 
 
-def test_checksum_of_large_files_is_streamed(spark, tmp_path, monkeypatch):
+def test_checksums_are_streamed(spark, tmp_path):
     for i in range(4):
         (tmp_path / f"f {i}.bin").write_bytes(bytes([i]) * (10 if i < 2 else 3_000_000))
-    monkeypatch.setattr(files, "IN_MEMORY_BYTES", 1000)
     rows = files.file_checksums(spark, [str(tmp_path)], "*.bin").collect()
     expected = {hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.glob("*.bin")}
     assert {r.checksum for r in rows} == expected and len(rows) == 4
 
 
+def test_a_date_without_files_stops_the_batch(wh, write_csv, tmp_path):
+    load_snapshot(wh, write_csv("a.csv", BASE), DAY)
+    (tmp_path / "none").mkdir()
+    other = date(2099, 1, 2)
+    with pytest.raises(ValueError, match="Required source columns are missing"):
+        load_snapshots(wh, {DAY: str(tmp_path / "none"), other: write_csv("b.csv", BASE)})
+    assert keys(wh) == ["LX-17", "LX-18"] and keys(wh, other) == []
+    assert wh.read("audit").count() == 1
+    newest = {r.load_date: r.status for r in ingest.latest_drift(wh.read("drift"), REGISTRY).collect()}
+    assert newest[DAY] == "failed"
+
+
+def test_a_count_mismatch_keeps_the_old_rows(wh, write_csv, monkeypatch):
+    load_snapshot(wh, write_csv("a.csv", BASE), DAY)
+    numbered = ingest.number_records
+
+    def loses_one(*args):
+        return numbered(*args).where("license_nbr <> 'LX-18'")
+
+    monkeypatch.setattr(ingest, "number_records", loses_one)
+    with pytest.raises(RuntimeError, match="2 records were parsed, but 1"):
+        load_snapshot(wh, write_csv("b.csv", BASE), DAY)
+    assert keys(wh) == ["LX-17", "LX-18"]
+
+
+def test_landing_a_date_leaves_the_others(spark, wh, tmp_path):
+    folder, other = str(tmp_path / "landing"), date(2099, 1, 2)
+    rows = spark.createDataFrame([("A", "x"), ("B", "y")], "license_nbr string, business_name string")
+    first = ingest.land_snapshot(rows, folder, DAY, REGISTRY)
+    second = ingest.land_snapshot(rows.limit(1), folder, other, REGISTRY)
+    load_snapshots(wh, {DAY: first, other: second})
+    assert keys(wh) == ["A", "B"] and len(keys(wh, other)) == 1
+    assert ingest.land_snapshot(rows.limit(0), folder, DAY, REGISTRY) == first
+    assert load_snapshot(wh, first, DAY).row_count == 0
+    assert keys(wh) == [] and len(keys(wh, other)) == 1
+
+
+def test_several_files_of_one_date(wh, write_csv):
+    parts = [write_csv(f"p{i}[1].csv", [r]) for i, r in enumerate(BASE)]
+    report = load_snapshot(wh, parts, DAY)
+    assert report.row_count == 2 and keys(wh) == ["LX-17", "LX-18"]
+    assert {r.source_row_number for r in wh.read("raw").collect()} == {2, 3}
+    assert wh.read("audit").first().source_file_uri == ",".join(parts)
+
+
 def test_latest_file(spark, tmp_path):
     import os
 

@@ -7,12 +7,16 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from .operators.ingest import load_snapshot, profile_snapshots
+from .operators.ingest import land_snapshot, load_snapshot, profile_snapshots
 from .operators.warehouse import Warehouse
 from .plans.marts import format_summary
-from .plans.pipeline import run_snapshot
+from .plans.pipeline import backfill, refresh, run_checks, run_snapshot
+from .sources.paged import read_landed_pages
 from .streaming import catch_up
 
+# Fixed value: what is printed before the first run.
+EMPTY = "No summary data found. Has the pipeline run yet?"
+
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="palimpsest")
@@ -25,6 +29,15 @@ def _arguments() -> argparse.Namespace:
         command = commands.add_parser(name, help=purpose)
         command.add_argument("--csv", required=True, help="snapshot file or folder")
         command.add_argument("--date", type=date.fromisoformat, default=date.today())
+    several = commands.add_parser("backfill", help="load several dates, refresh once")
+    several.add_argument("snapshots", nargs="+", metavar="DATE=PATH")
+    commands.add_parser("refresh", help="build the models from what is loaded")
+    commands.add_parser("rebuild", help="build the models from everything in raw")
+    commands.add_parser("check", help="count violated invariants, tell the age of the data")
+    landing = commands.add_parser("land", help="write landed JSON pages as a date's CSV")
+    landing.add_argument("--pages", required=True, help="folder of JSON pages")
+    landing.add_argument("--landing", required=True)
+    landing.add_argument("--date", type=date.fromisoformat, default=date.today())
     catching_up = commands.add_parser("catch-up", help="run all newly landed snapshots")
     catching_up.add_argument("--landing", required=True)
     catching_up.add_argument("--checkpoint", required=True)
@@ -45,12 +58,26 @@ def main() -> None:
         print(load_snapshot(wh, args.csv, args.date))
     elif args.command == "run":
         print(format_summary(run_snapshot(wh, args.csv, args.date).summary))
+    elif args.command == "backfill":
+        pairs = (s.split("=", 1) for s in args.snapshots)
+        result = backfill(wh, {date.fromisoformat(d): path for d, path in pairs})
+        print(format_summary(result.summary))
+    elif args.command in ("refresh", "rebuild"):
+        summary = refresh(wh, rebuild=args.command == "rebuild")
+        print(EMPTY if summary is None else format_summary(summary))
+    elif args.command == "check":
+        counts, fresh = run_checks(wh)
+        for row in counts.collect():
+            print(row.check_name, row.violations)
+        print("freshness", fresh.first().status)
+    elif args.command == "land":
+        pages = read_landed_pages(spark, args.pages, list(wh.spec.contract))
+        print(land_snapshot(pages, args.landing, args.date, wh.spec))
     elif args.command == "catch-up":
         catch_up(wh, args.landing, args.checkpoint)
     else:
         summary = wh.published.read("quality_summary")
-        empty = "No summary data found. Has the pipeline run yet?"
-        print(empty if summary is None else format_summary(summary))
+        print(EMPTY if summary is None else format_summary(summary))
 
 
 if __name__ == "__main__":

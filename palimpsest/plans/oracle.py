@@ -131,7 +131,7 @@ _REGISTRY = f"{_RAW}, {_STAGE.format(source='raw')}"
 _FROM_CSV = f"""{_RAW},
 landed AS (
   SELECT {", ".join(f"coalesce({c}, '') AS {c}" for c in _CONTRACT)},
-         load_date, ingested_at, source_row_number
+         load_date, TIMESTAMP '2024-02-01 06:00:00' AS ingested_at, source_row_number
   FROM raw
 ),
 {_STAGE.format(source="landed")}"""
@@ -199,6 +199,12 @@ def _landed(column: str) -> str:
     return f"coalesce({column}, '') AS {column}"
 
 
+def _null_columns(*columns: str) -> str:
+    """How many of these expressions are NULL in some row."""
+    some = (f"CAST(coalesce(bool_or(({c}) IS NULL), false) AS BIGINT)" for c in columns)
+    return f"CAST({' + '.join(some)} AS BIGINT)"
+
+
 ORACLE: dict[str, str] = {
     "normalize_text": _select(
         _REGISTRY,
@@ -264,7 +270,7 @@ ORACLE: dict[str, str] = {
 merged AS (
   SELECT *, load_date + INTERVAL 6 HOUR AS run_ts,
          lag(attr_hash) OVER (PARTITION BY user_id ORDER BY load_date) AS previous_hash
-  FROM ev WHERE load_date IN (DATE '2024-01-10', DATE '2024-01-20', DATE '2024-01-30')
+  FROM ev
 ),
 opened AS (
   SELECT *, lead(run_ts) OVER (PARTITION BY user_id ORDER BY load_date) AS next_ts
@@ -381,21 +387,28 @@ reach AS (
         "WHERE versions > 1 OR previous_end > reach.valid_from",
     ),
     "dq_suite": _select(
-        _REG_DIM,
-        "SELECT 'raw_not_null' AS check_name, count(*) AS violations FROM raw "
-        f"WHERE NOT {_BLANK} AND (load_date IS NULL OR ingested_at IS NULL) "
-        "UNION ALL SELECT 'staged_not_null', count(*) FROM reg WHERE license_nbr IS NULL "
-        "OR load_date IS NULL OR attr_hash IS NULL "
-        "UNION ALL SELECT 'dim_not_null', count(*) FROM dim WHERE business_sk IS NULL "
-        "OR license_nbr IS NULL OR attr_hash IS NULL OR valid_from IS NULL OR is_current IS NULL "
-        "UNION ALL SELECT 'dim_unique', count(*) FROM (SELECT business_sk FROM dim GROUP BY 1 "
+        f"""{_REG_DIM},
+broken AS (
+  SELECT business_sk, license_nbr, attr_hash, valid_from, is_current FROM dim
+  UNION ALL
+  SELECT business_sk, license_nbr, NULL, valid_from, is_current FROM dim WHERE is_current
+)""",
+        "SELECT 'raw_not_null' AS check_name, "
+        + _null_columns("load_date", "if(license_category = '1-urgent', NULL, ingested_at)")
+        + f" AS violations FROM raw WHERE NOT {_BLANK} "
+        "UNION ALL SELECT 'staged_not_null', "
+        + _null_columns(
+            "license_nbr", "load_date", "if(license_category = '2-HIGH', NULL, attr_hash)"
+        )
+        + " FROM reg UNION ALL SELECT 'dim_not_null', "
+        + _null_columns("business_sk", "license_nbr", "attr_hash", "valid_from", "is_current")
+        + " FROM broken "
+        "UNION ALL SELECT 'dim_unique', count(*) FROM (SELECT business_sk FROM broken GROUP BY 1 "
         "HAVING count(*) > 1) "
-        "UNION ALL SELECT 'dim_one_current', count(*) FROM (SELECT license_nbr FROM dim "
+        "UNION ALL SELECT 'dim_one_current', count(*) FROM (SELECT license_nbr FROM broken "
         "WHERE is_current GROUP BY 1 HAVING count(*) > 1) "
-        "UNION ALL SELECT 'dim_no_overlaps', count(*) FROM dim a JOIN dim b "
-        "ON a.license_nbr = b.license_nbr AND a.business_sk <> b.business_sk "
-        "AND a.valid_from < coalesce(b.valid_to, DATE '9999-12-31') "
-        "AND coalesce(a.valid_to, DATE '9999-12-31') > b.valid_from",
+        "UNION ALL SELECT 'dim_no_overlaps', count(*) FROM (SELECT license_nbr, valid_from "
+        "FROM broken GROUP BY ALL HAVING count(*) > 1)",
     ),
     "freshness": """
 SELECT CAST(max_loaded_at AS VARCHAR) AS max_loaded_at, age_seconds,
@@ -416,9 +429,8 @@ FROM (SELECT max(ts) AS max_loaded_at,
     ),
     "keyed_upsert": _select(
         _EVENTS,
-        f"SELECT user_id, event_type, {_text('load_date')} FROM ev "
-        "WHERE load_date = DATE '2024-01-20' OR (load_date = DATE '2024-01-10' AND user_id "
-        "NOT IN (SELECT user_id FROM ev WHERE load_date = DATE '2024-01-20'))",
+        f"SELECT user_id, event_type, {_text('load_date')} FROM ev JOIN (SELECT user_id, "
+        "max(load_date) AS load_date FROM ev GROUP BY 1) USING (user_id, load_date)",
     ),
     "append_log": _select(
         _PROFILES, "SELECT status, 2 * count(*) AS events FROM profiles GROUP BY 1"
@@ -434,9 +446,12 @@ FROM (SELECT max(ts) AS max_loaded_at,
         "(PARTITION BY date_trunc('month', load_date) ORDER BY load_date DESC) AS rn "
         "FROM profiles) WHERE rn = 1",
     ),
-    "csv_round_trip": _select(
-        _REGISTRY,
-        f"SELECT {', '.join(map(_landed, _CONTRACT))}, {_text('load_date')} FROM raw",
+    **dict.fromkeys(
+        ("csv_round_trip", "land_twice"),
+        _select(
+            _REGISTRY,
+            f"SELECT {', '.join(map(_landed, _CONTRACT))}, {_text('load_date')} FROM raw",
+        ),
     ),
     "source_row_numbers": _select(
         _REGISTRY,
@@ -466,15 +481,16 @@ FROM (SELECT max(ts) AS max_loaded_at,
         f"SELECT {_text('load_date')}, '2024-02-01 07:00:00' AS ingested_at, "
         f"count(*) AS row_count FROM raw WHERE NOT {_BLANK} GROUP BY raw.load_date",
     ),
-    "backfill": _select(
-        f"{_FROM_CSV}, {_dim('reg', 'license_nbr', _REG_ATTRIBUTES, 'dim')}",
-        f"SELECT {_REG_DIM_COLUMNS} FROM dim",
-    ),
-    "catch_up": _select(
-        _REGISTRY,
-        f"SELECT {_text('load_date')}, count(*) AS row_count FROM raw WHERE NOT {_BLANK} "
-        "GROUP BY raw.load_date",
+    **dict.fromkeys(
+        ("backfill", "load_then_build", "catch_up"),
+        _select(
+            f"{_FROM_CSV}, {_dim('reg', 'license_nbr', _REG_ATTRIBUTES, 'dim')}",
+            f"SELECT {_REG_DIM_COLUMNS} FROM dim",
+        ),
     ),
+    "file_checksums": "SELECT c_nationkey, sha256(string_agg(c_custkey || '|' || c_name || "
+    "chr(10), '' ORDER BY c_custkey)) AS checksum FROM customer GROUP BY 1",
+    "latest_file": "SELECT max(r_regionkey) AS r_regionkey FROM region",
     "paged_source": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment "
     "FROM customer",
 }

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 from typing import TypeVar
 
@@ -25,6 +26,7 @@ from ..operators.snapshot import snapshot_merge
 from ..operators.staging import keyed
 from ..operators.warehouse import Warehouse
 from ..session import local_rows, materialize
+from ..sources.csv_snapshot import Source
 from ..spec import METRICS_SCHEMA
 from . import marts
 
@@ -32,6 +34,8 @@ T = TypeVar("T")
 
 DIMENSION = "dim_business"
 HISTORY = "businesses_snapshot"
+# A load older than this is a warning, or an error.
+FRESH = (timedelta(hours=24), timedelta(hours=48))
 MARTS = ("vw_address_changes", "vw_status_history", "quality_summary")
 
 
@@ -85,40 +89,97 @@ def _replace_staged(
     )
 
 
-def _build_dimension(wh: Warehouse) -> DataFrame:
-    """First run: stage everything raw holds, then build from the staged table."""
+Check = Callable[[DataFrame, DataFrame, DataFrame], None]
+
+
+def pending_dates(wh: Warehouse) -> tuple[dict[date, datetime], bool]:
+    """Loaded dates that no finished refresh has seen, and whether one broke off.
+
+    The audit says when a date was last loaded, the refresh log which loads a refresh
+    started on and was done with. Both have a few rows per date.
+    """
+    day = wh.spec.effective
+    log = wh.read("refreshes")
+    done = log.where("state = 'done'")
+    broken = log.where("state = 'started'").join(done, ["run", day], "left_anti")
+    loads = wh.read("audit").select(day, F.col("updated_at").alias("loaded_at"))
+    new = loads.join(done.select(day, "loaded_at"), [day, "loaded_at"], "left_anti")
+    healed = done.agg(F.max("logged_at")).first()[0]
+    if healed is not None:  # a refresh that ended later has put things right
+        broken = broken.where(F.col("logged_at") > F.lit(healed).cast("timestamp_ntz"))
+    return {r[day]: r.loaded_at for r in new.collect()}, not broken.isEmpty()
+
+
+def _log_refresh(wh: Warehouse, run: str, loads: Mapping[date, datetime], state: str) -> None:
+    rows = [(run, day, at, state, tables.utc_now()) for day, at in sorted(loads.items())]
+    tables.append(local_rows(wh.spark, rows, wh.schema("refreshes")), wh.path("refreshes"))
+
+
+def _rebuild(wh: Warehouse, check: Check | None) -> DataFrame:
+    """Stage everything raw holds, then build from the staged table."""
     raw = keyed(wh.read("raw"), wh.spec)
     left_over = wh.read("staged").select(wh.spec.effective).distinct().collect()
     _replace_staged(wh, wh.stage(raw), [r[0] for r in left_over], raw)
-    dim = build_scd2(wh.read("staged"), wh.spec)
-    return wh.published.publish({DIMENSION: dim}, ["is_current"])[DIMENSION]
+    staged = wh.read("staged")
+    return _publish_dimension(wh, build_scd2(staged, wh.spec), raw, staged, check)
 
 
-def refresh_dimension(wh: Warehouse, dates: list[date]) -> DataFrame:
-    """Stage the given raw dates and bring the dimension up to date with them.
+def _publish_dimension(
+    wh: Warehouse, dim: DataFrame, raw: DataFrame, staged: DataFrame, check: Check | None
+) -> DataFrame:
+    """Write the dimension, check it, and only then make it current.
 
-    The first run builds everything raw holds; later ones repair impacted keys from the
-    earliest of the dates on. Staging is replaced last: if the run dies before, a retry
-    finds the old staging and repeats the same repair. Open and closed versions lie in
-    different folders, so reading the current state never scans the history.
+    Open and closed versions lie in different folders, so reading the current state
+    never scans the history.
     """
+    prepared = wh.published.prepare({DIMENSION: dim}, ["is_current"])
+    if check:
+        check(raw, staged, prepared.tables[DIMENSION])
+    wh.published.commit(prepared)
+    return prepared.tables[DIMENSION]
+
+
+def _repair(wh: Warehouse, dim: DataFrame, dates: list[date], check: Check | None) -> DataFrame:
+    """Repair the keys these dates change; staging is replaced last."""
     spec = wh.spec
-    dim = wh.published.read(DIMENSION)
-    if dim is None:
-        return _build_dimension(wh)
     of_dates = F.col(spec.effective).isin(dates)
-    held = wh.read("staged")
-    staged_now = materialize(wh.stage(wh.read("raw").where(of_dates)), "staged")
+    held, raw = wh.read("staged"), wh.read("raw").where(of_dates)
+    staged_now = materialize(wh.stage(raw), "staged")
     impacted = materialize(
         impacted_keys(held.where(of_dates), staged_now, dim, dates, spec), "impacted"
     )
     staged = held.where(~of_dates).unionByName(staged_now)
     repaired = repair_scd2(dim, staged, impacted, min(dates), spec)
-    dim = wh.published.publish({DIMENSION: repaired}, ["is_current"])[DIMENSION]
+    dim = _publish_dimension(wh, repaired, raw, staged_now, check)
     _replace_staged(wh, staged_now, dates, staged_now)
     return dim
 
 
+def refresh_dimension(
+    wh: Warehouse, check: Check | None = None, rebuild: bool = False
+) -> DataFrame | None:
+    """Bring staging and the dimension up to date with everything that was loaded.
+
+    What to do follows from the tables, not from the caller: dates loaded since the last
+    refresh are staged and their keys repaired. The first run, a ``rebuild``, and a run
+    after one that broke off build from everything raw holds. ``check`` gets the raw and
+    staged rows looked at and the new dimension, and may refuse it before it is current.
+    """
+    loads, broken = pending_dates(wh)
+    dim = wh.published.read(DIMENSION)
+    rebuild = rebuild or broken or dim is None
+    if rebuild:
+        day = wh.spec.effective
+        loads = {r[0]: r[1] for r in wh.read("audit").select(day, "updated_at").collect()}
+    if not loads:
+        return dim
+    run = uuid.uuid4().hex
+    _log_refresh(wh, run, loads, "started")
+    dim = _rebuild(wh, check) if rebuild else _repair(wh, dim, sorted(loads), check)
+    _log_refresh(wh, run, loads, "done")
+    return dim
+
+
 def refresh_history(wh: Warehouse, run_ts: datetime) -> DataFrame:
     """SCD4: merge the newest staged snapshot into the order-of-arrival history."""
     spec = wh.spec
@@ -153,7 +214,7 @@ def register_views(wh: Warehouse, detected_at: datetime | None = None) -> None:
 
 def backfill(
     wh: Warehouse,
-    snapshots: Mapping[date, str],
+    snapshots: Mapping[date, Source],
     run_ts: datetime | None = None,
     run: str = "daily_snapshot",
     attempt: int = 1,
@@ -161,33 +222,65 @@ def backfill(
     """ING10: load any number of dates in one go, then refresh everything once.
 
     The order of the dates, and whether they are new, late or repeated, does not matter
-    for the dimension. Any violated check raises after the tables are written.
+    for the dimension. A violated check raises before the new dimension is current.
     """
     run_ts = run_ts or tables.utc_now()
-    dates = sorted(snapshots)
-    log = TaskLog(wh, run, dates[-1], attempt)
+    log = TaskLog(wh, run, max(snapshots), attempt)
     try:
         loads = log.run(
             "load_raw_replace_partition",
             lambda: load_snapshots(wh, snapshots, run_ts),
             lambda reports: sum(r.row_count for r in reports),
         )
-        dim = log.run("refresh_dimension", lambda: refresh_dimension(wh, dates))
-        log.run("refresh_history", lambda: refresh_history(wh, run_ts))
-        log.run("refresh_marts", lambda: refresh_marts(wh, dim))
-        # Other dates were checked when they were loaded and have not changed since.
-        of_dates = F.col(wh.spec.effective).isin(dates)
-        raw, staged = (wh.read(name).where(of_dates) for name in ("raw", "staged"))
+        _refresh(wh, run_ts, log)
+    finally:
+        log.write()
+    return RunResult(loads, wh.published.read("quality_summary"))
+
+
+def _refresh(wh: Warehouse, run_ts: datetime, log: TaskLog, rebuild: bool = False) -> None:
+    def check(raw: DataFrame, staged: DataFrame, dim: DataFrame) -> None:
         checks = quality.registry_checks(raw, staged, dim, wh.spec)
         log.run("test_invariants", lambda: quality.enforce(checks))
+
+    dim = log.run("refresh_dimension", lambda: refresh_dimension(wh, check, rebuild))
+    if dim is not None:
+        log.run("refresh_history", lambda: refresh_history(wh, run_ts))
+        log.run("refresh_marts", lambda: refresh_marts(wh, dim))
+
+
+def refresh(
+    wh: Warehouse, run_ts: datetime | None = None, rebuild: bool = False, run: str = "refresh"
+) -> DataFrame | None:
+    """Build the models from what is loaded; ``rebuild`` from everything raw holds.
+
+    Returns the summary, None if nothing was ever loaded.
+    """
+    run_ts = run_ts or tables.utc_now()
+    log = TaskLog(wh, run, run_ts.date())
+    try:
+        _refresh(wh, run_ts, log, rebuild)
     finally:
         log.write()
-    return RunResult(loads, wh.published.read("quality_summary"))
+    return wh.published.read("quality_summary")
+
+
+def run_checks(wh: Warehouse, now: datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """The invariants over everything, and how old the newest load is."""
+    dim = wh.published.read(DIMENSION)
+    if dim is None:
+        raise ValueError("nothing was built yet")
+    raw = wh.read("raw")
+    counts = quality.check_counts(
+        quality.registry_checks(raw, wh.read("staged"), dim, wh.spec)
+    )
+    fresh = quality.freshness(raw, "ingested_at", now or tables.utc_now(), *FRESH)
+    return counts, fresh
 
 
 def run_snapshot(
     wh: Warehouse,
-    path: str,
+    path: Source,
     load_date: date | None = None,
     run_ts: datetime | None = None,
 ) -> RunResult:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import address_full, attr_hash, natural_key, normalize_text, safe_date
@@ -28,7 +28,7 @@ from ..spec import REGISTRY, SnapshotSpec
 from ..streaming import catch_up
 from . import feeds, marts
 from .feeds import EVENTS, ORDERS
-from .pipeline import DIMENSION, backfill
+from .pipeline import DIMENSION, backfill, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +36,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF_DAY = date(2024, 1, 15)
 REPLACED_DAY = date(2024, 1, 12)
 LATE_DAY = date(2024, 1, 18)
-MERGED_DAYS = (date(2024, 1, 10), date(2024, 1, 20), date(2024, 1, 30))
 NOW = datetime(2024, 2, 1)
 RUN_TS = datetime(2024, 2, 1, 6)
 LARGE_ORDER = 450_000
@@ -218,10 +217,16 @@ def q_scd2_incremental(spark, sf):
     )
 
 
+def _days(rows: DataFrame) -> list[date]:
+    found = rows.select("load_date").where("load_date IS NOT NULL").distinct().collect()
+    return sorted(r[0] for r in found)
+
+
 def q_snapshot_merge(spark, sf):
+    """Every day is merged on its own, in the order of the days."""
     staged = materialize(_events_staged(spark, sf), "staged")
     history = None
-    for day in MERGED_DAYS:
+    for day in _days(staged):
         seen = staged.where(F.col("load_date") <= F.lit(day))
         batch = scd2.latest_snapshot(seen, EVENTS).drop(*EVENTS.recency)
         run_ts = datetime(day.year, day.month, day.day, 6)
@@ -309,9 +314,18 @@ def q_dq_overlaps_linear(spark, sf):
 
 
 def q_dq_suite(spark, sf):
+    """Tables that break each of the rules: every check has violations to count."""
     raw = feeds.registry_feed(spark, sf).where(~is_blank_key("license_nbr"))
     staged = materialize(staging.stage_registry(raw, REGISTRY), "staged")
     dim = materialize(scd2.build_scd2(staged, REGISTRY), "dim")
+
+    def blanked(df: DataFrame, column: str, where: Column) -> DataFrame:
+        return df.withColumn(column, F.when(~where, F.col(column)))
+
+    raw = blanked(raw, "ingested_at", F.col("license_category") == "1-urgent")
+    staged = blanked(staged, "attr_hash", F.col("license_category") == "2-HIGH")
+    again = blanked(dim.where("is_current"), "attr_hash", F.lit(True))
+    dim = materialize(dim.unionByName(again), "broken")
     return quality.check_counts(quality.registry_checks(raw, staged, dim, REGISTRY))
 
 
@@ -358,11 +372,14 @@ def q_replace_emptied(spark, sf):
 
 
 def q_keyed_upsert(spark, sf):
-    """Users' last state at one day, updated by their states of a later day."""
+    """Users' last states, updated by the states of day after day."""
     staged = _events_staged(spark, sf).select("user_id", "event_type", "load_date")
-    held = staged.where(F.col("load_date") == F.lit(MERGED_DAYS[0]))
-    updates = staged.where(F.col("load_date") == F.lit(MERGED_DAYS[1]))
-    return as_text(tables.upsert(held, updates, "user_id"))
+    staged = materialize(staged, "staged")
+    held = staged.where("false")
+    for day in _days(staged):
+        updates = staged.where(F.col("load_date") == F.lit(day))
+        held = materialize(tables.upsert(held, updates, "user_id"), "held")
+    return as_text(held)
 
 
 def q_append_log(spark, sf):
@@ -430,14 +447,11 @@ def q_drift_latest(spark, sf):
 
 
 def _landed(
-    spark: SparkSession, sf: str, one_per_key: bool = False
+    spark: SparkSession, sf: str, order: str | None = None
 ) -> tuple[str, dict[date, str]]:
-    """The registry feed as CSV folders, one per month."""
+    """The registry feed as CSV folders, one per month; with ``order`` in that order."""
     folder = scratch_path(spark, "landing")
-    rows = feeds.registry_feed(spark, sf)
-    if one_per_key:
-        rows = staging.latest_per_key(rows, REGISTRY)
-    ingest.land_snapshots(rows, folder, REGISTRY)
+    ingest.land_snapshots(feeds.registry_feed(spark, sf), folder, REGISTRY, order)
     months = feeds.orders_feed(spark, sf).select("load_date").distinct().collect()
     return folder, {r[0]: f"{folder}/load_date={r[0]}" for r in months}
 
@@ -516,45 +530,80 @@ def q_reload_idempotent(spark, sf):
 def q_backfill(spark, sf):
     """All months from CSV files to the dimension, the earlier half arriving last."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
-    _, snapshots = _landed(spark, sf, one_per_key=True)
+    for batch in _halves(_landed(spark, sf, "source_row_number")[1])[::-1]:
+        backfill(wh, batch, RUN_TS)
+    return as_text(wh.published.read(DIMENSION))
+
+
+def _halves(snapshots: dict[date, str]) -> list[dict[date, str]]:
     days = sorted(snapshots)
     half = len(days) // 2
-    for batch in (days[half:], days[:half]):
-        backfill(wh, {d: snapshots[d] for d in batch}, RUN_TS)
+    return [{d: snapshots[d] for d in part} for part in (days[:half], days[half:])]
+
+
+def q_load_then_build(spark, sf):
+    """Two loads without a run, then one refresh, which finds their dates itself."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    for batch in _halves(_landed(spark, sf, "source_row_number")[1]):
+        ingest.load_snapshots(wh, batch, RUN_TS)
+    refresh(wh, RUN_TS)
     return as_text(wh.published.read(DIMENSION))
 
 
+def q_land_twice(spark, sf):
+    """Months landed in two calls, all read back."""
+    folder = scratch_path(spark, "landing")
+    rows = feeds.registry_feed(spark, sf)
+    days = _days(rows)
+    early = F.col("load_date") < F.lit(days[len(days) // 2])
+    for part in (rows.where(early), rows.where(~early)):
+        ingest.land_snapshots(part, folder, REGISTRY)
+    parts = inspect_files(spark, {d: f"{folder}/load_date={d}" for d in days})
+    scanned = materialize(scan_snapshots(spark, parts, REGISTRY), "parsed")
+    splits = materialize(split_counts(scanned, parts, REGISTRY), "splits")
+    numbered = number_records(scanned, splits, splits.count(), REGISTRY)
+    return as_text(numbered.select(*REGISTRY.contract, "load_date"))
+
+
 def q_catch_up(spark, sf):
-    """The streaming run over a landing folder fills the raw table."""
+    """The streaming run over a landing folder of part files builds the dimension."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
-    folder, _ = _landed(spark, sf)
+    folder, _ = _landed(spark, sf, "source_row_number")
     catch_up(wh, folder, scratch_path(spark, "stream"))
-    counts = wh.read("raw").groupBy("load_date")
-    return as_text(counts.agg(F.count(F.lit(1)).alias("row_count")))
+    return as_text(wh.published.read(DIMENSION))
 
 
 def q_paged_source(spark, sf):
+    """Customers landed as JSON pages, read back as text."""
     columns = ["c_custkey", "c_name", "c_mktsegment"]
-    return paged.read_paged(
-        spark,
-        paged.ParquetPages,
-        columns,
-        path=f"{sf}/customer.parquet",
-        pageSize=10_000,
-        stripes=spark.sparkContext.defaultParallelism,
-    )
+    folder = scratch_path(spark, "pages")
+    customers = feeds.table(spark, sf, "customer").select(*columns)
+    customers.write.option("maxRecordsPerFile", paged.PAGE_SIZE).json(folder)
+    return paged.read_landed_pages(spark, folder, columns)
 
 
 def q_file_checksums(spark, sf):
-    sums = files.file_checksums(spark, [sf], "*.parquet")
-    return sums.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "checksum"
-    )
+    """Checksums of text files, one per nation with its customers in order."""
+    folder = scratch_path(spark, "nations")
+    line = F.concat_ws("|", "c_custkey", "c_name").alias("line")
+    customers = feeds.table(spark, sf, "customer").repartition("c_nationkey")
+    ordered = customers.sortWithinPartitions("c_nationkey", "c_custkey")
+    ordered.select("c_nationkey", line).write.partitionBy("c_nationkey").text(folder)
+    nation = F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("int")
+    sums = files.file_checksums(spark, [folder], "*.txt")
+    return sums.select(nation.alias("c_nationkey"), "checksum")
 
 
 def q_latest_file(spark, sf):
-    newest = files.latest_file(spark, sf, "*.parquet")
-    return newest.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"))
+    """Of files written one after the other the last."""
+    folder = scratch_path(spark, "regions")
+    regions = feeds.table(spark, sf, "region")
+    for key in sorted(r[0] for r in regions.select("r_regionkey").collect()):
+        one = regions.where(F.col("r_regionkey") == key)
+        one.write.option("header", True).csv(f"{folder}/region={key}")
+    newest = files.latest_file(spark, f"{folder}/region=*", "*.csv")
+    region = F.regexp_extract("path", r"region=(\d+)", 1).cast("int")
+    return newest.select(region.alias("r_regionkey"))
 
 
 def all_queries() -> dict[str, Query]:

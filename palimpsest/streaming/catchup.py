@@ -3,45 +3,55 @@
 from __future__ import annotations
 
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.warehouse import Warehouse
 from ..plans.pipeline import backfill
+from ..sources.files import list_files
 
 # Fixed value: where a landed path names its date, and which part of it is the snapshot.
 DATED_PATH = r"^(.*?(?:snapshot_|load_date=)(\d{4}-\d{2}-\d{2})[^/]*)"
 
 
-def dated_snapshots(files: DataFrame) -> dict[date, str]:
-    """Date -> snapshot path for a listing of landed files (column ``path``)."""
-    found = (
-        files.select(
-            F.regexp_extract("path", DATED_PATH, 2).try_cast("date").alias("day"),
-            F.regexp_extract("path", DATED_PATH, 1).alias("snapshot"),
-        )
-        .where(F.col("day").isNotNull())
-        .groupBy("day")
-        .agg(F.max("snapshot").alias("snapshot"))
+def dated(files: DataFrame) -> DataFrame:
+    """(path, day, snapshot) of landed files (column ``path``); day NULL without one."""
+    return files.select(
+        "path",
+        F.regexp_extract("path", DATED_PATH, 2).try_cast("date").alias("day"),
+        F.regexp_extract("path", DATED_PATH, 1).alias("snapshot"),
     )
-    return {r.day: r.snapshot for r in found.collect()}
+
+
+def dated_snapshots(files: DataFrame) -> dict[date, list[str]]:
+    """Date -> all its files or folders, for a listing of landed files."""
+    found = dated(files).where(F.col("day").isNotNull()).groupBy("day")
+    paths = found.agg(F.array_sort(F.collect_set("snapshot")).alias("paths"))
+    return {r.day: [unquote(p) for p in r.paths] for r in paths.collect()}
 
 
 def catch_up(wh: Warehouse, landing: str, checkpoint: str) -> None:
     """Run all new files of ``landing`` through the pipeline, then stop.
 
     The stream only lists files (contents are read by the load) and its checkpoint
-    remembers which were seen. A date with any new file is loaded again as a whole, so a
-    batch repeated after a failure leaves the same tables.
+    remembers which were seen. A date with any new file is loaded again as a whole, from
+    all its files, so a batch repeated after a failure leaves the same tables. A file
+    whose path names no date fails the run.
     """
     spark = wh.spark
     schema = "path string, modificationTime timestamp, length long, content binary"
 
     def run_batch(files: DataFrame, _batch_id: int) -> None:
-        snapshots = dated_snapshots(files)
-        if snapshots:
-            backfill(wh, snapshots)
+        new = dated(files)
+        undated = new.where(F.col("day").isNull()).select("path").take(3)
+        if undated:
+            raise ValueError(f"no date in the path of {[r.path for r in undated]}")
+        days = {r.day for r in new.select("day").distinct().collect()}
+        if days:
+            landed = dated_snapshots(list_files(spark, [landing], "*.csv"))
+            backfill(wh, {day: landed[day] for day in days})
 
     listing = (
         spark.readStream.format("binaryFile")

@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 import pytest
@@ -11,11 +12,11 @@ from palimpsest.sources import paged
 from palimpsest.spec import REGISTRY
 from palimpsest.streaming import catch_up
 
-EARLY, LATE = date(2099, 2, 10), date(2099, 2, 15)
+EARLY, LATE = date(2087, 4, 3), date(2087, 4, 21)
 
 
-def chaos(street):
-    return licence("CHAOS-001", business_name="Chaos Coffee LLC", address_street=street)
+def vine(street):
+    return licence("MV-3", business_name="Mill & Vine", address_street=street)
 
 
 def ranges(wh):
@@ -24,19 +25,19 @@ def ranges(wh):
 
 
 def test_late_snapshot_is_put_in_its_place(wh, write_csv):
-    run_snapshot(wh, write_csv("newer.csv", [chaos("Broadway")]), LATE)
-    assert ranges(wh) == [("10 BROADWAY", LATE, None, True)]
-    result = run_snapshot(wh, write_csv("older.csv", [chaos("Main St")]), EARLY)
+    run_snapshot(wh, write_csv("newer.csv", [vine("Slope Rd")]), LATE)
+    assert ranges(wh) == [("4B SLOPE RD", LATE, None, True)]
+    result = run_snapshot(wh, write_csv("older.csv", [vine("Weir Ln")]), EARLY)
     assert ranges(wh) == [
-        ("10 MAIN ST", EARLY, LATE, False),
-        ("10 BROADWAY", LATE, None, True),
+        ("4B WEIR LN", EARLY, LATE, False),
+        ("4B SLOPE RD", LATE, None, True),
     ]
     row = result.summary.first()
     assert tuple(row) == (LATE, 1, 2, 1, 1, 1)
     report = marts.format_summary(result.summary)
     assert "Total versions in history  : 2" in report
     changes = wh.published.read("vw_address_changes").collect()
-    assert [(r.old_address.split(",")[0], r.changed_on) for r in changes] == [("10 MAIN ST", LATE)]
+    assert [(r.old_address.split(",")[0], r.changed_on) for r in changes] == [("4B WEIR LN", LATE)]
     assert wh.published.read("vw_status_history").count() == 2
     # The order-of-arrival history only saw the newest date, twice.
     assert wh.published.read(HISTORY).count() == 1
@@ -47,7 +48,7 @@ def test_backfill_in_any_grouping_equals_one_build(spark, wh, write_csv):
     files = {
         date(2099, 1, d): write_csv(
             f"snapshot_2099-01-0{d}.csv",
-            [chaos(s), licence("K-2", business_name=f"n{d // 3}")] + [licence(f"ONCE-{d}")],
+            [vine(s), licence("K-2", business_name=f"n{d // 3}")] + [licence(f"ONCE-{d}")],
         )
         for d, s in streets.items()
     }
@@ -64,14 +65,14 @@ def test_backfill_in_any_grouping_equals_one_build(spark, wh, write_csv):
 
 
 def test_rows_vanishing_from_a_reloaded_date_leave_the_dimension(wh, write_csv):
-    run_snapshot(wh, write_csv("a.csv", [chaos("Broadway"), licence("WRONG")]), EARLY)
+    run_snapshot(wh, write_csv("a.csv", [vine("Slope Rd"), licence("WRONG")]), EARLY)
     assert len(ranges(wh)) == 2
-    run_snapshot(wh, write_csv("b.csv", [chaos("Broadway")]), EARLY)
-    assert ranges(wh) == [("10 BROADWAY", EARLY, None, True)]
+    run_snapshot(wh, write_csv("b.csv", [vine("Slope Rd")]), EARLY)
+    assert ranges(wh) == [("4B SLOPE RD", EARLY, None, True)]
 
 
 def test_a_run_that_dies_before_staging_is_replaced_heals_on_retry(wh, write_csv, monkeypatch):
-    run_snapshot(wh, write_csv("a.csv", [chaos("Main St")]), EARLY)
+    run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln")]), EARLY)
     replace = pipeline.tables.replace_partitions
 
     def dies(df, path, *args):
@@ -79,15 +80,15 @@ def test_a_run_that_dies_before_staging_is_replaced_heals_on_retry(wh, write_csv
             raise OSError("lost")
         return replace(df, path, *args)
 
-    path = write_csv("b.csv", [chaos("Broadway")])
+    path = write_csv("b.csv", [vine("Slope Rd")])
     monkeypatch.setattr(pipeline.tables, "replace_partitions", dies)
     with pytest.raises(OSError):
         run_snapshot(wh, path, LATE)
     monkeypatch.setattr(pipeline.tables, "replace_partitions", replace)
     run_snapshot(wh, path, LATE)
     assert ranges(wh) == [
-        ("10 MAIN ST", EARLY, LATE, False),
-        ("10 BROADWAY", LATE, None, True),
+        ("4B WEIR LN", EARLY, LATE, False),
+        ("4B SLOPE RD", LATE, None, True),
     ]
     failed = wh.read("metrics").where("status = 'failed'").collect()
     assert [(r.task_id, r.error_class) for r in failed] == [("refresh_dimension", "OSError")]
@@ -97,14 +98,14 @@ def test_a_first_run_that_dies_after_staging_heals_on_retry(wh, write_csv, monke
     def dies(*_):
         raise OSError("lost")
 
-    good = {LATE: write_csv("late.csv", [chaos("Broadway")])}
-    both = {EARLY: write_csv("early.csv", [chaos("Wrong")]), **good}
+    good = {LATE: write_csv("late.csv", [vine("Slope Rd")])}
+    both = {EARLY: write_csv("early.csv", [vine("Wrong")]), **good}
     with monkeypatch.context() as broken:
         broken.setattr(pipeline, "build_scd2", dies)
         with pytest.raises(OSError):
             backfill(wh, both)
     backfill(wh, {EARLY: write_csv("none.csv", [licence("")]), **good})
-    assert ranges(wh) == [("10 BROADWAY", LATE, None, True)]
+    assert ranges(wh) == [("4B SLOPE RD", LATE, None, True)]
     assert wh.read("staged").count() == 1
 
 
@@ -115,46 +116,106 @@ def test_failed_checks_stop_the_run(wh, write_csv, monkeypatch):
         lambda raw, staged, dim, spec: {"always": quality.not_null(dim, ["valid_to"])},
     )
     with pytest.raises(quality.QualityError, match="always=1"):
-        run_snapshot(wh, write_csv("a.csv", [chaos("Main St")]), EARLY)
+        run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln")]), EARLY)
 
 
 def test_views(spark, wh, write_csv):
-    run_snapshot(wh, write_csv("a.csv", [chaos("Main St")]), EARLY)
-    run_snapshot(wh, write_csv("b.csv", [chaos("Main St")]), LATE)
+    run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln")]), EARLY)
+    run_snapshot(wh, write_csv("b.csv", [vine("Weir Ln")]), LATE)
     pipeline.register_views(wh, datetime(2099, 3, 1))
     rows = spark.sql("SELECT * FROM scd2_repair_keys").collect()
-    assert [tuple(r) for r in rows] == [("CHAOS-001", EARLY, LATE, datetime(2099, 3, 1))]
+    assert [tuple(r) for r in rows] == [("MV-3", EARLY, LATE, datetime(2099, 3, 1))]
     assert spark.table("stg_businesses").count() == 2
     assert spark.sql("SELECT count(*) FROM dim_business WHERE is_current").first()[0] == 1
     assert spark.table("quality_summary").first().raw_rows_ingested == 1
 
 
-@pytest.mark.parametrize("size", [1, 7, 10, 100])
-def test_pages_of_parquet_files(spark, tmp_path, size):
-    path = str(tmp_path / "rows")
-    spark.range(0, 60, 1, 3).write.option("parquet.block.row.count.limit", 8).parquet(path)
-    df = paged.read_paged(spark, paged.ParquetPages, ["id"], path=path, pageSize=size, stripes=2)
-    assert sorted(int(r.id) for r in df.collect()) == list(range(60))
-
-
 def test_catch_up_runs_only_new_files(spark, wh, write_csv, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
     checkpoint = str(tmp_path / "stream")
-    write_csv("landing/snapshot_2099-02-15.csv", [chaos("Broadway")])
+    write_csv("landing/snapshot_2087-04-21.csv", [vine("Slope Rd")])
     catch_up(wh, str(landing), checkpoint)
-    write_csv("landing/snapshot_2099-02-10.csv", [chaos("Main St")])
-    write_csv("landing/readme.txt", [chaos("x")])
+    write_csv("landing/snapshot_2087-04-03.csv", [vine("Weir Ln")])
+    write_csv("landing/readme.txt", [vine("x")])
     catch_up(wh, str(landing), checkpoint)
     catch_up(wh, str(landing), checkpoint)
     assert ranges(wh) == [
-        ("10 MAIN ST", EARLY, LATE, False),
-        ("10 BROADWAY", LATE, None, True),
+        ("4B WEIR LN", EARLY, LATE, False),
+        ("4B SLOPE RD", LATE, None, True),
     ]
     loads = wh.read("metrics").where("task_id = 'load_raw_replace_partition'")
     assert loads.count() == 2
 
 
+def test_catch_up_takes_every_file_of_a_date(spark, wh, write_csv, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    checkpoint = str(tmp_path / "stream")
+    write_csv("landing/snapshot_2087-04-21_part1.csv", [vine("Slope Rd")])
+    write_csv("landing/snapshot_2087-04-21_part2.csv", [licence("MV-4")])
+    catch_up(wh, str(landing), checkpoint)
+    assert {r.license_nbr for r in wh.read("raw").collect()} == {"MV-3", "MV-4"}
+    write_csv("landing/snapshot_2087-04-21_part3.csv", [licence("MV-5")])
+    catch_up(wh, str(landing), checkpoint)
+    assert len(ranges(wh)) == 3
+    write_csv("landing/undated.csv", [licence("MV-6")])
+    with pytest.raises(Exception, match="no date in the path"):
+        catch_up(wh, str(landing), checkpoint)
+
+
+def same_as_a_build(wh):
+    dim = wh.published.read(DIMENSION)
+    full = scd2.build_scd2(wh.stage(wh.read("raw")), REGISTRY)
+    columns = full.columns
+    return sorted(map(repr, dim.select(columns).collect())) == sorted(map(repr, full.collect()))
+
+
+def test_loaded_dates_are_refreshed_by_any_later_run(wh, write_csv):
+    days = [date(2087, 4, d) for d in (1, 2, 3, 4)]
+    paths = [write_csv(f"{i}.csv", [vine(s)]) for i, s in enumerate("ABCA")]
+    run_snapshot(wh, paths[0], days[0])
+    ingest.load_snapshots(wh, {days[1]: paths[1], days[3]: paths[3]})
+    run_snapshot(wh, paths[2], days[2])
+    assert len(ranges(wh)) == 4 and same_as_a_build(wh)
+    ingest.load_snapshot(wh, write_csv("again.csv", [vine("A")]), days[1])
+    assert pipeline.refresh(wh).count() == 1
+    assert len(ranges(wh)) == 3 and same_as_a_build(wh)
+    assert pipeline.pending_dates(wh) == ({}, False)
+
+
+def test_a_run_that_dies_after_publishing_heals_with_other_files(wh, write_csv, monkeypatch):
+    """The retry brings a corrected file that lacks a key, or another date."""
+    run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln")]), EARLY)
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline, "_replace_staged", dies)
+        with pytest.raises(OSError):
+            run_snapshot(wh, write_csv("b.csv", [vine("Slope Rd"), licence("GONE")]), LATE)
+    assert pipeline.pending_dates(wh)[1]
+    run_snapshot(wh, write_csv("c.csv", [vine("Slope Rd")]), LATE)
+    assert len(ranges(wh)) == 2 and same_as_a_build(wh)
+    assert pipeline.pending_dates(wh) == ({}, False)
+
+
+def test_a_refused_dimension_never_becomes_current(wh, write_csv, monkeypatch):
+    run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln")]), EARLY)
+    with monkeypatch.context() as broken:
+        broken.setattr(
+            pipeline.quality,
+            "registry_checks",
+            lambda raw, staged, dim, spec: {"always": quality.not_null(dim, ["valid_to"])},
+        )
+        with pytest.raises(quality.QualityError):
+            run_snapshot(wh, write_csv("b.csv", [vine("Slope Rd")]), LATE)
+    assert ranges(wh) == [("4B WEIR LN", EARLY, None, True)]
+    pipeline.refresh(wh)
+    assert len(ranges(wh)) == 2 and same_as_a_build(wh)
+
+
 def make_source(total, fail_at=None):
     class Licences(paged.PagedSource):
         @classmethod
@@ -193,10 +254,15 @@ def test_pages_land_as_the_contract(spark, wh, tmp_path):
 
 
 def test_landed_json_pages(spark, tmp_path):
+    columns = ["license_nbr", "business_name"]
     (tmp_path / "p1.json").write_text('[{"license_nbr": "A", "extra": 1}, {"license_nbr": "B"}]')
-    (tmp_path / "p2.json").write_text('[{"license_nbr": "C", "business_name": "c"}]')
-    df = paged.read_landed_pages(spark, str(tmp_path), ["license_nbr", "business_name"])
-    assert {tuple(r) for r in df.collect()} == {("A", None), ("B", None), ("C", "c")}
+    (tmp_path / "p2.json").write_text('{"license_nbr": "C", "business_name": "c"}\n{"license_nbr": "D"}')
+    df = paged.read_landed_pages(spark, str(tmp_path), columns)
+    rows = {("A", None), ("B", None), ("C", "c"), ("D", None)}
+    assert {tuple(r) for r in df.collect()} == rows
+    (tmp_path / "p2.json").write_text('[\n {"license_nbr": "C"},\n {"license_nbr": "D"}\n]')
+    df = paged.read_landed_pages(spark, str(tmp_path / "p2.json"), columns, pretty=True)
+    assert {tuple(r) for r in df.collect()} == {("C", None), ("D", None)}
 
 
 def test_command_line(spark, wh, write_csv, monkeypatch, capsys):
@@ -207,9 +273,23 @@ def test_command_line(spark, wh, write_csv, monkeypatch, capsys):
         cli.main()
         return capsys.readouterr().out
 
-    path = write_csv("a.csv", [chaos("Main St")])
+    path = write_csv("a.csv", [vine("Weir Ln")])
     assert "No summary data" in call("summary")
-    assert "license_nbr" in call("profile", "--csv", path, "--date", "2099-02-10")
-    assert "row_count=1" in call("load", "--csv", path, "--date", "2099-02-10")
-    assert "Current rows (is_current)  : 1" in call("run", "--csv", path, "--date", "2099-02-10")
+    assert "license_nbr" in call("profile", "--csv", path, "--date", "2087-04-03")
+    assert "row_count=1" in call("load", "--csv", path, "--date", "2087-04-03")
+    assert "Current rows (is_current)  : 1" in call("run", "--csv", path, "--date", "2087-04-03")
     assert "Raw rows ingested          : 1" in call("summary")
+    later = write_csv("b.csv", [vine("Slope Rd")])
+    assert "Total versions in history  : 2" in call("backfill", f"2087-04-21={later}")
+    assert "Total versions in history  : 2" in call("rebuild")
+    assert "Current rows (is_current)  : 1" in call("refresh")
+    checked = call("check")
+    assert "dim_unique 0" in checked and "freshness pass" in checked
+    pages = os.path.dirname(path) + "/pages"
+    os.mkdir(pages)
+    with open(f"{pages}/p.json", "w") as f:
+        f.write('[{"license_nbr": "A"}]')
+    landing = os.path.dirname(path) + "/landed"
+    assert "load_date=2087-04-03" in call(
+        "land", "--pages", pages, "--landing", landing, "--date", "2087-04-03"
+    )

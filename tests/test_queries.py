@@ -27,7 +27,7 @@ def test_every_reference_sql_has_its_query():
     assert set(QUERIES) <= set(driver.queries())
     assert set(driver.oracle_sql()) <= set(driver.queries())
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"file_checksums", "latest_file"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -45,9 +45,3 @@ def test_query_equals_sql(spark, database, name):
 
 def test_flagship_query(spark):
     assert driver.entry(spark).count() == 314
-
-
-def test_file_queries(spark):
-    sums = QUERIES["file_checksums"](spark, str(TABLES)).collect()
-    assert {r.file for r in sums} == {p.name for p in TABLES.glob("*.parquet")}
-    assert QUERIES["latest_file"](spark, str(TABLES)).first().file.endswith(".parquet")

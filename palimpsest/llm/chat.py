@@ -196,15 +196,15 @@ def format_chats(found: DataFrame) -> DataFrame:
     Ranges count from the start of their part. Every conversation's parts stand together,
     in order.
     """
-    schema = StructType.fromDDL("part int, formatted string, loss array<array<int>>")
-    schema = StructType([found.schema["conv_id"], *schema.fields])
+    schema = StructType.fromDDL(
+        "conv_id string, part int, formatted string, loss array<array<int>>"
+    )
 
     def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
         now, number, pieces, loss, at = None, 0, [], [], 0
         for frame in frames:
             for conv, role, text in zip(frame["conv_id"], frame["role"], frame["text"]):
-                conv = None if pd.isna(conv) else conv
                 if pieces and (conv != now or at >= PART_CHARS):
                     rows.append((now, number, "".join(pieces), loss))
                     number, pieces, loss, at = number + 1, [], [], 0
@@ -225,23 +225,25 @@ def format_chats(found: DataFrame) -> DataFrame:
 
     order = ("position", "place", "role", "text")
     ordered = found.repartition("conv_id").sortWithinPartitions("conv_id", *order)
-    return ordered.select("conv_id", "role", "text").mapInPandas(parts, schema)
+    # As text, since numbers beside nulls would become floating-point ones.
+    named = ordered.select(F.col("conv_id").cast("string").alias("conv_id"), "role", "text")
+    back = F.col("conv_id").cast(found.schema["conv_id"].dataType)
+    return named.mapInPandas(parts, schema).withColumn("conv_id", back)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """What ``format_chats`` wrote, parsed again: one row of sums per conversation."""
     names = (
-        "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string,"
-        " formatted_chars long"
+        "conv_id string, n_turns long, turns_sha256 string, loss_chars long,"
+        " loss_sha256 string, formatted_chars long"
     )
-    schema = StructType([formatted.schema["conv_id"], *StructType.fromDDL(names).fields])
+    schema = StructType.fromDDL(names)
 
     def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = None
         for frame in frames:
             rows = []
             for conv, text, loss in zip(frame["conv_id"], frame["formatted"], frame["loss"]):
-                conv = None if pd.isna(conv) else conv
                 if state is None or conv != state.conv_id:
                     if state is not None:
                         rows.append(state.row())
@@ -253,7 +255,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield pd.DataFrame([state.row()], columns=schema.names).astype({"conv_id": object})
 
     ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
-    return ordered.select("conv_id", "formatted", "loss").mapInPandas(sums, schema)
+    named = ordered.select(F.col("conv_id").cast("string").alias("conv_id"), "formatted", "loss")
+    back = F.col("conv_id").cast(formatted.schema["conv_id"].dataType)
+    return named.mapInPandas(sums, schema).withColumn("conv_id", back)
 
 
 class _Sums:

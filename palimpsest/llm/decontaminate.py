@@ -27,7 +27,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from .common import staged, table, whole
 
@@ -153,7 +153,8 @@ def _blocks(
     """The items with words, in blocks of bounded size."""
     block: list[tuple[object, str]] = []
     chars = 0
-    for item, value in benchmark.select(item_id, whole(benchmark[item_text])).toLocalIterator():
+    items = benchmark.select(F.col(item_id).cast("string"), whole(benchmark[item_text]))
+    for item, value in items.toLocalIterator():
         value = normal(value)
         if block and chars + len(value) > BLOCK_CHARS:
             yield Block(tuple(block), rate)
@@ -178,7 +179,8 @@ def _scan(docs: DataFrame, block: Block, schema: StructType) -> DataFrame:
                 for number, all_ in found.items():
                     distance, start, end = min(all_)
                     place = (begins[start], ends[end - 1])
-                    rows.append((doc_id, block.items[number][0], len(all_), *place, distance))
+                    item = block.items[number][0]
+                    rows.append((doc_id, item, len(all_), *place, distance))
             ids = {"doc_id": object, "item_id": object}
             yield pd.DataFrame(rows, columns=schema.names).astype(ids)
 
@@ -198,10 +200,13 @@ def contaminated(
 
     Columns doc_id, item_id, n_places, start, end (code points of the text), distance.
     """
-    names = docs.select(F.col(doc_id).alias("doc_id"), whole(docs[text]).alias("text"))
+    # Ids travel as text, since numbers beside nulls would become floating-point ones.
+    names = docs.select(
+        F.col(doc_id).cast("string").alias("doc_id"), whole(docs[text]).alias("text")
+    )
     kinds = {"doc_id": docs.schema[doc_id].dataType, "item_id": benchmark.schema[item_id].dataType}
     schema = StructType(
-        [StructField(n, t) for n, t in kinds.items()]
+        [StructField(n, StringType()) for n in kinds]
         + [StructField("n_places", LongType())]
         + [StructField(n, IntegerType()) for n in ("start", "end", "distance")]
     )
@@ -211,7 +216,9 @@ def contaminated(
             done = staged(done, "block")
         found = _scan(names, block, schema)
         done = found if done is None else done.unionByName(found)
-    return docs.sparkSession.createDataFrame([], schema) if done is None else done
+    if done is None:
+        done = docs.sparkSession.createDataFrame([], schema)
+    return done.withColumns({n: F.col(n).cast(t) for n, t in kinds.items()})
 
 
 def without_leaks(

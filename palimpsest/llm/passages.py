@@ -24,11 +24,14 @@ not looked at.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import staged, table, whole
 from .neardup import PERCENT, WORDS, near_duplicates
@@ -36,17 +39,30 @@ from .neardup import PERCENT, WORDS, near_duplicates
 LEAST_WORDS = 24
 RUN = 23
 REGISTERS, BANDS = 64, ((4, 16),)
+ROWS = 200  # documents whose windows are held at once
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def long_lines(text: str, least: int) -> list[tuple[int, int, str]]:
-    """(start, end, line) of the lines with enough words."""
-    out, at = [], 0
-    for line in text.split("\n"):
-        if len(line) >= 2 * least - 1 and len(line.encode("utf-8", "replace").split()) >= least:
-            out.append((at, at + len(line), line))
-        at += len(line) + 1
-    return out
+_SPACE = " \t\n\x0b\f\r"
+
+
+def long_lines(docs: DataFrame, least: int) -> DataFrame:
+    """(doc_id, row, start, end, text) of the lines with enough words."""
+
+    def step(state: Column, line: Column) -> Column:
+        return F.struct(
+            (state["at"] + F.length(line) + 1).alias("at"),
+            F.concat(state["starts"], F.array(state["at"])).alias("starts"),
+        )
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    starts = F.aggregate("lines", zero, step, lambda s: s["starts"])
+    lines = docs.select("doc_id", "row", F.split("text", "\n").alias("lines"))
+    each = lines.select("doc_id", "row", F.explode(F.arrays_zip("lines", starts.alias("start"))).alias("l"))
+    named = each.select("doc_id", "row", F.col("l.start").alias("start"), F.col("l.lines").alias("text"))
+    words = F.size(F.split(F.btrim("text", F.lit(_SPACE)), f"[{_SPACE}]+"))
+    long = named.filter(F.length("text") >= 2 * least - 1).filter(words >= least)
+    return long.withColumn("end", F.col("start") + F.length("text"))
 
 
 def anchors(hashes: np.ndarray, run: int) -> np.ndarray:
@@ -96,12 +112,22 @@ def _word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _repeated_windows(docs: DataFrame, least: int, run: int, words: int) -> DataFrame:
-    @F.pandas_udf("array<struct<node:binary,start:int,end:int>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([windows(t, least, run, words) for t in texts])
-
-    units = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), cut("text").alias("u"))
-    units = staged(units.select("doc_id", "row", F.explode("u").alias("u")).select("doc_id", "row", "u.*"), "windows")
+    fields = StructType.fromDDL("row long, node binary, start int, end int").fields
+    schema = StructType([StructField("doc_id", StringType()), *fields])
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), ROWS):
+                part, rows = frame.iloc[at : at + ROWS], []
+                for doc_id, row, text in zip(part["doc_id"], part["row"], part["text"]):
+                    rows += [(doc_id, row, *w) for w in windows(text, least, run, words)]
+                yield pd.DataFrame(rows, columns=schema.names).astype({"doc_id": object})
+
+    # As text, since numbers beside nulls would become floating-point ones.
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "row", "text")
+    units = named.mapInPandas(cut, schema)
+    back = F.col("doc_id").cast(docs.schema["doc_id"].dataType)
+    units = staged(units.withColumn("doc_id", back), "windows")
     classes = _shared(units, "node")
     return units.join(classes, "node").select(
         F.lit("window").alias("kind"),
@@ -123,13 +149,7 @@ def _shared(units: DataFrame, node: str) -> DataFrame:
 
 
 def _repeated_lines(docs: DataFrame, least: int, words: int, percent: int) -> DataFrame:
-    @F.pandas_udf("array<struct<start:int,end:int,text:string>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([long_lines(t, least) for t in texts])
-
-    lines = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), cut("text").alias("u"))
-    lines = lines.select("doc_id", "row", F.explode("u").alias("u")).select("doc_id", "row", "u.*")
-    lines = lines.withColumn("unit", F.monotonically_increasing_id())
+    lines = long_lines(docs, least).withColumn("unit", F.monotonically_increasing_id())
     found = near_duplicates(lines, "unit", "text", words, percent, REGISTERS, BANDS)
     found = staged(found.select("doc_id", "row", "start", "end", "component_id"), "lines")
     classes = _shared(found, "component_id")
@@ -156,7 +176,11 @@ def repeated_passages(
 
     start and end are code points of the text; rows that are not ``kept`` are to be cut.
     """
-    plain = docs.select(F.col(doc_id).alias("doc_id"), whole(docs[text]).alias("text"))
+    plain = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.monotonically_increasing_id().alias("row"),
+        whole(docs[text]).alias("text"),
+    )
     both = _repeated_windows(plain, least, run, words).unionByName(
         _repeated_lines(plain, least, words, percent)
     )

@@ -18,6 +18,9 @@ from . import (
     tokenfile,
     vectors,
 )
+from .oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,5 +36,3 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": tokenfile.query,
     "op10_embedding_near_dedup": vectors.query,
 }
-
-ORACLE: dict[str, str] = {}

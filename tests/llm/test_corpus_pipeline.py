@@ -1,7 +1,10 @@
 """The pipeline's stages and every registered query, against plain versions."""
 
 import hashlib
+from pathlib import Path
 
+
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -185,3 +188,18 @@ def test_op6(spark, texts):
     shared = set().union(*[h for h in holders.values() if len(h) > 1], set())
     assert shared <= {r.doc_id for r in rows}
     assert all(r.end > r.start for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    database = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        database.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    df = QUERIES[name](spark, SF)
+    columns = sorted(df.columns)
+    cursor = database.execute(ORACLE[name])
+    names = [d[0] for d in cursor.description]
+    assert sorted(names) == columns
+    expected = [tuple(r[names.index(c)] for c in columns) for r in cursor.fetchall()]
+    found = [tuple(r[c] for c in columns) for r in df.collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, vectors
+from . import licenses, secrets, vectors
 
 
 def _components(nodes: str, links: str) -> str:
@@ -72,6 +72,91 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BI
 FROM words LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)"""
 
 
+def _secret_sql() -> str:
+    kinds = [*secrets.BASE, "entropy"]
+    patterns = {k: (p, g) for k, (p, g, _) in secrets.BASE.items()}
+    patterns["entropy"] = (secrets.CANDIDATE, 0)
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, {i} AS kind, regexp_extract_all(t, '{quoted}') AS m,
+       regexp_extract_all(t, '{quoted}', {group}) AS v, string_split_regex(t, '{quoted}') AS g
+       FROM texts WHERE regexp_matches(t, '{quoted}')"""
+        for i, (quoted, group) in enumerate(
+            (patterns[k][0].replace("'", "''"), patterns[k][1]) for k in kinds
+        )
+    )
+    least = "CASE kind " + "".join(
+        f"WHEN {i} THEN {n} " for i, (_, _, n) in enumerate(secrets.BASE.values())
+    )
+    w, width = secrets.WINDOW, f"{float(secrets.WINDOW)}"
+    bits = {k: least for k, (_, least) in secrets.CLASSES.items()}
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(kinds)
+    )
+    name = "CASE kind " + "".join(f"WHEN {i} THEN '{k}' " for i, k in enumerate(kinds)) + "END"
+    joined = f"string_agg({name} || ':' || s || ':' || e, ',' ORDER BY s, kind)"
+    return rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+places AS (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM found),
+spans AS (
+  SELECT doc_id, kind, m[k] AS x, v[k] AS value, right(g[k], 24) AS before,
+         CAST(list_sum(list_transform(g[1:k], lambda q: length(q)))
+           + coalesce(list_sum(list_transform(m[1:k-1], lambda q: length(q))), 0) AS INT) AS s
+  FROM places
+),
+base AS (
+  SELECT doc_id, kind, s, s + length(x) AS e FROM spans
+  WHERE kind < {len(secrets.BASE)} AND length(value) >= {least} END
+),
+random AS (
+  SELECT DISTINCT doc_id, kind, s, x, before, rtrim(x, '=') AS r FROM spans
+  WHERE kind = {len(secrets.BASE)}
+),
+windows AS (
+  SELECT x, unnest(list_transform(range(1, length(r) - {w - 2}),
+                   lambda i: substr(r, i, {w}))) AS win
+  FROM (SELECT DISTINCT x, r FROM random)
+),
+bits AS (
+  SELECT x, max(list_sum(list_transform(list_distinct(string_split(win, '')), lambda c:
+    -((length(win) - length(replace(win, c, ''))) / {width})
+    * log2((length(win) - length(replace(win, c, ''))) / {width})))) AS bits
+  FROM windows GROUP BY x
+),
+added AS (
+  SELECT doc_id, kind, s, s + length(x) AS e
+  FROM random JOIN bits USING (x)
+  WHERE bits >= CASE
+      WHEN regexp_full_match(x, '[0-9A-Fa-f]+') THEN {bits["hex"]}
+      WHEN regexp_full_match(x, '[0-9A-Za-z]+=*') AND regexp_matches(x, '[0-9]')
+        AND regexp_matches(x, '[A-Za-z]') THEN {bits["alnum"]}
+      WHEN regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Z]')
+        AND regexp_matches(x, '[a-z]') THEN {bits["mixed"]}
+      ELSE 99 END
+    AND NOT regexp_matches(before, '(?i)(sha-?(1|256|384|512)|md5|commit|checksum|integrity)["'':= -]*$')
+    AND NOT regexp_matches(x, '(?i)(example|sample|dummy|placeholder|changeme|redacted|xxxx|your_|lorem)')
+    AND NOT regexp_matches(x, '(?i)(0123456789|abcdefghij|qwertyuiop)')
+    AND NOT regexp_matches(x, '(?i)^[0-9a-f]{{8}}(-[0-9a-f]{{4}}){{3}}-[0-9a-f]{{12}}$')
+    AND NOT regexp_matches(x, '^[0-9]+$')
+    AND len(list_filter(range(1, length(x) - 6), lambda i:
+        substr(lower(x), i, 8) = repeat(substr(lower(x), i, 1), 8))) = 0
+),
+every AS (
+  SELECT * FROM base
+  UNION ALL
+  SELECT * FROM added a WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = a.doc_id AND b.s < a.e AND a.s < b.e)
+),
+sums AS (
+  SELECT doc_id, {counts}, {joined} AS spans,
+         {joined[:-1]}) FILTER (WHERE kind < {len(secrets.BASE)}) AS base
+  FROM every GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in kinds)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN sums USING (doc_id)"""
+
+
 _NEAR_SQL = rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
@@ -138,6 +223,7 @@ FROM labels LEFT JOIN degrees ON node = a"""
 
 
 ORACLE: dict[str, str] = {
+    "op2_secret_scan": _secret_sql(),
     "op3_license_scan": _license_sql(),
     "op4_minhash_near_dedup": _NEAR_SQL,
     "op7_chat_formatting": _CHAT_SQL,

@@ -3,7 +3,6 @@
 import hashlib
 from pathlib import Path
 
-
 import duckdb
 import numpy as np
 import public_tokenizers

@@ -2,24 +2,24 @@
 
 Two kinds of paragraphs are compared across all documents.
 
-*Lines* of ``LEAST_WORDS`` words or more, as sets of word shingles: registers, bands,
-exact verification and components are those of ``neardup``. Its 16 bands of 4 registers
-find a pair of similarity 0.8 with probability 0.9998.
+*Lines* of ``LINE_WORDS`` words or more, as sets of word shingles: registers, bands,
+exact verification and components are those of ``neardup``. Twelve bands of 4 registers
+find a pair of similarity 0.8 with probability 0.998.
 
-*Windows* of ``LEAST_WORDS`` words find passages that stand inside longer lines, wherever
+*Windows* of ``WINDOW_WORDS`` words find passages that stand inside longer lines, wherever
 they begin. A window starts at each word whose shingle hash is the least of any run of
 ``RUN`` shingles, that is at a MinHash of the run; equal passages have equal minima. A
-passage of ``LEAST_WORDS + RUN + WORDS - 2`` words (50) or more that two documents share
+passage of ``WINDOW_WORDS + RUN + WORDS - 2`` words (50) or more that two documents share
 so has a window in common, for certain. Windows collide if the hash of all their words,
 128 bits long, is equal, so one band of the whole is enough and there is nothing to verify.
 
 The paragraphs of a component that lies in more than one document are reported; all but
-the first one (least document, then place) are to be removed.
+those in the first row of the table are to be removed.
 
 Defined cases: words are split at ASCII white space, A-Z lower-cased; null, empty and
 shorter texts have no paragraph; what repeats inside one row alone is not reported; rows
-that repeat a doc_id are documents of their own; null ids come first. Other columns are
-not looked at.
+that repeat a doc_id are documents of their own, with a null id as well. Other columns
+are not looked at.
 """
 
 from __future__ import annotations
@@ -33,12 +33,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import staged, table, whole
+from .common import drop_shuffles, staged, table, whole
 from .neardup import PERCENT, WORDS, near_duplicates
 
-LEAST_WORDS = 24
-RUN = 23
-REGISTERS, BANDS = 64, ((4, 16),)
+LINE_WORDS = 40
+WINDOW_WORDS = 20
+RUN = 27
+REGISTERS, BANDS = 48, ((4, 12),)
 ROWS = 200  # documents whose windows are held at once
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -128,46 +129,38 @@ def _repeated_windows(docs: DataFrame, least: int, run: int, words: int) -> Data
     units = named.mapInPandas(cut, schema)
     back = F.col("doc_id").cast(docs.schema["doc_id"].dataType)
     units = staged(units.withColumn("doc_id", back), "windows")
-    classes = _shared(units, "node")
-    return units.join(classes, "node").select(
-        F.lit("window").alias("kind"),
+    return _shared(units, "node", "window")
+
+
+def _shared(units: DataFrame, node: str, kind: str) -> DataFrame:
+    """The units of classes that lie in more than one row; the first row's are kept."""
+    classes = units.groupBy(node).agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    repeated = classes.filter("first < last").select(node, "first")
+    found = units.join(repeated, node).select(
         "doc_id",
+        F.lit(kind).alias("kind"),
         "start",
         "end",
-        F.struct("row", "start").alias("place"),
-        "first",
-    )
-
-
-def _shared(units: DataFrame, node: str) -> DataFrame:
-    """The classes that lie in more than one row, with their first place."""
-    first = F.min(F.struct("doc_id", "row", "start")).alias("f")
-    classes = units.groupBy(node).agg(first, F.min("row").alias("a"), F.max("row").alias("b"))
-    return classes.filter("a < b").select(
-        node, F.struct(F.col("f.row").alias("row"), F.col("f.start").alias("start")).alias("first")
+        (F.col("row") == F.col("first")).alias("kept"),
     )
+    found = staged(found, "repeated")
+    drop_shuffles(units.sparkSession)
+    return found
 
 
 def _repeated_lines(docs: DataFrame, least: int, words: int, percent: int) -> DataFrame:
     lines = long_lines(docs, least).withColumn("unit", F.monotonically_increasing_id())
     found = near_duplicates(lines, "unit", "text", words, percent, REGISTERS, BANDS)
     found = staged(found.select("doc_id", "row", "start", "end", "component_id"), "lines")
-    classes = _shared(found, "component_id")
-    return found.join(classes, "component_id").select(
-        F.lit("line").alias("kind"),
-        "doc_id",
-        "start",
-        "end",
-        F.struct("row", "start").alias("place"),
-        "first",
-    )
+    return _shared(found, "component_id", "line")
 
 
 def repeated_passages(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    least: int = LEAST_WORDS,
+    line_words: int = LINE_WORDS,
+    window_words: int = WINDOW_WORDS,
     run: int = RUN,
     words: int = WORDS,
     percent: int = PERCENT,
@@ -181,10 +174,8 @@ def repeated_passages(
         F.monotonically_increasing_id().alias("row"),
         whole(docs[text]).alias("text"),
     )
-    both = _repeated_windows(plain, least, run, words).unionByName(
-        _repeated_lines(plain, least, words, percent)
-    )
-    return both.select("doc_id", "kind", "start", "end", (F.col("place") == F.col("first")).alias("kept"))
+    found = _repeated_windows(plain, window_words, run, words)
+    return found.unionByName(_repeated_lines(plain, line_words, words, percent))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,7 +124,7 @@ def passage(seed, n):
 
 def test_passages_of_fifty_words(spark):
     """Wherever they stand, in lines of any length; what is shorter or alone stays out."""
-    long, short = passage(1, 51), passage(2, 20)
+    long, short = passage(1, 51), passage(2, 18)
     texts = [None, "", "few words"]
     for i in range(4):
         around = [f"t{i}x{j}" for j in range(200)]
@@ -143,7 +143,7 @@ def test_passages_of_fifty_words(spark):
     for doc in (3, 5, 7, 9):
         for row in by_doc[doc]:
             words = texts[doc][row.start : row.end].split()
-            assert len(words) >= passages.LEAST_WORDS and set(words) <= set(long)
+            assert len(words) >= passages.WINDOW_WORDS and set(words) <= set(long)
             assert row.kept == (doc == 3)
     lines = {r.doc_id: r for r in found if r.kind == "line"}
     assert set(lines) == {12, 13} and lines[12].kept and not lines[13].kept
@@ -157,7 +157,7 @@ def test_windows_meet_in_any_passage():
         found = []
         for side in "ab":
             text = " ".join([*passage(f"{seed}{side}", seed * 3), *shared, *passage(f"{side}{seed}", 40)])
-            found.append({w[0] for w in passages.windows(text, 24, 23, 5)})
+            found.append({w[0] for w in passages.windows(text, 20, 27, 5)})
         assert found[0] & found[1]
 
 

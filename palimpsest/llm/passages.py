@@ -9,12 +9,19 @@ find a pair of similarity 0.8 with probability 0.998.
 *Windows* of ``WINDOW_WORDS`` words find passages that stand inside longer lines, wherever
 they begin. A window starts at each word whose shingle hash is the least of any run of
 ``RUN`` shingles, that is at a MinHash of the run; equal passages have equal minima. A
-passage of ``WINDOW_WORDS + RUN + WORDS - 2`` words (50) or more that two documents share
-so has a window in common, for certain. Windows collide if the hash of all their words,
-128 bits long, is equal, so one band of the whole is enough and there is nothing to verify.
+passage of ``WINDOW_WORDS + RUN - 1`` words (38) or more that two documents share so has a
+window in common, for certain. Windows collide if the hash of all their words, 128 bits
+long, is equal, so one band of the whole is enough and there is nothing to verify.
+
+Colliding windows are seeds of passages. ``RUN`` is below ``WINDOW_WORDS``, so the seeds of
+a shared passage overlap, and at most ``RUN - 1`` of its words lie before the first and
+after the last one. Seeds of a row that touch are one span. Its ends move outward to the
+farthest word up to which another holder of the end's seed goes on alike: the hashes of
+the next 1, 2, ... ``RUN - 1`` words are counted by class, so no pair of holders is built.
 
 The paragraphs of a component that lies in more than one document are reported; all but
-those in the first row of the table are to be removed.
+those in the first row of the table are to be removed. Spans to remove have an earlier
+holder, spans to keep only later ones; the two are formed apart.
 
 Defined cases: words are split at ASCII white space, A-Z lower-cased; null, empty and
 shorter texts have no paragraph; what repeats inside one row alone is not reported; rows
@@ -29,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -38,7 +45,7 @@ from .neardup import PERCENT, WORDS, near_duplicates
 
 LINE_WORDS = 40
 WINDOW_WORDS = 20
-RUN = 27
+RUN = 19  # below WINDOW_WORDS, so that the windows of a passage overlap
 REGISTERS, BANDS = 48, ((4, 12),)
 ROWS = 200  # documents whose windows are held at once
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -81,6 +88,11 @@ def anchors(hashes: np.ndarray, run: int) -> np.ndarray:
 
 def windows(text: str, least: int, run: int, words: int) -> list[tuple[bytes, int, int]]:
     """(hash of the words, start, end) of the windows of a text."""
+    return [(node, start, end) for node, _, start, end in _windows(text, least, run, words)]
+
+
+def _windows(text: str, least: int, run: int, words: int) -> list[tuple[bytes, int, int, int]]:
+    """(hash of the words, place of the first one, start, end) of the windows of a text."""
     raw_text = text.encode("utf-8", "surrogatepass")
     tokens = raw_text.lower().split()
     if len(tokens) < least:
@@ -95,7 +107,7 @@ def windows(text: str, least: int, run: int, words: int) -> list[tuple[bytes, in
     found = anchors(mixed[: len(hashes) - least + 1], run)
     raw = hashes.tobytes()
     return [
-        (xxhash.xxh3_128_digest(raw[8 * a : 8 * (a + least)]), start, end)
+        (xxhash.xxh3_128_digest(raw[8 * a : 8 * (a + least)]), a, start, end)
         for a, start, end in zip(found.tolist(), starts[found].tolist(), ends[found + least - 1].tolist())
     ]
 
@@ -113,7 +125,7 @@ def _word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _repeated_windows(docs: DataFrame, least: int, run: int, words: int) -> DataFrame:
-    fields = StructType.fromDDL("row long, node binary, start int, end int").fields
+    fields = StructType.fromDDL("row long, node binary, at int, start int, end int").fields
     schema = StructType([StructField("doc_id", StringType()), *fields])
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,7 +133,7 @@ def _repeated_windows(docs: DataFrame, least: int, run: int, words: int) -> Data
             for at in range(0, len(frame), ROWS):
                 part, rows = frame.iloc[at : at + ROWS], []
                 for doc_id, row, text in zip(part["doc_id"], part["row"], part["text"]):
-                    rows += [(doc_id, row, *w) for w in windows(text, least, run, words)]
+                    rows += [(doc_id, row, *w) for w in _windows(text, least, run, words)]
                 yield pd.DataFrame(rows, columns=schema.names).astype({"doc_id": object})
 
     # As text, since numbers beside nulls would become floating-point ones.
@@ -129,7 +141,99 @@ def _repeated_windows(docs: DataFrame, least: int, run: int, words: int) -> Data
     units = named.mapInPandas(cut, schema)
     back = F.col("doc_id").cast(docs.schema["doc_id"].dataType)
     units = staged(units.withColumn("doc_id", back), "windows")
-    return _shared(units, "node", "window")
+    classes = units.groupBy("node").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    repeated = classes.filter("first < last").select("node", "first")
+    seeds = units.join(repeated, "node").withColumn("kept", F.col("row") == F.col("first"))
+    seeds = staged(_spans(seeds.drop("first"), least), "seeds")
+    drop_shuffles(units.sparkSession)
+    found = staged(_extended(seeds, docs, least, run - 1), "passages")
+    drop_shuffles(units.sparkSession)
+    return found
+
+
+def _spans(seeds: DataFrame, least: int) -> DataFrame:
+    """``seeds`` with the number of their span, and whether they are its head or tail."""
+    order = Window.partitionBy("row", "kept").orderBy("at")
+    ends = seeds.withColumn(
+        "head", F.coalesce(F.col("at") - F.lag("at").over(order) > least, F.lit(True))
+    ).withColumn("tail", F.coalesce(F.lead("at").over(order) - F.col("at") > least, F.lit(True)))
+    return ends.withColumn("span", F.sum(F.col("head").cast("int")).over(order))
+
+
+def _contexts(seeds: DataFrame, docs: DataFrame, least: int, most: int) -> DataFrame:
+    """What stands around the seeds of classes that some span begins or ends with.
+
+    (row, kept, span, side, end, keys, places): keys[i] is a hash of the seed and of the
+    i + 1 words before (side -1) or after it (side 1), places[i] where these end.
+    """
+    wanted = seeds.groupBy("node").agg(F.max("head").alias("left"), F.max("tail").alias("right"))
+    asked = seeds.join(wanted.filter("left or right"), "node")
+    named = ("node", "at", "kept", "span", "head", "tail", "left", "right")
+    asked = asked.groupBy("row").agg(F.collect_list(F.struct(*named)).alias("seeds"))
+    schema = (
+        "row long, kept boolean, span long, side int, end boolean, keys array<binary>,"
+        " places array<int>"
+    )
+
+    def around(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row, text, group in zip(frame["row"], frame["text"], frame["seeds"]):
+                raw = text.encode("utf-8", "surrogatepass")
+                tokens = raw.lower().split()
+                starts, ends = _word_places(raw)
+                rows = []
+                for s in group:
+                    before, after = s["at"], s["at"] + least
+                    if s["left"]:
+                        near = range(before - 1, max(before - most, 0) - 1, -1)
+                        keys = _keys(s["node"] + b"l", [tokens[i] for i in near])
+                        places = [int(starts[i]) for i in near]
+                        rows.append((row, s["kept"], s["span"], -1, s["head"], keys, places))
+                    if s["right"]:
+                        near = range(after, min(after + most, len(tokens)))
+                        keys = _keys(s["node"] + b"r", [tokens[i] for i in near])
+                        places = [int(ends[i]) for i in near]
+                        rows.append((row, s["kept"], s["span"], 1, s["tail"], keys, places))
+                names = ["row", "kept", "span", "side", "end", "keys", "places"]
+                yield pd.DataFrame(rows, columns=names)
+
+    texts = docs.select("row", "text").join(asked, "row")
+    return staged(texts.mapInPandas(around, schema), "contexts")
+
+
+def _keys(seed: bytes, tokens: list[bytes]) -> list[bytes]:
+    """Hashes of the seed with the first word, the first two, ..."""
+    whole_run, out = xxhash.xxh3_128(seed), []
+    for token in tokens:
+        whole_run.update(token + b" ")
+        out.append(whole_run.digest())
+    return out
+
+
+def _extended(seeds: DataFrame, docs: DataFrame, least: int, most: int) -> DataFrame:
+    """The spans of ``seeds``, out to the ends of what another row shares with them."""
+    spans = seeds.groupBy("row", "kept", "span").agg(
+        F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end")
+    )
+    contexts = _contexts(seeds, docs, least, most)
+    holders = contexts.select("row", F.explode("keys").alias("key")).groupBy("key")
+    shared = holders.agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    steps = contexts.filter("end").select(
+        "row", "kept", "span", "side", F.explode(F.arrays_zip("keys", "places")).alias("step")
+    )
+    steps = steps.select("row", "kept", "span", "side", F.col("step.keys").alias("key"), "step.places")
+    alike = steps.join(shared.filter("first < last"), "key")
+    alike = alike.filter(F.when(F.col("kept"), F.col("last") > F.col("row")).otherwise(F.col("first") < F.col("row")))
+    before = F.min(F.when(F.col("side") < 0, F.col("places")))
+    after = F.max(F.when(F.col("side") > 0, F.col("places")))
+    moved = alike.groupBy("row", "kept", "span").agg(before.alias("before"), after.alias("after"))
+    return spans.join(moved, ["row", "kept", "span"], "left").select(
+        "doc_id",
+        F.lit("window").alias("kind"),
+        F.coalesce("before", "start").alias("start"),
+        F.coalesce("after", "end").alias("end"),
+        "kept",
+    )
 
 
 def _shared(units: DataFrame, node: str, kind: str) -> DataFrame:
@@ -174,6 +278,7 @@ def repeated_passages(
         F.monotonically_increasing_id().alias("row"),
         whole(docs[text]).alias("text"),
     )
+    plain = staged(plain, "texts")  # read again for the words around seeds, by row
     found = _repeated_windows(plain, window_words, run, words)
     return found.unionByName(_repeated_lines(plain, line_words, words, percent))
 

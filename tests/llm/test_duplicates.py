@@ -161,6 +161,39 @@ def test_windows_meet_in_any_passage():
         assert found[0] & found[1]
 
 
+def test_spans_reach_the_ends_of_a_passage(spark):
+    """Every word of a shared passage is reported, and none beside it."""
+    shared, part, texts, inside = passage(21, 150), passage(22, 38), [], []
+    for i in range(12):
+        body = shared[: 150 - 7 * i] if i % 3 else shared
+        body = part if i > 9 else body
+        around = [f"o{i}x{j}" for j in range(120)]
+        texts.append(" ".join([*around[: 9 * i], *body, *around[9 * i :]]))
+        inside.append(set(body))
+    found = passages.repeated_passages(docs_of(spark, texts)).collect()
+    for i, text in enumerate(texts):
+        mine = [r for r in found if r.doc_id == i and r.kind == "window"]
+        words = {w for r in mine for w in text[r.start : r.end].split()}
+        assert words == inside[i], i
+        removed = {w for r in mine if not r.kept for w in text[r.start : r.end].split()}
+        assert removed == (set() if i in (0, 10) else inside[i]), i
+
+
+def test_removal_leaves_the_first_holder_whole(spark):
+    """A later row shares less with the first row than with the second one."""
+    shared = passage(31, 120)
+    bodies = [shared[:60], shared, shared, shared[60:]]
+    texts = [" ".join([f"a{i}", *body, f"z{i}"]) for i, body in enumerate(bodies)]
+    found = passages.repeated_passages(docs_of(spark, texts)).collect()
+    left = []
+    for i, text in enumerate(texts):
+        gone = [(r.start, r.end) for r in found if r.doc_id == i and r.kind == "window" and not r.kept]
+        for start, end in sorted(gone, reverse=True):
+            text = text[:start] + text[end:]
+        left.append(text.split())
+    assert left == [texts[0].split(), ["a1", *shared[60:], "z1"], ["a2", "z2"], ["a3", "z3"]]
+
+
 def test_vectors(spark, monkeypatch):
     monkeypatch.setattr(links, "BLOCK", 16)
     random_ = np.random.default_rng(11)

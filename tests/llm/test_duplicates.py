@@ -179,6 +179,19 @@ def test_spans_reach_the_ends_of_a_passage(spark):
         assert removed == (set() if i in (0, 10) else inside[i]), i
 
 
+def test_near_copies_of_short_lines(spark):
+    """Lines are compared from 20 words on, equal or with a word changed."""
+    texts, expected = [], set()
+    for n in range(17, 40):
+        line = passage(100 + n, n)
+        changed = [*line[:-1], "changed"] if n > 22 else line
+        texts += ["head\n" + " ".join(line), " ".join(changed) + "\ntail"]
+        if n >= 20:
+            expected |= {len(texts) - 2, len(texts) - 1}
+    found = passages.repeated_passages(docs_of(spark, texts)).collect()
+    assert {r.doc_id for r in found if r.kind == "line"} == expected
+
+
 def test_removal_leaves_the_first_holder_whole(spark):
     """A later row shares less with the first row than with the second one."""
     shared = passage(31, 120)

@@ -2,8 +2,9 @@
 
 Blocks are the lines of a text, as sets of words; templates are short license statements.
 A block meets a template if it holds at least ``THRESHOLD`` of its words and all of its
-required ones (a version number, say). Of the templates a block meets, those with the
-most words in common give the labels.
+required ones (a version number, say). All templates that a block meets give their labels,
+except one whose words are among those of another template it meets (cc-by under
+cc-by-nc). The score is the greatest share of a template's words.
 
 The join finds every such pair:
 
@@ -176,14 +177,21 @@ def _matches(blocks: DataFrame, index: list[tuple], templates: tuple[Template, .
         .withColumn("common", common)
         .filter(F.col("common") >= F.col("needed"))
     )
-    best = met.groupBy("row", "block").agg(
-        F.max("common").alias("most"),
-        F.collect_set(
-            F.struct("common", "label", (F.col("common") / F.size("t_words")).alias("score"))
-        ).alias("met"),
+    score = (F.col("common") / F.size("t_words")).alias("score")
+    met = staged(met.select("row", "block", "template", "label", score).distinct(), "license-met")
+    covered = local_rows(spark, covers(templates), "template int, under int")
+    under = met.join(F.broadcast(covered), "template").select(
+        "row", "block", F.col("under").alias("template")
     )
-    met = best.withColumn("m", F.explode("met")).filter(F.col("m.common") == F.col("most"))
-    return met.select("row", "m.label", "m.score")
+    return met.join(under, ["row", "block", "template"], "left_anti").select(
+        "row", "label", "score"
+    )
+
+
+def covers(templates: tuple[Template, ...]) -> list[tuple[int, int]]:
+    """(template, another whose words are a part of its words)."""
+    sets = [set(t.words) for t in templates]
+    return [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if b < a]
 
 
 def find_licenses(

@@ -144,6 +144,17 @@ def test_licenses(spark):
         assert row.word == 1
 
 
+def test_every_license_of_a_line(spark):
+    gpl = "licensed under the gnu general public license version 2"
+    mpl = "subject to the terms of the mozilla public license v 2 0"
+    texts = [f"{mpl} or {gpl}", f"{gpl} or {mpl}", "licensed under cc by nc 4 0", gpl]
+    texts.append(f"{mpl[:-2]} or {gpl}")
+    rows = licenses.find_licenses(frame(spark, texts)).orderBy("doc_id").collect()
+    both = ["gpl-2", "mpl-2"]
+    assert [r.labels for r in rows] == [both, both, ["cc-by-nc"], ["gpl-2"], both]
+    assert [r.score for r in rows] == [1.0] * 5
+
+
 def test_prefix_index_misses_no_block():
     """Any block that meets a template holds a word of its prefix."""
     order = licenses.prefix_index(

@@ -1,6 +1,9 @@
 """Operator 3: license scans as an exact set-similarity join, in SQL functions alone.
 
-Blocks are the lines of a text, as sets of words; templates are short license statements.
+Blocks are the lines of a text, and of a text with several lines also windows of its words
+across line ends, as sets of words; templates are short license statements. With w words
+in the longest template, a window of 2w words begins at every w-th word, so any w + 1 words
+in a row, however they are wrapped, stand in one.
 A block meets a template if it holds at least ``THRESHOLD`` of its words and all of its
 required ones (a version number, say). All templates that a block meets give their labels,
 except one whose words are among those of another template it meets (cc-by under
@@ -180,8 +183,12 @@ def _matches(blocks: DataFrame, index: list[tuple], templates: tuple[Template, .
     score = (F.col("common") / F.size("t_words")).alias("score")
     met = staged(met.select("row", "block", "template", "label", score).distinct(), "license-met")
     covered = local_rows(spark, covers(templates), "template int, under int")
+    # Windows have negative numbers; one may end within what the next one holds whole.
+    near = F.when(F.col("block") < 0, F.array(*[F.col("block") + i for i in (-1, 0, 1)]))
     under = met.join(F.broadcast(covered), "template").select(
-        "row", "block", F.col("under").alias("template")
+        "row",
+        F.explode(F.coalesce(near, F.array("block"))).alias("block"),
+        F.col("under").alias("template"),
     )
     return met.join(under, ["row", "block", "template"], "left_anti").select(
         "row", "label", "score"
@@ -194,6 +201,19 @@ def covers(templates: tuple[Template, ...]) -> list[tuple[int, int]]:
     return [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if b < a]
 
 
+def _windows(found: str, templates: tuple[Template, ...]) -> Column:
+    """Windows of the words as blocks, numbered -2, -3, ..."""
+    step = max(len(t.text.split()) for t in templates)
+    last = F.greatest(F.size(found) - step - 1, F.lit(0))
+    return F.transform(
+        F.sequence(F.lit(0), last, F.lit(step)),
+        lambda at, i: F.struct(
+            (-2 - i).alias("block"),
+            F.array_distinct(F.slice(found, at + 1, F.lit(2 * step))).alias("words"),
+        ),
+    )
+
+
 def find_licenses(
     docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES
 ) -> DataFrame:
@@ -208,22 +228,28 @@ def find_licenses(
     low = lower_ascii(whole(docs[text]))
     base = docs.select(*kept, low.alias("__low")).withColumn("__words", words(F.col("__low")))
     places = [_labelled(_places(F.col("__words"), label), label) for label in PHRASES]
-    # Only lines that hold a word of the index can meet a template.
-    holds = lambda line: F.arrays_overlap(line, rare)
-    lines = F.transform(F.split("__low", "\n"), lambda line: F.array_distinct(words(line)))
+    # Only blocks that hold a word of the index can meet a template.
+    holds = lambda b: F.arrays_overlap(b["words"], rare)
+    lines = F.transform(
+        F.split("__low", "\n"),
+        lambda line, i: F.struct(i.alias("block"), F.array_distinct(words(line)).alias("words")),
+    )
+    wrapped = F.when(F.contains("__low", F.lit("\n")), F.filter(_windows("__words", templates), holds))
+    blocks = F.concat(
+        F.filter(lines, holds), F.coalesce(wrapped, F.array().cast("array<struct<block:int,words:array<string>>>"))
+    )
     rows = staged(
         base.select(
             *kept,
             F.size("__words").cast("long").alias("n_words"),
             F.array_sort(F.concat(*places)).alias("places"),
-            F.when(F.arrays_overlap("__words", rare), F.filter(lines, holds)).alias("__lines"),
+            F.when(F.arrays_overlap("__words", rare), blocks).alias("__blocks"),
             F.monotonically_increasing_id().alias("__row"),
         ),
         "license-rows",
     )
-    blocks = rows.select(
-        F.col("__row").alias("row"), F.posexplode("__lines").alias("block", "words")
-    )
+    each = rows.select(F.col("__row").alias("row"), F.explode("__blocks").alias("b"))
+    blocks = each.select("row", "b.block", "b.words")
     found = (
         _matches(blocks, index, templates)
         .groupBy("row")

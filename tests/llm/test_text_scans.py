@@ -155,6 +155,21 @@ def test_every_license_of_a_line(spark):
     assert [r.score for r in rows] == [1.0] * 5
 
 
+def test_licenses_across_line_ends(spark):
+    bsd = (
+        "# Redistribution and use in source and binary forms, with or without",
+        "# modification, are permitted provided that the following conditions are met:",
+    )
+    nc = "licensed under cc by nc 4 0"
+    texts = ["\n".join(bsd), "\n".join([bsd[0], "", *["other words"] * 20, bsd[1]])]
+    texts += [f"{'x ' * n}\nversion 2 0 {nc}" for n in range(34)]
+    texts += [("x " * n + "redistribution " + bsd[0] + " " + bsd[1]).replace(" ", "\n") for n in range(34)]
+    texts.append(f"licensed under cc by 4 0\n{nc}")
+    rows = licenses.find_licenses(frame(spark, texts)).orderBy("doc_id").collect()
+    expected = [["bsd"], []] + [["cc-by-nc"]] * 34 + [["bsd"]] * 34 + [["cc-by", "cc-by-nc"]]
+    assert [r.labels for r in rows] == expected
+
+
 def test_prefix_index_misses_no_block():
     """Any block that meets a template holds a word of its prefix."""
     order = licenses.prefix_index(

@@ -7,12 +7,13 @@ gradient descent in numpy.
 
 Training uses a bounded sample of the labelled rows (``train_docs`` documents and
 ``train_chars`` characters, in the order of a hash of their ids), so it costs the same at
-any size. Scoring is a map over the documents: the model is one number per bucket there,
+any size. Of a document longer than an eighth of ``train_chars`` it sees that much from
+the start, so no single one ends the sample early. Scoring is a map over the documents: the model is one number per bucket there,
 since the mean and the last layer are both linear.
 
 Defined cases: a null text counts as empty; a text without words has no features and gets
 the score of the bias alone; rows with null or contradicting labels train on what they
-say, null labels not at all; without any usable label every score is 0.5. Repeated rows
+say, null labels not at all; without any usable label of a document every score is 0.5. Repeated rows
 are scored one by one; other columns pass through untouched.
 """
 
@@ -191,18 +192,18 @@ def train(
     docs: DataFrame, labels: DataFrame, label: str = "quality", how: Training = Training()
 ) -> Model:
     """The model of a bounded sample of the labelled rows that are not held out."""
+    usable = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).filter(
+        ~is_held_out("doc_id")
+    )
     sample = (
-        labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
-        .filter(~is_held_out("doc_id"))
-        .select("doc_id", F.col(label).cast("int").alias("label"))
+        usable.select("doc_id", F.col(label).cast("int").alias("label"))
         .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(how.train_docs)
     )
     # At most train_docs rows of two numbers.
-    texts = docs.select("doc_id", whole("text").alias("text")).join(
-        F.broadcast(sample), "doc_id"
-    )
+    passage = F.substring(whole("text"), 1, how.train_chars // 8)
+    texts = docs.select("doc_id", passage.alias("text")).join(F.broadcast(sample), "doc_id")
     order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "label", F.xxhash64("text"))
     bounded = (
         texts.withColumn("chars", F.length("text"))
@@ -214,6 +215,8 @@ def train(
     )
     rows = [(*count_features(r.text), r.label) for r in bounded.toLocalIterator()]
     if not rows:
+        if not docs.join(usable.select("doc_id"), "doc_id", "left_semi").isEmpty():
+            raise ValueError("there are labelled documents, but none is in the training sample")
         return Model(np.zeros(3 * BUCKETS), 0.0)
     return descend(rows, how)
 

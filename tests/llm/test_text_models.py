@@ -137,6 +137,26 @@ def test_scores_do_not_depend_on_the_batch(spark, monkeypatch):
     assert alone[-4] == alone[-3] == model.probability(np.zeros(1))[0]
 
 
+def test_a_long_document_does_not_end_the_sample(spark, monkeypatch):
+    """Wherever the hash of its id puts it."""
+    how, seen = quality.Training(train_chars=800, epochs=1), []
+    monkeypatch.setattr(quality, "descend", lambda rows, how: seen.append(rows))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2][:8]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    for long in ids:
+        texts = [(i, "good words " * 90 if i == long else f"text {i}") for i in ids]
+        quality.train(spark.createDataFrame(texts, "doc_id long, text string"), labels, how=how)
+    assert [len(rows) for rows in seen] == [8] * 8
+
+
+def test_no_training_rows_but_labels(spark):
+    docs = spark.createDataFrame([(1, "some words"), (3, "more")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
+    with pytest.raises(ValueError, match="labelled"):
+        quality.train(docs, labels, how=quality.Training(train_docs=0))
+    quality.train(docs.filter("false"), labels)
+
+
 def test_odd_rows_are_scored(spark):
     docs = spark.createDataFrame(
         [(1, None, 5.0), (1, "a b", 5.0), (None, "a b", 5.0), (1, "a b", 5.0)],

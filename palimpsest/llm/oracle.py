@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, secrets, vectors
+from . import licenses, secrets, sharding, trie, vectors
 
 
 def _components(nodes: str, links: str) -> str:
@@ -222,10 +222,114 @@ SELECT node AS vec_id, coalesce(n, 0) AS n_links, root AS component_id, node = r
 FROM labels LEFT JOIN degrees ON node = a"""
 
 
+def _crc_table() -> list[int]:
+    """The byte table of CRC-32, from its polynomial."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(c >> 1) ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return table
+
+
+def _crc32(numbers: str) -> str:
+    """The unsigned CRC-32 of a list of bytes."""
+    step = f"xor(a >> 8, (CAST({_crc_table()} AS BIGINT[]))[(xor(a, b) & 255) + 1])"
+    return f"xor(list_reduce({numbers}, lambda a, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def _bytes(text: str) -> str:
+    digits = f"regexp_extract_all(hex(encode({text})), '..')"
+    return f"list_transform({digits}, lambda y: CAST('0x' || y AS BIGINT))"
+
+
+def _shard_sql() -> str:
+    ahead = (
+        "floor((shard + 1) * (CAST(2147483648 AS DOUBLE) / (CAST(key >> 33 AS DOUBLE) + 1)))"
+    )
+    following = f"(key * {sharding.MULTIPLIER} + 1) % 18446744073709551616"
+    return f"""
+WITH RECURSIVE sized AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         octet_length(encode(coalesce(text, ''))) + 8 AS size,
+         {_bytes("coalesce(text, '')")} AS bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS UHUGEINT) AS key
+  FROM documents
+),
+jumps AS (
+  SELECT row, {following} AS key, CAST(0 AS BIGINT) AS shard, shards
+  FROM sized, (VALUES ({sharding.SHARDS}), ({sharding.SHARDS} + 1)) AS counts(shards)
+  UNION ALL
+  SELECT row, {following}, CAST({ahead} AS BIGINT), shards FROM jumps WHERE {ahead} < shards
+),
+last AS (
+  SELECT row, max(shard) FILTER (WHERE shards = {sharding.SHARDS}) AS shard,
+         max(shard) FILTER (WHERE shards > {sharding.SHARDS}) AS grown
+  FROM jumps GROUP BY row
+),
+placed AS (
+  SELECT doc_id, CAST(size AS BIGINT) AS size, {_crc32("bytes")} AS text_crc32, shard, grown
+  FROM sized JOIN last USING (row)
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard
+         ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       CAST(grown AS INTEGER) AS grown_shard
+FROM placed"""
+
+
+_TRIE_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '')
+           || coalesce(text, '')) AS said,
+         sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '')
+           || coalesce(text, '')) AS rank,
+         octet_length(encode(coalesce(text, ''))) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+  SELECT conv_id, list({{'said': said, 'bytes': bytes}} ORDER BY turn NULLS FIRST, rank) AS said,
+         {_crc32(_bytes("CAST(conv_id AS VARCHAR)"))} % {trie.SHARED} AS h
+  FROM turns GROUP BY conv_id
+),
+paths AS (
+  SELECT o.conv_id, coalesce(b.said[1 : o.h], []) || o.said[o.h + 1 :] AS path
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % {trie.FAMILY}
+),
+prefixes AS (
+  SELECT conv_id, unnest(range(len(path) + 1)) AS depth, path FROM paths
+),
+nodes AS (
+  SELECT list_transform(path[1 : depth], lambda t: t.said) AS node, depth,
+         min(conv_id) AS conv_id, count(*) AS n_convs,
+         any_value(coalesce(path[depth].bytes, 0)) AS bytes,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+           FILTER (WHERE len(path) = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY ALL
+),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c
+           WHERE c.depth = n.depth + 1 AND c.node[1 : n.depth] = n.node) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.node[1 : n.depth - 1]
+),
+up AS (
+  SELECT node[1 : unnest(range(depth + 1))] AS node, (n_children = 0) AS leaf,
+         (n_convs - 1) * if(depth = 0, 0, bytes) AS saved
+  FROM linked
+),
+totals AS (
+  SELECT node, count(*) FILTER (WHERE leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved
+  FROM up GROUP BY node
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved AS saved_tokens,
+       ends_sha256
+FROM linked JOIN totals USING (node)"""
+
+
 ORACLE: dict[str, str] = {
     "op2_secret_scan": _secret_sql(),
     "op3_license_scan": _license_sql(),
     "op4_minhash_near_dedup": _NEAR_SQL,
     "op7_chat_formatting": _CHAT_SQL,
     "op10_embedding_near_dedup": _VECTOR_SQL,
+    "op11_sharding": _shard_sql(),
+    "op13_conversation_trie": _TRIE_SQL,
 }

@@ -15,8 +15,11 @@ from . import (
     passages,
     quality,
     secrets,
+    sharding,
     tokenfile,
+    trie,
     vectors,
+    whitening,
 )
 from .oracle import ORACLE
 
@@ -35,4 +38,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": quality.query,
     "op9_token_files": tokenfile.query,
     "op10_embedding_near_dedup": vectors.query,
+    "op11_sharding": sharding.query,
+    "op12_embedding_whitening": whitening.query,
+    "op13_conversation_trie": trie.query,
 }

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import string
+import zlib
 from collections import defaultdict
 from itertools import combinations
 
@@ -121,3 +122,54 @@ def distance(pattern, text):
         for j, c in enumerate(text, 1):
             row.append(min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (p != c)))
     return min(row)
+
+
+def jump(key, shards):
+    """Jump consistent hash of one 64-bit key."""
+    shard, ahead = -1, 0
+    while ahead < shards:
+        shard = ahead
+        key = (key * 2862933555777941757 + 1) % 2**64
+        ahead = int((shard + 1) * (2**31 / ((key >> 33) + 1)))
+    return shard
+
+
+def family_paths(rows):
+    """Rebuilt paths by conversation, of (conv_id, turn, role, text) rows."""
+    said = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            said[conv].append((turn is not None, turn or 0, digest, role, text))
+    whole = {c: [x[3:] for x in sorted(turns)] for c, turns in said.items()}
+    out = {}
+    for conv, own in whole.items():
+        h = zlib.crc32(str(conv).encode()) % 9
+        out[conv] = whole.get(conv - conv % 5, [])[:h] + own[h:]
+    return out
+
+
+def trie(paths):
+    """(conv_id, depth) -> the other columns of the node, by walking every path."""
+    members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
+    for conv in sorted(paths):
+        path = tuple(paths[conv])
+        for d in range(len(path) + 1):
+            members[path[:d]].append(conv)
+            if d:
+                children[path[: d - 1]].add(path[:d])
+        ends[path].append(conv)
+    out = {}
+    for node in sorted(members, key=len, reverse=True):
+        own = (len(members[node]) - 1) * (len(node[-1][1].encode()) if node else 0)
+        below = [out[members[c][0], len(c)] for c in children[node]]
+        out[members[node][0], len(node)] = (
+            members[node[:-1]][0] if node else None,
+            len(members[node]),
+            len(below),
+            sum(b[3] for b in below) if below else 1,
+            own + sum(b[4] for b in below),
+            sha(",".join(map(str, ends[node]))),
+        )
+    return out

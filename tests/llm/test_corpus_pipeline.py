@@ -114,7 +114,7 @@ def test_encoding_stage(stages):
 
 def test_registered_queries():
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_blank_key
-from ..session import local_rows, materialize
+from ..session import local_rows, remove, written
 from ..sources.csv_snapshot import (
     SnapshotFile,
     Source,
@@ -120,67 +122,167 @@ def _checksums(wh: Warehouse, parts: Sequence[SnapshotFile]) -> dict[date, str]:
     return {r.load_date: r.checksum for r in per_date.collect()}
 
 
-def load_snapshots(
-    wh: Warehouse,
-    snapshots: Mapping[date, Source],
-    ingested_at: datetime | None = None,
-) -> list[LoadReport]:
-    """ING1-10: load the snapshots of one or many dates, replacing those dates.
+@dataclass(frozen=True)
+class Load:
+    """A load that is parsed, checked and logged, so that it can be carried out again.
+
+    ``dates`` has (source label, accepted, rejected, checksum) of every date.
+    """
+
+    run: str
+    ingested_at: datetime
+    dates: Mapping[date, tuple[str, int, int, str]]
+
+
+def _parsed(wh: Warehouse, run: str) -> tuple[DataFrame, DataFrame]:
+    folder = wh.load_folder(run)
+    return tuple(wh.spark.read.parquet(f"{folder}/{name}") for name in ("parsed", "splits"))
+
 
-    A date's source is a file, a folder of part files or several of either. Everything
-    that can fail for the input's sake (profile, parsing, checksum, counts) happens before
-    the first table is overwritten; the audit rows are written last and mark the load as
-    complete. Repeating a load gives the same tables.
+def _numbered(wh: Warehouse, run: str) -> DataFrame:
+    parsed, splits = _parsed(wh, run)
+    return number_records(parsed, splits, splits.count(), wh.spec)
+
+
+def _log_load(wh: Warehouse, load: Load, state: str) -> None:
+    at = tables.utc_now()
+    rows = [(load.run, *held, load.ingested_at, state, at, d) for d, held in load.dates.items()]
+    tables.append(local_rows(wh.spark, rows, wh.schema("loads")), wh.path("loads"))
+
+
+def prepare_load(
+    wh: Warehouse, snapshots: Mapping[date, Source], ingested_at: datetime | None = None
+) -> Load:
+    """ING1-4, ING7: everything that can fail for the input's sake, before any table changes.
+
+    Profile, parsing, numbers, counts and checksums. The parsed records stay in the
+    warehouse, and the load log says that they are ready: from here on the load will be
+    carried out, by this run or by the next one (ING9).
     """
     spec, spark = wh.spec, wh.spark
     ingested_at = ingested_at or tables.utc_now()
-    stamp = F.lit(ingested_at).cast("timestamp_ntz")
     parts = profile_snapshots(wh, snapshots, ingested_at)
-
-    parsed = materialize(scan_snapshots(spark, parts, spec), "parsed")
-    splits = materialize(split_counts(parsed, parts, spec), "splits")
+    run = uuid.uuid4().hex
+    folder = wh.load_folder(run)
+    parsed = written(scan_snapshots(spark, parts, spec), f"{folder}/parsed")
+    splits = written(split_counts(parsed, parts, spec), f"{folder}/splits")
     counted = {
         r[spec.effective]: r
         for r in splits.groupBy(spec.effective)
-        .agg(
-            F.sum("accepted").alias("accepted"),
-            F.sum("rejected").alias("rejected"),
-            F.count(F.lit(1)).alias("splits"),
-        )
+        .agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
         .collect()
     }
-    n_splits = sum(r.splits for r in counted.values())
-    numbered = number_records(parsed, splits, n_splits, spec)
-    _expect_rows(numbered, sum(r.accepted + r.rejected for r in counted.values()))
-    accepted = {d: counted[d].accepted if d in counted else 0 for d in snapshots}
-    rejected = {d: counted[d].rejected if d in counted else 0 for d in snapshots}
+    _expect_rows(_numbered(wh, run), sum(r.accepted + r.rejected for r in counted.values()))
     checksums = _checksums(wh, parts)
-    replaced = wh.rows_per_date("raw", list(snapshots))
-
-    raw_rows = numbered.where("reject_reason IS NULL").select(
-        *spec.contract,
-        stamp.alias("ingested_at"),
+    dates = {}
+    for day, source in snapshots.items():
+        found = counted.get(day)
+        n = (found.accepted, found.rejected) if found else (0, 0)
+        dates[day] = (label(source), *n, checksums[day])
+    load = Load(run, ingested_at, dates)
+    _log_load(wh, load, "prepared")
+    return load
+
+
+def replace_raw(wh: Warehouse, load: Load) -> None:
+    """SNK2: the accepted records of the load's dates; repeating it changes nothing."""
+    accepted = _numbered(wh, load.run).where("reject_reason IS NULL").select(
+        *wh.spec.contract,
+        F.lit(load.ingested_at).cast("timestamp_ntz").alias("ingested_at"),
         "source_row_number",
-        spec.effective,
-    )
-    tables.replace_partitions(
-        raw_rows, wh.path("raw"), spec.effective, [d for d, n in accepted.items() if not n]
+        wh.spec.effective,
     )
-    dead = numbered.where("reject_reason IS NOT NULL").select(
+    emptied = [d for d, (_, n, _, _) in load.dates.items() if not n]
+    tables.replace_partitions(accepted, wh.path("raw"), wh.spec.effective, emptied)
+
+
+def replace_dead_letters(wh: Warehouse, load: Load) -> None:
+    """SNK3: the rejected records of the load's dates."""
+    dead = _numbered(wh, load.run).where("reject_reason IS NOT NULL").select(
         "source_file_uri",
         "source_row_number",
         "reject_reason",
         "raw_payload",
-        stamp.alias("rejected_at"),
-        spec.effective,
-    )
-    tables.replace_partitions(
-        dead, wh.path("dlq"), spec.effective, [d for d, n in rejected.items() if not n]
+        F.lit(load.ingested_at).cast("timestamp_ntz").alias("rejected_at"),
+        wh.spec.effective,
     )
-    _record_audit(wh, snapshots, accepted, rejected, checksums, ingested_at)
+    emptied = [d for d, (_, _, n, _) in load.dates.items() if not n]
+    tables.replace_partitions(dead, wh.path("dlq"), wh.spec.effective, emptied)
+
+
+def finish_load(wh: Warehouse, load: Load) -> None:
+    """Replace all tables, then write the audit and log the load as done.
+
+    Every step can be repeated, so a load that broke off anywhere is put right by doing
+    this again.
+    """
+    replace_raw(wh, load)
+    replace_dead_letters(wh, load)
+    _record_audit(wh, load)
+    _log_load(wh, load, "done")
+    remove(wh.spark, wh.load_folder(load.run))
+
+
+def unfinished_loads(wh: Warehouse) -> list[Load]:
+    """Prepared loads that are neither done nor lost, oldest first."""
+    log = wh.read("loads")
+    ended = log.where("state <> 'prepared'").select("run")
+    found: dict[str, list] = {}
+    rows = log.where("state = 'prepared'").join(ended, "run", "left_anti").collect()
+    for row in sorted(rows, key=lambda r: (r.logged_at, r.run)):
+        found.setdefault(row.run, []).append(row)
+    return [
+        Load(
+            run,
+            rows[0].ingested_at,
+            {
+                r[wh.spec.effective]: (r.source_file_uri, r.row_count, r.rejected_count, r.checksum)
+                for r in rows
+            },
+        )
+        for run, rows in found.items()
+    ]
+
+
+def resume_loads(wh: Warehouse) -> list[Load]:
+    """ING9: carry out loads that broke off after they were prepared, oldest first.
+
+    A load whose parsed records are gone cannot be: it is logged as lost, and its dates
+    are refreshed from whatever raw holds.
+    """
+    resumed = []
+    for load in unfinished_loads(wh):
+        try:
+            _parsed(wh, load.run)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            _log_load(wh, load, "lost")
+            continue
+        finish_load(wh, load)
+        resumed.append(load)
+    return resumed
+
+
+def load_snapshots(
+    wh: Warehouse,
+    snapshots: Mapping[date, Source],
+    ingested_at: datetime | None = None,
+) -> list[LoadReport]:
+    """ING1-10: load the snapshots of one or many dates, replacing those dates.
+
+    A date's source is a file, a folder of part files or several of either. All tables of
+    a load are replaced or none: before it is logged as prepared nothing has changed, and
+    after that this run or the next one carries it out. Repeating a load gives the same
+    tables.
+    """
+    resume_loads(wh)
+    load = prepare_load(wh, snapshots, ingested_at)
+    replaced = wh.rows_per_date("raw", list(snapshots))
+    finish_load(wh, load)
     return [
-        LoadReport(d, accepted[d], rejected[d], replaced.get(d, 0), checksums.get(d, ""))
-        for d in sorted(snapshots)
+        LoadReport(day, accepted, rejected, replaced.get(day, 0), checksum)
+        for day, (_, accepted, rejected, checksum) in sorted(load.dates.items())
     ]
 
 
@@ -194,27 +296,11 @@ def _expect_rows(numbered: DataFrame, expected: int) -> None:
         raise RuntimeError(f"{expected} records were parsed, but {found} would be written")
 
 
-def _record_audit(
-    wh: Warehouse,
-    snapshots: Mapping[date, Source],
-    accepted: Mapping[date, int],
-    rejected: Mapping[date, int],
-    checksums: Mapping[date, str],
-    loaded_at: datetime,
-) -> None:
+def _record_audit(wh: Warehouse, load: Load) -> None:
     """SNK4: one row per date, keyed by its partition."""
+    now = tables.utc_now()
     rows = [
-        (
-            label(source),
-            accepted[day],
-            rejected[day],
-            checksums[day],
-            "loaded",
-            loaded_at,
-            tables.utc_now(),
-            day,
-        )
-        for day, source in snapshots.items()
+        (*held, "loaded", load.ingested_at, now, day) for day, held in load.dates.items()
     ]
     audit = local_rows(wh.spark, rows, audit_schema(wh.spec))
     tables.replace_partitions(audit, wh.path("audit"), wh.spec.effective)

@@ -17,6 +17,7 @@ from ..spec import (
     audit_schema,
     dlq_schema,
     drift_schema,
+    load_log_schema,
     raw_schema,
     refresh_schema,
 )
@@ -31,6 +32,7 @@ LOCATIONS = {
     "drift": "staging/schema_drift_events",
     "staged": "staging/stg_businesses",
     "refreshes": "staging/refresh_log",
+    "loads": "staging/load_log",
     "metrics": "marts/pipeline_run_metrics",
 }
 PARTITIONED = ("raw", "dlq", "audit", "staged")
@@ -48,6 +50,10 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{LOCATIONS[name]}"
 
+    def load_folder(self, run: str) -> str:
+        """Where a load keeps what it parsed until it is done."""
+        return f"{self.root}/staging/_loads/{run}"
+
     def schema(self, name: str) -> StructType:
         if name == "staged":
             return self._staged_schema
@@ -59,6 +65,7 @@ class Warehouse:
             "audit": audit_schema,
             "drift": drift_schema,
             "refreshes": refresh_schema,
+            "loads": load_log_schema,
         }
         return schemas[name](self.spec)
 

@@ -482,7 +482,7 @@ FROM (SELECT max(ts) AS max_loaded_at,
         f"count(*) AS row_count FROM raw WHERE NOT {_BLANK} GROUP BY raw.load_date",
     ),
     **dict.fromkeys(
-        ("backfill", "load_then_build", "catch_up"),
+        ("backfill", "load_then_build", "load_broken_off", "catch_up"),
         _select(
             f"{_FROM_CSV}, {_dim('reg', 'license_nbr', _REG_ATTRIBUTES, 'dim')}",
             f"SELECT {_REG_DIM_COLUMNS} FROM dim",

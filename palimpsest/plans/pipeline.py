@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality, tables
-from ..operators.ingest import LoadReport, load_snapshots
+from ..operators.ingest import LoadReport, load_snapshots, resume_loads
 from ..operators.scd2 import (
     build_scd2,
     impacted_keys,
@@ -25,7 +25,7 @@ from ..operators.scd2 import (
 from ..operators.snapshot import snapshot_merge
 from ..operators.staging import keyed
 from ..operators.warehouse import Warehouse
-from ..session import local_rows, materialize
+from ..session import local_rows, materialize, remove
 from ..sources.csv_snapshot import Source
 from ..spec import METRICS_SCHEMA
 from . import marts
@@ -96,13 +96,15 @@ def pending_dates(wh: Warehouse) -> tuple[dict[date, datetime], bool]:
     """Loaded dates that no finished refresh has seen, and whether one broke off.
 
     The audit says when a date was last loaded, the refresh log which loads a refresh
-    started on and was done with. Both have a few rows per date.
+    started on and was done with. Dates of lost loads count as loaded when they were
+    found lost. All have a few rows per date.
     """
     day = wh.spec.effective
     log = wh.read("refreshes")
     done = log.where("state = 'done'")
     broken = log.where("state = 'started'").join(done, ["run", day], "left_anti")
-    loads = wh.read("audit").select(day, F.col("updated_at").alias("loaded_at"))
+    lost = wh.read("loads").where("state = 'lost'").select(day, F.col("logged_at").alias("loaded_at"))
+    loads = wh.read("audit").select(day, F.col("updated_at").alias("loaded_at")).union(lost)
     new = loads.join(done.select(day, "loaded_at"), [day, "loaded_at"], "left_anti")
     healed = done.agg(F.max("logged_at")).first()[0]
     if healed is not None:  # a refresh that ended later has put things right
@@ -165,12 +167,14 @@ def refresh_dimension(
     after one that broke off build from everything raw holds. ``check`` gets the raw and
     staged rows looked at and the new dimension, and may refuse it before it is current.
     """
+    resume_loads(wh)
     loads, broken = pending_dates(wh)
     dim = wh.published.read(DIMENSION)
     rebuild = rebuild or broken or dim is None
     if rebuild:
         day = wh.spec.effective
-        loads = {r[0]: r[1] for r in wh.read("audit").select(day, "updated_at").collect()}
+        seen = wh.read("audit").select(day, "updated_at").collect()
+        loads = {r[0]: r[1] for r in seen} | loads
     if not loads:
         return dim
     run = uuid.uuid4().hex

@@ -550,6 +550,16 @@ def q_load_then_build(spark, sf):
     return as_text(wh.published.read(DIMENSION))
 
 
+def q_load_broken_off(spark, sf):
+    """A load dies after its first table; the next refresh carries it out to the end."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    early, late = _halves(_landed(spark, sf, "source_row_number")[1])
+    backfill(wh, late, RUN_TS)
+    ingest.replace_raw(wh, ingest.prepare_load(wh, early, RUN_TS))
+    refresh(wh, RUN_TS)
+    return as_text(wh.published.read(DIMENSION))
+
+
 def q_land_twice(spark, sf):
     """Months landed in two calls, all read back."""
     folder = scratch_path(spark, "landing")

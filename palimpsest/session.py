@@ -33,10 +33,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once and read back: cuts lineage in a way that survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, scratch_path(df.sparkSession, name))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Written to this place and read back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, if it is there."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def local_rows(

@@ -139,6 +139,23 @@ def refresh_schema(spec: SnapshotSpec) -> T.StructType:
     )
 
 
+def load_log_schema(spec: SnapshotSpec) -> T.StructType:
+    """One row per date of a load, when it is prepared and when it is done."""
+    return T.StructType(
+        [
+            T.StructField("run", T.StringType(), False),
+            T.StructField("source_file_uri", T.StringType(), False),
+            T.StructField("row_count", T.LongType(), False),
+            T.StructField("rejected_count", T.LongType(), False),
+            T.StructField("checksum", T.StringType(), False),
+            T.StructField("ingested_at", _TS, False),
+            T.StructField("state", T.StringType(), False),
+            T.StructField("logged_at", _TS, False),
+            T.StructField(spec.effective, T.DateType(), False),
+        ]
+    )
+
+
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("dag_id", T.StringType(), False),

@@ -293,3 +293,62 @@ def test_command_line(spark, wh, write_csv, monkeypatch, capsys):
     assert "load_date=2087-04-03" in call(
         "land", "--pages", pages, "--landing", landing, "--date", "2087-04-03"
     )
+
+
+WRITES = ["prepared", "raw", "dlq", "audit", "done"]
+
+
+@pytest.mark.parametrize("dies_at", WRITES)
+def test_a_load_that_dies_at_any_write_is_all_or_nothing(wh, write_csv, monkeypatch, dies_at):
+    """Another date's run, without the file, finds every table as one whole load left it."""
+    run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln"), licence("")]), EARLY)
+    path = write_csv("b.csv", [vine("Slope Rd"), licence("MV-9"), licence(""), licence(" ")])
+
+    def dying(write, place):
+        def write_or_die(*args):
+            write_it = write(*args)
+            if place(*args):
+                raise OSError("lost")
+            return write_it
+
+        return write_or_die
+
+    with monkeypatch.context() as broken:
+        if dies_at in ("prepared", "done"):
+            log = dying(ingest._log_load, lambda wh, load, state: state == dies_at)
+            if dies_at == "prepared":  # before the log says so, nothing may happen
+
+                def log(*_):
+                    raise OSError("lost")
+
+            broken.setattr(ingest, "_log_load", log)
+        else:
+            replace = dying(ingest.tables.replace_partitions, lambda df, p, *_: p == wh.path(dies_at))
+            broken.setattr(ingest.tables, "replace_partitions", replace)
+        with pytest.raises(OSError):
+            ingest.load_snapshot(wh, path, EARLY)
+    os.remove(path)
+    run_snapshot(wh, write_csv("c.csv", [vine("Slope Rd")]), LATE)
+    done = dies_at != "prepared"
+    raw = {r.license_nbr for r in wh.read("raw").where(F.col("load_date") == EARLY).collect()}
+    assert raw == ({"MV-3", "MV-9"} if done else {"MV-3"})
+    audit = wh.read("audit").where(F.col("load_date") == EARLY).first()
+    assert (audit.row_count, audit.rejected_count) == ((2, 2) if done else (1, 1))
+    assert wh.read("dlq").where(F.col("load_date") == EARLY).count() == audit.rejected_count
+    assert same_as_a_build(wh) and len(ranges(wh)) == 2
+    assert ingest.unfinished_loads(wh) == [] and pipeline.pending_dates(wh) == ({}, False)
+    assert not os.path.exists(f"{wh.root}/staging/_loads") or done or dies_at == "prepared"
+
+
+def test_a_load_whose_parsed_records_are_gone_is_refreshed_from_raw(spark, wh, write_csv):
+    run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln")]), EARLY)
+    load = ingest.prepare_load(wh, {EARLY: write_csv("b.csv", [vine("Slope Rd"), licence("MV-9")])})
+    ingest.replace_raw(wh, load)
+    pipeline.remove(spark, wh.load_folder(load.run))
+    run_snapshot(wh, write_csv("c.csv", [vine("Slope Rd")]), LATE)
+    assert same_as_a_build(wh) and len(ranges(wh)) == 2
+    assert [r.state for r in wh.read("loads").where(F.col("run") == load.run).collect()] == [
+        "prepared",
+        "lost",
+    ]
+    assert pipeline.pending_dates(wh) == ({}, False)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import surrogate_key
 from ..spec import SnapshotSpec
+from .tables import FILED
 
 
 def scd2_ranges(df: DataFrame, key: str, effective: str, hash_column: str) -> DataFrame:
@@ -140,34 +141,71 @@ def impacted_keys(
     return replaced.union(unsettled.select(spec.key)).distinct()
 
 
-def repair_scd2(
-    dim: DataFrame,
-    staged: DataFrame,
-    impacted: DataFrame,
-    from_date: date,
-    spec: SnapshotSpec,
-) -> DataFrame:
-    """SCD3: the dimension after dates from ``from_date`` on were added or replaced.
+OPEN = "open"
 
-    ``staged`` holds the new contents. Versions closed before ``from_date`` pass through
-    untouched. For impacted keys only the version reaching into ``from_date`` and the
-    staged rows from then on are rebuilt; a version's first row stands for all rows it
-    merged, so the result equals a full rebuild while the staged scan is pruned to the
-    partitions from ``from_date`` on. Loading the newest date thus reads one partition.
+
+def month_of(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
+def filed(dim: DataFrame) -> DataFrame:
+    """Versions with the month in which they ended, so that later runs leave the months
+    before alone; open ones sort after all months."""
+    month = F.coalesce(month_of(F.col("valid_to")), F.lit(OPEN))
+    return dim.withColumn(FILED, month)
+
+
+def repair_delta(
+    live: DataFrame, staged: DataFrame, impacted: DataFrame, from_date: date, spec: SnapshotSpec
+) -> DataFrame:
+    """SCD3: the versions a repair takes away (``op`` '-') and those it adds ('+').
+
+    ``live`` holds the versions that are open or end on ``from_date`` or later, ``staged``
+    the new contents, ``impacted`` the keys whose history may change. Only the version
+    reaching into ``from_date`` and the staged rows from then on are rebuilt; a version's
+    first row stands for all rows it merged, so the result equals a full rebuild while the
+    staged scan is pruned to the partitions from ``from_date`` on. A version that comes out
+    as it was is in neither set.
     """
     start = F.lit(from_date)
-    frozen = dim.where(~F.col("is_current") & (F.col("valid_to") < start))
-    live = dim.where(F.col("valid_to").isNull() | (F.col("valid_to") >= start))
-    kept = live.join(impacted, spec.key, "left_anti")
-
     columns = (spec.key, *spec.attributes, spec.hash, spec.effective)
+    old = live.join(impacted, spec.key, "left_semi")
     seeds = (
-        live.where(F.col("valid_from") < start)
+        old.where(F.col("valid_from") < start)
         .withColumnRenamed("valid_from", spec.effective)
         .select(*columns)
     )
     tail = staged.where(F.col(spec.effective) >= start).select(*columns)
-    rebuilt = build_scd2(
-        seeds.unionByName(tail).join(impacted, spec.key, "left_semi"), spec
+    new = build_scd2(seeds.unionByName(tail).join(impacted, spec.key, "left_semi"), spec)
+    names = new.columns
+    before = old.select(F.col(spec.surrogate).alias("_old"), F.struct(*names).alias("_before"))
+    after = new.select(F.col(spec.surrogate).alias("_new"), F.struct(*names).alias("_after"))
+    pairs = before.join(after, F.col("_old") == F.col("_new"), "full")
+    sides = F.filter(
+        F.array(
+            F.struct(F.lit("-").alias("op"), F.col("_before").alias("v")),
+            F.struct(F.lit("+").alias("op"), F.col("_after").alias("v")),
+        ),
+        lambda side: side["v"].isNotNull(),
     )
-    return frozen.unionByName(kept).unionByName(rebuilt)
+    changed = pairs.where(~F.col("_before").eqNullSafe(F.col("_after")))
+    return changed.select(F.inline(sides)).select("op", "v.*")
+
+
+def apply_delta(dim: DataFrame, delta: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """The dimension, or some of its partitions, after a repair."""
+    gone = delta.where("op = '-'").select(spec.surrogate)
+    added = delta.where("op = '+'").select(*dim.columns)
+    return dim.join(gone, spec.surrogate, "left_anti").unionByName(added)
+
+
+def repair_scd2(
+    dim: DataFrame,
+    staged: DataFrame,
+    impacted: DataFrame,
+    from_date: date,
+    spec: SnapshotSpec,
+) -> DataFrame:
+    """SCD3: the dimension after dates from ``from_date`` on were added or replaced."""
+    live = dim.where(F.col("valid_to").isNull() | (F.col("valid_to") >= F.lit(from_date)))
+    return apply_delta(dim, repair_delta(live, staged, impacted, from_date, spec), spec)

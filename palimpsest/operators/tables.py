@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import local_rows
+from ..session import local_rows, remove
 
 
 def utc_now() -> datetime:
@@ -70,9 +70,30 @@ def upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 
 
 PUBLISHED = (
-    "table_name string, version bigint, path string, schema string, "
-    "published_at timestamp_ntz"
+    "table_name string, version bigint, base bigint, part string, path string, "
+    "schema string, published_at timestamp_ntz"
 )
+# Says where a row is filed; a partition of stored tables that readers do not see.
+FILED = "filed"
+# Superseded folders stay for the readers of one more build.
+SWEPT_BUILDS = 10
+
+
+def part_of(row: Row) -> str:
+    """The folder of a partition, as Spark's writer names it."""
+    return "/".join(
+        f"{c}={str(v).lower() if isinstance(v, bool) else v}" for c, v in row.asDict().items()
+    )
+
+
+@dataclass(frozen=True)
+class Entry:
+    """What a table's current build consists of: folders by partition ('' of an undivided one)."""
+
+    version: int
+    base: int
+    schema: str
+    parts: dict[str, str]
 
 
 @dataclass(frozen=True)
@@ -82,12 +103,17 @@ class Prepared:
     tables: dict[str, DataFrame]
     entries: list[tuple]
 
+    def __add__(self, other: Prepared) -> Prepared:
+        return Prepared(self.tables | other.tables, self.entries + other.entries)
+
 
 class Published:
     """SNK8: rebuilt tables. Each build is written to a new folder, then named current.
 
-    Readers keep seeing the previous build until the new one is complete, and a build
-    may read the table it replaces. One writer at a time is assumed.
+    A build of a divided table may bring some partitions only: its log entries name their
+    new folders, and the others stay where earlier builds put them, so a run writes what it
+    changed. Readers keep seeing the previous build until the new one is complete, and a
+    build may read the table it replaces. One writer at a time is assumed.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -95,37 +121,84 @@ class Published:
         self.root = root
         self.log = f"{root}/_published"
 
-    def current(self, names: Sequence[str]) -> dict[str, Row]:
-        """TOP1: the newest entry of each of these tables."""
+    def _log(self, names: Sequence[str]) -> DataFrame:
         log = read_table(self.spark, self.log, StructType.fromDDL(PUBLISHED))
+        return log.where(F.col("table_name").isin(list(names)))
+
+    def current(self, names: Sequence[str]) -> dict[str, Entry]:
+        """TOP1: the newest entry of each partition of these tables, since their last
+        whole build (``base``); a row per table and partition."""
         newest = (
-            log.where(F.col("table_name").isin(list(names)))
-            .groupBy("table_name")
-            .agg(F.max_by(F.struct("version", "path", "schema"), "version").alias("entry"))
+            self._log(names)
+            .groupBy("table_name", "part")
+            .agg(F.max_by(F.struct("version", "base", "path", "schema"), "version").alias("e"))
+            .collect()
         )
-        return {r.table_name: r.entry for r in newest.collect()}
-
-    def _read(self, path: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path)
-
-    def read(self, name: str) -> DataFrame | None:
+        held: dict[str, list[Row]] = {}
+        for row in newest:
+            held.setdefault(row.table_name, []).append(row)
+        out = {}
+        for name, rows in held.items():
+            last, base = max(rows, key=lambda r: r.e.version).e, max(r.e.base for r in rows)
+            parts = {r.part: r.e.path for r in rows if r.e.base == base and r.e.path}
+            out[name] = Entry(last.version, base, last.schema, parts)
+        return out
+
+    def _read(self, name: str, entry: Entry) -> DataFrame:
+        schema = StructType.fromJson(json.loads(entry.schema))
+        if not entry.parts:
+            return local_rows(self.spark, [], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+        return reader.parquet(*sorted(entry.parts.values())).select(*schema.names)
+
+    def read(self, name: str, filed: bool = False) -> DataFrame | None:
+        """The current build; ``filed`` keeps the column that prunes its partitions."""
         entry = self.current([name]).get(name)
-        return self._read(entry.path, entry.schema) if entry else None
+        if entry is None:
+            return None
+        return self._read(name, entry) if filed else self._read(name, entry).drop(FILED)
+
+    def _written(self, name: str, df: DataFrame, version: int, by: Sequence[str]) -> dict[str, str]:
+        """Partition -> folder of what was written."""
+        folder = f"{self.root}/{name}/version={version}"
+        gathered_rows = df.hint("rebalance", *map(F.col, by)) if by else df
+        gathered_rows.write.mode("overwrite").partitionBy(*by).parquet(folder)
+        if not by:
+            return {"": folder}
+        reader = self.spark.read.schema(df.schema)
+        parts = [part_of(r) for r in reader.parquet(folder).select(*by).distinct().collect()]
+        return {part: f"{folder}/{part}" for part in parts}
 
     def prepare(
         self, frames: Mapping[str, DataFrame], partition_by: Sequence[str] = ()
     ) -> Prepared:
-        """Write all tables; nobody reads them before ``commit``."""
-        entries, built = [], {}
+        """Write all tables as a whole; nobody reads them before ``commit``."""
+        prepared = Prepared({}, [])
         held = self.current(list(frames))
         for name, df in frames.items():
             version = held[name].version + 1 if name in held else 1
-            path = f"{self.root}/{name}/version={version}"
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-            schema = df.schema.json()
-            entries.append((name, version, path, schema, utc_now()))
-            built[name] = self._read(path, schema)
-        return Prepared(built, entries)
+            parts = self._written(name, df, version, partition_by)
+            entry = Entry(version, version, df.schema.json(), parts)
+            # A table without rows has one entry too, without a folder.
+            prepared += self._entries(name, entry, parts or {"": None})
+        return prepared
+
+    def prepare_parts(
+        self, name: str, df: DataFrame, parts: Sequence[str], partition_by: Sequence[str]
+    ) -> Prepared:
+        """Write these partitions anew; those without rows in ``df`` become empty."""
+        held = self.current([name])[name]
+        found = self._written(name, df, held.version + 1, partition_by)
+        changed = dict.fromkeys(parts) | found
+        kept = {p: f for p, f in (held.parts | changed).items() if f}
+        return self._entries(name, Entry(held.version + 1, held.base, held.schema, kept), changed)
+
+    def _entries(self, name: str, entry: Entry, parts: Mapping[str, str | None]) -> Prepared:
+        logged = [
+            (name, entry.version, entry.base, part, path, entry.schema, utc_now())
+            for part, path in parts.items()
+        ]
+        return Prepared({name: self._read(name, entry)}, logged)
 
     def commit(self, prepared: Prepared) -> None:
         """Make prepared tables current together."""
@@ -138,3 +211,26 @@ class Published:
         prepared = self.prepare(frames, partition_by)
         self.commit(prepared)
         return prepared.tables
+
+    def sweep(self, names: Sequence[str]) -> list[str]:
+        """Delete folders that neither the current build nor the one before it names."""
+        held: dict[str, list[Row]] = {}
+        for row in self._log(names).select("table_name", "version", "base", "part", "path").collect():
+            held.setdefault(row.table_name, []).append(row)
+        gone = []
+        for rows in held.values():
+            now = max(r.version for r in rows)
+
+            def named(at: int, rows: list[Row] = rows) -> set[str]:
+                known = [r for r in rows if r.version <= at]
+                base = max((r.base for r in known), default=0)
+                last: dict[str, Row] = {}
+                for r in sorted((r for r in known if r.base == base), key=lambda r: r.version):
+                    last[r.part] = r
+                return {r.path for r in last.values() if r.path}
+
+            old = set().union(*(named(v) for v in range(max(1, now - SWEPT_BUILDS), now - 1)), set())
+            gone += sorted(old - named(now) - named(now - 1))
+        for path in gone:
+            remove(self.spark, path)
+        return gone

@@ -31,8 +31,66 @@ def address_changes(dim: DataFrame) -> DataFrame:
     )
 
 
-def status_history(dim: DataFrame) -> DataFrame:
-    """MRT2 / SRT1: one row per version, ordered by key and start."""
+def turning_points(delta: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """(key, day) at which the versions that end or begin differ after a repair.
+
+    A version that only got another end begins as before, so its start is no such day.
+    """
+    content = F.struct(*spec.attributes, spec.hash)
+    starts = (
+        delta.groupBy(spec.key, F.col("valid_from").alias("day"))
+        .agg(F.count_distinct("op").alias("sides"), F.count_distinct(content).alias("contents"))
+        .where("sides = 1 OR contents > 1")
+        .select(spec.key, "day")
+    )
+    ends = delta.where("valid_to IS NOT NULL").select(spec.key, F.col("valid_to").alias("day"))
+    return starts.union(ends).distinct()
+
+
+def address_changes_at(points: DataFrame, dim: DataFrame) -> DataFrame:
+    """MRT1 for some keys and days: the version that ends there against the one that begins.
+
+    Ranges of a key touch, so this equals looking one version back. ``dim`` needs the
+    versions that end or begin on those days only.
+    """
+    key = F.col("license_nbr")
+    ending = dim.select(
+        key.alias("_key"), F.col("valid_to").alias("_day"), F.col("address_full").alias("old_address")
+    )
+    beginning = dim.select(
+        "license_nbr",
+        "business_name",
+        F.col("address_full").alias("new_address"),
+        F.col("valid_from").alias("changed_on"),
+    )
+    at = points.withColumnRenamed("day", "changed_on")
+    return (
+        beginning.join(at, ["license_nbr", "changed_on"], "left_semi")
+        .join(ending, (key == F.col("_key")) & (F.col("changed_on") == F.col("_day")))
+        .where(F.col("old_address") != F.col("new_address"))
+        .select("license_nbr", "business_name", "old_address", "new_address", "changed_on")
+    )
+
+
+def summed_delta(delta: DataFrame, spec: SnapshotSpec) -> dict[str, int]:
+    """MRT3: by how much a repair changes versions, open versions and keys with one."""
+    sign = F.when(F.col("op") == "+", 1).otherwise(-1)
+    is_open = F.col("is_current").cast("int")
+    per_key = delta.groupBy(spec.key).agg(
+        F.sum(sign).alias("versions"),
+        F.sum(sign * is_open).alias("current"),
+        (
+            F.max(F.when(F.col("op") == "+", is_open).otherwise(0))
+            - F.max(F.when(F.col("op") == "-", is_open).otherwise(0))
+        ).alias("keys"),
+    )
+    names = ("versions", "current", "keys")
+    row = per_key.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+    return {n: int(row[n]) for n in names}
+
+
+def status_rows(dim: DataFrame, *kept: str) -> DataFrame:
+    """MRT2: one row per version."""
     return dim.select(
         "license_nbr",
         "business_name",
@@ -40,7 +98,13 @@ def status_history(dim: DataFrame) -> DataFrame:
         F.col("valid_from").alias("effective_from"),
         F.col("valid_to").alias("effective_to"),
         "is_current",
-    ).orderBy("license_nbr", "effective_from")
+        *kept,
+    )
+
+
+def status_history(dim: DataFrame) -> DataFrame:
+    """MRT2 / SRT1: one row per version, ordered by key and start."""
+    return status_rows(dim).orderBy("license_nbr", "effective_from")
 
 
 def quality_summary(raw: DataFrame, dim: DataFrame, spec: SnapshotSpec) -> DataFrame:

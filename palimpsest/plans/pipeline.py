@@ -16,16 +16,19 @@ from pyspark.sql import functions as F
 from ..operators import quality, tables
 from ..operators.ingest import LoadReport, load_snapshots, resume_loads
 from ..operators.scd2 import (
+    apply_delta,
     build_scd2,
+    filed,
     impacted_keys,
     latest_snapshot,
+    month_of,
+    repair_delta,
     repair_keys,
-    repair_scd2,
 )
-from ..operators.snapshot import snapshot_merge
+from ..operators.snapshot import snapshot_parts
 from ..operators.staging import keyed
 from ..operators.warehouse import Warehouse
-from ..session import local_rows, materialize, remove
+from ..session import local_rows, materialize
 from ..sources.csv_snapshot import Source
 from ..spec import METRICS_SCHEMA
 from . import marts
@@ -36,7 +39,13 @@ DIMENSION = "dim_business"
 HISTORY = "businesses_snapshot"
 # A load older than this is a warning, or an error.
 FRESH = (timedelta(hours=24), timedelta(hours=48))
-MARTS = ("vw_address_changes", "vw_status_history", "quality_summary")
+CHANGES, STATUS, SUMMARY = MARTS = (
+    "vw_address_changes",
+    "vw_status_history",
+    "quality_summary",
+)
+# How versions are filed: open ones, and closed ones by the month they ended in.
+FILED_BY = ("is_current", tables.FILED)
 
 
 @dataclass(frozen=True)
@@ -118,43 +127,108 @@ def _log_refresh(wh: Warehouse, run: str, loads: Mapping[date, datetime], state:
 
 
 def _rebuild(wh: Warehouse, check: Check | None) -> DataFrame:
-    """Stage everything raw holds, then build from the staged table."""
+    """Stage everything raw holds, then build dimension and marts from the staged table."""
     raw = keyed(wh.read("raw"), wh.spec)
     left_over = wh.read("staged").select(wh.spec.effective).distinct().collect()
     _replace_staged(wh, wh.stage(raw), [r[0] for r in left_over], raw)
     staged = wh.read("staged")
-    return _publish_dimension(wh, build_scd2(staged, wh.spec), raw, staged, check)
+    prepared = wh.published.prepare({DIMENSION: filed(build_scd2(staged, wh.spec))}, FILED_BY)
+    dim = prepared.tables[DIMENSION].drop(tables.FILED)
+    if check:
+        check(raw, staged, dim)
+    changes = marts.address_changes(dim).withColumn(tables.FILED, month_of(F.col("changed_on")))
+    status = filed_status(prepared.tables[DIMENSION])
+    summary = marts.run_summary(wh.read("raw"), dim, wh.spec)
+    prepared += wh.published.prepare({CHANGES: changes}, [tables.FILED])
+    prepared += wh.published.prepare({STATUS: status}, FILED_BY)
+    wh.published.commit(prepared + wh.published.prepare({SUMMARY: summary}))
+    return dim
 
 
-def _publish_dimension(
-    wh: Warehouse, dim: DataFrame, raw: DataFrame, staged: DataFrame, check: Check | None
-) -> DataFrame:
-    """Write the dimension, check it, and only then make it current.
+def filed_status(dim: DataFrame) -> DataFrame:
+    """MRT2 of filed versions, which keeps their partitions."""
+    return marts.status_rows(dim, tables.FILED)
 
-    Open and closed versions lie in different folders, so reading the current state
-    never scans the history.
-    """
-    prepared = wh.published.prepare({DIMENSION: dim}, ["is_current"])
-    if check:
-        check(raw, staged, prepared.tables[DIMENSION])
-    wh.published.commit(prepared)
-    return prepared.tables[DIMENSION]
 
+def _repair(wh: Warehouse, dates: list[date], check: Check | None) -> DataFrame:
+    """Repair the keys these dates change; partitions that keep their rows keep their files.
 
-def _repair(wh: Warehouse, dim: DataFrame, dates: list[date], check: Check | None) -> DataFrame:
-    """Repair the keys these dates change; staging is replaced last."""
+    What the repair takes away and adds is written as a delta, which the dimension's
+    partitions, the marts and the checks follow. All become current together, and staging
+    is replaced last.
+    """
     spec = wh.spec
     of_dates = F.col(spec.effective).isin(dates)
     held, raw = wh.read("staged"), wh.read("raw").where(of_dates)
     staged_now = materialize(wh.stage(raw), "staged")
+    start = F.lit(min(dates))
+
+    def live(rows: DataFrame) -> DataFrame:
+        ends = F.col("valid_to").isNull() | (F.col("valid_to") >= start)
+        return rows.where((F.col(tables.FILED) >= month_of(start)) & ends)
+
+    before = wh.published.read(DIMENSION, filed=True)
+    reached = live(before).drop(tables.FILED)
     impacted = materialize(
-        impacted_keys(held.where(of_dates), staged_now, dim, dates, spec), "impacted"
+        impacted_keys(held.where(of_dates), staged_now, reached, dates, spec), "impacted"
     )
     staged = held.where(~of_dates).unionByName(staged_now)
-    repaired = repair_scd2(dim, staged, impacted, min(dates), spec)
-    dim = _publish_dimension(wh, repaired, raw, staged_now, check)
+    delta = materialize(repair_delta(reached, staged, impacted, min(dates), spec), "delta")
+    places = filed(delta).select(*FILED_BY).distinct().collect()
+    after, prepared = before, tables.Prepared({}, [])
+    if places:
+        parts, months = [tables.part_of(r) for r in places], [r[tables.FILED] for r in places]
+        of_parts = F.col(tables.FILED).isin(months)
+        rows = apply_delta(before.where(of_parts).drop(tables.FILED), delta, spec)
+        prepared += wh.published.prepare_parts(DIMENSION, filed(rows), parts, FILED_BY)
+        after = prepared.tables[DIMENSION]
+        status = filed_status(after.where(of_parts))
+        prepared += wh.published.prepare_parts(STATUS, status, parts, FILED_BY)
+        prepared += _changed_addresses(wh, delta, after)
+    if check:
+        looked_at = live(after).join(delta.select(spec.key).distinct(), spec.key, "left_semi")
+        check(raw, staged_now, looked_at.drop(tables.FILED))
+    prepared += _summed_up(wh, delta, after)
+    wh.published.commit(prepared)
     _replace_staged(wh, staged_now, dates, staged_now)
-    return dim
+    return after.drop(tables.FILED)
+
+
+def _changed_addresses(wh: Warehouse, delta: DataFrame, after: DataFrame) -> tables.Prepared:
+    """MRT1 by the delta: the months in which some version ends or begins otherwise."""
+    points = materialize(marts.turning_points(delta, wh.spec), "points")
+    month = month_of(F.col("day"))
+    months = [r[0] for r in points.select(month).distinct().collect()]
+    if not months:
+        return tables.Prepared({}, [])
+    near = after.where(F.col(tables.FILED) >= min(months)).drop(tables.FILED)
+    anew = marts.address_changes_at(points, near)
+    held = wh.published.read(CHANGES, filed=True).where(F.col(tables.FILED).isin(months))
+    at = points.withColumnRenamed("day", "changed_on")
+    kept = held.drop(tables.FILED).join(at, [wh.spec.key, "changed_on"], "left_anti")
+    rows = kept.unionByName(anew).withColumn(tables.FILED, month_of(F.col("changed_on")))
+    parts = [f"{tables.FILED}={m}" for m in months]
+    return wh.published.prepare_parts(CHANGES, rows, parts, [tables.FILED])
+
+
+def _summed_up(wh: Warehouse, delta: DataFrame, after: DataFrame) -> tables.Prepared:
+    """MRT3 by the delta: last summary plus what changed; the open rows counted anew."""
+    day = wh.spec.effective
+    last = wh.published.read(SUMMARY)
+    by = marts.summed_delta(delta, wh.spec)
+    held = wh.read("audit").where("row_count > 0")
+    newest = held.agg(F.max(day)).first()[0]
+    loaded = wh.rows_per_date("raw", [newest]).get(newest, 0) if newest else 0
+    row = last.first()
+    values = (
+        newest,
+        loaded,
+        row.total_versions + by["versions"],
+        row.current_rows + by["current"],
+        row.unique_current_businesses + by["keys"],
+        after.where("is_current").count(),
+    )
+    return wh.published.prepare({SUMMARY: local_rows(wh.spark, [values], last.schema)})
 
 
 def refresh_dimension(
@@ -179,7 +253,7 @@ def refresh_dimension(
         return dim
     run = uuid.uuid4().hex
     _log_refresh(wh, run, loads, "started")
-    dim = _rebuild(wh, check) if rebuild else _repair(wh, dim, sorted(loads), check)
+    dim = _rebuild(wh, check) if rebuild else _repair(wh, sorted(loads), check)
     _log_refresh(wh, run, loads, "done")
     return dim
 
@@ -188,19 +262,15 @@ def refresh_history(wh: Warehouse, run_ts: datetime) -> DataFrame:
     """SCD4: merge the newest staged snapshot into the order-of-arrival history."""
     spec = wh.spec
     batch = latest_snapshot(wh.read("staged"), spec).drop(*spec.recency)
-    target = wh.published.read(HISTORY)
-    merged = snapshot_merge(target, batch, spec.key, [spec.hash], run_ts)
-    return wh.published.publish({HISTORY: merged})[HISTORY]
-
-
-def refresh_marts(wh: Warehouse, dim: DataFrame) -> None:
-    """SNK8: rebuild the marts."""
-    built = (
-        marts.address_changes(dim),
-        marts.status_history(dim),
-        marts.run_summary(wh.read("raw"), dim, wh.spec),
-    )
-    wh.published.publish(dict(zip(MARTS, built)))
+    target = wh.published.read(HISTORY, filed=True)
+    rows, places = snapshot_parts(target, batch, spec.key, [spec.hash], run_ts)
+    by = [tables.FILED]
+    if target is None:
+        return wh.published.publish({HISTORY: rows}, by)[HISTORY].drop(tables.FILED)
+    parts = [f"{tables.FILED}={place}" for place in places]
+    prepared = wh.published.prepare_parts(HISTORY, rows, parts, by)
+    wh.published.commit(prepared)
+    return prepared.tables[HISTORY].drop(tables.FILED)
 
 
 def register_views(wh: Warehouse, detected_at: datetime | None = None) -> None:
@@ -213,7 +283,8 @@ def register_views(wh: Warehouse, detected_at: datetime | None = None) -> None:
     for name in (DIMENSION, HISTORY, *MARTS):
         built = wh.published.read(name)
         if built is not None:
-            built.createOrReplaceTempView(name)
+            ordered = built.orderBy("license_nbr", "effective_from") if name == STATUS else built
+            ordered.createOrReplaceTempView(name)
 
 
 def backfill(
@@ -250,7 +321,7 @@ def _refresh(wh: Warehouse, run_ts: datetime, log: TaskLog, rebuild: bool = Fals
     dim = log.run("refresh_dimension", lambda: refresh_dimension(wh, check, rebuild))
     if dim is not None:
         log.run("refresh_history", lambda: refresh_history(wh, run_ts))
-        log.run("refresh_marts", lambda: refresh_marts(wh, dim))
+        wh.published.sweep([DIMENSION, HISTORY, *MARTS])
 
 
 def refresh(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import address_full, attr_hash, natural_key, normalize_text, safe_date
 from ..functions.text import is_blank_key
 from ..operators import ingest, quality, scd2, staging, tables
-from ..operators.snapshot import snapshot_merge
+from ..operators.snapshot import snapshot_parts
 from ..operators.warehouse import Warehouse
 from ..session import materialize, scratch_path
 from ..sources import files, paged
@@ -223,16 +223,23 @@ def _days(rows: DataFrame) -> list[date]:
 
 
 def q_snapshot_merge(spark, sf):
-    """Every day is merged on its own, in the order of the days."""
+    """Every day is merged on its own, in the order of the days; a day's run writes the
+    open rows and those it closes, and leaves those closed before in their files."""
     staged = materialize(_events_staged(spark, sf), "staged")
-    history = None
+    history = tables.Published(spark, scratch_path(spark, "history"))
+    held, by = None, [tables.FILED]
     for day in _days(staged):
-        seen = staged.where(F.col("load_date") <= F.lit(day))
-        batch = scd2.latest_snapshot(seen, EVENTS).drop(*EVENTS.recency)
+        batch = staged.where(F.col("load_date") == F.lit(day)).drop(*EVENTS.recency)
         run_ts = datetime(day.year, day.month, day.day, 6)
-        history = snapshot_merge(history, batch, EVENTS.key, [EVENTS.hash], run_ts)
-        history = materialize(history, "history")
-    return as_text(history)
+        rows, places = snapshot_parts(held, batch, EVENTS.key, [EVENTS.hash], run_ts)
+        if held is None:
+            prepared = history.prepare({"users": rows}, by)
+        else:
+            parts = [f"{tables.FILED}={place}" for place in places]
+            prepared = history.prepare_parts("users", rows, parts, by)
+        history.commit(prepared)
+        held = prepared.tables["users"]
+    return as_text(held.drop(tables.FILED))
 
 
 def q_repair_keys(spark, sf):

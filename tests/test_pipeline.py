@@ -1,4 +1,5 @@
 import os
+import random
 from datetime import date, datetime
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from palimpsest.operators import ingest, quality, scd2
 from palimpsest.plans import marts, pipeline
 from palimpsest.plans.pipeline import DIMENSION, HISTORY, backfill, run_snapshot
+from palimpsest.session import remove
 from palimpsest.sources import paged
 from palimpsest.spec import REGISTRY
 from palimpsest.streaming import catch_up
@@ -344,7 +346,7 @@ def test_a_load_whose_parsed_records_are_gone_is_refreshed_from_raw(spark, wh, w
     run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln")]), EARLY)
     load = ingest.prepare_load(wh, {EARLY: write_csv("b.csv", [vine("Slope Rd"), licence("MV-9")])})
     ingest.replace_raw(wh, load)
-    pipeline.remove(spark, wh.load_folder(load.run))
+    remove(spark, wh.load_folder(load.run))
     run_snapshot(wh, write_csv("c.csv", [vine("Slope Rd")]), LATE)
     assert same_as_a_build(wh) and len(ranges(wh)) == 2
     assert [r.state for r in wh.read("loads").where(F.col("run") == load.run).collect()] == [
@@ -352,3 +354,67 @@ def test_a_load_whose_parsed_records_are_gone_is_refreshed_from_raw(spark, wh, w
         "lost",
     ]
     assert pipeline.pending_dates(wh) == ({}, False)
+
+
+def files_of(wh, name):
+    parts = wh.published.current([name])[name].parts
+    return {
+        os.path.join(folder, f): os.stat(os.path.join(folder, f)).st_mtime_ns
+        for path in parts.values()
+        for folder, _, names in os.walk(path)
+        for f in names
+    }
+
+
+def test_a_daily_run_leaves_untouched_months_alone(wh, write_csv):
+    """Versions, marts and history: what ended in earlier months keeps its files."""
+    for i, (month, street) in enumerate([(1, "A"), (2, "B"), (3, "C"), (4, "D")]):
+        run_snapshot(
+            wh,
+            write_csv(f"{i}.csv", [vine(street), licence("K-2", business_name=f"n{i // 2}")]),
+            date(2087, month, 9),
+            datetime(2087, month, 9, 6),
+        )
+        now = {n: files_of(wh, n) for n in (DIMENSION, HISTORY, *pipeline.MARTS[:2])}
+        if i == 3:
+            for name, files in now.items():
+                kept = set(files.items()) & set(before[name].items())
+                assert kept and all("open" not in path for path, _ in kept), name
+                assert len(files) > len(kept)
+        before = now
+    assert same_as_a_build(wh)
+    dim = wh.published.read(DIMENSION)
+    columns = ["old_address", "changed_on"]
+    assert rows_of(wh.published.read("vw_address_changes"), columns) == rows_of(marts.address_changes(dim), columns)
+    swept = {p for e in wh.published.current([DIMENSION]).values() for p in e.parts.values()}
+    assert all(os.path.exists(p) for p in swept)
+
+
+def rows_of(df, columns=None):
+    return sorted(map(repr, df.select(*(columns or sorted(df.columns))).collect()))
+
+
+def test_marts_by_delta_equal_a_rebuild(wh, write_csv):
+    """Late, repeated and emptied dates in random order."""
+    random.seed(5)
+    days = [date(2087, m, d) for m in (1, 2, 3) for d in (5, 20)]
+    for step in range(4):
+        batch = {
+            day: write_csv(
+                f"{step}-{day}.csv",
+                [
+                    licence(f"R-{k}", address_street=random.choice("AB"), license_status=random.choice("xy"))
+                    for k in range(6)
+                    if random.random() < 0.8
+                ]
+                + [licence("")],
+            )
+            for day in random.sample(days, 2)
+        }
+        backfill(wh, batch)
+    assert same_as_a_build(wh)
+    dim = wh.published.read(DIMENSION)
+    assert rows_of(wh.published.read("vw_address_changes")) == rows_of(marts.address_changes(dim))
+    assert rows_of(wh.published.read("vw_status_history")) == rows_of(marts.status_history(dim))
+    summary = marts.run_summary(wh.read("raw"), dim, REGISTRY)
+    assert rows_of(wh.published.read("quality_summary")) == rows_of(summary)

@@ -453,6 +453,18 @@ FROM (SELECT max(ts) AS max_loaded_at,
             f"SELECT {', '.join(map(_landed, _CONTRACT))}, {_text('load_date')} FROM raw",
         ),
     ),
+    "csv_records": _select(
+        _REGISTRY,
+        "SELECT "
+        + ", ".join(
+            "coalesce(business_name2, '') || chr(10) || '\"' || business_name || '\",' || chr(10) "
+            "|| chr(10) AS business_name2"
+            if c == "business_name2"
+            else _landed(c)
+            for c in _CONTRACT
+        )
+        + f", {_text('load_date')} FROM raw",
+    ),
     "source_row_numbers": _select(
         _REGISTRY,
         f"SELECT {_text('load_date')}, count(*) AS records, count(*) AS distinct_numbers, "

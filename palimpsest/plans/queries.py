@@ -454,11 +454,12 @@ def q_drift_latest(spark, sf):
 
 
 def _landed(
-    spark: SparkSession, sf: str, order: str | None = None
+    spark: SparkSession, sf: str, order: str | None = None, rows: DataFrame | None = None
 ) -> tuple[str, dict[date, str]]:
     """The registry feed as CSV folders, one per month; with ``order`` in that order."""
     folder = scratch_path(spark, "landing")
-    ingest.land_snapshots(feeds.registry_feed(spark, sf), folder, REGISTRY, order)
+    rows = feeds.registry_feed(spark, sf) if rows is None else rows
+    ingest.land_snapshots(rows, folder, REGISTRY, order)
     months = feeds.orders_feed(spark, sf).select("load_date").distinct().collect()
     return folder, {r[0]: f"{folder}/load_date={r[0]}" for r in months}
 
@@ -469,9 +470,9 @@ def _loaded(spark: SparkSession, sf: str) -> Warehouse:
     return wh
 
 
-def _scanned(spark: SparkSession, sf: str) -> DataFrame:
+def _scanned(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     """The landed CSV files read back, every record with its date and number."""
-    parts = inspect_files(spark, _landed(spark, sf)[1])
+    parts = inspect_files(spark, _landed(spark, sf, rows=rows)[1])
     rows = materialize(scan_snapshots(spark, parts, REGISTRY), "parsed")
     splits = materialize(split_counts(rows, parts, REGISTRY), "splits")
     return number_records(rows, splits, splits.count(), REGISTRY)
@@ -482,6 +483,13 @@ def q_csv_round_trip(spark, sf):
     return as_text(_scanned(spark, sf).select(*REGISTRY.contract, "load_date"))
 
 
+def q_csv_records(spark, sf):
+    """CSV whose records go over several lines, with quotes, commas and blank lines inside."""
+    name = F.concat(F.coalesce("business_name2", F.lit("")), F.lit('\n"'), F.col("business_name"), F.lit('",\n\n'))
+    rows = feeds.registry_feed(spark, sf).withColumn("business_name2", name)
+    return as_text(_scanned(spark, sf, rows).select(*REGISTRY.contract, "load_date"))
+
+
 def q_source_row_numbers(spark, sf):
     """Per month: records and the numbers given to them, gap-free from 2 on."""
     number = F.col("source_row_number")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions import is_blank_key
 from ..session import local_rows
 from ..spec import REJECT_PREFIX, SnapshotSpec
+from .csv_records import WHOLE_FIELD, read_records
 from .files import canonical, literal, readable
 
 RECORD = "_record"
@@ -42,7 +43,7 @@ def label(source: Source) -> str:
 class SnapshotFile:
     """One part file of a date's snapshot, as found by :func:`inspect_files`.
 
-    ``separator`` is the line end of a file that needs the multi-line parser, else None.
+    ``separator`` is the line end of a file whose records are not just its lines, else None.
     """
 
     load_date: date
@@ -52,13 +53,8 @@ class SnapshotFile:
     separator: str | None
 
 
-def csv_reader(spark: SparkSession, separator: str | None = None):
-    """Header CSV with doubled quotes; a given line end turns on the multi-line parser.
-
-    Stating the line end keeps those inside quoted fields as they are.
-    """
-    reader = spark.read.options(header=True, quote='"', escape='"', encoding="UTF-8")
-    return reader.options(multiLine=True, lineSep=separator) if separator else reader
+# How fields are told apart: doubled quotes, and the text of records of the wrong length.
+DIALECT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
 
 
 def read_headers(spark: SparkSession, path: str) -> list[str]:
@@ -81,9 +77,9 @@ def inspect_files(
 ) -> list[SnapshotFile]:
     """Header and record shape of every part file, in one job for all dates.
 
-    A file needs the unsplittable multi-line parser only if some line has an odd number
-    of quotes (a quoted field goes on) or nothing but blanks (the line-wise parser would
-    drop that record). All other files are read in splits.
+    Lines are records unless some line has an odd number of quotes (a quoted field goes
+    on) or nothing but blanks (the line-wise parser would drop that record). Either way a
+    file is read in splits.
     """
 
     def listed(source: Source) -> list[str]:
@@ -133,7 +129,7 @@ def _fields(header: Sequence[str]) -> dict[str, Column]:
     there the separators outside quotes tell how many fields were present. A quote opens
     a field only where the field begins.
     """
-    unquoted = F.regexp_replace(RECORD, '(^|,)"([^"]|"")*"', "$1")
+    unquoted = F.regexp_replace(RECORD, WHOLE_FIELD, "$1")
     present = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
     return {
         name: F.when(
@@ -143,6 +139,33 @@ def _fields(header: Sequence[str]) -> dict[str, Column]:
     }
 
 
+def _lines_parsed(spark: SparkSession, files: list[str], schema: T.StructType) -> DataFrame:
+    """Files of which every line is a record."""
+    # Without pruning off, selecting fewer columns would lose the wrong-length mark.
+    reader = spark.read.options(header=True, encoding="UTF-8", columnPruning=False, **DIALECT)
+    return (
+        reader.schema(schema)
+        .csv(files)
+        .select(
+            *schema.names,
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("pos"),
+        )
+    )
+
+
+def _records(
+    spark: SparkSession, files: list[str], schema: T.StructType, separator: str
+) -> DataFrame:
+    """Files with records over several lines; line ends inside fields stay as they are."""
+    found = read_records(spark, _lines(spark, files).select("value", "file", "block"))
+    text = F.regexp_replace("text", "\r$", "") if separator == "\r\n" else F.col("text")
+    ddl = ", ".join(f"`{name}` string" for name in schema.names)
+    parsed = F.from_csv(text, ddl, DIALECT)
+    return found.select(parsed.alias("r"), "file", "block", "pos").select("r.*", "file", "block", "pos")
+
+
 def _scan(
     spark: SparkSession,
     files: list[str],
@@ -152,20 +175,8 @@ def _scan(
 ) -> DataFrame:
     positions = [f"c{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in positions + [RECORD]])
-    # Without pruning off, selecting fewer columns would lose the wrong-length mark.
-    rows = (
-        csv_reader(spark, separator)
-        .options(columnNameOfCorruptRecord=RECORD, columnPruning=False, mode="PERMISSIVE")
-        .schema(schema)
-        .csv([readable(f) for f in files])
-        .select(
-            *positions,
-            RECORD,
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
-        )
-    )
+    names = [readable(f) for f in files]
+    rows = _records(spark, names, schema, separator) if separator else _lines_parsed(spark, names, schema)
     fields = _fields(header)
     named = [value.alias(name) for name, value in fields.items()]
     as_json = {"ignoreNullFields": "false"}

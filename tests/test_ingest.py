@@ -1,12 +1,22 @@
 import csv
+import random
 import hashlib
 import json
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 from conftest import DAY, licence
 from pyspark.sql import functions as F
 
+from palimpsest.session import materialize
+from palimpsest.sources.csv_records import compose
+from palimpsest.sources.csv_snapshot import (
+    inspect_files,
+    number_records,
+    scan_snapshots,
+    split_counts,
+)
 from palimpsest.operators import ingest, tables
 from palimpsest.operators.ingest import load_snapshot, load_snapshots
 from palimpsest.sources import csv_snapshot, files
@@ -281,3 +291,47 @@ def test_layers_are_queryable_by_name(spark, wh, write_csv):
     assert spark.sql("SELECT row_count FROM raw.businesses_snapshot_load_audit").first()[0] == 2
     for layer in ("raw", "staging", "marts"):
         spark.sql(f"DROP DATABASE {layer} CASCADE")
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_records_over_several_lines_are_found_in_any_split(spark, tmp_path, newline):
+    """Fields of many lines, records longer than a split, blank and empty lines."""
+    random.seed(7)
+    pieces = ["x", ",", newline, newline, '""', "a b", " ", "ü", f'{newline},""{newline}']
+    lines = ["license_nbr,business_name,business_name2"]
+    for i in range(600):
+        field = "".join(random.choices(pieces, k=random.choice([0, 1, 3, 9, 400 if i % 97 == 0 else 5])))
+        lines.append(f'K-{i},"{field}",{random.choice(["", "plain", "5 in", "q", chr(34) * 2])}')
+        lines += [""] * (i % 50 == 0) + ["  "] * (i % 70 == 0)
+    path = tmp_path / "wide.csv"
+    path.write_bytes(newline.join(lines).encode())
+    with open(path, newline="", encoding="utf-8") as f:
+        expected = [
+            (n, *(r.get(c) for c in ("license_nbr", "business_name", "business_name2")))
+            for n, r in enumerate(csv.DictReader(f), start=2)
+        ]
+    parts = inspect_files(spark, {DAY: str(path)})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        rows = materialize(scan_snapshots(spark, parts, REGISTRY), "parsed")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    splits = materialize(split_counts(rows, parts, REGISTRY), "splits")
+    assert splits.count() > 6
+    numbered = number_records(rows, splits, splits.count(), REGISTRY)
+    found = numbered.select("source_row_number", "license_nbr", "business_name", "business_name2")
+    assert sorted(tuple(r) for r in found.collect()) == expected
+
+
+def test_maps_of_lines_compose_like_a_scan():
+    random.seed(2)
+    for _ in range(300):
+        maps = [(random.random() < 0.5, random.random() < 0.5) for _ in range(random.randrange(6))]
+        ends = []
+        for state in (False, True):
+            for outside_to, inside_to in maps:
+                state = inside_to if state else outside_to
+            ends.append(state)
+        arrays = [np.array([m[i] for m in maps], bool) for i in (0, 1)]
+        assert compose(*arrays) == tuple(ends)

@@ -4,7 +4,10 @@ A test item of n characters may differ in ``k = floor(rate * n)`` edits. Cut int
 pieces, at least one piece must then occur unchanged. An automaton of all pieces reads
 each document once; around each piece hit Myers' bit-parallel algorithm computes the least
 edit distance of the whole item. Both sides are compared as lower-case words joined by one
-space, so layout and punctuation do not count.
+space, so layout and punctuation do not count. A place begins and ends at borders of words,
+and its distance is that of the item to all of it, so a short item is not found inside
+other words; items of fewer than ``LEAST_WORDS`` words must occur without an edit. Places
+of one item do not overlap: each occurrence counts once.
 
 The items are taken in blocks of at most ``BLOCK_CHARS`` characters, one pass over the
 documents each, so the automaton's memory is bounded for any number of items. Documents
@@ -21,7 +24,6 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
@@ -32,6 +34,8 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from .common import staged, table, whole
 
 RATE = 0.06
+# Items of fewer words must occur without an edit.
+LEAST_WORDS = 4
 BLOCK_CHARS = 4_000_000
 _WORD = re.compile(r"\w+")
 
@@ -72,8 +76,13 @@ def masks(pattern: str) -> dict[str, int]:
     return dict(out)
 
 
-def best_end(masks_: dict[str, int], size: int, text: str) -> tuple[int, int]:
-    """Least distance of the pattern to any substring, and where the first such ends."""
+def best_end(
+    masks_: dict[str, int], size: int, text: str, anchored: bool = False
+) -> tuple[int, int]:
+    """Least distance of the pattern to any substring, and where the first such ends.
+
+    ``anchored``: the distance to the whole text instead.
+    """
     full, high = (1 << size) - 1, 1 << (size - 1)
     plus, minus, score = full, 0, size
     best, end = size, 0
@@ -87,12 +96,12 @@ def best_end(masks_: dict[str, int], size: int, text: str) -> tuple[int, int]:
             score += 1
         elif down & high:
             score -= 1
-        up, down = (up << 1) & full, (down << 1) & full
+        up, down = ((up << 1) | anchored) & full, (down << 1) & full
         plus = down | (full & ~(vertical | up))
         minus = up & vertical
         if score < best:
             best, end = score, at
-    return best, end
+    return (score, len(text)) if anchored else (best, end)
 
 
 @dataclass(frozen=True)
@@ -103,48 +112,104 @@ class Block:
     rate: float
 
 
-@lru_cache(maxsize=1)
-def _automaton(block: Block):
-    found: dict[str, list[tuple[int, int]]] = defaultdict(list)
-    known = []
-    for number, (_, item) in enumerate(block.items):
-        budget, parts = pieces(item, block.rate)
-        known.append((budget, masks(item), masks(item[::-1])))
-        for offset, part in parts:
-            found[part].append((number, offset))
-    machine = ahocorasick.Automaton()
-    for part, at in found.items():
-        machine.add_word(part, (len(part), at))
-    machine.make_automaton()
-    return machine, known
-
-
-def matches(text: str, block: Block) -> Iterator[tuple[int, int, int, int]]:
-    """(item number, start, end, distance) of items in ``text``, in normal characters."""
-    machine, known = _automaton(block)
-    starts: dict[int, set[int]] = defaultdict(set)
-    for last, (size, at) in machine.iter(text):
-        for number, offset in at:
-            starts[number].add(last + 1 - size - offset)
-    for number in sorted(starts):
-        item = block.items[number][1]
-        budget, forward, backward = known[number]
-        covered = -1  # what ends before this was looked at
-        for start in sorted(starts[number]):
-            if start + len(item) + budget <= covered:
-                continue
-            left = max(0, start - budget)
-            right = min(len(text), start + len(item) + budget)
-            window = text[left:right]
-            at = window.find(item)
-            if at >= 0:
-                distance, end = 0, at + len(item)
-            else:
-                distance, end = best_end(forward, len(item), window)
-            if distance <= budget:
-                _, length = best_end(backward, len(item), window[:end][::-1])
-                yield number, left + end - length, left + end, distance
-                covered = left + end
+def _is_whole(text: str, start: int, end: int) -> bool:
+    """Whether a place begins and ends at borders of words."""
+    return (start == 0 or text[start - 1] == " ") and (end == len(text) or text[end] == " ")
+
+
+def _word_starts(text: str, at: int, room: int) -> list[int]:
+    """The last begin of a word up to a place and the first after it, near by."""
+    before = text.rfind(" ", max(0, at - room - 1), at)
+    after = text.find(" ", at, at + room)
+    found = [before + 1] if before >= 0 or at <= room else []
+    return found + ([after + 1] if after >= 0 else [])
+
+
+def _word_ends(text: str, at: int, room: int) -> list[int]:
+    """The last end of a word before a place and the first from it on, near by."""
+    before = text.rfind(" ", max(0, at - room), at)
+    after = text.find(" ", at, at + room + 1)
+    found = [before] if before >= 0 else []
+    return found + ([after] if after >= 0 else [len(text)] if at + room >= len(text) else [])
+
+
+class Finder:
+    """The automaton of a block's pieces; build it once a task."""
+
+    def __init__(self, block: Block):
+        self.items = block.items
+        found: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        self.known = []
+        for number, (_, item) in enumerate(block.items):
+            rate = block.rate if item.count(" ") + 1 >= LEAST_WORDS else 0.0
+            budget, parts = pieces(item, rate)
+            self.known.append((budget, masks(item), masks(item[::-1])))
+            for offset, part in parts:
+                found[part].append((number, offset))
+        self.machine = ahocorasick.Automaton()
+        for part, at in found.items():
+            self.machine.add_word(part, (len(part), at))
+        if found:
+            self.machine.make_automaton()
+
+    def _place(self, number: int, text: str, start: int) -> tuple[int, int, int] | None:
+        """(distance, start, end) of an item near a start, from border to border of words."""
+        item = self.items[number][1]
+        budget, forward, backward = self.known[number]
+        size = len(item)
+        left, right = max(0, start - budget), min(len(text), start + size + budget)
+        at = text.find(item, left, right)
+        while at >= 0:
+            if _is_whole(text, at, at + size):
+                return 0, at, at + size
+            at = text.find(item, at + 1, right)
+        if not budget:
+            return None
+        window = text[left:right]
+        distance, end = best_end(forward, size, window)
+        if distance > budget:
+            return None
+        _, length = best_end(backward, size, window[:end][::-1])
+        begin, end = left + end - length, left + end
+        room = budget + 1
+        spans = [
+            (best_end(forward, size, text[b:e], anchored=True)[0], b, e)
+            for b in _word_starts(text, begin, room)
+            for e in _word_ends(text, end, room)
+            if b < e
+        ]
+        best = min(spans, default=(budget + 1, 0, 0))
+        return best if best[0] <= budget else None
+
+    def matches(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        """(item number, start, end, distance) of items in ``text``, in normal characters.
+
+        Places of one item do not overlap; of those that would, the nearest one counts.
+        """
+        if not len(self.machine):
+            return
+        starts: dict[int, set[int]] = defaultdict(set)
+        for last, (size, at) in self.machine.iter(text):
+            for number, offset in at:
+                starts[number].add(last + 1 - size - offset)
+        for number in sorted(starts):
+            size, budget = len(self.items[number][1]), self.known[number][0]
+            held: tuple[int, int, int] | None = None
+            for start in sorted(starts[number]):
+                # An exact place is not bettered by starts that lie in it.
+                if held and held[0] == 0 and start + size + budget <= held[2]:
+                    continue
+                place = self._place(number, text, start)
+                if place is None or place == held:
+                    continue
+                if held and place[1] < held[2]:
+                    held = min(held, place)
+                    continue
+                if held:
+                    yield number, held[1], held[2], held[0]
+                held = place
+            if held:
+                yield number, held[1], held[2], held[0]
 
 
 def _blocks(
@@ -168,11 +233,12 @@ def _blocks(
 
 def _scan(docs: DataFrame, block: Block, schema: StructType) -> DataFrame:
     def scanned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        finder = Finder(block)
         for frame in frames:
             rows = []
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
                 found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-                for number, start, end, distance in matches(normal(text), block):
+                for number, start, end, distance in finder.matches(normal(text)):
                     found[number].append((distance, start, end))
                 if found:
                     begins, ends = places(text)
@@ -239,9 +305,11 @@ def without_leaks(
 
 def _leaks(block: Block):
     @F.pandas_udf("boolean")
-    def leaks(texts: pd.Series) -> pd.Series:
-        found = [next(matches(normal(t), block), None) is not None for t in texts]
-        return pd.Series(found, dtype=bool)
+    def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        finder = Finder(block)
+        for texts in batches:
+            found = [next(finder.matches(normal(t)), None) is not None for t in texts]
+            yield pd.Series(found, dtype=bool)
 
     return leaks
 

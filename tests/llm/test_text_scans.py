@@ -230,3 +230,50 @@ def test_bit_parallel_distance():
         best, end = decontaminate.best_end(decontaminate.masks(a), len(a), b)
         assert best == brute.distance(a, b)
         assert brute.distance(a, b[:end]) == best
+
+
+def test_items_are_counted_once_and_only_as_whole_words(spark):
+    """Plain count of planted occurrences, exact and with random edits, and short items."""
+    random.seed(4)
+    words = ["".join(random.choices("abcdefgh", k=random.randrange(3, 9))) for _ in range(400)]
+    items = [" ".join(random.sample(words, 25)) for _ in range(6)] + ["Yes", "no way"]
+    docs, planted = [], {}
+    for d in range(40):
+        text, chosen = random.sample(words, 30), []
+        for _ in range(random.randrange(4)):
+            item = random.randrange(6)
+            copy = list(items[item])
+            for _ in range(random.randrange(5)):  # the budget is over 8
+                at = random.randrange(len(copy))
+                copy[at] = random.choice(["", "z", copy[at] + "z"]) if copy[at] != " " else " "
+            text += ["".join(copy), *random.sample(words, 12)]
+            chosen.append(item)
+        docs.append((d, " ".join(text)))
+        planted |= {(d, str(i)): chosen.count(i) for i in set(chosen)}
+    docs += [(90, "eyes bayesian no ways"), (91, "oh yes! No way. Yes"), (92, ("yesno " * 60_000) + "Yes")]
+    benchmark = spark.createDataFrame([(str(i), t) for i, t in enumerate(items)], "item_id string, text string")
+    frame_ = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = decontaminate.contaminated(frame_, benchmark).collect()
+    found = {(r.doc_id, r.item_id): r.n_places for r in rows}
+    planted |= {(91, "6"): 2, (91, "7"): 1, (92, "6"): 1}
+    assert found == planted
+    texts = dict(docs)
+    for r in rows:
+        place = decontaminate.normal(texts[r.doc_id][r.start : r.end])
+        item = decontaminate.normal(items[int(r.item_id)])
+        anchored = decontaminate.best_end(decontaminate.masks(item), len(item), place, anchored=True)[0]
+        assert anchored == r.distance <= int(decontaminate.RATE * len(item))
+    kept = {r.doc_id for r in decontaminate.without_leaks(frame_, benchmark).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in planted}
+
+
+def test_anchored_distance():
+    random.seed(9)
+    for _ in range(200):
+        a, b = ("".join(random.choices("ab", k=random.randrange(1, 9))) for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            above, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (x != y)))
+        assert decontaminate.best_end(decontaminate.masks(a), len(a), b, anchored=True)[0] == row[-1]

@@ -157,8 +157,15 @@ def prefix_index(order: list[str], templates: tuple[Template, ...]) -> list[tupl
     return rows
 
 
-def _matches(blocks: DataFrame, index: list[tuple], templates: tuple[Template, ...]) -> DataFrame:
-    """(row, label, score) of the ``blocks`` (row, words) that meet a template."""
+def _matches(
+    blocks: DataFrame, order: list[str], index: list[tuple], templates: tuple[Template, ...]
+) -> DataFrame:
+    """(row, label, score) of the ``blocks`` (row, block, words) that meet a template.
+
+    Both sides are in the global order. Of a block and a template that share a word at
+    places j and i, what they share from there on is at most the shorter rest; for the
+    first word they share that is all they share, so no match is lost by the filter.
+    """
     spark = blocks.sparkSession
     entries = local_rows(spark, index, "word string, template int, place int")
     known = local_rows(
@@ -170,13 +177,17 @@ def _matches(blocks: DataFrame, index: list[tuple], templates: tuple[Template, .
         "template int, label string, t_words array<string>, required array<string>, needed int",
     )
     rare = F.lit(sorted({word for word, _, _ in index}))
-    probes = blocks.withColumn("word", F.explode(F.array_intersect("words", rare)))
+    ranked = blocks.withColumn("known", F.array_intersect(F.lit(order), F.col("words")))
+    hits = F.transform("known", lambda w, j: F.struct(w.alias("word"), j.alias("at")))
+    probes = ranked.select(
+        "row", "block", "known", F.inline(F.filter(hits, lambda h: F.array_contains(rare, h["word"])))
+    )
     joined = probes.join(F.broadcast(entries.join(known, "template")), "word")
-    common = F.size(F.array_intersect("words", "t_words"))
+    rest = F.least(F.size("t_words") - F.col("place"), F.size("known") - F.col("at"))
+    common = F.size(F.array_intersect("known", "t_words"))
     met = (
-        joined.filter(F.size("words") >= F.col("needed"))
-        .filter(F.size("t_words") - F.col("place") >= F.col("needed"))
-        .filter(F.size(F.array_except("required", "words")) == 0)
+        joined.filter(rest >= F.col("needed"))
+        .filter(F.size(F.array_except("required", "known")) == 0)
         .withColumn("common", common)
         .filter(F.col("common") >= F.col("needed"))
     )
@@ -221,7 +232,8 @@ def find_licenses(
 
     ``places`` has every (start, label) of a phrase.
     """
-    index = prefix_index(token_order(docs, text, templates), templates)
+    order = token_order(docs, text, templates)
+    index = prefix_index(order, templates)
     rare = F.lit(sorted({word for word, _, _ in index}))
     added = ("n_words", "places", "base_labels", "labels", "score")
     kept = [c for c in docs.columns if c != text and c not in added]
@@ -251,23 +263,23 @@ def find_licenses(
     each = rows.select(F.col("__row").alias("row"), F.explode("__blocks").alias("b"))
     blocks = each.select("row", "b.block", "b.words")
     found = (
-        _matches(blocks, index, templates)
-        .groupBy("row")
-        .agg(F.collect_set("label").alias("found"), F.max("score").alias("best"))
+        _matches(blocks, order, index, templates)
+        .groupBy(F.col("row").alias("__found_row"))
+        .agg(F.collect_set("label").alias("__found"), F.max("score").alias("__best"))
     )
     base_labels = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
     none = F.array().cast("array<string>")
-    joined = rows.join(found, rows["__row"] == found["row"], "left")
+    joined = rows.join(found, F.col("__row") == F.col("__found_row"), "left")
     return joined.select(
         *kept,
         "n_words",
         "places",
         base_labels.alias("base_labels"),
-        F.array_sort(F.array_distinct(F.concat(base_labels, F.coalesce("found", none)))).alias(
+        F.array_sort(F.array_distinct(F.concat(base_labels, F.coalesce("__found", none)))).alias(
             "labels"
         ),
         F.when(F.size("places") > 0, F.lit(1.0))
-        .otherwise(F.coalesce("best", F.lit(0.0)))
+        .otherwise(F.coalesce("__best", F.lit(0.0)))
         .alias("score"),
     )
 

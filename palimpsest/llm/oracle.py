@@ -22,9 +22,10 @@ def _license_sql() -> str:
         for label, phrase in licenses.PHRASES.items()
     )
     templates = ", ".join(
-        f"('{t.label}', {list(t.words)}, {t.required.split()}, {t.needed})"
-        for t in licenses.TEMPLATES
+        f"({i}, '{t.label}', {list(t.words)}, {t.required.split()}, {t.needed})"
+        for i, t in enumerate(licenses.TEMPLATES)
     )
+    step = max(len(t.text.split()) for t in licenses.TEMPLATES)
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     low = f"translate(coalesce(text, ''), '{upper}', '{upper.lower()}')"
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -45,23 +46,34 @@ base AS (
   FROM places GROUP BY doc_id
 ),
 lines AS (
-  SELECT doc_id, generate_subscripts(string_split(t, chr(10)), 1) AS line,
+  SELECT doc_id, generate_subscripts(string_split(t, chr(10)), 1) AS block,
          unnest(string_split(t, chr(10))) AS text FROM low
 ),
+windows AS (
+  SELECT doc_id, w, unnest(range(0, greatest(len(w) - {step} - 1, 0) + 1, {step})) AS start
+  FROM words WHERE contains(t, chr(10))
+),
 blocks AS (
-  SELECT doc_id, line, list_distinct(regexp_extract_all(text, '{word}')) AS b FROM lines
-  WHERE regexp_matches(text, '{word}')
+  SELECT doc_id, block, list_distinct(regexp_extract_all(text, '{word}')) AS b FROM lines
+  UNION ALL
+  SELECT doc_id, -2 - start // {step}, list_distinct(w[start + 1 : start + 2 * {step}])
+  FROM windows
 ),
-templates(label, t, required, needed) AS (VALUES {templates}),
+templates(id, label, t, required, needed) AS (VALUES {templates}),
 met AS (
-  SELECT doc_id, line, label, len(list_intersect(b, t)) AS common, len(t) AS n
+  SELECT doc_id, block, id, label, len(list_intersect(b, t)) / len(t) AS score
   FROM blocks, templates
   WHERE list_has_all(b, required) AND len(list_intersect(b, t)) >= needed
 ),
+under AS (
+  SELECT DISTINCT m.doc_id, m.block + near.i AS block, less.id
+  FROM met m JOIN templates more ON more.id = m.id
+  JOIN templates less ON list_has_all(more.t, less.t) AND len(more.t) > len(less.t)
+  JOIN (VALUES (-1), (0), (1)) AS near(i) ON near.i = 0 OR m.block < 0
+),
 best AS (
-  SELECT doc_id, list(DISTINCT label) AS labels, max(common / n) AS score
-  FROM (SELECT *, max(common) OVER (PARTITION BY doc_id, line) AS most FROM met)
-  WHERE common = most GROUP BY doc_id
+  SELECT doc_id, list(DISTINCT label) AS labels, max(score) AS score
+  FROM met ANTI JOIN under USING (doc_id, block, id) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base,
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,

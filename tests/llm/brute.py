@@ -101,16 +101,26 @@ def licenses(text, phrases, templates):
             if words[i : i + len(phrase)] == phrase:
                 places.append((i, label))
     labels, best = {label for _, label in places}, 1.0 if places else 0.0
-    for line in text.split("\n"):
-        block, met = set(WORD.findall(line)), []
-        for t in templates:
-            common = len(set(t.words) & block)
-            if common >= t.needed and set(t.required.split()) <= block:
-                met.append((common, t.label, common / len(t.words)))
-        for common, label, score in met:
-            if common == max(met)[0]:
-                labels.add(label)
-                best = max(best, score)
+    blocks = {i: set(WORD.findall(line)) for i, line in enumerate(text.split("\n"))}
+    step = max(len(t.text.split()) for t in templates)
+    if "\n" in text:
+        for i, at in enumerate(range(0, max(len(words) - step - 1, 0) + 1, step)):
+            blocks[-2 - i] = set(words[at : at + 2 * step])
+    met = [
+        (at, t)
+        for at, block in blocks.items()
+        for t in templates
+        if len(set(t.words) & block) >= t.needed and set(t.required.split()) <= block
+    ]
+    for at, t in met:
+        near = {at - 1, at, at + 1} if at < 0 else {at}
+        covers = any(
+            set(t.words) < set(other.words) and (there in near if there < 0 or there == at else False)
+            for there, other in met
+        )
+        if not covers:
+            labels.add(t.label)
+            best = max(best, len(set(t.words) & blocks[at]) / len(t.words))
     return len(words), sorted(places), ",".join(sorted(labels)), best
 
 

@@ -3,12 +3,14 @@
 import base64
 import random
 
+import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from palimpsest.llm import bpe, decontaminate, licenses, secrets
+from palimpsest.llm.oracle import ORACLE
 
 from . import brute
 
@@ -277,3 +279,47 @@ def test_anchored_distance():
             for j, y in enumerate(b, 1):
                 row.append(min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (x != y)))
         assert decontaminate.best_end(decontaminate.masks(a), len(a), b, anchored=True)[0] == row[-1]
+
+
+LICENSED = [
+    "subject to the terms of the mozilla public license v 2 0 or licensed under the gnu general "
+    "public license version 2",
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted "
+    "provided that the following\nconditions are met",
+    "a\nlicensed under a creative commons attribution\n4 0 license\nthis is free software you can "
+    "redistribute it\n and or modify it under the mit license",
+    "cc by nc and all rights reserved no part may be reproduced " + "word " * 300 + "\ncc by nc",
+    "license " * 50 + "\n" + "public " * 40,
+    *[t.text for t in licenses.TEMPLATES],
+    *[t.text.replace(" ", "\n", 3) + "\n" + u.text for t, u in zip(licenses.TEMPLATES, licenses.TEMPLATES[3:])],
+]
+
+
+def test_licenses_of_planted_texts_equal_the_sql(spark):
+    """Two licenses, wrapped statements and whole templates: engine, SQL and plain version."""
+    texts = [*LICENSED, None, ""]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.find_licenses(docs).collect()}
+    database = duckdb.connect()
+    database.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    database.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cursor = database.execute(ORACLE["op3_license_scan"])
+    names = [d[0] for d in cursor.description]
+    expected = {r["doc_id"]: r for r in (dict(zip(names, row)) for row in cursor.fetchall())}
+    several = 0
+    for doc_id, text in rows:
+        row, sql = found[doc_id], expected[doc_id]
+        labels = ",".join(row.labels)
+        assert (labels, row.score, row.n_words) == (sql["labels"], sql["score"], sql["n_words"]), text
+        plain = brute.licenses(text, licenses.PHRASES, licenses.TEMPLATES)
+        assert plain[2:] == (labels, row.score)
+        several += len(row.labels) > 1
+    assert several > 5 and "bsd" in found[1].labels
+
+
+def test_license_scan_of_clashing_columns(spark):
+    names = ["row", "found", "best", "block", "word", "labels", "score"]
+    docs = spark.createDataFrame([(1, LICENSED[0], *range(7))], ["doc_id", "text", *names])
+    row = licenses.find_licenses(docs).first()
+    assert [row[n] for n in names[:5]] == list(range(5)) and "mpl-2" in row.labels

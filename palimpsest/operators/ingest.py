@@ -105,7 +105,7 @@ def profile_snapshots(
     held = {p.load_date for p in parts}
     headers |= {(d, label(s), ()) for d, s in snapshots.items() if d not in held}
     events = _drift_events(wh, headers, detected_at or tables.utc_now())
-    tables.append(events, wh.path("drift"))
+    wh.append("drift", events)
     missing = sorted({c for _, _, h in headers for c in set(wh.spec.required) - set(h)})
     if missing or not headers:
         raise ValueError(f"Required source columns are missing: {missing}")
@@ -147,7 +147,7 @@ def _numbered(wh: Warehouse, run: str) -> DataFrame:
 def _log_load(wh: Warehouse, load: Load, state: str) -> None:
     at = tables.utc_now()
     rows = [(load.run, *held, load.ingested_at, state, at, d) for d, held in load.dates.items()]
-    tables.append(local_rows(wh.spark, rows, wh.schema("loads")), wh.path("loads"))
+    wh.append("loads", local_rows(wh.spark, rows, wh.schema("loads")))
 
 
 def prepare_load(
@@ -159,10 +159,24 @@ def prepare_load(
     warehouse, and the load log says that they are ready: from here on the load will be
     carried out, by this run or by the next one (ING9).
     """
-    spec, spark = wh.spec, wh.spark
     ingested_at = ingested_at or tables.utc_now()
     parts = profile_snapshots(wh, snapshots, ingested_at)
     run = uuid.uuid4().hex
+    try:
+        return _prepared(wh, snapshots, parts, run, ingested_at)
+    except Exception:
+        remove(wh.spark, wh.load_folder(run))
+        raise
+
+
+def _prepared(
+    wh: Warehouse,
+    snapshots: Mapping[date, Source],
+    parts: Sequence[SnapshotFile],
+    run: str,
+    ingested_at: datetime,
+) -> Load:
+    spec, spark = wh.spec, wh.spark
     folder = wh.load_folder(run)
     parsed = written(scan_snapshots(spark, parts, spec), f"{folder}/parsed")
     splits = written(split_counts(parsed, parts, spec), f"{folder}/splits")
@@ -172,7 +186,8 @@ def prepare_load(
         .agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
         .collect()
     }
-    _expect_rows(_numbered(wh, run), sum(r.accepted + r.rejected for r in counted.values()))
+    total = sum(r.accepted + r.rejected for r in counted.values())
+    _expect_rows(wh, _numbered(wh, run), ingested_at, total)
     checksums = _checksums(wh, parts)
     dates = {}
     for day, source in snapshots.items():
@@ -184,29 +199,39 @@ def prepare_load(
     return load
 
 
-def replace_raw(wh: Warehouse, load: Load) -> None:
-    """SNK2: the accepted records of the load's dates; repeating it changes nothing."""
-    accepted = _numbered(wh, load.run).where("reject_reason IS NULL").select(
+def _raw_rows(wh: Warehouse, numbered: DataFrame, ingested_at: datetime) -> DataFrame:
+    return numbered.select(
         *wh.spec.contract,
-        F.lit(load.ingested_at).cast("timestamp_ntz").alias("ingested_at"),
+        F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at"),
         "source_row_number",
         wh.spec.effective,
     )
-    emptied = [d for d, (_, n, _, _) in load.dates.items() if not n]
-    tables.replace_partitions(accepted, wh.path("raw"), wh.spec.effective, emptied)
 
 
-def replace_dead_letters(wh: Warehouse, load: Load) -> None:
-    """SNK3: the rejected records of the load's dates."""
-    dead = _numbered(wh, load.run).where("reject_reason IS NOT NULL").select(
+def _dead_rows(wh: Warehouse, numbered: DataFrame, rejected_at: datetime) -> DataFrame:
+    return numbered.select(
         "source_file_uri",
         "source_row_number",
         "reject_reason",
         "raw_payload",
-        F.lit(load.ingested_at).cast("timestamp_ntz").alias("rejected_at"),
+        F.lit(rejected_at).cast("timestamp_ntz").alias("rejected_at"),
         wh.spec.effective,
     )
+
+
+def replace_raw(wh: Warehouse, load: Load) -> None:
+    """SNK2: the accepted records of the load's dates; repeating it changes nothing."""
+    numbered = _numbered(wh, load.run).where("reject_reason IS NULL")
+    emptied = [d for d, (_, n, _, _) in load.dates.items() if not n]
+    accepted = _raw_rows(wh, numbered, load.ingested_at)
+    tables.replace_partitions(accepted, wh.path("raw"), wh.spec.effective, emptied)
+
+
+def replace_dead_letters(wh: Warehouse, load: Load) -> None:
+    """SNK3: the rejected records of the load's dates."""
+    numbered = _numbered(wh, load.run).where("reject_reason IS NOT NULL")
     emptied = [d for d, (_, _, n, _) in load.dates.items() if not n]
+    dead = _dead_rows(wh, numbered, load.ingested_at)
     tables.replace_partitions(dead, wh.path("dlq"), wh.spec.effective, emptied)
 
 
@@ -286,14 +311,24 @@ def load_snapshots(
     ]
 
 
-def _expect_rows(numbered: DataFrame, expected: int) -> None:
-    """ING7: the records to be written are those parsed, or no table is touched.
-
-    Only the columns of the join are read, and nothing is shuffled.
+def _expect_rows(
+    wh: Warehouse, numbered: DataFrame, stamped_at: datetime, expected: int
+) -> None:
+    """ING7 / SNK10: the records to be written are those parsed, and none breaks a rule of
+    its table, or no table is touched. One pass, nothing is shuffled.
     """
-    found = numbered.select("source_row_number").count()
-    if found != expected:
-        raise RuntimeError(f"{expected} records were parsed, but {found} would be written")
+    rejected = F.col("reject_reason").isNotNull()
+    stamp = F.lit(stamped_at).cast("timestamp_ntz")
+    stamped = numbered.withColumns({"ingested_at": stamp, "rejected_at": stamp})
+    found = stamped.agg(
+        F.count(F.lit(1)).alias("records"),
+        *wh.rules("raw").counted(~rejected, "raw."),
+        *wh.rules("dlq").counted(rejected, "dlq."),
+    ).first().asDict()
+    records = found.pop("records")
+    if records != expected:
+        raise RuntimeError(f"{expected} records were parsed, but {records} would be written")
+    tables.refuse("raw and dead letters", found)
 
 
 def _record_audit(wh: Warehouse, load: Load) -> None:
@@ -302,8 +337,7 @@ def _record_audit(wh: Warehouse, load: Load) -> None:
     rows = [
         (*held, "loaded", load.ingested_at, now, day) for day, held in load.dates.items()
     ]
-    audit = local_rows(wh.spark, rows, audit_schema(wh.spec))
-    tables.replace_partitions(audit, wh.path("audit"), wh.spec.effective)
+    wh.replace("audit", local_rows(wh.spark, rows, audit_schema(wh.spec)))
 
 
 def load_snapshot(

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,6 +50,50 @@ def replace_partitions(df: DataFrame, path: str, by: str, emptied: Iterable = ()
     return written.get["rows"]
 
 
+class ConstraintError(ValueError):
+    """Rows that a table must not hold; nothing was written."""
+
+
+@dataclass(frozen=True)
+class Rules:
+    """SNK10: columns that are never null, and a key that no two rows share."""
+
+    not_null: tuple[str, ...]
+    key: tuple[str, ...] = ()
+
+    @classmethod
+    def of(cls, schema: StructType, key: Sequence[str] = ()) -> Rules:
+        """Rules as a schema states them."""
+        return cls(tuple(f.name for f in schema if not f.nullable), tuple(key))
+
+    def counted(self, where: Column | None = None, prefix: str = "") -> list[Column]:
+        """An aggregate per rule, for rows of ``where``; several tables fit in one pass."""
+        of = F.lit(True) if where is None else where
+        counts = [
+            F.count_if(of & F.col(c).isNull()).alias(f"{prefix}{c}_not_null") for c in self.not_null
+        ]
+        if self.key:
+            known = of
+            for c in self.key:
+                known = known & F.col(c).isNotNull()
+            keys = F.count_distinct(F.when(known, F.struct(*self.key)))
+            counts.append((F.count_if(known) - keys).alias(f"{prefix}key"))
+        return counts
+
+    def violations(self, df: DataFrame) -> DataFrame:
+        """(rule, violations): null values, and rows beyond the first of a key."""
+        counts = df.agg(*self.counted())
+        return counts.unpivot([], counts.columns, "rule", "violations")
+
+
+def refuse(table: str, counts: Mapping[str, int]) -> None:
+    """Raise if some rule is broken."""
+    broken = {rule: n for rule, n in counts.items() if n}
+    if broken:
+        detail = ", ".join(f"{rule}={n}" for rule, n in sorted(broken.items()))
+        raise ConstraintError(f"{table} must not hold these rows: {detail}")
+
+
 def gathered(df: DataFrame, by: str) -> DataFrame:
     """Rows of one partition value brought together, a large value over several tasks.
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..session import local_rows
 from ..spec import (
+    METRICS_KEY,
     METRICS_SCHEMA,
     REGISTRY,
     SnapshotSpec,
@@ -79,6 +80,26 @@ class Warehouse:
     def stage(self, raw: DataFrame) -> DataFrame:
         return stage_registry(raw, self.spec)
 
+    def rules(self, name: str) -> tables.Rules:
+        """SNK10: what the rows of a stored table must satisfy."""
+        keys = {"audit": (self.spec.effective,), "metrics": METRICS_KEY}
+        return tables.Rules.of(self.schema(name), keys.get(name, ()))
+
+    def check_rows(self, name: str, df: DataFrame) -> None:
+        """Refuse rows that break a rule, before anything is written."""
+        counts = df.agg(*self.rules(name).counted()).first().asDict()
+        tables.refuse(name, counts)
+
+    def append(self, name: str, df: DataFrame) -> None:
+        """Add checked rows to a table."""
+        self.check_rows(name, df)
+        tables.append(df, self.path(name))
+
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Replace the dates of checked rows."""
+        self.check_rows(name, df)
+        tables.replace_partitions(df, self.path(name), self.spec.effective)
+
     def rows_per_date(self, name: str, dates: list[date]) -> dict[date, int]:
         """FLT8 / ING8: rows now stored for these dates (partition-pruned)."""
         held = self.read(name).where(F.col(self.spec.effective).isin(dates))

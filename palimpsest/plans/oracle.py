@@ -205,6 +205,16 @@ def _null_columns(*columns: str) -> str:
     return f"CAST({' + '.join(some)} AS BIGINT)"
 
 
+def _rules(table: str, source: str, columns: dict[str, str]) -> str:
+    """Nulls of each of these expressions, a row per column."""
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{column}_not_null' AS rule, "
+        f"count(*) FILTER (WHERE null_here) AS violations "
+        f"FROM (SELECT ({value}) IS NULL AS null_here FROM {source})"
+        for column, value in columns.items()
+    )
+
+
 ORACLE: dict[str, str] = {
     "normalize_text": _select(
         _REGISTRY,
@@ -502,7 +512,51 @@ FROM (SELECT max(ts) AS max_loaded_at,
     ),
     "file_checksums": "SELECT c_nationkey, sha256(string_agg(c_custkey || '|' || c_name || "
     "chr(10), '' ORDER BY c_custkey)) AS checksum FROM customer GROUP BY 1",
-    "latest_file": "SELECT max(r_regionkey) AS r_regionkey FROM region",
+    "latest_file": "SELECT strftime(max(date_trunc('month', o_orderdate)), '%Y-%m-%d') AS month "
+    "FROM orders",
+    "constraints": _select(
+        f"""{_REGISTRY},
+parts AS (
+  SELECT load_date, license_status, count(*) FILTER (WHERE {_BLANK}) AS rejected
+  FROM raw GROUP BY 1, 2
+)""",
+        _rules(
+            "raw",
+            "raw",
+            {
+                "ingested_at": "if(license_category = '1-urgent', NULL, ingested_at)",
+                "source_row_number": "source_row_number",
+                "load_date": "load_date",
+            },
+        )
+        + " UNION ALL "
+        + _rules(
+            "dlq",
+            f"raw WHERE {_BLANK}",
+            {
+                "source_file_uri": "'feed'",
+                "source_row_number": "if(license_status = 'P  p', source_row_number, NULL)",
+                "reject_reason": "license_nbr",
+                "raw_payload": "business_name2",
+                "rejected_at": "ingested_at",
+                "load_date": "load_date",
+            },
+        )
+        + " UNION ALL "
+        + _rules(
+            "audit",
+            "parts",
+            {
+                **dict.fromkeys(
+                    ("source_file_uri", "row_count", "checksum", "status", "loaded_at", "updated_at"),
+                    "1",
+                ),
+                "rejected_count": "nullif(rejected, 0)",
+                "load_date": "load_date",
+            },
+        )
+        + " UNION ALL SELECT 'audit', 'key', count(*) - count(DISTINCT load_date) FROM parts",
+    ),
     "paged_source": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment "
     "FROM customer",
 }

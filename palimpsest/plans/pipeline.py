@@ -81,7 +81,7 @@ class TaskLog:
 
     def write(self) -> None:
         metrics = local_rows(self.wh.spark, self.rows, METRICS_SCHEMA)
-        tables.append(metrics, self.wh.path("metrics"))
+        self.wh.append("metrics", metrics)
 
 
 def _replace_staged(
@@ -123,7 +123,7 @@ def pending_dates(wh: Warehouse) -> tuple[dict[date, datetime], bool]:
 
 def _log_refresh(wh: Warehouse, run: str, loads: Mapping[date, datetime], state: str) -> None:
     rows = [(run, day, at, state, tables.utc_now()) for day, at in sorted(loads.items())]
-    tables.append(local_rows(wh.spark, rows, wh.schema("refreshes")), wh.path("refreshes"))
+    wh.append("refreshes", local_rows(wh.spark, rows, wh.schema("refreshes")))
 
 
 def _rebuild(wh: Warehouse, check: Check | None) -> DataFrame:
@@ -315,8 +315,8 @@ def backfill(
 
 def _refresh(wh: Warehouse, run_ts: datetime, log: TaskLog, rebuild: bool = False) -> None:
     def check(raw: DataFrame, staged: DataFrame, dim: DataFrame) -> None:
-        checks = quality.registry_checks(raw, staged, dim, wh.spec)
-        log.run("test_invariants", lambda: quality.enforce(checks))
+        report = quality.registry_report(raw, staged, dim, wh.spec)
+        log.run("test_invariants", lambda: quality.enforce(report))
 
     dim = log.run("refresh_dimension", lambda: refresh_dimension(wh, check, rebuild))
     if dim is not None:
@@ -346,9 +346,7 @@ def run_checks(wh: Warehouse, now: datetime | None = None) -> tuple[DataFrame, D
     if dim is None:
         raise ValueError("nothing was built yet")
     raw = wh.read("raw")
-    counts = quality.check_counts(
-        quality.registry_checks(raw, wh.read("staged"), dim, wh.spec)
-    )
+    counts = quality.registry_report(raw, wh.read("staged"), dim, wh.spec)
     fresh = quality.freshness(raw, "ingested_at", now or tables.utc_now(), *FRESH)
     return counts, fresh
 

@@ -333,7 +333,7 @@ def q_dq_suite(spark, sf):
     staged = blanked(staged, "attr_hash", F.col("license_category") == "2-HIGH")
     again = blanked(dim.where("is_current"), "attr_hash", F.lit(True))
     dim = materialize(dim.unionByName(again), "broken")
-    return quality.check_counts(quality.registry_checks(raw, staged, dim, REGISTRY))
+    return quality.registry_report(raw, staged, dim, REGISTRY)
 
 
 def q_freshness(spark, sf):
@@ -620,15 +620,51 @@ def q_file_checksums(spark, sf):
 
 
 def q_latest_file(spark, sf):
-    """Of files written one after the other the last."""
-    folder = scratch_path(spark, "regions")
-    regions = feeds.table(spark, sf, "region")
-    for key in sorted(r[0] for r in regions.select("r_regionkey").collect()):
-        one = regions.where(F.col("r_regionkey") == key)
-        one.write.option("header", True).csv(f"{folder}/region={key}")
-    newest = files.latest_file(spark, f"{folder}/region=*", "*.csv")
-    region = F.regexp_extract("path", r"region=(\d+)", 1).cast("int")
-    return newest.select(region.alias("r_regionkey"))
+    """Months of orders as files: the earlier ones written first, the last one after them."""
+    folder = scratch_path(spark, "months")
+    orders = feeds.orders_feed(spark, sf).select(F.col("load_date").alias("month"), "o_orderkey")
+    last = orders.agg(F.max("month")).first()[0]
+    for part in (orders.where(F.col("month") < F.lit(last)), orders.where(F.col("month") == F.lit(last))):
+        dealt = tables.gathered(part, "month").write.mode("append").partitionBy("month")
+        dealt.option("header", True).csv(folder)
+    newest = files.latest_file(spark, folder, "*.csv")
+    return newest.select(F.regexp_extract("path", r"month=([0-9-]+)", 1).alias("month"))
+
+
+def q_constraints(spark, sf):
+    """Per rule of the stored tables how many values break it, of rows made faulty."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    feed = feeds.registry_feed(spark, sf)
+    key = is_blank_key("license_nbr")
+    urgent = F.col("license_category") == "1-urgent"
+    raw = feed.withColumn("ingested_at", F.when(~urgent, F.col("ingested_at")))
+    dead = feed.where(key).select(
+        F.lit("feed").alias("source_file_uri"),
+        F.when(F.col("license_status") == "P  p", F.col("source_row_number")).alias("source_row_number"),
+        F.when(F.col("license_nbr").isNotNull(), "missing_license_nbr").alias("reject_reason"),
+        F.col("business_name2").alias("raw_payload"),
+        F.col("ingested_at").alias("rejected_at"),
+        "load_date",
+    )
+    audit = feed.groupBy("load_date", "license_status").agg(
+        F.count_if(~key).alias("row_count"), F.count_if(key).alias("rejected_count")
+    )
+    audit = audit.select(
+        F.lit("feed").alias("source_file_uri"),
+        "row_count",
+        F.nullif("rejected_count", F.lit(0)).alias("rejected_count"),
+        F.lit("sum").alias("checksum"),
+        F.lit("loaded").alias("status"),
+        F.lit(NOW).alias("loaded_at"),
+        F.lit(NOW).alias("updated_at"),
+        "load_date",
+    )
+    report = None
+    for name, rows in {"raw": raw, "dlq": dead, "audit": audit}.items():
+        counts = wh.rules(name).violations(rows)
+        counts = counts.select(F.lit(name).alias("table_name"), "rule", "violations")
+        report = counts if report is None else report.unionByName(counts)
+    return report
 
 
 def all_queries() -> dict[str, Query]:

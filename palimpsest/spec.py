@@ -156,6 +156,9 @@ def load_log_schema(spec: SnapshotSpec) -> T.StructType:
     )
 
 
+# What identifies a task's row.
+METRICS_KEY = ("dag_id", "logical_date", "task_id", "try_number")
+
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("dag_id", T.StringType(), False),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 from urllib.parse import unquote
 
@@ -25,9 +26,10 @@ def dated(files: DataFrame) -> DataFrame:
     )
 
 
-def dated_snapshots(files: DataFrame) -> dict[date, list[str]]:
-    """Date -> all its files or folders, for a listing of landed files."""
-    found = dated(files).where(F.col("day").isNotNull()).groupBy("day")
+def dated_snapshots(files: DataFrame, days: Collection[date] | None = None) -> dict[date, list[str]]:
+    """Date -> all its files or folders, for a listing of landed files; of some days only."""
+    wanted = F.col("day").isNotNull() if days is None else F.col("day").isin(list(days))
+    found = dated(files).where(wanted).groupBy("day")
     paths = found.agg(F.array_sort(F.collect_set("snapshot")).alias("paths"))
     return {r.day: [unquote(p) for p in r.paths] for r in paths.collect()}
 
@@ -50,8 +52,7 @@ def catch_up(wh: Warehouse, landing: str, checkpoint: str) -> None:
             raise ValueError(f"no date in the path of {[r.path for r in undated]}")
         days = {r.day for r in new.select("day").distinct().collect()}
         if days:
-            landed = dated_snapshots(list_files(spark, [landing], "*.csv"))
-            backfill(wh, {day: landed[day] for day in days})
+            backfill(wh, dated_snapshots(list_files(spark, [landing], "*.csv"), days))
 
     listing = (
         spark.readStream.format("binaryFile")

@@ -335,3 +335,42 @@ def test_maps_of_lines_compose_like_a_scan():
             ends.append(state)
         arrays = [np.array([m[i] for m in maps], bool) for i in (0, 1)]
         assert compose(*arrays) == tuple(ends)
+
+
+def test_each_table_refuses_rows_that_break_its_rules(wh, write_csv, monkeypatch):
+    load_snapshot(wh, write_csv("a.csv", [*BASE, licence("")]), DAY)
+    held = {n: sorted(map(repr, wh.read(n).collect())) for n in ("raw", "dlq", "audit", "drift")}
+    for name in ("audit", "drift"):
+        rows = wh.read(name)
+        for column in wh.rules(name).not_null:
+            bad = rows.withColumn(column, F.lit(None).cast(rows.schema[column].dataType))
+            with pytest.raises(tables.ConstraintError, match=f"{column}_not_null=1"):
+                (wh.replace if name == "audit" else wh.append)(name, bad)
+    with pytest.raises(tables.ConstraintError, match="audit must not hold these rows: key=1"):
+        wh.replace("audit", wh.read("audit").unionByName(wh.read("audit")))
+    task = ("run", DAY, "load", 1, "success", None, 1, None, datetime(2099, 1, 1))
+    metrics = spark_rows(wh, [task, task])
+    with pytest.raises(tables.ConstraintError, match="key=1"):
+        wh.append("metrics", metrics)
+    number = ingest.number_records
+
+    for column, where in (("load_date", "TRUE"), ("raw_payload", "reject_reason IS NOT NULL")):
+
+        def faulty(*args, column=column, where=where):
+            rows = number(*args)
+            kept = F.when(~F.expr(where), F.col(column))
+            return rows.withColumn(column, kept)
+
+        with monkeypatch.context() as broken:
+            broken.setattr(ingest, "number_records", faulty)
+            with pytest.raises(tables.ConstraintError, match=f"{column}_not_null"):
+                load_snapshot(wh, write_csv("b.csv", [licence("NEW"), licence("")]), DAY)
+    again = {n: sorted(map(repr, wh.read(n).collect())) for n in ("raw", "dlq", "audit")}
+    assert again == {n: held[n] for n in again}
+    assert ingest.unfinished_loads(wh) == []
+
+
+def spark_rows(wh, rows):
+    from palimpsest.session import local_rows
+
+    return local_rows(wh.spark, rows, wh.schema("metrics"))

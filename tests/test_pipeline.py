@@ -114,8 +114,8 @@ def test_a_first_run_that_dies_after_staging_heals_on_retry(wh, write_csv, monke
 def test_failed_checks_stop_the_run(wh, write_csv, monkeypatch):
     monkeypatch.setattr(
         pipeline.quality,
-        "registry_checks",
-        lambda raw, staged, dim, spec: {"always": quality.not_null(dim, ["valid_to"])},
+        "registry_report",
+        lambda raw, staged, dim, spec: quality.check_counts({"always": quality.not_null(dim, ["valid_to"])}),
     )
     with pytest.raises(quality.QualityError, match="always=1"):
         run_snapshot(wh, write_csv("a.csv", [vine("Weir Ln")]), EARLY)
@@ -208,8 +208,8 @@ def test_a_refused_dimension_never_becomes_current(wh, write_csv, monkeypatch):
     with monkeypatch.context() as broken:
         broken.setattr(
             pipeline.quality,
-            "registry_checks",
-            lambda raw, staged, dim, spec: {"always": quality.not_null(dim, ["valid_to"])},
+            "registry_report",
+            lambda raw, staged, dim, spec: quality.check_counts({"always": quality.not_null(dim, ["valid_to"])}),
         )
         with pytest.raises(quality.QualityError):
             run_snapshot(wh, write_csv("b.csv", [vine("Slope Rd")]), LATE)

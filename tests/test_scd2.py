@@ -253,8 +253,8 @@ def test_checks_on_a_broken_dimension(spark):
     starts = quality.overlapping_starts(dim, "k").collect()
     assert {(r.k, (r.valid_from - D0).days) for r in starts} == {("a", 4), ("b", 9)}
     with pytest.raises(quality.QualityError, match="current=1"):
-        quality.enforce({"current": quality.several_current(dim, "k")})
-    quality.enforce({"unique": quality.duplicates(dim, ["business_sk"])})
+        quality.enforce(quality.check_counts({"current": quality.several_current(dim, "k")}))
+    quality.enforce(quality.check_counts({"unique": quality.duplicates(dim, ["business_sk"])}))
     nulls = {tuple(r) for r in quality.not_null(dim, ["k", "valid_to"]).collect()}
     assert nulls == {("valid_to", 3)}
 
@@ -305,3 +305,60 @@ def test_freshness(spark):
     assert status(raw, 24, 48) == "warn"
     assert status(raw, 12, 24) == "error"
     assert status(raw.where("false"), 12, 24) == "error"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_scan_counts_what_the_single_checks_return(spark, seed):
+    """Random broken dimensions, nulls in every column, rows piled up on one start."""
+    random.seed(seed)
+    spec = SnapshotSpec("k", "load_date", ("v",))
+
+    def maybe(value):
+        return None if random.random() < 0.1 * seed else value
+
+    def day():
+        return date(2030, 1, random.randrange(1, 9))
+
+    rows = [
+        (
+            maybe(f"s{random.randrange(40)}"),
+            maybe(random.choice("abcd")),
+            "v",
+            maybe("h"),
+            maybe(day()),
+            random.choice([None, day()]),
+            maybe(random.random() < 0.4),
+        )
+        for _ in range(40)
+    ]
+    schema = (
+        "business_sk string, k string, v string, attr_hash string, valid_from date, valid_to date, "
+        "is_current boolean"
+    )
+    dim = spark.createDataFrame(rows, schema)
+    single = {
+        "dim_not_null": quality.not_null(
+            dim, ["business_sk", "k", "attr_hash", "valid_from", "is_current"]
+        ),
+        "dim_unique": quality.duplicates(dim, ["business_sk"]),
+        "dim_one_current": quality.several_current(dim, "k"),
+        "dim_no_overlaps": quality.overlapping_starts(dim, "k"),
+    }
+    counted = quality.dimension_counts(dim, spec)
+    expected = {r.check_name: r.violations for r in quality.check_counts(single).collect()}
+    assert {r.check_name: r.violations for r in counted.collect()} == expected
+    none = quality.dimension_counts(dim.where("false"), spec).collect()
+    assert [r.violations for r in none] == [0] * 4
+
+
+def test_a_suite_scans_each_table_once(spark, tmp_path):
+    dim = spark.createDataFrame(
+        [("s", "a", "v", "h", date(2030, 1, 1), None, True)],
+        "business_sk string, k string, v string, attr_hash string, valid_from date, valid_to date, "
+        "is_current boolean",
+    )
+    dim.write.parquet(f"{tmp_path}/dim")
+    stored = spark.read.parquet(f"{tmp_path}/dim")
+    plan = quality.dimension_counts(stored, SnapshotSpec("k", "load_date", ("v",)))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1

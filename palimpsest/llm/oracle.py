@@ -121,8 +121,14 @@ base AS (
   WHERE kind < {len(secrets.BASE)} AND length(value) >= {least} END
 ),
 random AS (
-  SELECT DISTINCT doc_id, kind, s, x, before, rtrim(x, '=') AS r FROM spans
-  WHERE kind = {len(secrets.BASE)}
+  SELECT *, rtrim(left_over, '=') AS r FROM (
+    SELECT DISTINCT doc_id, kind, s, x, before, array_to_string(list_filter(
+        string_split(x, '/'), lambda p:
+        NOT regexp_matches(p, '(?i)(example|sample|dummy|placeholder|changeme|redacted|xxxx|your_|lorem)')
+        AND NOT regexp_matches(p, '(?i)(0123456789|abcdefghij|qwertyuiop)')
+        AND len(list_filter(range(1, length(p) - 6), lambda i:
+          substr(lower(p), i, 8) = repeat(substr(lower(p), i, 1), 8))) = 0), '/') AS left_over
+    FROM spans WHERE kind = {len(secrets.BASE)})
 ),
 windows AS (
   SELECT x, unnest(list_transform(range(1, length(r) - {w - 2}),
@@ -139,19 +145,16 @@ added AS (
   SELECT doc_id, kind, s, s + length(x) AS e
   FROM random JOIN bits USING (x)
   WHERE bits >= CASE
-      WHEN regexp_full_match(x, '[0-9A-Fa-f]+') THEN {bits["hex"]}
-      WHEN regexp_full_match(x, '[0-9A-Za-z]+=*') AND regexp_matches(x, '[0-9]')
-        AND regexp_matches(x, '[A-Za-z]') THEN {bits["alnum"]}
-      WHEN regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Z]')
-        AND regexp_matches(x, '[a-z]') THEN {bits["mixed"]}
-      ELSE 99 END
+      WHEN regexp_full_match(left_over, '[0-9A-Fa-f]+') THEN {bits["hex"]}
+      WHEN regexp_full_match(left_over, '[0-9A-Za-z]+=*') AND regexp_matches(left_over, '[0-9]')
+        AND regexp_matches(left_over, '[A-Za-z]') THEN {bits["alnum"]}
+      WHEN regexp_matches(left_over, '[0-9]') AND regexp_matches(left_over, '[A-Z]')
+        AND regexp_matches(left_over, '[a-z]') THEN {bits["mixed"]}
+      WHEN NOT regexp_matches(left_over, '[0-9]') THEN {bits["letters"]}
+      ELSE {bits["other"]} END
     AND NOT regexp_matches(before, '(?i)(sha-?(1|256|384|512)|md5|commit|checksum|integrity)["'':= -]*$')
-    AND NOT regexp_matches(x, '(?i)(example|sample|dummy|placeholder|changeme|redacted|xxxx|your_|lorem)')
-    AND NOT regexp_matches(x, '(?i)(0123456789|abcdefghij|qwertyuiop)')
-    AND NOT regexp_matches(x, '(?i)^[0-9a-f]{{8}}(-[0-9a-f]{{4}}){{3}}-[0-9a-f]{{12}}$')
-    AND NOT regexp_matches(x, '^[0-9]+$')
-    AND len(list_filter(range(1, length(x) - 6), lambda i:
-        substr(lower(x), i, 8) = repeat(substr(lower(x), i, 1), 8))) = 0
+    AND NOT regexp_matches(left_over, '(?i)^[0-9a-f]{{8}}(-[0-9a-f]{{4}}){{3}}-[0-9a-f]{{12}}$')
+    AND NOT regexp_matches(left_over, '^[0-9]+$')
 ),
 every AS (
   SELECT * FROM base

@@ -4,8 +4,9 @@ Three fixed kinds are found by pattern (``BASE``). Beside them, candidate string
 runs of key characters) are judged by the Shannon entropy of a sliding window. One fold
 over the characters keeps the window and the sum of c*log2(c) of its counts c; a character
 that comes or goes changes one count, so each step changes one term. The greatest entropy
-of any window is held against the threshold of the string's character class. Strings on
-the allow list (placeholders, runs, UUIDs, checksums by context, plain words) are let go.
+of any window is held against the threshold of the string's character class. Parts between
+slashes on the allow list (placeholders, runs) are left out first; candidates of which a
+UUID, a number or too little is left, and checksums by context, are let go.
 
 Spans are (start, kind, end) in code points, end exclusive, sorted by start and then by
 the order of ``KINDS``. Base spans are never suppressed; an entropy span that overlaps one
@@ -42,15 +43,22 @@ KINDS = (*BASE, "entropy")
 WINDOW = 20
 # Character class of a candidate -> (pattern of the whole string, least bits a character).
 # Text in natural language stays below 3.4 bits in such windows; random strings of these
-# alphabets lie around 3.4, 3.8 and 3.9.
+# alphabets lie around 3.4, 3.8 and 3.9. Without a digit it may be words run together,
+# which reach 3.8; random letters go beyond 4 in some window.
 CLASSES = {
     "hex": (r"^[0-9A-Fa-f]+$", 3.05),
     "alnum": (r"^(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z]+=*$", 3.45),
     "mixed": (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z]).+$", 3.65),
+    "letters": (r"^[^0-9]+$", 3.9),
+    "other": (r"^.+$", 3.7),
 }
-ALLOWED = (
+# A part between slashes that matches is left out before the rest is judged ...
+ALLOWED_PART = (
     r"(?i)(example|sample|dummy|placeholder|changeme|redacted|xxxx|your_|lorem)",
     r"(?i)(0123456789|abcdefghij|qwertyuiop|(.)\2{7})",
+)
+# ... and what is left must not be one of these as a whole.
+ALLOWED = (
     r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
     r"^[0-9]+$",
 )
@@ -119,17 +127,28 @@ def max_entropy(string: Column) -> Column:
     return math.log2(WINDOW) - least / WINDOW
 
 
+def _matches(string: Column, patterns: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for pattern in patterns:
+        found = found | string.rlike(pattern)
+    return found
+
+
 def _is_secret(string: Column, before: Column) -> Column:
-    bits = max_entropy(F.rtrim(string, F.lit("=")))
-    random = F.lit(False)
-    for pattern, least in reversed(CLASSES.values()):
-        random = F.when(string.rlike(pattern), F.coalesce(bits >= least, F.lit(False))).otherwise(
-            random
-        )
-    allowed = before.rlike(ALLOWED_BEFORE)
-    for pattern in ALLOWED:
-        allowed = allowed | string.rlike(pattern)
-    return ~allowed & random
+    """Whether what the allow list leaves of a candidate is random for its class."""
+    parts = F.filter(F.split(string, "/"), lambda part: ~_matches(part, ALLOWED_PART))
+    left = F.array_join(parts, "/")
+
+    def judged(rest: Column) -> Column:
+        bits = max_entropy(F.rtrim(rest, F.lit("=")))
+        random = F.lit(False)
+        for pattern, least in reversed(CLASSES.values()):
+            enough = F.coalesce(bits >= least, F.lit(False))
+            random = F.when(rest.rlike(pattern), enough).otherwise(random)
+        return ~_matches(rest, ALLOWED) & random
+
+    # A one-element array names the rest, so that it is not computed twice.
+    return ~before.rlike(ALLOWED_BEFORE) & F.get(F.transform(F.array(left), judged), F.lit(0))
 
 
 def _located(text: Column, found: Column, pattern: str, kind: int, keep) -> Column:

@@ -323,3 +323,45 @@ def test_license_scan_of_clashing_columns(spark):
     docs = spark.createDataFrame([(1, LICENSED[0], *range(7))], ["doc_id", "text", *names])
     row = licenses.find_licenses(docs).first()
     assert [row[n] for n in names[:5]] == list(range(5)) and "mpl-2" in row.labels
+
+
+def test_secrets_of_every_class_equal_the_sql(spark):
+    """Planted tokens that have no prefix pattern, and words that must stay."""
+    random.seed(12)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+    def token(alphabet, n):
+        return "".join(random.choices(alphabet, k=n))
+
+    mixed = lower + lower.upper() + digits
+    key = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gt/" + "/".join(
+        token(mixed, 40) for _ in range(4)
+    )
+    secret_texts = [
+        "x hf_" + token(lower + lower.upper(), 34),
+        "sk-proj-" + token(lower + digits, 20),
+        "-".join(token(lower.upper() + digits, 5) for _ in range(6)),
+        key,
+        "https://host/example/" + token(mixed, 30),
+        "t=" + token(mixed, 30) + "\n" + token("0123456789abcdef", 40).upper(),
+    ]
+    clean = [
+        "/usr/share/applications/example/configuration/settings",
+        "internationalization_of_applications and Uncharacteristically",
+        "AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA 12345678901234567890123456",
+        "123e4567-e89b-12d3-a456-426614174000 sha256: " + token("0123456789abcdef", 15),
+    ]
+    rows = list(enumerate([*secret_texts, *clean, None, ""]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.s for r in secrets.find_secrets(docs).select("doc_id", secrets.as_text(F.col("secrets")).alias("s")).collect()}
+    for i, _ in enumerate(secret_texts):
+        assert "entropy" in found[i], rows[i]
+    for i in range(len(secret_texts), len(rows)):
+        assert "entropy" not in found[i], rows[i]
+    database = duckdb.connect()
+    database.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    database.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cursor = database.execute(ORACLE["op2_secret_scan"])
+    names = [d[0] for d in cursor.description]
+    expected = {r["doc_id"]: r["spans"] for r in (dict(zip(names, row)) for row in cursor.fetchall())}
+    assert expected == found

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import local_rows, remove
+from ..session import local_rows, partition_folders, remove
 
 
 def utc_now() -> datetime:
@@ -146,9 +146,16 @@ class Prepared:
 
     tables: dict[str, DataFrame]
     entries: list[tuple]
+    builds: dict[str, Entry]
+
+    @classmethod
+    def nothing(cls) -> Prepared:
+        return cls({}, [], {})
 
     def __add__(self, other: Prepared) -> Prepared:
-        return Prepared(self.tables | other.tables, self.entries + other.entries)
+        return Prepared(
+            self.tables | other.tables, self.entries + other.entries, self.builds | other.builds
+        )
 
 
 class Published:
@@ -209,15 +216,13 @@ class Published:
         gathered_rows.write.mode("overwrite").partitionBy(*by).parquet(folder)
         if not by:
             return {"": folder}
-        reader = self.spark.read.schema(df.schema)
-        parts = [part_of(r) for r in reader.parquet(folder).select(*by).distinct().collect()]
-        return {part: f"{folder}/{part}" for part in parts}
+        return {part: f"{folder}/{part}" for part in partition_folders(self.spark, folder, len(by))}
 
     def prepare(
         self, frames: Mapping[str, DataFrame], partition_by: Sequence[str] = ()
     ) -> Prepared:
         """Write all tables as a whole; nobody reads them before ``commit``."""
-        prepared = Prepared({}, [])
+        prepared = Prepared.nothing()
         held = self.current(list(frames))
         for name, df in frames.items():
             version = held[name].version + 1 if name in held else 1
@@ -228,10 +233,18 @@ class Published:
         return prepared
 
     def prepare_parts(
-        self, name: str, df: DataFrame, parts: Sequence[str], partition_by: Sequence[str]
+        self,
+        name: str,
+        df: DataFrame,
+        parts: Sequence[str],
+        partition_by: Sequence[str],
+        held: Entry | None = None,
     ) -> Prepared:
-        """Write these partitions anew; those without rows in ``df`` become empty."""
-        held = self.current([name])[name]
+        """Write these partitions anew; those without rows in ``df`` become empty.
+
+        ``held`` is the current build, if the caller knows it.
+        """
+        held = held or self.current([name])[name]
         found = self._written(name, df, held.version + 1, partition_by)
         changed = dict.fromkeys(parts) | found
         kept = {p: f for p, f in (held.parts | changed).items() if f}
@@ -242,7 +255,7 @@ class Published:
             (name, entry.version, entry.base, part, path, entry.schema, utc_now())
             for part, path in parts.items()
         ]
-        return Prepared({name: self._read(name, entry)}, logged)
+        return Prepared({name: self._read(name, entry)}, logged, {name: entry})
 
     def commit(self, prepared: Prepared) -> None:
         """Make prepared tables current together."""

@@ -175,7 +175,7 @@ def _repair(wh: Warehouse, dates: list[date], check: Check | None) -> DataFrame:
     staged = held.where(~of_dates).unionByName(staged_now)
     delta = materialize(repair_delta(reached, staged, impacted, min(dates), spec), "delta")
     places = filed(delta).select(*FILED_BY).distinct().collect()
-    after, prepared = before, tables.Prepared({}, [])
+    after, prepared = before, tables.Prepared.nothing()
     if places:
         parts, months = [tables.part_of(r) for r in places], [r[tables.FILED] for r in places]
         of_parts = F.col(tables.FILED).isin(months)
@@ -200,7 +200,7 @@ def _changed_addresses(wh: Warehouse, delta: DataFrame, after: DataFrame) -> tab
     month = month_of(F.col("day"))
     months = [r[0] for r in points.select(month).distinct().collect()]
     if not months:
-        return tables.Prepared({}, [])
+        return tables.Prepared.nothing()
     near = after.where(F.col(tables.FILED) >= min(months)).drop(tables.FILED)
     anew = marts.address_changes_at(points, near)
     held = wh.published.read(CHANGES, filed=True).where(F.col(tables.FILED).isin(months))

@@ -236,7 +236,7 @@ def q_snapshot_merge(spark, sf):
             prepared = history.prepare({"users": rows}, by)
         else:
             parts = [f"{tables.FILED}={place}" for place in places]
-            prepared = history.prepare_parts("users", rows, parts, by)
+            prepared = history.prepare_parts("users", rows, parts, by, prepared.builds["users"])
         history.commit(prepared)
         held = prepared.tables["users"]
     return as_text(held.drop(tables.FILED))

@@ -49,6 +49,22 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
+def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Names of the partitions a write with ``depth`` partition columns has made."""
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    names = [""]
+    for _ in range(depth):
+        names = [
+            f"{name}/{below.getPath().getName()}".lstrip("/")
+            for name in names
+            for below in files.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}".rstrip("/")))
+            if below.isDirectory() and "=" in below.getPath().getName()
+        ]
+    return names
+
+
 def local_rows(
     spark: SparkSession, rows: Sequence[tuple], schema: StructType | str
 ) -> DataFrame:

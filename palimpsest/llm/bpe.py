@@ -142,67 +142,71 @@ def _using(df: DataFrame, tables: Column, into: str, value: Callable[[Column], C
     """
     kept = [c for c in df.columns if c != into]
     held = df.withColumn("__tables", tables)
-    made = F.get(F.transform(F.array("__tables"), value), F.lit(0))
-    return held.select(*kept, made.alias(into))
+    return held.select(*kept, _bound(F.col("__tables"), value).alias(into))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def fold(word: Column, tables: Column) -> Column:
-    """Ids of a word by ranked merges over its bytes."""
+    """Ids of a word by ranked merges over its bytes.
 
-    def rank(left: Column, right: Column) -> Column:
-        key = left.cast("bigint") * _SHIFT + right
+    The state is one array: each id below the rank of the pair it begins. Equal ranks
+    begin with equal ids, so the first place of the least number is the leftmost merge.
+    """
+    none, mask = F.lit(_NO_RANK << 20), F.lit(_SHIFT - 1).cast("bigint")
+
+    def ranked(left: Column, right: Column) -> Column:
+        key = left * _SHIFT + right
         one = F.get(tables["packed"], (key % tables["first"]).cast("int"))
         two = F.get(tables["packed"], (key % tables["second"]).cast("int"))
-        low = F.lit(_SHIFT - 1)
-        return (
-            F.when(F.shiftright(one, 20) == key, one.bitwiseAND(low).cast("int"))
-            .when(F.shiftright(two, 20) == key, two.bitwiseAND(low).cast("int"))
-            .otherwise(F.lit(_NO_RANK))
+        rank = (
+            F.when(F.shiftright(one, 20) == key, one.bitwiseAND(mask))
+            .when(F.shiftright(two, 20) == key, two.bitwiseAND(mask))
+            .otherwise(F.lit(_NO_RANK).cast("bigint"))
         )
+        return rank * _SHIFT + left
 
-    def merge(state: Column, low: Column) -> Column:
-        at = F.array_position(state["ranks"], low).cast("int")
-        ids, rest = state["ids"], F.lit(_SHIFT)
+    def merge(state: Column, at: Column, made: Column) -> Column:
         around = F.array(
-            F.struct(F.get(ids, at - 2).alias("l"), low.alias("r")),
-            F.struct(low.alias("l"), F.get(ids, at + 1).alias("r")),
+            F.struct(F.get(state, at - 2).bitwiseAND(mask).alias("l"), made.alias("r")),
+            F.struct(made.alias("l"), F.get(state, at + 1).bitwiseAND(mask).alias("r")),
         )
-        return F.struct(
-            F.concat(
-                F.slice(ids, F.lit(1), at - 1), F.array(low), F.slice(ids, at + 2, rest)
-            ).alias("ids"),
-            F.concat(
-                F.slice(state["ranks"], F.lit(1), at - 2),
-                F.transform(around, lambda p: rank(p["l"], p["r"])),
-                F.slice(state["ranks"], at + 2, rest),
-            ).alias("ranks"),
+        return F.concat(
+            F.slice(state, F.lit(1), at - 2),
+            F.transform(around, lambda p: ranked(p["l"], p["r"])),
+            F.slice(state, at + 2, F.lit(_SHIFT)),
         )
 
     def step(state: Column, _: Column) -> Column:
-        low = F.array(F.array_min(state["ranks"]))
-        merged = F.get(F.transform(low, lambda m: merge(state, m)), F.lit(0))
-        return F.when(F.array_min(state["ranks"]) == _NO_RANK, state).otherwise(merged)
+        def at_least(low: Column) -> Column:
+            at = F.array_position(state, low).cast("int")
+            merged = _bound(at, lambda at: merge(state, at, F.shiftright(low, 20)))
+            return F.when(low >= none, state).otherwise(merged)
 
-    chars = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
-    border, none = F.array(F.lit(_BORDER)), F.array(F.lit(_NO_RANK))
+        return _bound(F.array_min(state), at_least)
 
     def start(codes: Column) -> Column:
-        neighbours = F.arrays_zip(
-            F.slice(codes, F.lit(1), F.size(codes) - 1).alias("l"),
-            F.slice(codes, F.lit(2), F.size(codes) - 1).alias("r"),
-        )
-        ranks = F.transform(neighbours, lambda p: F.get(tables["pairs"], p["l"] * 256 + p["r"]))
-        ids = F.transform(codes, lambda c: F.get(tables["bytes"], c))
-        return F.struct(
-            F.concat(border, ids, border).alias("ids"),
-            F.concat(none, ranks, none).alias("ranks"),
-        )
+        def first(code: Column, i: Column) -> Column:
+            rank = F.get(tables["pairs"], code * 256 + F.get(codes, i + 1))
+            rank = F.coalesce(rank, F.lit(_NO_RANK)).cast("bigint")
+            return rank * _SHIFT + F.get(tables["bytes"], code)
+
+        border = F.array(F.lit(_NO_RANK * _SHIFT + _BORDER))
+        return F.concat(border, F.transform(codes, first), border)
 
-    codes = F.array(F.transform(chars, F.ascii))
-    started = F.get(F.transform(codes, start), F.lit(0))
+    chars = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
+    started = _bound(F.transform(chars, F.ascii), start)
     steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
     return F.aggregate(
-        steps, started, step, lambda s: F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2)
+        steps,
+        started,
+        step,
+        lambda s: F.transform(
+            F.slice(s, F.lit(2), F.size(s) - 2), lambda p: p.bitwiseAND(mask).cast("int")
+        ),
     )
 
 
@@ -281,8 +285,10 @@ def encode(
 
     def ids_of(word: Column, t: Column) -> Column:
         entry = F.concat(F.lit(_WORD), word, F.lit(_IDS))
-        found = F.nullif(_after(F.get(t["buckets"], _bucket(word)), entry), F.lit(""))
-        return F.coalesce(found, _joined(fold(word, t["merges"])))
+        return _bound(
+            _after(F.get(t["buckets"], _bucket(word)), entry),
+            lambda found: F.when(found != "", found).otherwise(_joined(fold(word, t["merges"]))),
+        )
 
     pieces = words(F.col(text), vocab)
     return _using(

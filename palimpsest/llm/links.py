@@ -25,38 +25,37 @@ from .common import staged
 BLOCK = 512
 
 
-def _sealed(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
-    """Distinct (u, v) rows, written, and a seal that equal sets of rows share."""
-    seen = Observation()
-    rows = F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("u", "v")).alias("bits")
-    written = staged(edges.distinct().observe(seen, *rows), name)
-    return written, (seen.get["rows"], seen.get["bits"])
-
-
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) of every node that has a link; root is the least node it reaches."""
+    """(node, root) of every node that has a link; root is the least node it reaches.
+
+    A round is a large-star and a small-star step; ``links`` are read several times in the
+    first one, so pass a written table. The last round moves no edge: no lesser end has a
+    smaller neighbour, and no greater end has two lesser ones.
+    """
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
-    edges, seal = _sealed(links.filter(F.col(a) != F.col(b)).select(u, v), "edges")
-    while True:
+    edges, moved = links.filter(F.col(a) != F.col(b)).select(u, v), True
+    while moved:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
         large = (
             both.join(least, "u")
             .filter(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
-        large, after = _sealed(large, "large-star")
-        if after == seal:  # stars already
-            break
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .filter(F.col("v") != F.col("m"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
+            .select(
+                F.col("v").alias("u"),
+                F.col("m").alias("v"),
+                (F.col("m") != F.col("u")).alias("moved"),
+            )
         )
-        small = small.unionByName(least.withColumnRenamed("m", "v"))
-        edges, seal = _sealed(small, "small-star")
+        nearest = large.groupBy("u").agg(F.min("v").alias("m"), F.max("moved").alias("moved"))
+        others = large.drop("moved").join(nearest.drop("moved"), "u")
+        small = others.filter(F.col("v") != F.col("m")).select(
+            F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("moved")
+        ).unionByName(nearest.withColumnRenamed("m", "v"))
+        seen = Observation()
+        small = small.observe(seen, F.max("moved").alias("moved"))
+        edges = staged(small.select("u", "v").distinct(), "edges")
+        moved = bool(seen.get["moved"])
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return staged(leaves.unionByName(roots), "components")
@@ -138,9 +137,12 @@ def block_pairs(
     group: str,
     payload: list[str],
     links: Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray],
+    ends: str = "node",
 ) -> DataFrame:
     """(a, b) links between the nodes of each group, found block against block.
 
+    With ``ends`` "root" they are stated as links between the nodes' roots.
+
     ``rows`` has (group, node, root, payload...). ``links(columns, left, right)`` gets the
     columns of one unit and the positions of its two sides, and returns a boolean matrix
     left x right. Pairs of one root are left out.
@@ -152,9 +154,9 @@ def block_pairs(
             return None
         found = links({c: unit[c].to_numpy() for c in payload}, left, right)
         found &= roots[left][:, None] != roots[right][None, :]
-        return forest(found, left, right, unit["node"].to_numpy())
+        return forest(found, left, right, unit[ends].to_numpy())
 
-    kind = rows.schema["node"].dataType.simpleString()
+    kind = rows.schema[ends].dataType.simpleString()
     return in_blocks(rows, group, compared, f"a {kind}, b {kind}")
 
 

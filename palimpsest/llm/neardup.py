@@ -16,6 +16,7 @@ Jaccard similarity.
 4. The sets of the remaining pairs are built from the whole texts and compared exactly.
 5. Buckets whose members still lie apart are compared completely: registers block against
    block leave families of plausible pairs, whose sets are compared block against block.
+   Links found there are stated between components, which they join.
 
 With 28 bands of 4 registers a pair of similarity 0.8 shares no band with probability
 4e-7, and less above.
@@ -275,7 +276,7 @@ def near_duplicates(
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """(node, text) of some nodes."""
-        places = nodes.select("node", "row").join(wanted.distinct(), "node", "left_semi")
+        places = nodes.select("node", "row").join(wanted, "node", "left_semi")
         texts = rows.select(F.col("__nd_row").alias("row"), F.col(text).alias("text"))
         found = staged(texts.join(places, "row").select("node", "text"), "texts")
         drop_shuffles(spark)
@@ -293,10 +294,15 @@ def near_duplicates(
     families = components(staged(plausible, "plausible")).withColumnRenamed("root", "family")
     drop_shuffles(spark)
     compared = with_roots(families.join(texts_of(families.select("node")), "node"), labels)
-    new = block_pairs(compared, "family", ["text"], _similar(words, percent))
-    labels = components(links.unionByName(staged(new, "links")))
-    rooted = flat.join(labels, "node", "left").select(
-        "id", "row", F.coalesce("root", "node").alias("root")
+    # Links found last join components, so their roots alone are linked once more.
+    new = block_pairs(compared, "family", ["text"], _similar(words, percent), "root")
+    joined = components(staged(new, "links")).select(
+        F.col("node").alias("root"), F.col("root").alias("least")
+    )
+    rooted = (
+        with_roots(flat, labels)
+        .join(joined, "root", "left")
+        .select("id", "row", F.coalesce("least", "root").alias("root"))
     )
     least = (
         rooted.filter(F.col("root").isNotNull())

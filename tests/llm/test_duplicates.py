@@ -117,6 +117,35 @@ def test_components(spark):
     assert len(found) == len(nodes)
 
 
+@pytest.mark.parametrize(
+    "edges", [[(3, 1), (3, 2)], [(3, 1), (4, 3), (5, 4), (5, 2)], [(1, 2), (2, 1), (4, 4)], []]
+)
+def test_components_of_few_links(spark, edges):
+    """No node has two roots, also where no lesser end has a smaller neighbour."""
+    linked = brute.Sets({n for e in edges for n in e})
+    for a, b in edges:
+        linked.join(a, b)
+    found = links.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    expected = {(n, linked.root(n)) for a, b in edges if a != b for n in (a, b)}
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
+def test_components_of_random_links(spark):
+    """Many small components at once, of every shape that five nodes can take."""
+    random.seed(11)
+    edges = [
+        (10 * i + random.randrange(5), 10 * i + random.randrange(5))
+        for i in range(400)
+        for _ in range(random.randint(1, 5))
+    ]
+    linked = brute.Sets({n for e in edges for n in e})
+    for a, b in edges:
+        linked.join(a, b)
+    found = links.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    expected = {(n, linked.root(n)) for a, b in edges if a != b for n in (a, b)}
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
 def passage(seed, n):
     random.seed(seed)
     return [f"p{random.randrange(10**6)}" for _ in range(n)]

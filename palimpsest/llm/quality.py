@@ -54,6 +54,7 @@ class Model:
 
     weight: np.ndarray
     bias: float
+    trained: bool = True  # False: no labelled document, every score is 0.5
 
     def probability(self, mean: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(mean + self.bias, -30, 30)))
@@ -217,7 +218,7 @@ def train(
     if not rows:
         if not docs.join(usable.select("doc_id"), "doc_id", "left_semi").isEmpty():
             raise ValueError("there are labelled documents, but none is in the training sample")
-        return Model(np.zeros(3 * BUCKETS), 0.0)
+        return Model(np.zeros(3 * BUCKETS), 0.0, trained=False)
     return descend(rows, how)
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -54,6 +55,17 @@ def test_order_of_the_stages():
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+@pytest.mark.parametrize("labelled", ["doc_id = -5", "false"])
+def test_labels_of_no_document_reject_none(spark, tmp_path, labelled):
+    """Labels that match no document, or none at all, say nothing about quality."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    moved = labels.withColumn("doc_id", F.lit(-5).cast(labels.schema["doc_id"].dataType))
+    moved.filter(labelled).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality_classifier(spark, docs, str(tmp_path))
+    assert kept.count() == 20 and kept.columns == docs.columns
+
+
 def test_quality_stage(spark, stages):
     rows, docs = stages
     model = quality.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))

@@ -16,8 +16,10 @@ from palimpsest.llm.common import drop_shuffles, sha_hex, staged, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score of 0.7 or more."""
+    """Documents with a score of 0.7 or more; all, if no label says what to reject."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
+    if not model.trained:
+        return docs
     return docs.filter(quality.score(docs, model) >= quality.THRESHOLD)
 
 

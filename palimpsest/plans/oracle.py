@@ -215,6 +215,10 @@ def _rules(table: str, source: str, columns: dict[str, str]) -> str:
     )
 
 
+CUSTOMERS = (
+    "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer"
+)
+
 ORACLE: dict[str, str] = {
     "normalize_text": _select(
         _REGISTRY,
@@ -557,6 +561,7 @@ parts AS (
         )
         + " UNION ALL SELECT 'audit', 'key', count(*) - count(DISTINCT load_date) FROM parts",
     ),
-    "paged_source": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment "
-    "FROM customer",
+    "paged_source": CUSTOMERS,
+    "paged_extract": CUSTOMERS,
+    "landed_pages": CUSTOMERS,
 }

@@ -6,8 +6,12 @@ Dates and timestamps leave as ISO text, so that any engine renders the same valu
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +20,7 @@ from ..functions.text import is_blank_key
 from ..operators import ingest, quality, scd2, staging, tables
 from ..operators.snapshot import snapshot_parts
 from ..operators.warehouse import Warehouse
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, written
 from ..sources import files, paged
 from ..sources.csv_snapshot import (
     inspect_files,
@@ -598,13 +602,70 @@ def q_catch_up(spark, sf):
     return as_text(wh.published.read(DIMENSION))
 
 
+# What the queries of paged sources ask for.
+CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_mktsegment"]
+
+
+class CustomerPages(paged.PagedSource):
+    """Pages over Parquet files (``path``) in the order of their names, by row ranges.
+
+    With ``failFrom`` the source is down for rows from that one on.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "customer_pages"
+
+    def fetch_page(self, offset: int, limit: int) -> list[dict]:
+        if offset + limit > int(self.options.get("failFrom", offset + limit)):
+            raise ConnectionError(f"no answer for rows from {offset} on")
+        filesystem, folder = files.arrow_location(self.options["path"])
+        rows, first = [], 0
+        parts = filesystem.get_file_info(fs.FileSelector(folder))
+        for place in sorted(p.path for p in parts if p.path.endswith(".parquet")):
+            part = pq.ParquetFile(filesystem.open_input_file(place))
+            low, high = max(offset - first, 0), offset + limit - first
+            if low < part.metadata.num_rows and high > 0:
+                rows += part.read(self.columns()).slice(low, high - low).to_pylist()
+            first += part.metadata.num_rows
+        return rows
+
+
+def _customer_pages(spark: SparkSession, sf: str) -> tuple[dict[str, str], int]:
+    """Customers in files by key: options of a source of forty pages or more, its rows."""
+    folder = scratch_path(spark, "pages")
+    customers = feeds.table(spark, sf, "customer").select(*CUSTOMER_COLUMNS)
+    dealt = customers.repartitionByRange("c_custkey").sortWithinPartitions("c_custkey")
+    stored = written(dealt, folder)
+    rows = stored.count()
+    size = min(paged.PAGE_SIZE, rows // 40 + 1)
+    return {"path": folder, "pageSize": str(size)}, rows
+
+
 def q_paged_source(spark, sf):
+    """Customers read page by page, in stripes of pages."""
+    options, _ = _customer_pages(spark, sf)
+    return paged.read_paged(spark, CustomerPages, CUSTOMER_COLUMNS, **options)
+
+
+def q_paged_extract(spark, sf):
+    """An extraction that breaks off half-way and goes on after its last whole batch."""
+    options, rows = _customer_pages(spark, sf)
+    places = scratch_path(spark, "extract"), scratch_path(spark, "stream")
+    options["pagesPerBatch"] = "8"
+    with suppress(StreamingQueryException):
+        paged.extract_pages(
+            spark, CustomerPages, CUSTOMER_COLUMNS, *places, failFrom=str(rows // 2), **options
+        )
+    return paged.extract_pages(spark, CustomerPages, CUSTOMER_COLUMNS, *places, **options)
+
+
+def q_landed_pages(spark, sf):
     """Customers landed as JSON pages, read back as text."""
-    columns = ["c_custkey", "c_name", "c_mktsegment"]
     folder = scratch_path(spark, "pages")
-    customers = feeds.table(spark, sf, "customer").select(*columns)
+    customers = feeds.table(spark, sf, "customer").select(*CUSTOMER_COLUMNS)
     customers.write.option("maxRecordsPerFile", paged.PAGE_SIZE).json(folder)
-    return paged.read_landed_pages(spark, folder, columns)
+    return paged.read_landed_pages(spark, folder, CUSTOMER_COLUMNS)
 
 
 def q_file_checksums(spark, sf):

@@ -247,6 +247,60 @@ def test_page_errors_fail_the_read(spark):
         df.collect()
 
 
+def test_a_broken_off_extraction_goes_on(spark, tmp_path):
+    class Growing(paged.PagedSource):
+        """Notes every page asked for; the file ``down`` stops it from row 40 on."""
+
+        @classmethod
+        def name(cls):
+            return "growing"
+
+        def fetch_page(self, offset, limit):
+            if limit > 1:
+                with open(tmp_path / "asked", "a") as asked:
+                    asked.write(f"{offset}\n")
+                if offset >= 40 and (tmp_path / "down").exists():
+                    raise RuntimeError("HTTP 503")
+            total = int((tmp_path / "total").read_text())
+            return [{"license_nbr": f"L-{i}"} for i in range(offset, min(total, offset + limit))]
+
+    def extract():
+        (tmp_path / "asked").write_text("")
+        places = str(tmp_path / "pages"), str(tmp_path / "stream")
+        rows = paged.extract_pages(
+            spark, Growing, ["license_nbr", "more"], *places, pageSize=10, pagesPerBatch=3
+        ).collect()
+        assert {r.more for r in rows} <= {None}
+        return sorted(int(r.license_nbr[2:]) for r in rows)
+
+    def asked():
+        return sorted(int(line) for line in (tmp_path / "asked").read_text().split())
+
+    (tmp_path / "total").write_text("95")
+    (tmp_path / "down").write_text("")
+    with pytest.raises(Exception, match="HTTP 503"):
+        extract()
+    (tmp_path / "down").rename(tmp_path / "up")
+    assert extract() == list(range(95))
+    assert asked() == list(range(30, 95, 10))
+    assert extract() == list(range(95)) and asked() == []
+    (tmp_path / "total").write_text("103")
+    assert extract() == list(range(103)) and asked() == [95]
+
+
+def test_an_extraction_of_nothing(spark, tmp_path):
+    places = str(tmp_path / "pages"), str(tmp_path / "stream")
+    rows = paged.extract_pages(spark, make_source(0), ["license_nbr"], *places, pageSize=10)
+    assert rows.collect() == []
+
+
+def test_a_source_that_loses_rows_fails_the_extraction():
+    reader = make_source(15)({"columns": "license_nbr", "pageSize": "10"}).streamReader(None)
+    assert reader.latestOffset() == {"row": 15}
+    with pytest.raises(ValueError, match="5 of 10 rows from 10 on"):
+        list(reader.read(paged.PageRange(10, 10)))
+
+
 def test_pages_land_as_the_contract(spark, wh, tmp_path):
     df = paged.read_paged(spark, make_source(5), ["license_nbr", "business_name"], pageSize=10)
     path = ingest.land_snapshot(df, str(tmp_path / "landing"), EARLY, REGISTRY)

@@ -263,22 +263,26 @@ def near_duplicates(
         "sketches",
     )
     flat = rows.select(
-        F.col(doc_id).alias("id"), F.col("__nd_row").alias("row"), F.col("__nd.*")
+        F.col(doc_id).alias("id"),
+        F.col("__nd_row").alias("row"),
+        F.col("__nd.node").alias("digest"),
+        F.col("__nd.n_shingles").alias("n"),
+        F.col("__nd.registers").alias("registers"),
     )
-    # The registers follow from the node, so any row's will do.
+    # Equal sets are one node, named by its first row: numbers are hashed where digests
+    # would be sorted. The registers follow from the set, so any row's will do.
     nodes = staged(
-        flat.filter(F.col("node").isNotNull())
-        .groupBy("node")
-        .agg(F.min(F.struct("row", F.col("n_shingles").alias("n"), "registers")).alias("s"))
-        .select("node", "s.*"),
+        flat.filter(F.col("digest").isNotNull())
+        .groupBy("digest")
+        .agg(F.min(F.struct(F.col("row").alias("node"), "n", "registers")).alias("s"))
+        .select("digest", "s.*"),
         "nodes",
     )
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """(node, text) of some nodes."""
-        places = nodes.select("node", "row").join(wanted, "node", "left_semi")
-        texts = rows.select(F.col("__nd_row").alias("row"), F.col(text).alias("text"))
-        found = staged(texts.join(places, "row").select("node", "text"), "texts")
+        texts = rows.select(F.col("__nd_row").alias("node"), F.col(text).alias("text"))
+        found = staged(texts.join(wanted.distinct(), "node"), "texts")
         drop_shuffles(spark)
         return found
 
@@ -299,11 +303,12 @@ def near_duplicates(
     joined = components(staged(new, "links")).select(
         F.col("node").alias("root"), F.col("root").alias("least")
     )
-    rooted = (
-        with_roots(flat, labels)
+    named = (
+        with_roots(nodes.select("digest", "node"), labels)
         .join(joined, "root", "left")
-        .select("id", "row", F.coalesce("least", "root").alias("root"))
+        .select("digest", F.coalesce("least", "root").alias("root"))
     )
+    rooted = flat.select("id", "row", "digest").join(named, "digest", "left")
     least = (
         rooted.filter(F.col("root").isNotNull())
         .groupBy("root")

@@ -8,7 +8,9 @@ and each pair of blocks is one unit of work that returns a spanning forest of wh
 finds, never more rows than it has nodes.
 
 ``components`` finds connected components by alternating large-star and small-star steps.
-Each step is a pre-aggregated minimum and a join, which Spark splits for hubs.
+Each step is a pre-aggregated minimum and a join, which Spark splits for hubs. Links are
+thinned before they are joined: each task replaces a bounded number of them by stars, so a
+group of n nodes that share many links enters the joins with about n of them.
 """
 
 from __future__ import annotations
@@ -23,17 +25,20 @@ from pyspark.sql import functions as F
 from .common import staged
 
 BLOCK = 512
+HELD = 1 << 20  # links a task thins at once
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every node that has a link; root is the least node it reaches.
 
-    A round is a large-star and a small-star step; ``links`` are read several times in the
-    first one, so pass a written table. The last round moves no edge: no lesser end has a
-    smaller neighbour, and no greater end has two lesser ones.
+    A round is a large-star and a small-star step; ``links`` are read once. The last round
+    moves no edge: no lesser end has a smaller neighbour, and no greater end has two lesser
+    ones.
     """
-    u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
-    edges, moved = links.filter(F.col(a) != F.col(b)).select(u, v), True
+    ends = links.filter(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
+    # A node that several leaders are linked with brings its links to one task.
+    edges = staged(thinned(ends.repartition("v")), "edges")
+    moved = not edges.isEmpty()
     while moved:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -54,13 +59,55 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         ).unionByName(nearest.withColumnRenamed("m", "v"))
         seen = Observation()
         small = small.observe(seen, F.max("moved").alias("moved"))
-        edges = staged(small.select("u", "v").distinct(), "edges")
+        edges = staged(thinned(small.select("u", "v")).distinct(), "edges")
         moved = bool(seen.get["moved"])
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return staged(leaves.unionByName(roots), "components")
 
 
+def thinned(edges: DataFrame) -> DataFrame:
+    """(u, v) links that join the same nodes as ``edges``; v is less than u.
+
+    Every run of links a task holds becomes stars around the least node of each part.
+    """
+    kind = edges.schema["u"].dataType.simpleString()
+
+    def stars_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for frame in frames:
+            held.append(frame)
+            n += len(frame)
+            if n > HELD:
+                held = [least_nodes(pd.concat(held))]
+                n = len(held[0])
+                if n > HELD // 2:
+                    yield held.pop()
+                    n = 0
+        if n:
+            yield least_nodes(pd.concat(held))
+
+    return edges.mapInPandas(stars_of, f"u {kind}, v {kind}")
+
+
+def least_nodes(edges: pd.DataFrame) -> pd.DataFrame:
+    """(u, v) of every node u and the least node v < u that these links lead to."""
+    n = len(edges)
+    names, codes = np.unique(
+        np.concatenate([edges["u"].to_numpy(), edges["v"].to_numpy()]), return_inverse=True
+    )
+    a, b = codes[:n], codes[n:]
+    root = np.arange(len(names))
+    while (root[a] != root[b]).any():
+        low = np.minimum(root[a], root[b])
+        for end in (root[a], root[b]):
+            np.minimum.at(root, end, low)
+        while (root[root] != root).any():
+            root = root[root]
+    below = np.flatnonzero(root != np.arange(len(names)))
+    return pd.DataFrame({"u": names[below], "v": names[root[below]]})
+
+
 def shared(members: DataFrame) -> DataFrame:
     """(bucket, node, n) of the buckets with n > 1 nodes; ``members`` are distinct."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

@@ -291,16 +291,15 @@ def near_duplicates(
     asked = likely.select(F.col("a").alias("node")).unionByName(
         likely.select(F.col("b").alias("node"))
     )
-    links = staged(_exact(likely, texts_of(asked), words, percent), "links")
-    labels = components(links)
+    labels = components(_exact(likely, texts_of(asked), words, percent))
     rest = apart(members, labels).join(nodes.select("node", "n", "registers"), "node")
     plausible = block_pairs(rest, "bucket", ["n", "registers"], _plausible(percent))
-    families = components(staged(plausible, "plausible")).withColumnRenamed("root", "family")
+    families = components(plausible).withColumnRenamed("root", "family")
     drop_shuffles(spark)
     compared = with_roots(families.join(texts_of(families.select("node")), "node"), labels)
     # Links found last join components, so their roots alone are linked once more.
     new = block_pairs(compared, "family", ["text"], _similar(words, percent), "root")
-    joined = components(staged(new, "links")).select(
+    joined = components(new).select(
         F.col("node").alias("root"), F.col("root").alias("least")
     )
     named = (

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from palimpsest.llm import links, neardup, passages, vectors
@@ -146,6 +147,38 @@ def test_components_of_random_links(spark):
     assert sorted(map(tuple, found)) == sorted(expected)
 
 
+def test_thinned_links_are_no_more_than_nodes(spark, monkeypatch):
+    """Forty leaders of the same thousand nodes: a link a node and task, the same components."""
+    monkeypatch.setattr(links, "HELD", 3000)
+    edges = [(a, b) for a in range(40) for b in range(1, 1001) if a != b]
+    edges += [(2000 + i, 2001 + i) for i in range(50)]
+    random.seed(12)
+    random.shuffle(edges)
+    rows = spark.createDataFrame(edges, "u long, v long").repartition(2)
+    kept = links.thinned(rows).collect()
+    assert len(kept) <= 2 * 2 * 1051 and all(v < u for u, v in kept)
+    linked, thin = (brute.Sets({n for e in edges for n in e}) for _ in range(2))
+    for sets, pairs in ((linked, edges), (thin, kept)):
+        for a, b in pairs:
+            sets.join(a, b)
+    assert all(linked.root(n) == thin.root(n) for e in edges for n in e)
+    few = spark.createDataFrame(edges, "a long, b long").selectExpr("cast(a AS string) a", "cast(b AS string) b")
+    found = {r.node: r.root for r in links.components(few).collect()}
+    assert found["7"] == found["999"] == "0" and found["2050"] == "2000"
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_least_nodes(seed):
+    rng = np.random.default_rng(seed)
+    edges = pd.DataFrame(rng.integers(0, 60, (45, 2)), columns=["u", "v"])
+    linked = brute.Sets(set(range(60)))
+    for a, b in edges.itertuples(index=False):
+        linked.join(a, b)
+    found = dict(links.least_nodes(edges).itertuples(index=False))
+    nodes = {n for e in edges.itertuples(index=False) for n in e}
+    assert found == {n: linked.root(n) for n in nodes if linked.root(n) != n}
+
+
 def passage(seed, n):
     random.seed(seed)
     return [f"p{random.randrange(10**6)}" for _ in range(n)]

@@ -1,8 +1,8 @@
 """Operator 9: token ids in binary files, small numbers for frequent ids.
 
 1. ``encode`` gives each document its ids. Texts of Latin letters, digits and ASCII signs
-   are lower-cased and cut into words as the tokenizer's own rules do, so that each
-   distinct word of a worker's texts is encoded once; other texts are encoded whole.
+   are lower-cased, split at white space and cut into words as the tokenizer's own rules do,
+   so that each distinct word of a worker's texts is encoded once; other texts are encoded whole.
 2. Ids are counted over all documents; the most frequent one gets rank 0.
 3. Documents are range-partitioned and sorted by id, and cut into shards of bounded size.
    A shard is one file: a header, per document its id and number of tokens, one control
@@ -108,12 +108,23 @@ class Words:
                 self.known[word] = raw[a:b]
         return [self.known[w] for w in words]
 
+    def run_ids(self, runs: list[str]) -> list[bytes]:
+        """The ids of distinct strings without white space, as bytes."""
+        pieces = [_PIECE.findall(r) for r in runs]
+        words = list(dict.fromkeys(w for p in pieces for w in p))
+        ids = dict(zip(words, self.ids(words)))
+        return [ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p]) for p in pieces]
+
     def encode_plain(self, texts: list[str], end: int) -> list[np.ndarray]:
-        """Ids of plain texts, each with the end id."""
-        pieces = [_PIECE.findall(t.lower()) for t in texts]
-        ends = np.cumsum([len(p) for p in pieces])
-        codes, distinct = pd.factorize(np.array([w for p in pieces for w in p], dtype=object))
-        ids = [*self.ids(distinct.tolist()), np.array([end], "<u4").tobytes()]
+        """Ids of plain texts, each with the end id.
+
+        No piece goes over white space, so texts are split there first, and what stands
+        between is cut into pieces once for all places where it occurs.
+        """
+        runs = [t.lower().split() for t in texts]
+        ends = np.cumsum([len(r) for r in runs])
+        codes, distinct = pd.factorize(np.array([w for r in runs for w in r], dtype=object))
+        ids = [*self.run_ids(distinct.tolist()), np.array([end], "<u4").tobytes()]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
         codes = np.insert(codes, ends, len(ids) - 1)  # the end id after each text

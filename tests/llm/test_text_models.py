@@ -201,6 +201,25 @@ ODD = [
 ]
 
 
+def test_runs_between_white_space_are_cut_once(monkeypatch):
+    """Each distinct run is cut into pieces once, however often it occurs."""
+    cut = []
+
+    class Pieces:
+        def findall(self, text):
+            cut.append(text)
+            return PIECE.findall(text)
+
+    PIECE = tokenfile._PIECE
+    monkeypatch.setattr(tokenfile, "_PIECE", Pieces())
+    texts = ["We're here, at 10:45 -- Ça  va?\r\n" * 50, "at\there, (here)", "", "   ", "it's 'sad' don't''s"] * 3
+    found = tokenfile.token_ids(texts, PATH)
+    library = Tokenizer.from_file(PATH)
+    for text, ids in zip(texts, found):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, tokenfile.END]
+    assert len(cut) == len(set(cut)) and sum(map(len, cut)) < 100
+
+
 @pytest.mark.parametrize("shard", [10, 1 << 20])
 def test_files_equal_the_library(spark, monkeypatch, shard):
     monkeypatch.setattr(tokenfile, "SHARD_TOKENS", shard)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import drop_shuffles, staged
 
 BLOCK = 512
 HELD = 1 << 20  # links a task thins at once
@@ -111,7 +111,11 @@ def least_nodes(edges: pd.DataFrame) -> pd.DataFrame:
 def shared(members: DataFrame) -> DataFrame:
     """(bucket, node, n) of the buckets with n > 1 nodes; ``members`` are distinct."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return staged(members.join(sizes, "bucket"), "shared")
+    sizes = staged(sizes, "sizes")
+    drop_shuffles(members.sparkSession)
+    found = staged(members.join(sizes, "bucket"), "shared")
+    drop_shuffles(members.sparkSession)
+    return found
 
 
 def with_roots(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -125,9 +129,11 @@ def stars(members: DataFrame) -> DataFrame:
     rows = members.join(weights, "node").select("bucket", "node", "weight")
     leaders = rows.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("l"))
     pairs = rows.join(leaders, "bucket").filter(F.col("node") != F.col("l.node"))
-    return staged(
+    found = staged(
         pairs.select(F.col("l.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs"
     )
+    drop_shuffles(members.sparkSession)
+    return found
 
 
 def apart(members: DataFrame, labels: DataFrame) -> DataFrame:

@@ -30,13 +30,16 @@ not null. Other columns pass through ``near_duplicates`` untouched.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_shuffles, staged, table, whole
+from .common import drop_shuffles, drop_staged, staged, table, whole
 from .links import apart, block_pairs, components, shared, stars, with_roots
 
 WORDS = 5
@@ -51,6 +54,8 @@ _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
+RUN_TEXTS, RUN_CHARS = 1000, 400_000  # texts that are sketched together
+
 SKETCH = "n_shingles long, node binary, registers binary"
 
 
@@ -86,6 +91,60 @@ def registers(hashes: np.ndarray, size: int = REGISTERS) -> np.ndarray:
     return np.clip(scale, 0, TOP).astype(np.uint16)
 
 
+def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
+    """``shingles`` of many texts, computed together."""
+    split = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    long = [i for i, tokens in enumerate(split) if len(tokens) >= words]
+    out = [np.zeros(0, np.uint64)] * len(texts)
+    for i, tokens in enumerate(split):
+        if 0 < len(tokens) < words:
+            out[i] = shingles(texts[i], words)
+    if not long:
+        return out
+    sizes = np.array([len(split[i]) for i in long])
+    tokens = chain.from_iterable(split[i] for i in long)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, sizes.sum())
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(long)), sizes - words + 1)
+    first = np.arange(len(owner)) + (words - 1) * owner  # each text but the last adds words - 1
+    mixed = np.zeros(len(owner), np.uint64)
+    for i in range(words):
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX + hashes[first + i]
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= _MIX
+    mixed ^= mixed >> np.uint64(29)
+    order = np.lexsort((mixed, owner))
+    mixed = mixed[order]
+    new = np.ones(len(mixed), bool)
+    new[1:] = (mixed[1:] != mixed[:-1]) | (owner[1:] != owner[:-1])
+    cuts = np.cumsum(np.bincount(owner[new], minlength=len(ends)))
+    for i, found in zip(long, np.split(mixed[new], cuts[:-1])):
+        out[i] = found
+    return out
+
+
+def registers_of(sets: list[np.ndarray], size: int = REGISTERS) -> np.ndarray:
+    """``registers`` of many sets that are not empty, a row each."""
+    sizes = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    greatest = np.zeros((len(sets), size), np.uint64)
+    for start in range(0, len(flat), 1024):
+        draws = flat[start : start + 1024, None] * _FACTORS[:size]
+        draws ^= draws >> np.uint64(32)
+        draws *= _MIX
+        of = owner[start : start + 1024]
+        firsts = np.flatnonzero(np.diff(of, prepend=-1))
+        if len(firsts) > 16:
+            most = np.maximum.reduceat(draws, firsts, axis=0)
+        else:
+            most = np.array([part.max(axis=0) for part in np.split(draws, firsts[1:])])
+        held = of[firsts]
+        greatest[held] = np.maximum(greatest[held], most)
+    least = -np.log((greatest.astype(float) + 1.0) / 2.0**64) / RATE
+    scale = np.floor(1.0 - np.log(np.maximum(least, 1e-300)) / np.log(BASE))
+    return np.clip(scale, 0, TOP).astype(np.uint16)
+
+
 def hopeless(
     a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, threshold: float
 ) -> np.ndarray:
@@ -111,17 +170,33 @@ def hopeless(
     return (estimate < threshold) & (values.max(axis=1) - needed > HOPELESS)
 
 
+def _runs(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in runs of a bounded number and size, but one text at least."""
+    held, chars = [], 0
+    for text in texts:
+        if held and (len(held) >= RUN_TEXTS or chars + len(text) > RUN_CHARS):
+            yield held
+            held, chars = [], 0
+        held.append(text)
+        chars += len(text)
+    if held:
+        yield held
+
+
 def sketch(docs: DataFrame, text: str, words: int, size: int, into: str) -> DataFrame:
     """``docs`` with the struct of n_shingles, node and registers of ``text``."""
 
     @F.pandas_udf(SKETCH)
     def sketched(texts: pd.Series) -> pd.DataFrame:
         rows = []
-        for value in texts:
-            found = shingles(value, words)
-            key = xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
-            regs = registers(found, size).tobytes() if len(found) else None
-            rows.append((len(found), key, regs))
+        for part in _runs(texts.tolist()):
+            sets = shingle_sets(part, words)
+            full = [s for s in sets if len(s)]
+            held = iter(registers_of(full, size) if full else ())
+            for found in sets:
+                key = xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
+                regs = next(held).tobytes() if len(found) else None
+                rows.append((len(found), key, regs))
         return pd.DataFrame(rows, columns=["n_shingles", "node", "registers"])
 
     return docs.withColumn(into, sketched(whole(docs[text])))
@@ -249,35 +324,40 @@ def near_duplicates(
     percent: int = PERCENT,
     size: int = REGISTERS,
     bands: tuple[tuple[int, int], ...] = BANDS,
+    row: str | None = None,
 ) -> DataFrame:
     """``docs`` with n_shingles, component_id, kept and first.
 
-    ``kept`` marks rows whose id is their component's, ``first`` one row of each
+    ``row`` names the column that numbers the rows of ``docs`` where these are a staged
+    table; without one they are written and numbered here. ``kept`` marks rows whose id is their component's, ``first`` one row of each
     component. Columns of these names are replaced.
     """
     spark = docs.sparkSession
-    rows = staged(
-        sketch(docs, text, words, size, "__nd").withColumn(
-            "__nd_row", F.monotonically_increasing_id()
+    rows = docs.withColumn("__nd_row", F.monotonically_increasing_id() if row is None else F.col(row))
+    if row is None:
+        rows = staged(rows, "rows")
+    sketched = staged(
+        sketch(rows, text, words, size, "__nd").select(
+            F.col(doc_id).alias("id"),
+            F.col("__nd_row").alias("row"),
+            F.col("__nd.node").alias("digest"),
+            F.col("__nd.n_shingles").alias("n"),
+            F.col("__nd.registers").alias("registers"),
         ),
         "sketches",
     )
-    flat = rows.select(
-        F.col(doc_id).alias("id"),
-        F.col("__nd_row").alias("row"),
-        F.col("__nd.node").alias("digest"),
-        F.col("__nd.n_shingles").alias("n"),
-        F.col("__nd.registers").alias("registers"),
-    )
     # Equal sets are one node, named by its first row: numbers are hashed where digests
     # would be sorted. The registers follow from the set, so any row's will do.
     nodes = staged(
-        flat.filter(F.col("digest").isNotNull())
+        sketched.filter(F.col("digest").isNotNull())
         .groupBy("digest")
         .agg(F.min(F.struct(F.col("row").alias("node"), "n", "registers")).alias("s"))
         .select("digest", "s.*"),
         "nodes",
     )
+    flat = staged(sketched.drop("registers"), "sets")
+    drop_shuffles(spark)
+    drop_staged(sketched)
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """(node, text) of some nodes."""
@@ -307,7 +387,7 @@ def near_duplicates(
         .join(joined, "root", "left")
         .select("digest", F.coalesce("least", "root").alias("root"))
     )
-    rooted = flat.select("id", "row", "digest").join(named, "digest", "left")
+    rooted = flat.select("id", "row", "digest", "n").join(named, "digest", "left")
     least = (
         rooted.filter(F.col("root").isNotNull())
         .groupBy("root")
@@ -315,6 +395,7 @@ def near_duplicates(
     )
     verdict = rooted.join(least, "root", "left").select(
         F.col("row").alias("__nd_row"),
+        F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("first"),
     )
@@ -323,7 +404,7 @@ def near_duplicates(
     kept = rows[doc_id].eqNullSafe(verdict["component_id"])
     return out.select(
         *[rows[c] for c in docs.columns if c not in added],
-        rows["__nd"]["n_shingles"].alias("n_shingles"),
+        verdict["n_shingles"],
         verdict["component_id"],
         kept.alias("kept"),
         verdict["first"],

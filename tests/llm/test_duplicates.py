@@ -1,6 +1,7 @@
 """Near-duplicate documents, passages and vectors against plain versions."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -269,6 +270,29 @@ def test_removal_leaves_the_first_holder_whole(spark):
     assert left == [texts[0].split(), ["a1", *shared[60:], "z1"], ["a2", "z2"], ["a3", "z3"]]
 
 
+def test_steps_of_passages_do_not_stay(spark):
+    """Windows, contexts and texts are deleted once nothing reads them."""
+    root = Path(spark.conf.get("spark.checkpoint.dir")) / "palimpsest"
+    held = set(root.glob("*")) if root.exists() else set()
+    line = " ".join(passage(41, 60))
+    found = passages.repeated_passages(docs_of(spark, [f"a\n{line}", f"b\n{line}", None])).collect()
+    assert {(r.doc_id, r.kind) for r in found} == {(i, k) for i in (0, 1) for k in ("line", "window")}
+    left = {p.name.rsplit("-", 1)[0] for p in set(root.glob("*")) - held}
+    assert not left & {"llm-windows", "llm-seeds", "llm-contexts", "llm-long-lines", "llm-sketches"}
+
+
+def test_sketches_of_many_texts():
+    """Texts sketched together have the sets and registers each has alone."""
+    random.seed(42)
+    texts = [" ".join(random.choices("abcdefgh", k=random.randrange(40))) for _ in range(300)]
+    texts += ["", "x", "Ää\x0bB c d e f", " ".join(map(str, range(3000)))]
+    alone = [neardup.shingles(t, 5) for t in texts]
+    together = [s for part in neardup._runs(texts) for s in neardup.shingle_sets(part, 5)]
+    assert all(np.array_equal(a, b) for a, b in zip(alone, together, strict=True))
+    full = [s for s in alone if len(s)]
+    assert np.array_equal(neardup.registers_of(full), [neardup.registers(s) for s in full])
+
+
 def test_vectors(spark, monkeypatch):
     monkeypatch.setattr(links, "BLOCK", 16)
     random_ = np.random.default_rng(11)

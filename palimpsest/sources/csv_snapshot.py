@@ -72,6 +72,24 @@ def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
     )
 
 
+def file_shapes(lines: DataFrame) -> DataFrame:
+    """(file, header, multiline) of every file; ``multiline`` is empty if its lines are records.
+
+    Sets are aggregated in a map by file. Without one, Spark would sort all lines by file,
+    since the header is text.
+    """
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    content = F.rtrim(value, F.lit("\r"))
+    blank = (content != "") & (F.trim(content) == "")
+    top = F.when((F.col("block") == 0) & (content != ""), F.col("pos"))
+    goes_on = F.when((quotes % 2 == 1) | blank, True)
+    told = lines.select("file", "value", top.alias("top"), goes_on.alias("goes_on"))
+    return told.groupBy("file").agg(
+        F.min_by("value", "top").alias("header"), F.collect_set("goes_on").alias("multiline")
+    )
+
+
 def inspect_files(
     spark: SparkSession, snapshots: Mapping[date, Source]
 ) -> list[SnapshotFile]:
@@ -95,20 +113,7 @@ def inspect_files(
     }
     if not parts:
         return []
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    content = F.rtrim(value, F.lit("\r"))
-    blank = (content != "") & (F.trim(content) == "")
-    top = F.when((F.col("block") == 0) & (content != ""), F.col("pos"))
-    shapes = (
-        _lines(spark, [readable(f) for f in parts])
-        .groupBy("file")
-        .agg(
-            F.min_by(value, top).alias("header"),
-            F.bool_or((quotes % 2 == 1) | blank).alias("multiline"),
-        )
-        .collect()
-    )
+    shapes = file_shapes(_lines(spark, [readable(f) for f in parts])).collect()
     found = {s.file: s for s in shapes}
     result = []
     for file, (day, uri) in sorted(parts.items()):

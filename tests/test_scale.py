@@ -3,10 +3,13 @@
 from datetime import date
 
 import pytest
+from conftest import licence
 from pyspark.sql import functions as F
 
 from palimpsest.operators import quality, scd2, staging
 from palimpsest.session import materialize, scratch_path
+from palimpsest.sources import csv_snapshot
+from palimpsest.sources.csv_snapshot import file_shapes
 from palimpsest.spec import SnapshotSpec
 
 SPEC = SnapshotSpec("k", "load_date", ("v",), (), ("seq",))
@@ -100,3 +103,13 @@ def test_linear_overlap_check_merges_before_its_window(hot_feed):
     assert starts.where("k = 0").agg(F.sum("versions")).first()[0] > ROWS // 6
     text = plan(starts)
     assert text.index("Window ") < text.index("HashAggregate(keys=[k")
+
+
+def test_lines_are_not_sorted_to_inspect_files(spark, write_csv):
+    """A task holds a header a file, not its lines, while files are inspected."""
+    path = write_csv("plain.csv", [licence("A-1"), licence("A-2")])
+    shapes = file_shapes(csv_snapshot._lines(spark, [path]))
+    plan = shapes._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan
+    row = shapes.first()
+    assert row.header.startswith("license_nbr") and row.multiline == []

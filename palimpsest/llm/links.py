@@ -10,7 +10,8 @@ finds, never more rows than it has nodes.
 ``components`` finds connected components by alternating large-star and small-star steps.
 Each step is a pre-aggregated minimum and a join, which Spark splits for hubs. Links are
 thinned before they are joined: each task replaces a bounded number of them by stars, so a
-group of n nodes that share many links enters the joins with about n of them.
+group of n nodes that share many links enters the joins with about n of them. As soon as
+no more links are left than one task may thin, thinning them together ends the rounds.
 """
 
 from __future__ import annotations
@@ -33,13 +34,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     A round is a large-star and a small-star step; ``links`` are read once. The last round
     moves no edge: no lesser end has a smaller neighbour, and no greater end has two lesser
-    ones.
+    ones. ``HELD`` links or fewer need no round: one task makes them stars.
     """
     ends = links.filter(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
     # A node that several leaders are linked with brings its links to one task.
-    edges = staged(thinned(ends.repartition("v")), "edges")
-    moved = not edges.isEmpty()
-    while moved:
+    edges, n = _counted(thinned(ends.repartition("v")))
+    moved = n > 0
+    while moved and n > HELD:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
@@ -59,13 +60,22 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         ).unionByName(nearest.withColumnRenamed("m", "v"))
         seen = Observation()
         small = small.observe(seen, F.max("moved").alias("moved"))
-        edges = staged(thinned(small.select("u", "v")).distinct(), "edges")
+        edges, n = _counted(thinned(small.select("u", "v")).distinct())
         moved = bool(seen.get["moved"])
+    if moved:
+        edges = staged(thinned(edges.coalesce(1)), "edges")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return staged(leaves.unionByName(roots), "components")
 
 
+def _counted(edges: DataFrame) -> tuple[DataFrame, int]:
+    """The edges as a staged table, and how many there are."""
+    seen = Observation()
+    found = staged(edges.observe(seen, F.count(F.lit(1)).alias("n")), "edges")
+    return found, seen.get["n"]
+
+
 def thinned(edges: DataFrame) -> DataFrame:
     """(u, v) links that join the same nodes as ``edges``; v is less than u.
 

@@ -168,6 +168,30 @@ def test_thinned_links_are_no_more_than_nodes(spark, monkeypatch):
     assert found["7"] == found["999"] == "0" and found["2050"] == "2000"
 
 
+@pytest.mark.parametrize("held", [20, 150, 100_000])
+def test_components_end_by_rounds_or_at_once(spark, monkeypatch, held):
+    """Links that one task may thin need no round of joins; more of them give the same."""
+    monkeypatch.setattr(links, "HELD", held)
+    joined, names = [], []
+    frame = type(spark.range(1))
+    join, written = frame.join, links.staged
+    monkeypatch.setattr(frame, "join", lambda *x, **y: joined.append(1) or join(*x, **y))
+    monkeypatch.setattr(links, "staged", lambda df, name: names.append(name) or written(df, name))
+    random.seed(21)
+    edges = [(i, i + 1) for i in range(60)] + [(random.randrange(90, 400), random.randrange(90, 400)) for _ in range(250)]
+    linked = brute.Sets({n for e in edges for n in e})
+    for a, b in edges:
+        linked.join(a, b)
+    rows = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    found = links.components(rows).collect()
+    expected = {(n, linked.root(n)) for a, b in edges if a != b for n in (a, b)}
+    assert sorted(map(tuple, found)) == sorted(expected)
+    if held > len(edges):
+        assert not joined and names == ["edges", "edges", "components"]
+    if held == 20:
+        assert joined
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_least_nodes(seed):
     rng = np.random.default_rng(seed)

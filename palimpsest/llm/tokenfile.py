@@ -2,12 +2,13 @@
 
 1. ``encode`` gives each document its ids. Texts of Latin letters, digits and ASCII signs
    are lower-cased, split at white space and cut into words as the tokenizer's own rules do,
-   so that each distinct word of a worker's texts is encoded once; other texts are encoded whole.
+   so that each distinct word of a worker's texts is encoded once, and each string between
+   white space cut once; other texts are encoded whole.
 2. Ids are counted over all documents; the most frequent one gets rank 0.
 3. Documents are range-partitioned and sorted by id, and cut into shards of bounded size.
-   A shard is one file: a header, per document its id and number of tokens, one control
-   byte for four ranks (two bits each: bytes of the number, less one), and the ranks'
-   bytes, little-endian, as many as the control byte says.
+   A shard is one file: a header that also states the first id, per document its id and
+   number of tokens, one control byte for four ranks (two bits each: bytes of the number,
+   less one), and the ranks' bytes, little-endian, as many as the control byte says.
 4. ``read_back`` reads the files in tasks. A table of the lengths behind each control byte
    gives all places by one cumulative sum, and numpy gathers the bytes.
 
@@ -34,6 +35,8 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -45,8 +48,10 @@ END = 1
 SHARD_TOKENS = 1 << 20
 SLICE_CHARS = 4_000_000
 CACHED_WORDS = 600_000
+CACHED_CHARS = 40  # longer words are encoded anew
 _MAGIC = b"PTOK1"
-_HEAD = struct.Struct("<5sqqq")  # magic, documents, tokens, bytes of ranks
+# Magic, documents, tokens, bytes of ranks; whether the first document has an id, and the id.
+_HEAD = struct.Struct("<5sqqq?q")
 _STOP = "\x00"  # stands between words that are encoded together
 _TOGETHER = 50
 
@@ -61,7 +66,7 @@ _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256
 
 
 class Words:
-    """A worker's tokenizer and the ids of words it has seen."""
+    """A worker's tokenizer and the ids of words, and of strings of them, it has seen."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -91,29 +96,40 @@ class Words:
             return False
         return not any(token in text for token in self.special)
 
-    def ids(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct words, as bytes."""
+    def ids(self, runs: list[str]) -> list[bytes]:
+        """The ids of distinct strings without white space, as bytes.
+
+        Those of earlier texts are kept, as far as they are short; the others are cut into
+        words, and words that are new are encoded. A string of letters is one word.
+        """
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        texts = [f" {_STOP} ".join(new[i : i + _TOGETHER]) for i in range(0, len(new), _TOGETHER)]
-        found = self.words.encode_batch_fast(texts, add_special_tokens=False)
-        for i, encoding in enumerate(found):
+        known = self.known
+        found = [known.get(r) for r in runs]
+        new = [r for r, ids in zip(runs, found) if ids is None]
+        pieces = {r: _PIECE.findall(r) for r in new if not r.isalpha()}
+        words = dict.fromkeys(r for r in new if r not in pieces)
+        words.update(dict.fromkeys(w for p in pieces.values() for w in p if w not in known))
+        made = self._encoded(list(words))
+        for run, cut in pieces.items():
+            if len(cut) != 1:  # else it is the word itself
+                made[run] = b"".join([made[w] if w in made else known[w] for w in cut])
+        out = [made[r] if ids is None else ids for r, ids in zip(runs, found)]
+        known.update((w, ids) for w, ids in made.items() if len(w) <= CACHED_CHARS)
+        return out
+
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        texts = [f" {_STOP} ".join(words[i : i + _TOGETHER]) for i in range(0, len(words), _TOGETHER)]
+        out: dict[str, bytes] = {}
+        for i, encoding in enumerate(self.words.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(encoding.ids, "<u4")
             cuts = np.flatnonzero(ids == self.stop)
             raw, starts = ids.tobytes(), [0, *(4 * cuts + 4).tolist()]
             ends = [*(4 * cuts).tolist(), len(raw)]
             at = i * _TOGETHER
-            for word, a, b in zip(new[at : at + _TOGETHER], starts, ends, strict=True):
-                self.known[word] = raw[a:b]
-        return [self.known[w] for w in words]
-
-    def run_ids(self, runs: list[str]) -> list[bytes]:
-        """The ids of distinct strings without white space, as bytes."""
-        pieces = [_PIECE.findall(r) for r in runs]
-        words = list(dict.fromkeys(w for p in pieces for w in p))
-        ids = dict(zip(words, self.ids(words)))
-        return [ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p]) for p in pieces]
+            for word, a, b in zip(words[at : at + _TOGETHER], starts, ends, strict=True):
+                out[word] = raw[a:b]
+        return out
 
     def encode_plain(self, texts: list[str], end: int) -> list[np.ndarray]:
         """Ids of plain texts, each with the end id.
@@ -121,10 +137,13 @@ class Words:
         No piece goes over white space, so texts are split there first, and what stands
         between is cut into pieces once for all places where it occurs.
         """
-        runs = [t.lower().split() for t in texts]
-        ends = np.cumsum([len(r) for r in runs])
-        codes, distinct = pd.factorize(np.array([w for r in runs for w in r], dtype=object))
-        ids = [*self.run_ids(distinct.tolist()), np.array([end], "<u4").tobytes()]
+        runs = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        ends = np.cumsum(runs.value_lengths().to_numpy())
+        coded = runs.flatten().dictionary_encode()
+        # White space at the begin or the end of a text leaves an empty run there.
+        codes = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = [*self.ids(distinct), np.array([end], "<u4").tobytes()]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
         codes = np.insert(codes, ends, len(ids) - 1)  # the end id after each text
@@ -224,7 +243,7 @@ def _shard(rows: list[tuple[int, bool, np.ndarray]], rank_of: np.ndarray) -> byt
     doc_ids = np.array([r[0] for r in rows], "<i8").tobytes()
     nulls = np.array([r[1] for r in rows], np.uint8).tobytes()
     sizes = np.array([len(r[2]) for r in rows], "<i8").tobytes()
-    head = _HEAD.pack(_MAGIC, len(rows), len(ids), len(data))
+    head = _HEAD.pack(_MAGIC, len(rows), len(ids), len(data), not rows[0][1], rows[0][0])
     return b"".join([head, doc_ids, nulls, sizes, control, data])
 
 
@@ -256,7 +275,7 @@ def write_files(encoded: DataFrame, order: np.ndarray, path: str) -> None:
 
 def _parse(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document ids, which are null, tokens of each, ranks) of a file."""
-    magic, docs, tokens, size = _HEAD.unpack_from(content)
+    magic, docs, tokens, size, *_ = _HEAD.unpack_from(content)
     if magic != _MAGIC:
         raise ValueError("not a token file")
     at = _HEAD.size
@@ -272,11 +291,10 @@ def _parse(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return ids, nulls, sizes, unpack(control, take(np.uint8, size), tokens)
 
 
-def _first(content: bytes) -> tuple[bool, int, int]:
+def _first(head: bytes) -> tuple[bool, int, int]:
     """(has the first document an id, the id, tokens) of a file."""
-    _, docs, tokens, _ = _HEAD.unpack_from(content)
-    first = int(np.frombuffer(content, "<i8", 1, _HEAD.size)[0])
-    return content[_HEAD.size + 8 * docs] == 0, first, tokens
+    *_, tokens, _, named, first = _HEAD.unpack(head)
+    return named, first, tokens
 
 
 def read_back(spark: SparkSession, path: str, order: np.ndarray) -> DataFrame:
@@ -285,8 +303,8 @@ def read_back(spark: SparkSession, path: str, order: np.ndarray) -> DataFrame:
     def heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for file, content in zip(frame["path"], frame["content"]):
-                rows.append((file, *_first(content)))
+            for file, head in zip(frame["path"], frame["head"]):
+                rows.append((file, *_first(head)))
             yield pd.DataFrame(rows, columns=["path", "named", "first", "tokens"])
 
     def documents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -302,7 +320,8 @@ def read_back(spark: SparkSession, path: str, order: np.ndarray) -> DataFrame:
     # Spark writes an empty file for an empty table.
     files = spark.read.format("binaryFile").load(path).filter("length > 0")
     files = files.select("path", "content")
-    shards = files.mapInPandas(heads, "path string, named boolean, first long, tokens long")
+    begins = files.select("path", F.substring("content", 1, _HEAD.size).alias("head"))
+    shards = begins.mapInPandas(heads, "path string, named boolean, first long, tokens long")
     bases = running_total(staged(shards, "shards"), ["named", "first", "path"], "tokens", "base")
     rows = files.mapInPandas(
         documents, "path string, doc_id long, at long, n_tokens long, ids_crc32 long"

@@ -220,6 +220,29 @@ def test_runs_between_white_space_are_cut_once(monkeypatch):
     assert len(cut) == len(set(cut)) and sum(map(len, cut)) < 100
 
 
+def test_runs_of_earlier_texts_are_not_cut_again(monkeypatch):
+    """Ids of short runs are kept from text to text, those of long ones are not; all equal the library's."""
+    cut = []
+
+    class Pieces:
+        def findall(self, text):
+            cut.append(text)
+            return PIECE.findall(text)
+
+    PIECE = tokenfile._PIECE
+    monkeypatch.setattr(tokenfile, "_PIECE", Pieces())
+    monkeypatch.setattr(tokenfile, "CACHED_CHARS", 12)
+    tokenfile._words.cache_clear()
+    library = Tokenizer.from_file(PATH)
+    long = "x1" * 40 + " " + "letters" * 9
+    for text in ["quay-side (10:45), quay", "Quay-side 'tis (10:45), " + long, long + " quay-side ,", "  ", long]:
+        found = tokenfile.token_ids([text], PATH)[0]
+        assert found.tolist() == [*library.encode(text, add_special_tokens=False).ids, tokenfile.END]
+    short = [run for run in cut if 0 < len(run) <= 12]
+    assert len(short) == len(set(short)) == 4
+    assert all(len(run) <= 12 for run in tokenfile._words(PATH).known)
+
+
 @pytest.mark.parametrize("shard", [10, 1 << 20])
 def test_files_equal_the_library(spark, monkeypatch, shard):
     monkeypatch.setattr(tokenfile, "SHARD_TOKENS", shard)

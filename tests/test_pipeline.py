@@ -472,3 +472,33 @@ def test_marts_by_delta_equal_a_rebuild(wh, write_csv):
     assert rows_of(wh.published.read("vw_status_history")) == rows_of(marts.status_history(dim))
     summary = marts.run_summary(wh.read("raw"), dim, REGISTRY)
     assert rows_of(wh.published.read("quality_summary")) == rows_of(summary)
+
+
+def test_early_dates_that_arrive_last_are_built_with_all_others(wh, write_csv, monkeypatch):
+    """A large load before all others is not compared version by version, a small one is."""
+    repaired = []
+    repair_delta = pipeline.repair_delta
+
+    def noted(*arguments):
+        repaired.append(arguments)
+        return repair_delta(*arguments)
+
+    monkeypatch.setattr(pipeline, "repair_delta", noted)
+
+    def load(month, keys):
+        rows = [licence(f"E-{k}", address_street="AB"[k % 2] + str(month)) for k in range(keys)]
+        backfill(wh, {date(2087, month, 9): write_csv(f"{month}.csv", rows)})
+        dim = wh.published.read(DIMENSION)
+        assert same_as_a_build(wh)
+        assert rows_of(wh.published.read("vw_address_changes")) == rows_of(marts.address_changes(dim))
+        assert rows_of(wh.published.read("vw_status_history")) == rows_of(marts.status_history(dim))
+        summary = marts.run_summary(wh.read("raw"), dim, REGISTRY)
+        assert rows_of(wh.published.read("quality_summary")) == rows_of(summary)
+
+    load(6, 8)
+    load(3, 8)
+    assert not repaired
+    load(2, 1)
+    assert len(repaired) == 1
+    load(7, 8)
+    assert len(repaired) == 2

@@ -31,6 +31,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -105,17 +106,22 @@ class Words:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         known = self.known
-        found = [known.get(r) for r in runs]
+        found = list(map(known.get, runs))
         new = [r for r, ids in zip(runs, found) if ids is None]
-        pieces = {r: _PIECE.findall(r) for r in new if not r.isalpha()}
-        words = dict.fromkeys(r for r in new if r not in pieces)
-        words.update(dict.fromkeys(w for p in pieces.values() for w in p if w not in known))
+        mixed = [r for r in new if not r.isalpha()]
+        # Tuples of strings, unlike lists, are left alone by the garbage collector.
+        pieces = [tuple(_PIECE.findall(r)) for r in mixed]
+        words = dict.fromkeys(filter(str.isalpha, new))
+        words.update(dict.fromkeys(w for w in chain.from_iterable(pieces) if w not in known))
         made = self._encoded(list(words))
-        for run, cut in pieces.items():
+        for run, cut in zip(mixed, pieces):
             if len(cut) != 1:  # else it is the word itself
                 made[run] = b"".join([made[w] if w in made else known[w] for w in cut])
         out = [made[r] if ids is None else ids for r, ids in zip(runs, found)]
-        known.update((w, ids) for w, ids in made.items() if len(w) <= CACHED_CHARS)
+        known.update(made)
+        for word in made:
+            if len(word) > CACHED_CHARS:
+                del known[word]
         return out
 
     def _encoded(self, words: list[str]) -> dict[str, bytes]:
@@ -123,9 +129,9 @@ class Words:
         out: dict[str, bytes] = {}
         for i, encoding in enumerate(self.words.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(encoding.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.stop)
-            raw, starts = ids.tobytes(), [0, *(4 * cuts + 4).tolist()]
-            ends = [*(4 * cuts).tolist(), len(raw)]
+            cuts = 4 * np.flatnonzero(ids == self.stop)
+            raw, starts = ids.tobytes(), [0, *(cuts + 4).tolist()]
+            ends = [*cuts.tolist(), len(raw)]
             at = i * _TOGETHER
             for word, a, b in zip(words[at : at + _TOGETHER], starts, ends, strict=True):
                 out[word] = raw[a:b]
